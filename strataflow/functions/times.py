@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed pattern: date, optional time of day, optional UTC offset.
-ISO_PATTERN = r"^(\d{4}-\d\d-\d\d)(?:[T ](\d\d:\d\d(?::\d\d(?:\.\d{1,6})?)?))?(Z|[+-]\d\d:\d\d)?$"
+ISO_PATTERN = r"^\d{4}-\d\d-\d\d([T ]\d\d:\d\d(:\d\d(\.\d{1,6})?)?(Z|[+-]\d\d:\d\d)?)?$"
 
 
 def ntz(moment: dt.datetime) -> Column:
@@ -28,25 +28,25 @@ def month_of(ts: Column) -> Column:
     return F.trunc(F.to_date(ts), "MM")
 
 
+def has_offset(text: Column) -> Column:
+    """Whether an ISO text ends in `Z` or `+hh:mm`."""
+    return text.endswith("Z") | ((F.length(text) > 16) & F.substring(text, -6, 1).isin("+", "-"))
+
+
 def iso_to_utc(text: Column) -> Column:
     """ISO-8601 text to a UTC wall-clock TIMESTAMP_NTZ; NULL for anything else.
 
-    `Z` and `+hh:mm` offsets are taken into account. Text without an offset is
-    taken to be UTC. Spark's own cast would also accept '2024' or '2024-11',
-    and a cast to TIMESTAMP_NTZ would drop the offset without notice.
+    Text without an offset is taken to be UTC. The pattern is needed because
+    Spark's cast also accepts '2024' or '2024-11'; the offset is subtracted here
+    because a cast to TIMESTAMP_NTZ reads past it.
     """
-    day = F.regexp_extract(text, ISO_PATTERN, 1)
-    clock = F.regexp_extract(text, ISO_PATTERN, 2)
-    offset = F.regexp_extract(text, ISO_PATTERN, 3)
-    wall = F.when(day != "", F.concat(day, F.lit(" "), F.when(clock != "", clock).otherwise("00:00")))
-    minutes = F.when(offset.isin("", "Z"), F.lit(0)).otherwise(
-        F.when(F.substring(offset, 1, 1) == "-", -1).otherwise(1)
-        * (
-            F.coalesce(F.substring(offset, 2, 2).try_cast("int"), F.lit(0)) * 60
-            + F.coalesce(F.substring(offset, 5, 2).try_cast("int"), F.lit(0))
-        )
+    sign = F.when(F.substring(text, -6, 1) == "-", 1).otherwise(-1)
+    hours, minutes = F.substring(text, -5, 2).try_cast("int"), F.substring(text, -2, 2).try_cast("int")
+    shift = F.when(has_offset(text) & ~text.endswith("Z"), sign * (hours * 60 + minutes)).otherwise(0)
+    return F.when(
+        F.regexp_like(text, F.lit(ISO_PATTERN)),
+        F.timestamp_add("MINUTE", shift, text.try_cast("timestamp_ntz")),
     )
-    return F.timestamp_add("MINUTE", -minutes, wall.try_cast("timestamp_ntz"))
 
 
 def iso_or(text: Column, *fallbacks: Column) -> Column:

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
+import operator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataflow.functions.numbers import kmh_to_mps, narrow
-from strataflow.functions.text import filled, json_text
-from strataflow.functions.times import ISO_PATTERN, iso_to_utc, month_of, ntz
+from strataflow.functions.text import filled
+from strataflow.functions.times import has_offset, iso_to_utc, month_of, ntz
 from strataflow.operators.merge import merge_upsert
+from strataflow.operators.payload import parallel_elements
 from strataflow.operators.pick import latest_per_key
 from strataflow.schemas import LOCATION_KEY, MEASURES, RAW_REF, WEATHER_KEY, WEATHER_PAYLOAD
 
@@ -27,64 +30,72 @@ UPDATED = (*MEASURES, "raw_ref")
 NEWEST = ("ingested_at", "raw_id", "pos")
 
 
-def guard_reason(payload: Column, times: Column, location_id: Column) -> Column:
+def guard_reason(payload: Column, hourly: Column, location_id: Column) -> Column:
     """Why a payload is skipped, or NULL."""
-    hourly = json_text(payload, "hourly")
+    arrays = [hourly[a].isNull() for a in ("time", *SOURCES.values())]
+    nothing = hourly.isNull() | functools.reduce(operator.and_, arrays)
     return (
         F.when(filled(F.trim(payload)).isNull(), "no_payload")
-        .when(hourly.isNull() | F.regexp_like(hourly, F.lit(r"^\{\s*\}$")), "no_hourly")
+        .when(nothing, "no_hourly")
         .when(location_id.isNull(), "unknown_location")
-        .when(~F.coalesce(F.size(times) > 0, F.lit(False)), "no_time")
+        .when(~F.coalesce(F.size(hourly["time"]) > 0, F.lit(False)), "no_time")
     )
 
 
 def _observed_at(text: Column, offset_seconds: Column) -> Column:
     """UTC time of an array element; text without an own offset is local to the payload's offset."""
-    has_offset = F.regexp_extract(text, ISO_PATTERN, 3) != ""
-    shift = F.when(has_offset, F.lit(0)).otherwise(F.coalesce(offset_seconds, F.lit(0)))
+    shift = F.when(has_offset(text), F.lit(0)).otherwise(F.coalesce(offset_seconds, F.lit(0)))
     return F.timestamp_add("SECOND", -shift, iso_to_utc(text))
 
 
-def _cells(hourly: Column, offset_seconds: Column) -> Column:
+def _hours(doc: Column) -> Column:
     """One struct per hour: pos, observed_at, the measures as DECIMAL(5,2), and what is wrong with it."""
+    hourly = doc["hourly"]
+    elements = parallel_elements(hourly["time"], {m: hourly[array] for m, array in SOURCES.items()})
+    timed = F.transform(
+        elements, lambda e: F.struct(e.alias("e"), _observed_at(e["driver"], doc["utc_offset_seconds"]).alias("at"))
+    )
 
-    def cell(time: Column, pos: Column) -> Column:
+    def typed(hour: Column) -> Column:
         values, bad_value, overflow = [], F.lit(False), F.lit(False)
-        for measure, array in SOURCES.items():
-            text = F.get(hourly[array], pos)
+        for measure in SOURCES:
+            text = hour["e"][measure]
             number = text.try_cast("double")
-            if measure == "wind_speed_mps":
-                stored, is_set = narrow(kmh_to_mps(number)), number.isNotNull()
-            else:
-                stored, is_set = narrow(text), number.isNotNull()
+            stored = narrow(kmh_to_mps(number)) if measure == "wind_speed_mps" else narrow(text)
             values.append(stored.alias(measure))
             bad_value = bad_value | (text.isNotNull() & number.isNull())
-            overflow = overflow | (is_set & stored.isNull())
-        observed = _observed_at(time, offset_seconds)
+            overflow = overflow | (number.isNotNull() & stored.isNull())
         problem = (
-            F.when(observed.isNull(), "bad_time").when(bad_value, "bad_value").when(overflow, "overflow")
+            F.when(hour["at"].isNull(), "bad_time").when(bad_value, "bad_value").when(overflow, "overflow")
+        )
+        return F.struct(
+            hour["e"]["pos"].alias("pos"), hour["at"].alias("observed_at"), *values, problem.alias("problem")
         )
-        return F.struct(pos.alias("pos"), observed.alias("observed_at"), *values, problem.alias("problem"))
 
-    return F.transform(hourly["time"], cell)
+    return F.transform(timed, typed)
 
 
 def parse_payloads(raw: DataFrame, location: DataFrame) -> DataFrame:
     """One row per payload: its keys, location_id, `reason` (NULL if usable) and its hours as an array.
 
     Bad elements are found inside the row, so voiding a payload needs neither a
-    shuffle nor a window over its hours.
+    shuffle nor a window over its hours. The parsed document is a lambda
+    variable and the result goes through `inline`: otherwise the optimizer would
+    copy the JSON parse into every filter and field reference.
     """
     dim = location.select("location_id", *LOCATION_KEY)
-    parsed = raw.join(dim, list(LOCATION_KEY), "left").withColumn("doc", F.from_json("payload", WEATHER_PAYLOAD))
-    reason = guard_reason(F.col("payload"), F.col("doc.hourly.time"), F.col("location_id"))
-    return parsed.select(
+    document = F.from_json("payload", WEATHER_PAYLOAD)
+
+    def judged(doc: Column) -> Column:
+        reason = guard_reason(F.col("payload"), doc["hourly"], F.col("location_id"))
+        return F.struct(reason.alias("reason"), _hours(doc).alias("hours"))
+
+    return raw.join(dim, list(LOCATION_KEY), "left").select(
         F.col("id").alias("raw_id"),
         "location_name",
         "location_id",
         "ingested_at",
-        reason.alias("reason"),
-        F.when(reason.isNull(), _cells(F.col("doc.hourly"), F.col("doc.utc_offset_seconds"))).alias("hours"),
+        F.inline(F.transform(F.array(document), judged)),
     )
 
 
@@ -159,3 +170,23 @@ def trace_to_raw(core: DataFrame, raw: DataFrame, columns: list[str]) -> DataFra
     """Core rows with the columns of the raw row that `raw_ref` points to."""
     source = raw.select(F.col("id").alias("__raw_id"), *[F.col(c).alias(f"raw_{c}") for c in columns])
     return core.join(source, F.col("raw_ref.raw_id") == F.col("__raw_id")).drop("__raw_id")
+
+
+def run_metrics(parsed: DataFrame) -> DataFrame:
+    """One row of counts over parsed payloads: what was processed, applied and rejected."""
+    sound = F.col("reason").isNull() & ~F.coalesce(
+        F.exists("hours", lambda h: h["problem"].isNotNull()), F.lit(False)
+    )
+    marked = parsed.select("location_id", F.size("hours").alias("n"), sound.alias("sound"))
+    per_location = marked.groupBy("location_id").agg(
+        F.count(F.lit(1)).alias("payloads"),
+        F.count(F.when(F.col("sound"), 1)).alias("applied"),
+        F.coalesce(F.sum(F.when(F.col("sound"), F.col("n"))), F.lit(0)).alias("rows_applied"),
+    )
+    return per_location.agg(
+        F.coalesce(F.sum("payloads"), F.lit(0)).alias("payloads"),
+        F.coalesce(F.sum(F.col("payloads") - F.col("applied")), F.lit(0)).alias("rejected"),
+        F.coalesce(F.sum("applied"), F.lit(0)).alias("applied"),
+        F.count(F.when(F.col("applied") > 0, 1)).alias("locations_processed"),
+        F.coalesce(F.sum("rows_applied"), F.lit(0)).alias("rows_applied"),
+    )

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StructType
+from pyspark.sql.types import DataType, StructField, StructType
 
 
 def optional(df: DataFrame, name: str, kind: DataType | str) -> Column:
@@ -50,21 +50,32 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     )
 
 
-def contract_report(spark: SparkSession, actual: StructType, expected: StructType) -> DataFrame:
-    """One row per expected column: (column_name, expected_type, actual_type, is_nullable, ok).
+def contract_report(df: DataFrame, expected: StructType) -> DataFrame:
+    """One row per expected column: (column_name, expected_type, actual_type, is_nullable, ok, null_count).
 
-    Compares schemas only; no data is read.
+    Types come from the schema, the NULLs of all columns from one aggregation.
     """
-    have = {f.name: f for f in actual.fields}
-    rows = []
-    for field in expected.fields:
+    have = {f.name: f for f in df.schema.fields}
+    present = [f.name for f in expected.fields if f.name in have]
+    totals = df.agg(
+        F.count(F.lit(1)).alias("__rows"), *[F.count(c).alias(f"__n_{i}") for i, c in enumerate(present)]
+    )
+
+    def line(field: StructField) -> Column:
         found = have.get(field.name)
         kind = found.dataType.simpleString() if found else None
         want = field.dataType.simpleString()
-        rows.append((field.name, want, kind, found.nullable if found else None, kind == want))
-    return spark.createDataFrame(
-        rows, "column_name string, expected_type string, actual_type string, is_nullable boolean, ok boolean"
-    )
+        nulls = F.col("__rows") - F.col(f"__n_{present.index(field.name)}") if found else F.lit(None)
+        return F.struct(
+            F.lit(field.name).alias("column_name"),
+            F.lit(want).alias("expected_type"),
+            F.lit(kind).cast("string").alias("actual_type"),
+            F.lit(found.nullable if found else None).cast("boolean").alias("is_nullable"),
+            F.lit(kind == want).alias("ok"),
+            nulls.cast("bigint").alias("null_count"),
+        )
+
+    return totals.select(F.inline(F.array(*[line(f) for f in expected.fields])))
 
 
 def missing_columns(df: DataFrame, required: Sequence[str]) -> list[str]:

@@ -25,8 +25,8 @@ def narrow(value: Column, precision: int = 5, scale: int = 2) -> Column:
 
 
 def round_numeric(value: Column, digits: int) -> Column:
-    """Half-away-from-zero rounding of the value's decimal form."""
-    return F.round(value.cast("decimal(38,12)"), digits)
+    """Half-away-from-zero rounding of the value's shortest decimal form (doubles and decimals alike)."""
+    return F.round(value, digits)
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

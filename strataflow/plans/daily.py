@@ -98,24 +98,14 @@ def refresh_marts(wh: Warehouse) -> list[dict]:
 def transform_weather(wh: Warehouse, now: dt.datetime, on_error: str = "entity") -> dict:
     """Newest payload per location into the hourly fact; only the months it touches are read and written."""
     raw, location = wh.read("raw.weather_observations"), wh.read("core.location")
-    parsed = stage(weather.parse_payloads(weather.latest_payloads(raw), location), "parsed-weather")
-    rejects = weather.rejected(parsed, on_error)
-    wh.append("raw.rejects", rejects)
+    parsed = weather.parse_once(weather.latest_payloads(raw), location)
+    wh.append("raw.rejects", weather.rejected(parsed, on_error))
     hours = weather.good_hours(parsed, on_error)
     months = months_in(hours, "obs_month")
-    fact = wh.read("core.weather", months)
     if months:
-        merged = weather.upsert_weather(fact, hours, now)
+        merged = weather.upsert_weather(wh.read("core.weather", months), hours, now)
         wh.replace_months("core.weather", merged, months, WEATHER_KEY)
-    counts = parsed.agg(F.count(F.lit(1)).alias("payloads")).first()
-    good = hours.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("raw_id").alias("p")).first()
-    return {
-        "months": months,
-        "payloads": counts["payloads"],
-        "locations_processed": good["p"],
-        "rows_applied": good["n"],
-        "rejected": rejects.count(),
-    }
+    return {"months": months, **weather.run_metrics(parsed).first().asDict()}
 
 
 def transform_pages(wh: Warehouse, now: dt.datetime, reconcile_placeholders: bool = True) -> dict:

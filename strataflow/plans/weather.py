@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 from strataflow.functions.numbers import kmh_to_mps, narrow
 from strataflow.functions.text import filled
 from strataflow.functions.times import has_offset, iso_to_utc, month_of, ntz
+from strataflow.operators.aggregate import count_if
 from strataflow.operators.merge import merge_upsert
 from strataflow.operators.payload import parallel_elements
 from strataflow.operators.pick import latest_per_key
 from strataflow.schemas import LOCATION_KEY, MEASURES, RAW_REF, WEATHER_KEY, WEATHER_PAYLOAD
+from strataflow.session import stage
 
 # Fact measure -> payload array.
 SOURCES = {
@@ -48,72 +50,109 @@ def _observed_at(text: Column, offset_seconds: Column) -> Column:
     return F.timestamp_add("SECOND", -shift, iso_to_utc(text))
 
 
-def _hours(doc: Column) -> Column:
-    """One struct per hour: pos, observed_at, the measures as DECIMAL(5,2), and what is wrong with it."""
-    hourly = doc["hourly"]
-    elements = parallel_elements(hourly["time"], {m: hourly[array] for m, array in SOURCES.items()})
-    timed = F.transform(
-        elements, lambda e: F.struct(e.alias("e"), _observed_at(e["driver"], doc["utc_offset_seconds"]).alias("at"))
+def _typed(hours: DataFrame) -> DataFrame:
+    """Element texts to the fact's types, and what is wrong with an hour.
+
+    In two projections, the second over the results of the first: as one, the
+    casts would be repeated in a generated method too long for the JIT compiler.
+    """
+    texts = {m: F.col(f"text_{m}") for m in SOURCES}
+    stored = {
+        m: narrow(kmh_to_mps(text.try_cast("double"))) if m == "wind_speed_mps" else narrow(text)
+        for m, text in texts.items()
+    }
+    observed = _observed_at(F.col("driver"), F.col("utc_offset_seconds"))
+    first = hours.withColumns({**stored, "observed_at": observed})
+
+    def any_of(conditions: list[Column]) -> Column:
+        return functools.reduce(operator.or_, conditions)
+
+    unstored = any_of([text.isNotNull() & F.col(m).isNull() for m, text in texts.items()])
+    no_number = any_of([text.isNotNull() & text.try_cast("double").isNull() for text in texts.values()])
+    problem = F.when(F.col("observed_at").isNull(), "bad_time").when(
+        unstored, F.when(no_number, "bad_value").otherwise("overflow")
     )
+    return first.withColumn("problem", F.when(F.col("reason").isNull(), problem))
 
-    def typed(hour: Column) -> Column:
-        values, bad_value, overflow = [], F.lit(False), F.lit(False)
-        for measure in SOURCES:
-            text = hour["e"][measure]
-            number = text.try_cast("double")
-            stored = narrow(kmh_to_mps(number)) if measure == "wind_speed_mps" else narrow(text)
-            values.append(stored.alias(measure))
-            bad_value = bad_value | (text.isNotNull() & number.isNull())
-            overflow = overflow | (number.isNotNull() & stored.isNull())
-        problem = (
-            F.when(hour["at"].isNull(), "bad_time").when(bad_value, "bad_value").when(overflow, "overflow")
-        )
-        return F.struct(
-            hour["e"]["pos"].alias("pos"), hour["at"].alias("observed_at"), *values, problem.alias("problem")
-        )
 
-    return F.transform(timed, typed)
+PARSED = (
+    "raw_id",
+    "location_name",
+    "location_id",
+    "ingested_at",
+    "reason",
+    "pos",
+    "observed_at",
+    *MEASURES,
+    "problem",
+)
 
 
 def parse_payloads(raw: DataFrame, location: DataFrame) -> DataFrame:
-    """One row per payload: its keys, location_id, `reason` (NULL if usable) and its hours as an array.
+    """One row per hour of each payload, typed and converted; one row without an hour for a skipped payload.
 
-    Bad elements are found inside the row, so voiding a payload needs neither a
-    shuffle nor a window over its hours. The parsed document is a lambda
-    variable and the result goes through `inline`: otherwise the optimizer would
-    copy the JSON parse into every filter and field reference.
+    `reason` says why a payload is skipped, `problem` what is wrong with an
+    hour. Each payload is parsed once and only the explode is interpreted; the
+    typing after it runs in generated code. `inline` keeps the optimizer from
+    copying the JSON parse into every reference to a field.
     """
     dim = location.select("location_id", *LOCATION_KEY)
-    document = F.from_json("payload", WEATHER_PAYLOAD)
-
-    def judged(doc: Column) -> Column:
-        reason = guard_reason(F.col("payload"), doc["hourly"], F.col("location_id"))
-        return F.struct(reason.alias("reason"), _hours(doc).alias("hours"))
-
-    return raw.join(dim, list(LOCATION_KEY), "left").select(
-        F.col("id").alias("raw_id"),
-        "location_name",
-        "location_id",
-        "ingested_at",
-        F.inline(F.transform(F.array(document), judged)),
+    doc = F.inline(F.array(F.from_json("payload", WEATHER_PAYLOAD))).alias("utc_offset_seconds", "hourly")
+    docs = raw.join(dim, list(LOCATION_KEY), "left").select(
+        F.col("id").alias("raw_id"), "location_name", "location_id", "ingested_at", "payload", doc
     )
+    hourly = F.col("hourly")
+    reason = guard_reason(F.col("payload"), hourly, F.col("location_id"))
+    elements = parallel_elements(hourly["time"], {f"text_{m}": hourly[array] for m, array in SOURCES.items()})
+    kept = ("raw_id", "location_name", "location_id", "ingested_at", "utc_offset_seconds", "reason")
+    # The arrays are zipped one step before the explode, which then carries no array along.
+    zipped = docs.withColumn("reason", reason).select(
+        *kept, F.when(F.col("reason").isNull(), elements).alias("hours")
+    )
+    hours = zipped.select(*kept, F.inline_outer("hours"))
+    return _typed(hours).select(*PARSED)
+
+
+def parse_once(raw: DataFrame, location: DataFrame) -> DataFrame:
+    """`parse_payloads`, staged: good hours, rejects and counts then read typed columns, not JSON."""
+    return stage(parse_payloads(raw, location), "parsed-weather")
 
 
-def _first_problem(hours: Column) -> Column:
-    return F.get(F.filter(F.transform(hours, lambda h: h["problem"]), lambda p: p.isNotNull()), F.lit(0))
+def _voided(parsed: DataFrame) -> DataFrame:
+    """The first problem of each payload that has one."""
+    return (
+        parsed.filter(F.col("problem").isNotNull())
+        .groupBy("raw_id", "location_name")
+        .agg(F.min_by("problem", "pos").alias("reason"))
+    )
 
 
 def good_hours(parsed: DataFrame, on_error: str = "entity") -> DataFrame:
-    """Hourly rows ready for the fact. With on_error='entity' one bad hour voids its payload, with 'row' only itself."""
-    usable = parsed.filter(F.col("reason").isNull())
+    """Hourly rows ready for the fact. With on_error='entity' one bad hour voids its payload, with 'row' only itself.
+
+    Voided payloads are one row each, so where they are few Spark broadcasts them and the hours stay in place.
+    """
+    hours = parsed.filter(F.col("reason").isNull() & F.col("problem").isNull())
     if on_error == "entity":
-        usable = usable.filter(~F.exists("hours", lambda h: h["problem"].isNotNull()))
-    hours = usable.select("raw_id", "location_name", "location_id", "ingested_at", F.inline("hours"))
+        hours = hours.join(_voided(parsed).select("raw_id"), "raw_id", "left_anti")
     return (
-        hours.filter(F.col("problem").isNull())
-        .withColumn("raw_ref", raw_ref("weather_observations", F.col("location_name")))
+        hours.withColumn("raw_ref", raw_ref("weather_observations", F.col("location_name")))
         .withColumn("obs_month", month_of(F.col("observed_at")))
-        .drop("problem", "location_name")
+        .drop("problem", "reason", "location_name")
+    )
+
+
+def rejected(parsed: DataFrame, on_error: str = "entity") -> DataFrame:
+    """Rejects with their reason: one per payload, or one per bad hour with on_error='row'."""
+    skipped = parsed.filter(F.col("reason").isNotNull()).select("raw_id", "location_name", "reason")
+    if on_error == "row":
+        bad = parsed.filter(F.col("problem").isNotNull()).select(
+            "raw_id", "location_name", F.col("problem").alias("reason")
+        )
+    else:
+        bad = _voided(parsed)
+    return skipped.unionByName(bad).select(
+        F.lit("weather_observations").alias("source_table"), "raw_id", F.col("location_name").alias("entity"), "reason"
     )
 
 
@@ -127,18 +166,6 @@ def raw_ref(table: str, name: Column) -> Column:
     ).cast(RAW_REF)
 
 
-def rejected(parsed: DataFrame, on_error: str = "entity") -> DataFrame:
-    """Rejects with their reason: one per payload, or one per bad hour with on_error='row'."""
-    entity = [F.lit("weather_observations").alias("source_table"), "raw_id", F.col("location_name").alias("entity")]
-    skipped = parsed.filter(F.col("reason").isNotNull()).select(*entity, "reason")
-    usable = parsed.filter(F.col("reason").isNull())
-    if on_error == "row":
-        bad = usable.select(*entity, F.explode(F.transform("hours", lambda h: h["problem"])).alias("reason"))
-    else:
-        bad = usable.select(*entity, _first_problem(F.col("hours")).alias("reason"))
-    return skipped.unionByName(bad.filter(F.col("reason").isNotNull()))
-
-
 def latest_payloads(raw: DataFrame) -> DataFrame:
     """The newest payload per (name, latitude, longitude)."""
     return latest_per_key(raw, LOCATION_KEY, "ingested_at", ["id"])
@@ -146,7 +173,7 @@ def latest_payloads(raw: DataFrame) -> DataFrame:
 
 def parse_weather(raw: DataFrame, location: DataFrame, on_error: str = "entity") -> tuple[DataFrame, DataFrame]:
     """(good hourly rows, rejects) from the newest payload of each location."""
-    parsed = parse_payloads(latest_payloads(raw), location)
+    parsed = parse_once(latest_payloads(raw), location)
     return good_hours(parsed, on_error), rejected(parsed, on_error)
 
 
@@ -173,20 +200,23 @@ def trace_to_raw(core: DataFrame, raw: DataFrame, columns: list[str]) -> DataFra
 
 
 def run_metrics(parsed: DataFrame) -> DataFrame:
-    """One row of counts over parsed payloads: what was processed, applied and rejected."""
-    sound = F.col("reason").isNull() & ~F.coalesce(
-        F.exists("hours", lambda h: h["problem"].isNotNull()), F.lit(False)
+    """One row of counts over parsed payloads: what was processed, applied and rejected.
+
+    Hours are counted per payload first, so a busy location is combined before it is grouped.
+    """
+    payloads = parsed.groupBy("raw_id", "location_id").agg(
+        F.count("pos").alias("hours"),
+        (F.count("reason") + F.count("problem") == 0).alias("sound"),
     )
-    marked = parsed.select("location_id", F.size("hours").alias("n"), sound.alias("sound"))
-    per_location = marked.groupBy("location_id").agg(
+    per_location = payloads.groupBy("location_id").agg(
         F.count(F.lit(1)).alias("payloads"),
-        F.count(F.when(F.col("sound"), 1)).alias("applied"),
-        F.coalesce(F.sum(F.when(F.col("sound"), F.col("n"))), F.lit(0)).alias("rows_applied"),
+        count_if(F.col("sound")).alias("applied"),
+        F.sum(F.when(F.col("sound"), F.col("hours")).otherwise(0)).alias("rows_applied"),
     )
     return per_location.agg(
         F.coalesce(F.sum("payloads"), F.lit(0)).alias("payloads"),
         F.coalesce(F.sum(F.col("payloads") - F.col("applied")), F.lit(0)).alias("rejected"),
         F.coalesce(F.sum("applied"), F.lit(0)).alias("applied"),
-        F.count(F.when(F.col("applied") > 0, 1)).alias("locations_processed"),
+        count_if(F.col("applied") > 0).alias("locations_processed"),
         F.coalesce(F.sum("rows_applied"), F.lit(0)).alias("rows_applied"),
     )

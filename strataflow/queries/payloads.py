@@ -85,7 +85,7 @@ SELECT raw_id, location_id, pos, observed_at, temperature_celsius, humidity_perc
 )
 def hourly_explode(t: Tables) -> DataFrame:
     """Payloads to typed, converted hours through the whole parser: guards, location lookup, void check."""
-    parsed = weather.parse_payloads(raw_weather(t, hours_payload()), named_locations(t))
+    parsed = weather.parse_once(raw_weather(t, hours_payload()), named_locations(t))
     hours = weather.good_hours(parsed).select("raw_id", "location_id", "pos", "observed_at", *MEASURE_TYPES)
     return bind.doubles(hours, *MEASURE_TYPES)
 
@@ -149,7 +149,7 @@ FAULTS = """faults AS (
 )
 def payload_guards(t: Tables) -> DataFrame:
     """Every payload that is skipped or voided, with the reason."""
-    parsed = weather.parse_payloads(raw_weather(t, broken_payload()), named_locations(t))
+    parsed = weather.parse_once(raw_weather(t, broken_payload()), named_locations(t))
     return weather.rejected(parsed).select("raw_id", "reason")
 
 
@@ -166,7 +166,7 @@ FROM faults""",
 def run_metrics(t: Tables) -> DataFrame:
     """Counts of a transform run, from one pass over the parsed payloads."""
     return weather.run_metrics(
-        weather.parse_payloads(raw_weather(t, broken_payload()), named_locations(t))
+        weather.parse_once(raw_weather(t, broken_payload()), named_locations(t))
     )
 
 
@@ -182,7 +182,7 @@ FROM hours""",
 def lineage_trace(t: Tables) -> DataFrame:
     """Fact hours traced back to their raw rows."""
     raw = raw_weather(t, hours_payload())
-    hours = weather.good_hours(weather.parse_payloads(raw, named_locations(t)))
+    hours = weather.good_hours(weather.parse_once(raw, named_locations(t)))
     traced = weather.trace_to_raw(hours, raw, ["ingested_at", "source"])
     return traced.select(
         "raw_id",

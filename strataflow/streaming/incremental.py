@@ -55,7 +55,7 @@ def run_incremental(
     """Process the raw weather rows that arrived since the last call."""
 
     def handle(batch: DataFrame, _: int) -> None:
-        parsed = weather.parse_payloads(batch, wh.read("core.location"))
+        parsed = weather.parse_once(batch, wh.read("core.location"))
         wh.append("raw.rejects", weather.rejected(parsed, on_error))
         apply_hours(wh, weather.good_hours(parsed, on_error), now)
 

@@ -1,12 +1,12 @@
 """Neighbouring rows in time order, without sorting a whole key in one task.
 
-A plain `lag` over (key, ts) sends every row of a key to one task. Here the key
-is cut into time slices: the window runs inside (key, slice), and only the edge
-row of each slice is handed on to the neighbouring slice of the same key. The
-hand-over table has one row per key and slice, and the rows themselves are
-shuffled once, by (key, slice).
+A plain window over (key, time) sends every row of a key to one task. Here the
+key is cut into time slices (days unless told otherwise). Windows run inside
+(key, slice); what crosses a slice border comes from a summary with one row per
+key and slice, which is joined back. Rows and summary share one shuffle by
+(key, slice).
 
-Keys and order columns must not be NULL.
+Keys and times must not be NULL; rows with a NULL there are dropped.
 """
 
 from __future__ import annotations
@@ -19,43 +19,32 @@ from pyspark.sql import functions as F
 SLICE = "__slice"
 
 
-def sliced(df: DataFrame, slice_by: Column) -> DataFrame:
-    """Mark the slice of each row. `with_neighbour` keeps a mark that is already there."""
-    return df.withColumn(SLICE, slice_by)
+class Slices:
+    """Windows over a frame that is cut into (key, slice) pieces."""
 
+    def __init__(self, keys: Sequence[str], order: Sequence[str], slice_by: Column | None = None):
+        self.keys, self.order = list(keys), list(order)
+        self.slice_by = F.to_date(order[0]) if slice_by is None else slice_by
+        piece = Window.partitionBy(*keys, SLICE)
+        self.up = piece.orderBy(*[F.col(o).asc() for o in order])
+        self.down = piece.orderBy(*[F.col(o).desc() for o in order])
+        whole = Window.partitionBy(*keys)
+        self.slices_up = whole.orderBy(F.col(SLICE).asc())
+        self.slices_down = whole.orderBy(F.col(SLICE).desc())
 
-def with_neighbour(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    values: dict[str, str],
-    *,
-    forward: bool = False,
-    slice_by: Column | None = None,
-) -> DataFrame:
-    """Add `values` (new name -> source column) of the previous row per key, or the next if `forward`.
+    def cut(self, df: DataFrame) -> DataFrame:
+        cut = df.withColumn(SLICE, self.slice_by)
+        for name in (*self.keys, SLICE):
+            cut = cut.filter(F.col(name).isNotNull())
+        return cut
 
-    `order` must be unique within a key; its first column is the time that
-    `slice_by` (default: the day) cuts. The result equals lag or lead over the key.
-    """
-    marked = SLICE in df.columns
-    rows = df if marked else sliced(df, F.to_date(order[0]) if slice_by is None else slice_by)
-    inside = Window.partitionBy(*keys, SLICE).orderBy(*order)
-    across = Window.partitionBy(*keys).orderBy(SLICE)
-    # Structs, so that "no neighbour" (NULL) differs from a neighbour whose value is NULL.
-    payload = F.struct(*[F.col(src).alias(new) for new, src in values.items()])
-    near, far, edge = (F.lead, F.lead, F.lag) if forward else (F.lag, F.lag, F.lead)
-
-    local = rows.withColumn("__near", near(payload).over(inside))
-    edges = rows.withColumn("__inner", edge(F.lit(1)).over(inside)).filter(F.col("__inner").isNull())
-    handed = edges.select(*keys, SLICE, payload.alias("__edge")).select(
-        *keys, SLICE, far("__edge").over(across).alias("__far")
-    )
-    found = F.coalesce("__near", "__far")
-    kept = [*df.columns]
-    return local.join(handed, [*keys, SLICE], "left").select(
-        *kept, *[found[new].alias(new) for new in values]
-    )
+    def join(self, rows: DataFrame, summary: DataFrame) -> DataFrame:
+        return rows.join(summary, [*self.keys, SLICE], "left")
+
+
+def last_value(column: Column, window, *, through: int = Window.currentRow) -> Column:
+    """Last non-null value from the start of the window up to `through`; linear, as the start is unbounded."""
+    return F.last(column, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, through))
 
 
 def with_closest(
@@ -70,39 +59,65 @@ def with_closest(
 ) -> DataFrame:
     """Add the last non-null `value` up to the row and the first one after it, in `order` within the key.
 
-    Both windows start at the unbounded side (the second one on the reversed
-    order), so they take linear time.
+    `order` must be unique within a key; its first column is the time that is cut.
     """
-    rows = sliced(df, F.to_date(order[0]) if slice_by is None else slice_by)
-    up = [F.col(o).asc() for o in order]
-    down = [F.col(o).desc() for o in order]
-    so_far = (Window.unboundedPreceding, Window.currentRow)
-    earlier = (Window.unboundedPreceding, -1)
-    inside = Window.partitionBy(*keys, SLICE)
-    across = Window.partitionBy(*keys)
-
-    def last(column: str, window) -> Column:
-        return F.last(column, ignorenulls=True).over(window)
-
-    local = rows.withColumn("__b", last(value, inside.orderBy(*up).rowsBetween(*so_far))).withColumn(
-        "__a", last(value, inside.orderBy(*down).rowsBetween(*so_far))
+    cut = Slices(keys, order, slice_by)
+    whole = cut.up.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = (
+        cut.cut(df)
+        .withColumn("__first", F.first(value, ignorenulls=True).over(whole))
+        .withColumn("__last", F.last(value, ignorenulls=True).over(whole))
+        .withColumn("__head", F.lag(F.lit(1)).over(cut.up).isNull())
+        .withColumn("__b", last_value(F.col(value), cut.up))
+        .withColumn("__a", last_value(F.col(value), cut.down))
     )
-    position = F.struct(*[F.col(o) for o in order])
-    handed = (
-        rows.filter(F.col(value).isNotNull())
-        .groupBy(*keys, SLICE)
-        .agg(F.max_by(value, position).alias("__last"), F.min_by(value, position).alias("__first"))
-    )
-    # Slices without any value need the hand-over too, so all of them are listed.
-    slices = rows.select(*keys, SLICE).distinct().join(handed, [*keys, SLICE], "left")
-    handed = slices.select(
+    summary = rows.filter("__head").select(
         *keys,
         SLICE,
-        last("__last", across.orderBy(F.col(SLICE).asc()).rowsBetween(*earlier)).alias("__fb"),
-        last("__first", across.orderBy(F.col(SLICE).desc()).rowsBetween(*earlier)).alias("__fa"),
+        last_value(F.col("__last"), cut.slices_up, through=-1).alias("__fb"),
+        last_value(F.col("__first"), cut.slices_down, through=-1).alias("__fa"),
     )
-    return local.join(handed, [*keys, SLICE], "left").select(
+    return cut.join(rows, summary).select(
         *df.columns,
         F.coalesce("__b", "__fb").alias(before),
         F.coalesce("__a", "__fa").alias(after),
     )
+
+
+def change_points(
+    df: DataFrame, keys: Sequence[str], value: str, ts: str, *, until: str, slice_by: Column | None = None
+) -> DataFrame:
+    """The rows (keys, value, ts) whose value differs from the previous row's, and when the next such row comes.
+
+    (keys, ts) must be unique. The first row of a key is a change; `until` is NULL for the last one.
+    """
+    cut = Slices(keys, [ts], slice_by)
+    whole = cut.up.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    held = F.struct(F.col(value).alias("v"))  # a struct, so that a NULL value differs from no row at all
+    rows = (
+        cut.cut(df.select(*keys, value, ts))
+        .withColumn("__before", F.lag(held).over(cut.up))
+        .withColumn("__last", F.last(held).over(whole))
+        .withColumn("__head", F.col("__before").isNull())
+        .withColumn("__change", ~F.col("__head") & ~F.col(value).eqNullSafe(F.col("__before.v")))
+        .withColumn("__next", last_value(F.when(F.col("__change"), F.col(ts)), cut.down, through=-1))
+    )
+    heads = rows.filter("__head").select(
+        *keys, SLICE, value, ts, "__next", F.lag("__last").over(cut.slices_up).alias("__carried")
+    )
+    opens = F.col("__carried").isNull() | ~F.col(value).eqNullSafe(F.col("__carried.v"))
+    summary = (
+        heads.withColumn("__opens", opens)
+        .withColumn("__first_change", F.when(F.col("__opens"), F.col(ts)).otherwise(F.col("__next")))
+        .select(
+            *keys,
+            SLICE,
+            "__opens",
+            last_value(F.col("__first_change"), cut.slices_down, through=-1).alias("__later"),
+        )
+    )
+    return (
+        cut.join(rows, summary)
+        .filter(F.col("__change") | (F.col("__head") & F.col("__opens")))
+        .select(*keys, value, ts, F.coalesce("__next", "__later").alias(until))
+    )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from strataflow.functions.times import ntz
 from strataflow.operators.keys import surrogate_ids
-from strataflow.operators.ordered import sliced, with_neighbour
+from strataflow.operators.ordered import change_points
 
 
 def scd2_apply(
@@ -80,18 +80,12 @@ def scd2_history(
 
     Consecutive equal values make one version; intervals are half-open and the
     last one is current. (keys, ts) must be unique, or `last_by` says which of
-    several changes at one instant counts. The rows are shuffled once, by key
-    and day: the slice mark carries that partitioning from the first pass, which
-    drops repeated values, to the second, which finds the ends.
+    several changes at one instant counts.
     """
     if last_by:
         newest = F.struct(*[F.col(c) for c in last_by])
         changes = changes.groupBy(*keys, ts).agg(F.max_by(tracked, newest).alias(tracked))
-    rows = sliced(changes.select(*keys, tracked, ts), F.to_date(ts) if slice_by is None else slice_by)
-    marked = with_neighbour(rows, keys, [ts], {"__before": tracked, "__before_ts": ts})
-    is_first = F.col("__before_ts").isNull()
-    starts = marked.filter(is_first | ~F.col(tracked).eqNullSafe(F.col("__before"))).drop("__before", "__before_ts")
-    versions = with_neighbour(starts, keys, [ts], {"valid_to": ts}, forward=True)
+    versions = change_points(changes, keys, tracked, ts, until="valid_to", slice_by=slice_by)
     return versions.select(
         *keys,
         tracked,

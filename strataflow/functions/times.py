@@ -28,25 +28,29 @@ def month_of(ts: Column) -> Column:
     return F.trunc(F.to_date(ts), "MM")
 
 
+def _numeric_offset(text: Column) -> Column:
+    return (F.length(text) > 16) & F.substring(text, -6, 1).isin("+", "-")
+
+
 def has_offset(text: Column) -> Column:
     """Whether an ISO text ends in `Z` or `+hh:mm`."""
-    return text.endswith("Z") | ((F.length(text) > 16) & F.substring(text, -6, 1).isin("+", "-"))
+    return text.endswith("Z") | _numeric_offset(text)
 
 
 def iso_to_utc(text: Column) -> Column:
     """ISO-8601 text to a UTC wall-clock TIMESTAMP_NTZ; NULL for anything else.
 
     Text without an offset is taken to be UTC. The pattern is needed because
-    Spark's cast also accepts '2024' or '2024-11'; the offset is subtracted here
-    because a cast to TIMESTAMP_NTZ reads past it.
+    Spark's cast also accepts '2024' or '2024-11'; the offset is cut off and
+    subtracted because a cast to TIMESTAMP_NTZ would read past it.
     """
     sign = F.when(F.substring(text, -6, 1) == "-", 1).otherwise(-1)
     hours, minutes = F.substring(text, -5, 2).try_cast("int"), F.substring(text, -2, 2).try_cast("int")
-    shift = F.when(has_offset(text) & ~text.endswith("Z"), sign * (hours * 60 + minutes)).otherwise(0)
-    return F.when(
-        F.regexp_like(text, F.lit(ISO_PATTERN)),
-        F.timestamp_add("MINUTE", shift, text.try_cast("timestamp_ntz")),
-    )
+    numeric = _numeric_offset(text)
+    suffix = F.when(text.endswith("Z"), 1).when(numeric, 6).otherwise(0)
+    wall = text.substr(F.lit(1), F.length(text) - suffix).try_cast("timestamp_ntz")
+    shift = F.when(numeric, sign * (hours * 60 + minutes)).otherwise(0)
+    return F.when(F.regexp_like(text, F.lit(ISO_PATTERN)), F.timestamp_add("MINUTE", shift, wall))
 
 
 def iso_or(text: Column, *fallbacks: Column) -> Column:

@@ -82,5 +82,6 @@ def candidate_titles(city: Column, region: Column, country: Column, alternative:
             name,
         ]
 
-    other = F.when(~city.eqNullSafe(alternative), F.nullif(alternative, F.lit("")))
-    return variants(F.coalesce(F.nullif(city, F.lit("")), alternative)) + variants(other)
+    name = F.coalesce(F.nullif(city, F.lit("")), alternative)
+    other = F.when(~name.eqNullSafe(alternative), F.nullif(alternative, F.lit("")))
+    return variants(name) + variants(other)

@@ -15,9 +15,14 @@ def json_text(payload: Column, *path: str | int) -> Column:
     return F.get_json_object(payload, "$" + steps)
 
 
+def inner_or_self(field: Column, inner: str) -> Column:
+    """`field.inner` where the JSON text of the field is an object that has it, else the field itself."""
+    return F.coalesce(F.get_json_object(field, f"$.{inner}"), field)
+
+
 def json_inner_or_self(payload: Column, field: str, inner: str) -> Column:
     """`payload.field.inner` where the field is an object that has it, else the field itself."""
-    return F.coalesce(json_text(payload, field, inner), json_text(payload, field))
+    return inner_or_self(json_text(payload, field), inner)
 
 
 def namespace_id(namespace: Column) -> Column:

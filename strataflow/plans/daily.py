@@ -10,15 +10,16 @@ from pyspark.sql import functions as F
 
 from strataflow.functions.times import ntz
 from strataflow.operators.keys import placeholder_ids, surrogate_ids
-from strataflow.operators.merge import dim_upsert
+from strataflow.operators.merge import dim_upsert, insert_if_absent
 from strataflow.operators.shape import conform
 from strataflow.plans import marts, pages, quality, weather
-from strataflow.schemas import LOCATION_KEY, PAGE, WEATHER_KEY
-from strataflow.session import stage
+from strataflow.schemas import LOCATION, LOCATION_KEY, PAGE, PAGE_KEY, WEATHER_KEY
+from strataflow.session import stage, staging
 from strataflow.sources.landing import page_envelope, weather_envelope, with_raw_ids
 from strataflow.sources.seeds import location_defaults, page_defaults
 from strataflow.sources.tables import Warehouse, months_in
 
+PAGE_STAMPS = ("first_seen_at", "last_updated_at", "valid_from")
 MARTS = ("mart.daily_weather_aggregates", "mart.daily_wikipedia_page_stats")
 
 
@@ -66,7 +67,7 @@ def seeded_pages(dim: DataFrame, seeds: DataFrame, now: dt.datetime) -> DataFram
     current = dim.filter("is_current")
     fresh = placeholder_ids(wanted, current, "wikipedia_page_id", ["page_title", "page_language"], "position")
     fresh = surrogate_ids(fresh, dim, "page_id", ["wikipedia_page_id", "page_language"])
-    stamps = {c: ntz(now) for c in ("first_seen_at", "last_updated_at", "valid_from")}
+    stamps = {c: ntz(now) for c in PAGE_STAMPS}
     return dim.unionByName(conform(fresh.withColumns({**stamps, "is_current": F.lit(True)}), PAGE))
 
 
@@ -77,6 +78,24 @@ def apply_seeds(
     return seeded_locations(location, seeds[0], now), seeded_pages(page, seeds[1], now)
 
 
+def insert_seeds(
+    location: DataFrame, page: DataFrame, seeds: tuple[DataFrame, DataFrame], now: dt.datetime
+) -> tuple[DataFrame, DataFrame]:
+    """Dimensions after a first load that leaves existing rows alone.
+
+    Unlike `apply_seeds` nothing is updated, and a page's placeholder id is
+    -(position + 1), so loading the same seeds twice changes nothing.
+    """
+    places = insert_if_absent(location, location_defaults(seeds[0]), LOCATION_KEY)
+    places = surrogate_ids(places, location, "location_id", LOCATION_KEY)
+    stamped = places.withColumns({c: ntz(now) for c in ("created_at", "updated_at")})
+    wanted = page_defaults(seeds[1]).withColumn("wikipedia_page_id", -(F.col("position") + 1).cast("bigint"))
+    fresh = insert_if_absent(page, wanted, PAGE_KEY)
+    fresh = surrogate_ids(fresh, page, "page_id", PAGE_KEY)
+    versions = fresh.withColumns({c: ntz(now) for c in PAGE_STAMPS}).withColumn("is_current", F.lit(True))
+    return location.unionByName(conform(stamped, LOCATION)), page.unionByName(conform(versions, PAGE))
+
+
 def refresh_mart(wh: Warehouse, name: str, build) -> dict:
     """Recompute a mart into a new version. A failure is reported and leaves the old version readable."""
     try:
@@ -87,6 +106,13 @@ def refresh_mart(wh: Warehouse, name: str, build) -> dict:
         return {"view_name": name, "status": "failed", "error": str(error)}
 
 
+def core_models(wh: Warehouse) -> dict[str, DataFrame]:
+    """The core tables as downstream models see them: only current versions of pages."""
+    names = ("weather", "location", "revision", "wikipedia_page")
+    models = {name: wh.read(f"core.{name}") for name in names}
+    return {**models, "wikipedia_page": models["wikipedia_page"].filter("is_current")}
+
+
 def refresh_marts(wh: Warehouse) -> list[dict]:
     builders = {
         MARTS[0]: lambda: marts.daily_weather_aggregates(wh.read("core.weather"), wh.read("core.location")),
@@ -95,9 +121,17 @@ def refresh_marts(wh: Warehouse) -> list[dict]:
     return [refresh_mart(wh, name, build) for name, build in builders.items()]
 
 
-def transform_weather(wh: Warehouse, now: dt.datetime, on_error: str = "entity") -> dict:
-    """Newest payload per location into the hourly fact; only the months it touches are read and written."""
+def transform_weather(
+    wh: Warehouse, now: dt.datetime, on_error: str = "entity", raw_since: dt.datetime | None = None
+) -> dict:
+    """Newest payload per location into the hourly fact; only the months it touches are read and written.
+
+    `raw_since` leaves out raw rows that were loaded earlier: their payloads have
+    been applied by earlier runs, and the filter is pushed down to the scan.
+    """
     raw, location = wh.read("raw.weather_observations"), wh.read("core.location")
+    if raw_since is not None:
+        raw = raw.filter(F.col("ingested_at") >= ntz(raw_since))
     parsed = weather.parse_once(weather.latest_payloads(raw), location)
     wh.append("raw.rejects", weather.rejected(parsed, on_error))
     hours = weather.good_hours(parsed, on_error)
@@ -153,6 +187,7 @@ def run_daily(
     page_landing: DataFrame | None = None,
     seeds: tuple[DataFrame, DataFrame] | None = None,
     on_error: str = "entity",
+    raw_since: dt.datetime | None = None,
     all_locations: bool = True,
 ) -> DataFrame:
     """Run all layers for one batch and return a one-row summary.
@@ -162,6 +197,26 @@ def run_daily(
     location in the months of this batch. Running the same batch again changes no fact row.
     """
     wh = Warehouse(spark, root)
+    with staging(spark):
+        row = _run_layers(wh, now, weather_landing, page_landing, seeds, on_error, raw_since, all_locations)
+    return spark.createDataFrame(
+        [tuple(row.values())],
+        "locations bigint, weather_payloads bigint, weather_rows_applied bigint, weather_rejected bigint,"
+        " pages_processed bigint, revisions_inserted bigint, quality_passed boolean, views_refreshed int,"
+        " run_status string",
+    )
+
+
+def _run_layers(
+    wh: Warehouse,
+    now: dt.datetime,
+    weather_landing: DataFrame | None,
+    page_landing: DataFrame | None,
+    seeds: tuple[DataFrame, DataFrame] | None,
+    on_error: str,
+    raw_since: dt.datetime | None,
+    all_locations: bool,
+) -> dict:
     if seeds is not None:
         location, page = apply_seeds(wh.read("core.location"), wh.read("core.wikipedia_page"), seeds, now)
         wh.replace("core.location", location)
@@ -170,11 +225,11 @@ def run_daily(
         land_weather(wh, weather_landing, now)
     if page_landing is not None:
         land_pages(wh, page_landing, now)
-    weather_run = transform_weather(wh, now, on_error)
+    weather_run = transform_weather(wh, now, on_error, raw_since)
     page_run = transform_pages(wh, now)
     quality.enforce(quality_results(wh, weather_run["months"], all_locations=all_locations))
     refreshed = refresh_marts(wh)
-    row = {
+    return {
         "locations": wh.read("core.location").count(),
         "weather_payloads": weather_run["payloads"],
         "weather_rows_applied": weather_run["rows_applied"],
@@ -185,9 +240,3 @@ def run_daily(
         "views_refreshed": sum(r["status"] == "success" for r in refreshed),
         "run_status": "success" if all(r["status"] == "success" for r in refreshed) else "marts_stale",
     }
-    return spark.createDataFrame(
-        [tuple(row.values())],
-        "locations bigint, weather_payloads bigint, weather_rows_applied bigint, weather_rejected bigint,"
-        " pages_processed bigint, revisions_inserted bigint, quality_passed boolean, views_refreshed int,"
-        " run_status string",
-    )

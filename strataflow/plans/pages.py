@@ -34,7 +34,7 @@ def parse_pages(latest: DataFrame, now: dt.datetime) -> DataFrame:
         .withColumn("doc", F.from_json("payload", PAGE_PAYLOAD))
         .select(
             F.col("id").alias("raw_id"),
-            F.coalesce(doc["pageid"], F.col("page_id")).alias("wikipedia_page_id"),
+            F.coalesce(doc["pageid"].try_cast("bigint"), F.col("page_id")).alias("wikipedia_page_id"),
             F.coalesce(doc["title"], F.col("page_title")).alias("page_title"),
             namespace_id(doc["namespace"]).alias("namespace"),
             "page_language",

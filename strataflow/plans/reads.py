@@ -8,11 +8,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.functions.text import json_inner_or_self, json_text, preview, same_ignoring_case
+from strataflow.functions.text import inner_or_self, preview, same_ignoring_case
 from strataflow.functions.times import days_before
 from strataflow.operators.pick import latest_n_per_key, latest_per_key, newest_first, top_rows
 from strataflow.operators.shape import optional
-from strataflow.schemas import MEASURES
+from strataflow.schemas import MEASURES, PAGE_SUMMARY
 
 # Row limits of the location view and of the city report.
 OBSERVATION_LIMIT = 200
@@ -92,25 +92,31 @@ def list_pages(page: DataFrame) -> DataFrame:
     )
 
 
-def page_summary(payload: Column) -> list[Column]:
-    """The summary fields of a page payload; the thumbnail may be an object or a plain text."""
+def with_document(raw: DataFrame) -> DataFrame:
+    """Raw pages with the summary fields of the payload, parsed once, as `doc`."""
+    return raw.withColumn("doc", F.from_json("payload", PAGE_SUMMARY))
+
+
+def page_summary() -> list[Column]:
+    """The summary columns of `doc`; the thumbnail may be an object or a plain text."""
     return [
-        json_text(payload, "title").alias("title"),
-        json_text(payload, "extract").alias("extract"),
-        json_text(payload, "content_urls", "desktop", "page").alias("url"),
-        json_inner_or_self(payload, "thumbnail", "source").alias("thumbnail"),
-        json_text(payload, "description").alias("description"),
+        F.col("doc.title").alias("title"),
+        F.col("doc.extract").alias("extract"),
+        F.col("doc.content_urls.desktop.page").alias("url"),
+        inner_or_self(F.col("doc.thumbnail"), "source").alias("thumbnail"),
+        F.col("doc.description").alias("description"),
     ]
 
 
 def page_details(page: DataFrame, raw: DataFrame, revision: DataFrame) -> DataFrame:
     """Every current page with its newest summary (title matched ignoring case) and its revision count."""
-    summaries = latest_per_key(
+    newest = latest_per_key(
         raw.select(F.lower("page_title").alias("__title"), "payload", "ingested_at", "id"),
         ["__title"],
         "ingested_at",
         ["id"],
-    ).select("__title", *page_summary(F.col("payload")), F.col("ingested_at").alias("fetched_at"))
+    )
+    summaries = with_document(newest).select("__title", *page_summary(), F.col("ingested_at").alias("fetched_at"))
     counts = revision.groupBy("page_id").agg(F.count(F.lit(1)).alias("revision_count"))
     pages = page.filter("is_current").select("page_id", "page_title", "page_language", "wikipedia_page_id")
     return (
@@ -133,10 +139,8 @@ def summary_by_title(raw: DataFrame, title: str, *, ignore_case: bool = True) ->
     wanted = F.lit(title)
     match = same_ignoring_case(F.col("page_title"), wanted) if ignore_case else F.col("page_title") == wanted
     newest = top_rows(raw.filter(match), newest_first("ingested_at", ["id"]), 1)
-    return newest.select(
-        *page_summary(F.col("payload")),
-        json_text(F.col("payload"), "pageid").alias("pageid"),
-        F.col("ingested_at").alias("fetched_at"),
+    return with_document(newest).select(
+        *page_summary(), F.col("doc.pageid").alias("pageid"), F.col("ingested_at").alias("fetched_at")
     )
 
 
@@ -173,6 +177,12 @@ def newest_location(location: DataFrame, name: str) -> DataFrame:
     return top_rows(location.filter(F.col("location_name") == name), [F.col("location_id").desc()], 1)
 
 
+def city_hours(location: DataFrame, weather: DataFrame, hours: int = REPORT_HOURS) -> DataFrame:
+    """The newest hours of every location name: of several locations of one name the highest id counts."""
+    places = location.groupBy("location_name").agg(F.max("location_id").alias("location_id"))
+    return latest_hours(weather, hours).join(places, "location_id").drop("location_id")
+
+
 def city_report(
     location: DataFrame, weather: DataFrame, raw_pages: DataFrame, name: str, hours: int = REPORT_HOURS
 ) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -49,7 +49,7 @@ def weather_payload_peek(raw: DataFrame) -> DataFrame:
         "location_name",
         "ingested_at",
         json_kind(F.col("payload")).alias("has_payload"),
-        json_text(F.col("payload"), "hourly", "time[0]").alias("first_timestamp"),
+        json_text(F.col("payload"), "hourly", "time", 0).alias("first_timestamp"),
     ).orderBy(F.col("ingested_at").desc_nulls_first())
 
 
@@ -386,5 +386,8 @@ def locations_per_day(mart: DataFrame, as_of: dt.date, days: int = 7) -> DataFra
     )
 
 
-def mart_history(mart: DataFrame, location_name: str) -> DataFrame:
-    return mart.filter(F.col("location_name") == location_name).orderBy(F.col("observation_date").desc())
+def mart_history(mart: DataFrame, location_name: str | None = None) -> DataFrame:
+    """Mart rows of one location, newest first, or of all by name."""
+    if location_name is not None:
+        return mart.filter(F.col("location_name") == location_name).orderBy(F.col("observation_date").desc())
+    return mart.orderBy("location_name", F.col("observation_date").desc())

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from strataflow.plans import reads, reports
 from strataflow.queries import bind
-from strataflow.queries.marts import WEATHER, page_mart, weather_mart
+from strataflow.queries.marts import PAGES, WEATHER, page_mart, weather_mart
 from strataflow.registry import Tables, query
 
 MEASURE_COLUMNS = ("temperature_celsius", "humidity_percent", "wind_speed_mps")
@@ -260,9 +260,9 @@ def mart_spans(t: Tables) -> DataFrame:
     return reports.mart_spans(weather_mart(t), page_mart(t))
 
 
-@query(bind.sql(*WEATHER, body="SELECT * FROM weather_mart WHERE location_name = 'Customer#000000042'"))
+@query(bind.sql(*WEATHER, body="SELECT * FROM weather_mart"))
 def mart_history(t: Tables) -> DataFrame:
-    return reports.mart_history(weather_mart(t), "Customer#000000042")
+    return reports.mart_history(weather_mart(t))
 
 
 @query(
@@ -280,41 +280,104 @@ def newest_mart_rows(t: Tables) -> DataFrame:
     return bind.doubles(reports.newest_mart_rows(weather_mart(t)), "avg_temp")
 
 
+# Locations that share a name: segment and nation together.
+SHARED_NAMES = """named AS (SELECT *, city || country AS shared_name FROM location)"""
+
+
 @query(
     bind.sql(
         bind.FACT,
         bind.LOCATION,
+        SHARED_NAMES,
         body=f"""
-SELECT observed_at, {MEASURE_SQL} FROM fact
-WHERE location_id = (SELECT MAX(location_id) FROM location WHERE location_name = 'Customer#000000042')
-ORDER BY observed_at DESC LIMIT 24""",
+SELECT shared_name AS location_name, observed_at, {MEASURE_SQL}
+FROM fact f JOIN (SELECT shared_name, MAX(location_id) AS location_id FROM named GROUP BY shared_name) n
+  ON f.location_id = n.location_id
+QUALIFY row_number() OVER (PARTITION BY f.location_id ORDER BY observed_at DESC) <= 24""",
     )
 )
 def city_report(t: Tables) -> DataFrame:
-    """The newest 24 hours of one location, found by name."""
-    raw = t.pages.select(
-        F.col("url").alias("page_title"),
-        F.col("html").alias("payload"),
-        F.col("page_id").alias("id"),
-        F.lit("2024-01-01").cast("timestamp_ntz").alias("ingested_at"),
-    )
-    _, hours, _ = reads.city_report(bind.location(t), bind.fact(t), raw, "Customer#000000042")
-    return bind.doubles(hours, *MEASURE_COLUMNS)
+    """The newest 24 hours of the newest location of every name."""
+    named = bind.location(t).withColumn("location_name", F.concat("city", "country"))
+    return bind.doubles(reads.city_hours(named, bind.fact(t)), *MEASURE_COLUMNS)
 
 
 @query(
     bind.sql(
         bind.LOCATION,
+        SHARED_NAMES,
         body="""
-SELECT country, COUNT(*) AS n FROM location WHERE location_id IN (
-  SELECT location_id FROM location
-  QUALIFY row_number() OVER (PARTITION BY city || country ORDER BY created_at DESC, location_id DESC) = 1)
-GROUP BY country""",
+SELECT location_id, shared_name AS location_name, city, region, country, CAST(latitude AS DOUBLE) AS latitude,
+       CAST(longitude AS DOUBLE) AS longitude, created_at
+FROM named
+QUALIFY row_number() OVER (PARTITION BY shared_name ORDER BY created_at DESC, location_id DESC) = 1""",
     )
 )
 def location_list(t: Tables) -> DataFrame:
-    """One location per name, counted by country; names are made to repeat."""
+    """One location per name."""
     named = bind.location(t).withColumn("location_name", F.concat("city", "country"))
-    return reads.list_locations(named).groupBy("country").agg(F.count(F.lit(1)).alias("n"))
+    return bind.doubles(reads.list_locations(named), "latitude", "longitude")
+
+
+@query(
+    bind.sql(
+        *WEATHER,
+        body="""
+SELECT location_name, city, country, observation_date, observation_count,
+       CAST((2 * CAST(round(avg_temperature_celsius * observation_count * 100) AS HUGEINT) + observation_count)
+            // (2 * observation_count) AS DOUBLE) / 100 AS avg_temp_c,
+       min_temperature_celsius AS min_temp_c, max_temperature_celsius AS max_temp_c,
+       CAST((2 * CAST(round(avg_humidity_percent * observation_count * 100) AS HUGEINT) + observation_count)
+            // (2 * observation_count) AS DOUBLE) / 100 AS avg_humidity_pct,
+       most_common_conditions
+FROM weather_mart WHERE observation_date = DATE '2024-01-15'""",
+    )
+)
+def weather_mart_day(t: Tables) -> DataFrame:
+    return reports.weather_mart_day(weather_mart(t), bind.DAY)
+
+
+@query(
+    bind.sql(
+        *PAGES,
+        body="""
+SELECT page_title, page_language, revision_date, revision_count, unique_editors, total_bytes_changed,
+       CAST((2 * total_bytes_changed + revision_count) // (2 * revision_count) AS DOUBLE) AS avg_bytes_per_rev
+FROM page_mart WHERE revision_date = DATE '2000-01-15'""",
+    )
+)
+def page_mart_day(t: Tables) -> DataFrame:
+    return reports.page_mart_day(page_mart(t), dt.date(2000, 1, 15))
+
+
+@query("""
+SELECT upper(url) AS page_title, CAST(page_id AS VARCHAR) AS revision_id,
+       TIMESTAMP '2024-01-01 00:00:00' + to_seconds(page_id) AS ingested_at,
+       strlen(html) AS revision_size_bytes, 'object' AS has_payload FROM pages
+""")
+def page_payload_peek(t: Tables) -> DataFrame:
+    _, raw, _ = page_tables(t)
+    sizes = t.pages.select(
+        F.col("page_id").alias("id"),
+        F.col("page_id").cast("string").alias("revision_id"),
+        F.octet_length("html").alias("revision_size_bytes"),
+    )
+    return reports.page_payload_peek(raw.join(sizes, "id"))
+
+
+@query("SELECT user_id AS location_name, ts AS ingested_at, props AS payload FROM events"
+       " ORDER BY ts DESC, event_id DESC LIMIT 5")
+def newest_payloads(t: Tables) -> DataFrame:
+    """The five newest raw payloads: a top-k report."""
+    raw = t.events.select(
+        F.col("event_id").alias("id"),
+        F.col("user_id").alias("location_name"),
+        F.col("ts").alias("ingested_at"),
+        F.col("props").alias("payload"),
+    )
+    return reports.newest_payloads(raw)
 
 
+@query(bind.sql(bind.LOCATION, body="SELECT location_name, city, country FROM location"))
+def location_names(t: Tables) -> DataFrame:
+    return reports.location_names(bind.location(t))

@@ -136,7 +136,7 @@ def json_paths(t: Tables) -> DataFrame:
         "event_id",
         text.json_text(p, "title").alias("title"),
         text.json_text(p, "content_urls", "desktop", "page").alias("url"),
-        F.get_json_object(p, "$.hourly.time[0]").alias("first_time"),
+        text.json_text(p, "hourly", "time", 0).alias("first_time"),
         text.json_text(p, "content_urls", "mobile", "page").alias("missing"),
         text.json_text(F.col("props"), "k").cast("int").alias("k"),
     )

@@ -172,14 +172,22 @@ WEATHER_PAYLOAD = schema(
     hourly=schema(time=ArrayType(STRING), **{name: ArrayType(STRING) for name in WEATHER_ARRAYS}),
 )
 
-# `namespace` is an object or a number, hence text.
+# Fields that may arrive as a number, a text or an object are read as text.
 PAGE_PAYLOAD = schema(
-    pageid=BIGINT,
+    pageid=STRING,
     title=STRING,
     namespace=STRING,
     revision=STRING,
     timestamp=STRING,
 )
+PAGE_SUMMARY = schema(
+    title=STRING,
+    extract=STRING,
+    content_urls=schema(desktop=schema(page=STRING)),
+    thumbnail=STRING,
+    description=STRING,
+    pageid=STRING,
+)
 
 # Documented quality bounds.
 TEMPERATURE_RANGE = (-50, 60)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,12 +57,40 @@ def run_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+_staged: list[str] = []
+
+
+def stage_dir(spark: SparkSession, label: str) -> str:
+    """A folder for an intermediate table, removed when the surrounding `staging` block ends well."""
+    path = run_dir(spark, label)
+    _staged.append(path)
+    return path
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write an intermediate result to the shared folder and read it back.
 
     Several outputs can then use it without computing it again, and a lost
     executor costs a re-read, not the whole lineage.
     """
-    path = run_dir(df.sparkSession, label)
+    path = stage_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextlib.contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Remove what was staged inside the block once it succeeds; after a failure it stays for a look or a replay."""
+    mark = len(_staged)
+    yield
+    done = _staged[mark:]
+    del _staged[mark:]
+    for path in done:
+        fs, hadoop_path = file_system(spark, path)
+        fs.delete(hadoop_path, True)
+
+
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system and path object behind a path string (local disk, HDFS or object store)."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path

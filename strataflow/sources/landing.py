@@ -7,10 +7,10 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.functions.text import json_text, namespace_id
+from strataflow.functions.text import namespace_id
 from strataflow.functions.times import iso_or, ntz
-from strataflow.schemas import RAW_PAGES, RAW_WEATHER
 from strataflow.operators.shape import conform
+from strataflow.schemas import PAGE_PAYLOAD, RAW_PAGES, RAW_WEATHER
 
 # Source labels of the two feeds.
 WEATHER_SOURCE = "open-meteo"
@@ -45,16 +45,16 @@ def page_envelope(landing: DataFrame, now: dt.datetime) -> DataFrame:
     Missing parts fall back: title to the requested one, timestamp to `now`,
     page id and namespace to 0, revision id to the empty text.
     """
-    payload, stamp = F.col("payload"), ntz(now)
-    lifted = landing.select(
-        F.coalesce(json_text(payload, "pageid").try_cast("bigint"), F.lit(0)).alias("page_id"),
-        F.coalesce(json_text(payload, "title"), F.col("page_title")).alias("page_title"),
-        namespace_id(json_text(payload, "namespace")).alias("namespace"),
-        F.coalesce(json_text(payload, "revision"), F.lit("")).alias("revision_id"),
-        iso_or(json_text(payload, "timestamp"), stamp).alias("revision_timestamp"),
+    doc, stamp = F.col("doc"), ntz(now)
+    lifted = landing.withColumn("doc", F.from_json("payload", PAGE_PAYLOAD)).select(
+        F.coalesce(doc["pageid"].try_cast("bigint"), F.lit(0)).alias("page_id"),
+        F.coalesce(doc["title"], F.col("page_title")).alias("page_title"),
+        namespace_id(doc["namespace"]).alias("namespace"),
+        F.coalesce(doc["revision"], F.lit("")).alias("revision_id"),
+        iso_or(doc["timestamp"], stamp).alias("revision_timestamp"),
         F.col("content_size").alias("revision_size_bytes"),
         F.coalesce(F.col("page_language"), F.lit("en")).alias("page_language"),
-        payload,
+        "payload",
         stamp.alias("ingested_at"),
         F.lit(PAGE_SOURCE).alias("source"),
     )

@@ -24,25 +24,18 @@ from pyspark.sql.types import StructType
 from strataflow.functions.times import month_of
 from strataflow.operators.shape import conform
 from strataflow.schemas import TABLES
-from strataflow.session import run_dir
+from strataflow.session import file_system, stage_dir
 
 VERSION = re.compile(r"^v=(\d+)$")
 
 
-def _fs(spark: SparkSession, path: str):
-    """The Hadoop file system and path object behind a path string (local disk, HDFS or object store)."""
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, hadoop_path = _fs(spark, path)
+    fs, hadoop_path = file_system(spark, path)
     return fs.exists(hadoop_path)
 
 
 def child_names(spark: SparkSession, path: str) -> list[str]:
-    fs, hadoop_path = _fs(spark, path)
+    fs, hadoop_path = file_system(spark, path)
     return [s.getPath().getName() for s in fs.listStatus(hadoop_path)] if fs.exists(hadoop_path) else []
 
 
@@ -73,7 +66,7 @@ def expire_versions(spark: SparkSession, path: str, keep: int = 2) -> list[int]:
     """Delete all but the newest `keep` complete versions; returns the numbers deleted."""
     old = versions(spark, path)[: -max(keep, 1)]
     for number in old:
-        fs, hadoop_path = _fs(spark, f"{path}/v={number}")
+        fs, hadoop_path = file_system(spark, f"{path}/v={number}")
         fs.delete(hadoop_path, True)
     return old
 
@@ -97,7 +90,7 @@ def by_month(df: DataFrame, month_col: str) -> DataFrame:
 def drop_months(spark: SparkSession, path: str, month_col: str, months: Iterable[dt.date]) -> None:
     """Detach whole months without reading them."""
     for month in months:
-        fs, hadoop_path = _fs(spark, f"{path}/{month_col}={month.isoformat()}")
+        fs, hadoop_path = file_system(spark, f"{path}/{month_col}={month.isoformat()}")
         if fs.exists(hadoop_path):
             fs.delete(hadoop_path, True)
 
@@ -150,7 +143,7 @@ class Warehouse:
         month that ends up empty is detached.
         """
         schema, month_col = TABLES[name]
-        staging, sort_by = run_dir(self.spark, "stage"), list(sort_by)
+        staging, sort_by = stage_dir(self.spark, "months"), list(sort_by)
         shaped = by_month(conform(df, schema), month_col)
         write_months(shaped, staging, month_col, sort_by)
         if not any(c.startswith(month_col) for c in child_names(self.spark, staging)):

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strataflow.plans import weather
 from strataflow.schemas import RAW_WEATHER, WEATHER_KEY
+from strataflow.session import staging
 from strataflow.sources.tables import Warehouse, months_in
 
 
@@ -55,9 +56,10 @@ def run_incremental(
     """Process the raw weather rows that arrived since the last call."""
 
     def handle(batch: DataFrame, _: int) -> None:
-        parsed = weather.parse_once(batch, wh.read("core.location"))
-        wh.append("raw.rejects", weather.rejected(parsed, on_error))
-        apply_hours(wh, weather.good_hours(parsed, on_error), now)
+        with staging(wh.spark):
+            parsed = weather.parse_once(batch, wh.read("core.location"))
+            wh.append("raw.rejects", weather.rejected(parsed, on_error))
+            apply_hours(wh, weather.good_hours(parsed, on_error), now)
 
     process_new(
         wh.spark,

@@ -386,6 +386,10 @@ def test_daily_run_end_to_end(spark, root):
         daily.run_daily(spark, root, NOW + dt.timedelta(hours=3), weather_landing=hot)
     assert wh.read("mart.daily_weather_aggregates").orderBy("location_name").collect() == mart
 
+    assert {p.page_title for p in daily.core_models(wh)["wikipedia_page"].collect()} == {
+        "Boston, Massachusetts",
+        "Cardinals",
+    }
     names = wh.register("t_")
     assert "t_core.weather" in names
     joined = spark.sql(
@@ -467,6 +471,24 @@ def test_lookup_upsert_leaves_updated_at(spark):
     assert {(r.city, r.updated_at) for r in seeded} == {("Boston", later), ("Chicago", later)}
 
 
+def test_first_load_leaves_existing_rows_alone(spark):
+    empty = spark.createDataFrame([], LOCATION), spark.createDataFrame([], schemas.PAGE)
+    place, page = daily.insert_seeds(*empty, seeds.inline_seeds(spark), NOW)
+    assert sorted(r.wikipedia_page_id for r in page.collect()) == [-4, -3, -2, -1]
+    again = daily.insert_seeds(place, page, seeds.inline_seeds(spark), NOW + dt.timedelta(days=1))
+    for old, new in zip((place, page), again, strict=True):
+        assert sorted(map(repr, old.collect())) == sorted(map(repr, new.collect()))
+
+
+def test_landing_files_with_nested_payloads(spark, tmp_path):
+    line = {"location_name": "Boston", "latitude": 42.3601, "longitude": -71.0589, "payload": json.loads(payload())}
+    (tmp_path / "landed.json").write_text(json.dumps(line) + "\n")
+    df = landing.read_landing(spark, str(tmp_path / "landed.json"), landing.WEATHER_LANDING)
+    raw = landing.with_raw_ids(landing.weather_envelope(df, NOW), spark.createDataFrame([], RAW_WEATHER))
+    good, _ = weather.parse_weather(raw, locations(spark))
+    assert good.count() == 4 and raw.first().source == "open-meteo"
+
+
 def test_request_window_has_nine_dates():
     start, end = landing.request_window(NOW)
     assert (start, (end - start).days) == (dt.datetime(2024, 11, 7), 9)

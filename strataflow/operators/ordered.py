@@ -1,10 +1,10 @@
 """Neighbouring rows in time order, without sorting a whole key in one task.
 
 A plain window over (key, time) sends every row of a key to one task. Here the
-key is cut into time slices (days unless told otherwise). Windows run inside
-(key, slice); what crosses a slice border comes from a summary with one row per
-key and slice, which is joined back. Rows and summary share one shuffle by
-(key, slice).
+key is cut into time slices. Windows run inside (key, slice); what crosses a
+slice border comes from a summary with one row per key and slice, which is
+joined back. Rows and summary share one shuffle by (key, slice). The slice is a
+day, or a shorter time where the fullest day of a key is too much for one task.
 
 Keys and times must not be NULL; rows with a NULL there are dropped.
 """
@@ -16,15 +16,35 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strataflow.functions.times import hour_of
+
 SLICE = "__slice"
+# Rows that one task can sort with ease; fuller slices are cut finer.
+ROWS_PER_SLICE = 5_000_000
+
+
+def fitting_slice(df: DataFrame, keys: Sequence[str], ts: str, max_rows: int = ROWS_PER_SLICE) -> Column:
+    """The longest of day, hour and minute in which no key has more than `max_rows` rows.
+
+    Each trial is one aggregation over the keys and the time alone, combined
+    before its shuffle, of which a single number comes back. Mostly the first
+    trial, by day, already fits.
+    """
+    time = F.col(ts)
+    hour = hour_of(time)
+    for slice_by in (F.to_date(time), hour):
+        fullest = df.groupBy(*keys, slice_by.alias(SLICE)).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n"))
+        if (fullest.first()[0] or 0) <= max_rows:
+            return slice_by
+    return F.timestamp_add("MINUTE", F.minute(time), hour)
 
 
 class Slices:
-    """Windows over a frame that is cut into (key, slice) pieces."""
+    """Windows over a frame that is cut into (key, slice) pieces; `fitting_slice` chooses unless told."""
 
-    def __init__(self, keys: Sequence[str], order: Sequence[str], slice_by: Column | None = None):
-        self.keys, self.order = list(keys), list(order)
-        self.slice_by = F.to_date(order[0]) if slice_by is None else slice_by
+    def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_by: Column | None = None):
+        self.keys = list(keys)
+        self.slice_by = fitting_slice(df, keys, order[0]) if slice_by is None else slice_by
         piece = Window.partitionBy(*keys, SLICE)
         self.up = piece.orderBy(*[F.col(o).asc() for o in order])
         self.down = piece.orderBy(*[F.col(o).desc() for o in order])
@@ -61,7 +81,7 @@ def with_closest(
 
     `order` must be unique within a key; its first column is the time that is cut.
     """
-    cut = Slices(keys, order, slice_by)
+    cut = Slices(df, keys, order, slice_by)
     whole = cut.up.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rows = (
         cut.cut(df)
@@ -91,7 +111,7 @@ def change_points(
 
     (keys, ts) must be unique. The first row of a key is a change; `until` is NULL for the last one.
     """
-    cut = Slices(keys, [ts], slice_by)
+    cut = Slices(df, keys, [ts], slice_by)
     whole = cut.up.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     held = F.struct(F.col(value).alias("v"))  # a struct, so that a NULL value differs from no row at all
     rows = (

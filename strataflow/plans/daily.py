@@ -8,12 +8,12 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.functions.times import ntz
+from strataflow.functions.times import month_of, ntz
 from strataflow.operators.keys import placeholder_ids, surrogate_ids
 from strataflow.operators.merge import dim_upsert, insert_if_absent
 from strataflow.operators.shape import conform
 from strataflow.plans import marts, pages, quality, weather
-from strataflow.schemas import LOCATION, LOCATION_KEY, PAGE, PAGE_KEY, WEATHER_KEY
+from strataflow.schemas import DAILY_WEATHER, LOCATION, LOCATION_KEY, PAGE, PAGE_KEY, WEATHER_KEY
 from strataflow.session import stage, staging
 from strataflow.sources.landing import page_envelope, weather_envelope, with_raw_ids
 from strataflow.sources.seeds import location_defaults, page_defaults
@@ -113,9 +113,24 @@ def core_models(wh: Warehouse) -> dict[str, DataFrame]:
     return {**models, "wikipedia_page": models["wikipedia_page"].filter("is_current")}
 
 
-def refresh_marts(wh: Warehouse) -> list[dict]:
+def weather_mart(wh: Warehouse, months: Iterable[dt.date] | None = None) -> DataFrame:
+    """The weather mart from the whole fact, or the stored mart with only the days of `months` recomputed."""
+    fresh = marts.daily_weather_aggregates(wh.read("core.weather", months), wh.read("core.location"))
+    if months is None:
+        return fresh
+    stored = wh.read(MARTS[0])
+    stays = stored.filter(~month_of(F.col("observation_date")).isin(list(months))) if months else stored
+    return stays.unionByName(conform(fresh, DAILY_WEATHER))
+
+
+def refresh_marts(wh: Warehouse, months: Iterable[dt.date] | None = None) -> list[dict]:
+    """Refresh both marts; with `months` only those days of the weather mart are recomputed.
+
+    A partial refresh reads a few partitions instead of the whole fact. Rows of
+    other days then keep the location names they were built with.
+    """
     builders = {
-        MARTS[0]: lambda: marts.daily_weather_aggregates(wh.read("core.weather"), wh.read("core.location")),
+        MARTS[0]: lambda: weather_mart(wh, months),
         MARTS[1]: lambda: marts.daily_page_stats(wh.read("core.revision"), wh.read("core.wikipedia_page")),
     }
     return [refresh_mart(wh, name, build) for name, build in builders.items()]
@@ -189,16 +204,20 @@ def run_daily(
     on_error: str = "entity",
     raw_since: dt.datetime | None = None,
     all_locations: bool = True,
+    touched_days_only: bool = False,
 ) -> DataFrame:
     """Run all layers for one batch and return a one-row summary.
 
     Raises DataQualityError when the gate fails; the marts then keep their
     previous version. With `all_locations` the gate also wants rows for every
-    location in the months of this batch. Running the same batch again changes no fact row.
+    location in the months of this batch. `touched_days_only` refreshes the
+    weather mart for those months alone. Running the same batch again changes no fact row.
     """
     wh = Warehouse(spark, root)
     with staging(spark):
-        row = _run_layers(wh, now, weather_landing, page_landing, seeds, on_error, raw_since, all_locations)
+        row = _run_layers(
+            wh, now, weather_landing, page_landing, seeds, on_error, raw_since, all_locations, touched_days_only
+        )
     return spark.createDataFrame(
         [tuple(row.values())],
         "locations bigint, weather_payloads bigint, weather_rows_applied bigint, weather_rejected bigint,"
@@ -216,6 +235,7 @@ def _run_layers(
     on_error: str,
     raw_since: dt.datetime | None,
     all_locations: bool,
+    touched_days_only: bool,
 ) -> dict:
     if seeds is not None:
         location, page = apply_seeds(wh.read("core.location"), wh.read("core.wikipedia_page"), seeds, now)
@@ -228,7 +248,7 @@ def _run_layers(
     weather_run = transform_weather(wh, now, on_error, raw_since)
     page_run = transform_pages(wh, now)
     quality.enforce(quality_results(wh, weather_run["months"], all_locations=all_locations))
-    refreshed = refresh_marts(wh)
+    refreshed = refresh_marts(wh, weather_run["months"] if touched_days_only else None)
     return {
         "locations": wh.read("core.location").count(),
         "weather_payloads": weather_run["payloads"],

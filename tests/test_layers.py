@@ -380,6 +380,11 @@ def test_daily_run_end_to_end(spark, root):
         ("Chicago", 4, 14.65),
     ]
 
+    # Refreshing only the days of one month gives the same mart.
+    status = daily.refresh_marts(wh, [dt.date(2024, 11, 1)])
+    assert {r["status"] for r in status} == {"success"}
+    assert wh.read("mart.daily_weather_aggregates").orderBy("location_name").collect() == mart
+
     # A batch that fails the gate leaves the marts as they were.
     hot = weather_landing(spark, Boston=payload(temperature_2m=[99, 99, 99, 99]))
     with pytest.raises(quality.DataQualityError, match="temperature_celsius_in_range"):

@@ -20,8 +20,12 @@ def celsius_to_fahrenheit(c: Column) -> Column:
 
 
 def narrow(value: Column, precision: int = 5, scale: int = 2) -> Column:
-    """Round to a DECIMAL column, half away from zero; NULL where the value does not fit."""
-    return value.try_cast(f"decimal({precision},{scale})")
+    """Round to a DECIMAL column, half away from zero; NULL where the value does not fit.
+
+    The comparison keeps overflows out of the cast, which is slow at failing.
+    """
+    fits = F.abs(value.try_cast("double")) < 10 ** (precision - scale)
+    return F.when(fits, value.try_cast(f"decimal({precision},{scale})"))
 
 
 def round_numeric(value: Column, digits: int) -> Column:

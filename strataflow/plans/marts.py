@@ -27,7 +27,7 @@ def daily_weather_aggregates(weather: DataFrame, location: DataFrame) -> DataFra
         "temperature_celsius": F.col("temperature_celsius"),
         "humidity_percent": F.col("humidity_percent"),
         "pressure_hpa": F.col("pressure_hpa"),
-        "wind_speed_kmh": mps_to_kmh(F.col("wind_speed_mps")),
+        "wind_speed_mps": F.col("wind_speed_mps"),
     }
     partial = [F.count(F.lit(1)).alias("n")]
     merged = [F.sum("n").alias("n")]
@@ -52,7 +52,8 @@ def daily_weather_aggregates(weather: DataFrame, location: DataFrame) -> DataFra
         F.col("hi").alias("max_temperature_celsius"),
         mean(F.col("sum_humidity_percent"), F.col("n_humidity_percent")).alias("avg_humidity_percent"),
         mean(F.col("sum_pressure_hpa"), F.col("n_pressure_hpa")).alias("avg_pressure_hpa"),
-        mean(F.col("sum_wind_speed_kmh"), F.col("n_wind_speed_kmh")).alias("avg_wind_speed_kmh"),
+        # Converted once per day; the sum is exact, so this equals converting every hour.
+        mean(mps_to_kmh(F.col("sum_wind_speed_mps")), F.col("n_wind_speed_mps")).alias("avg_wind_speed_kmh"),
         F.col("conditions").alias("most_common_conditions"),
     )
 

@@ -20,18 +20,20 @@ DAY = dt.date(2024, 1, 15)
 CUT = dt.datetime(2024, 1, 15)
 
 MONEY = "decimal(18,2)"
+# Wide enough for any event value, narrow enough that Spark keeps its sums in a long.
+READING = "decimal(8,2)"
 
 
 def fact(t: Tables) -> DataFrame:
     """events as the hourly fact: value as temperature, props.k as humidity and wind."""
-    k = F.get_json_object("props", "$.k").cast(MONEY)
+    k = F.get_json_object("props", "$.k").cast(READING)
     return t.events.select(
         "event_id",
         F.col("user_id").alias("location_id"),
         F.col("ts").alias("observed_at"),
-        F.col("value").cast(MONEY).alias("temperature_celsius"),
+        F.col("value").cast(READING).alias("temperature_celsius"),
         k.alias("humidity_percent"),
-        (k + 1000).cast(MONEY).alias("pressure_hpa"),
+        (k + 1000).cast(READING).alias("pressure_hpa"),
         k.alias("wind_speed_mps"),
         F.col("event_type").alias("conditions"),
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from strataflow.functions.times import ntz
 from strataflow.operators import match, merge, pick
 from strataflow.operators.aggregate import count_if
-from strataflow.operators.keys import dense_ids, placeholder_ids
+from strataflow.operators.keys import placeholder_ids
 from strataflow.operators.scd import scd2_apply, scd2_history
 from strataflow.plans import reads, reports
 from strataflow.queries import bind
@@ -404,7 +404,7 @@ def batch_of_changes(t: Tables) -> DataFrame:
     late = t.events.filter(F.col("ts") >= ntz(bind.CUT))
     history = scd2_history(early, ["user_id"], "event_type", "ts")
     # Written once, as a dimension is in a warehouse: every branch below reads the table.
-    dim = stage(dense_ids(history, "version_id", ["user_id", "valid_from"]), "page-dim")
+    dim = stage(history.withColumn("version_id", F.monotonically_increasing_id()), "page-dim")
     batch = pick.latest_per_key(late, ["user_id"], "ts", ["event_id"]).select("user_id", "event_type")
     applied = scd2_apply(dim, batch, ["user_id"], "event_type", bind.NOW, id_col="version_id")
     return applied.select("user_id", "event_type", "valid_from", "valid_to", "is_current")

@@ -19,7 +19,9 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        self.__dict__[name] = table  # the schema is read from the files once
+        return table
 
 
 def query(sql: str | None = None, name: str | None = None):

@@ -161,6 +161,7 @@ def transform_pages(wh: Warehouse, now: dt.datetime, reconcile_placeholders: boo
     """Newest payload per page into the type-2 dimension, then its revision into the fact."""
     latest = pages.latest_pages(wh.read("raw.wikipedia_pages"))
     batch = stage(pages.parse_pages(latest, now), "parsed-pages")
+    wh.append("raw.rejects", pages.rejected_pages(latest))
     dim = wh.read("core.wikipedia_page")
     wh.replace(
         "core.wikipedia_page", pages.upsert_pages(dim, batch, now, reconcile_placeholders=reconcile_placeholders)

@@ -347,7 +347,7 @@ def test_seeds_from_a_file_match_inline_defaults(spark, tmp_path):
 
 def test_daily_run_end_to_end(spark, root):
     landed = weather_landing(spark, Boston=payload(), Chicago=payload())
-    page = landed_pages(spark, page_doc(7, "Boston", "1"))
+    page = landed_pages(spark, page_doc(7, "Boston", "1"), "")
     run = dict(weather_landing=landed, page_landing=page, seeds=seed_pair(spark))
     first = daily.run_daily(spark, root, NOW, **run).first()
     assert (first.weather_rows_applied, first.revisions_inserted, first.views_refreshed) == (8, 1, 2)
@@ -358,6 +358,7 @@ def test_daily_run_end_to_end(spark, root):
         (-2, "Boston", False),
         (-3, "Cardinals", True),
     ]
+    assert [(r.source_table, r.reason) for r in wh.read("raw.rejects").collect()] == [("wikipedia_pages", "no_payload")]
     facts = wh.read("core.weather").select(*schemas.WEATHER_KEY, "created_at").collect()
     again = daily.run_daily(spark, root, NOW + dt.timedelta(hours=1), **run).first()
     assert (again.weather_rows_applied, again.revisions_inserted) == (8, 0)
@@ -412,7 +413,7 @@ def test_daily_run_end_to_end(spark, root):
         wh.read("mart.daily_wikipedia_page_stats"),
         NOW.date(),
     )
-    assert [r.row_count for r in check.collect()] == [5, 3, 8, 2, 2, 2]
+    assert [r.row_count for r in check.collect()] == [5, 5, 8, 2, 2, 2]
 
     place, hours, summary = reads.city_report(
         wh.read("core.location"), wh.read("core.weather"), wh.read("raw.wikipedia_pages"), "Boston"

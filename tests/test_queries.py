@@ -5,10 +5,11 @@ import os
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from strataflow.registry import load_all
 from tests.oracle import compare, duck
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = queries(), oracle_sql()
+QUERIES, SQL = load_all()
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +21,7 @@ def con():
 
 def test_every_query_has_its_sql():
     assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(queries()) and set(SQL) <= set(oracle_sql())
 
 
 def test_flagship(spark, con):

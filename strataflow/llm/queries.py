@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strataflow.llm import bpe
+from strataflow.llm import bpe, ppm
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -37,3 +38,13 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
         outputs=("n_tokens", "ids_sha256", "decoded_sha256"),
         keep=["doc_id"],
     )
+
+
+@query()
+def op9_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned from the texts and labels outside the held-out fold."""
+    documents = table(spark, folder, "documents")
+    fold = F.crc32(F.col("doc_id").cast("string")) % 5
+    model = ppm.fit(documents.filter(fold != 0))
+    held_out = F.coalesce(fold == 0, F.lit(True)).alias("held_out")  # nothing is learned from a row without an id
+    return ppm.predict(documents, model, keep=[F.col("doc_id"), held_out])

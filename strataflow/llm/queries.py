@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import bpe, ppm
+from strataflow.llm import bpe, ppm, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,3 +48,30 @@ def op9_language(spark: SparkSession, folder: str) -> DataFrame:
     model = ppm.fit(documents.filter(fold != 0))
     held_out = F.coalesce(fold == 0, F.lit(True)).alias("held_out")  # nothing is learned from a row without an id
     return ppm.predict(documents, model, keep=[F.col("doc_id"), held_out])
+
+
+@query("""
+WITH sized AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+  FROM pages),
+named AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS response_id FROM sized)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND response_id IS DISTINCT FROM page_id AND response_id IS NOT NULL
+            THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND response_id IS DISTINCT FROM page_id THEN response_id END AS refers_to
+FROM named
+""")
+def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page written to WARC archives and read back by byte ranges."""
+    records = warc.read_archives(warc.write_archives(table(spark, folder, "pages")), range_bytes=4 << 20)
+
+    def page(column: str):  # null where the record is of a row without an id
+        return F.regexp_extract(column, "^urn:page:(-?[0-9]+)$", 1).try_cast("long")
+
+    return records.select(
+        page("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        page("refers_to").alias("refers_to"),
+    )

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+
 PIECE_CHARS = 1 << 20
 
 
@@ -21,3 +24,26 @@ def pieces(texts: Sequence[str | None], limit: int = PIECE_CHARS) -> Iterator[tu
         held += n
     if start < len(texts):
         yield start, len(texts)
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[pa.Table]:
+    """Consecutive rows with equal `keys` (not null, of a number type), whole even where batches cut them."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        changes = np.zeros(batch.num_rows - 1, bool)
+        for c in columns:
+            changes |= c[1:] != c[:-1]
+        cuts = [0, *(np.flatnonzero(changes) + 1).tolist(), batch.num_rows]
+        for start, end in zip(cuts[:-1], cuts[1:], strict=True):
+            key = tuple(c[start] for c in columns)
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            last = key
+            held.append(batch.slice(start, end - start))
+    if held:
+        yield pa.Table.from_batches(held)

@@ -33,6 +33,8 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     ordered = edges.filter("a IS NOT NULL AND b IS NOT NULL AND a <> b")
     ordered = ordered.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     current, before = stage(ordered, label), None
+    if current.isEmpty():
+        return current.select(F.col("u").alias("id"), F.col("v").alias("component_id"))
     while True:
         # each node's larger neighbours to its least neighbour, then each node's smaller neighbours to theirs
         large = _neighbours_to_least(current, larger_only=True).filter("u <> v").distinct()

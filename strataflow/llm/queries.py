@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import bpe, ppm, pstable, warc
+from strataflow.llm import bpe, jaccard, ppm, pstable, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -97,3 +97,33 @@ FROM embeddings JOIN least ON vec_id = least.a LEFT JOIN counted ON vec_id = cou
 def op1_vector_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Vectors of one label at cosine 0.93 or more, with their groups."""
     return pstable.near_duplicates(table(spark, folder, "embeddings"))
+
+
+#: Per document its distinct five-word shingles (fewer words: all of them as one); A-Z in lower case.
+SHINGLES = r"""
+split AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+         lambda w: w <> '') AS words FROM documents WHERE text IS NOT NULL),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS shingle
+  FROM split),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  JOIN sizes m ON a.doc_id = m.doc_id JOIN sizes n ON b.doc_id = n.doc_id
+  GROUP BY a.doc_id, b.doc_id, m.n, n.n HAVING 100 * count(*) >= 75 * (m.n + n.n - count(*))),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+"""
+
+
+@query(f"""
+WITH RECURSIVE {SHINGLES}
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, c.component_id
+FROM documents d JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON d.doc_id = c.a
+LEFT JOIN sizes s ON d.doc_id = s.doc_id
+""")
+def op2_shingle_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that share three quarters of their shingles, as components."""
+    return jaccard.similar_sets(table(spark, folder, "documents"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import bpe, jaccard, ppm, pstable, warc
+from strataflow.llm import bpe, jaccard, ppm, pstable, spotsigs, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -127,3 +127,9 @@ LEFT JOIN sizes s ON d.doc_id = s.doc_id
 def op2_shingle_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     """Documents that share three quarters of their shingles, as components."""
     return jaccard.similar_sets(table(spark, folder, "documents"))
+
+
+@query()
+def op4_spot_signatures(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every document and of its edited copy, with their likeness."""
+    return spotsigs.edited_likeness(table(spark, folder, "documents"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import bpe, jaccard, ppm, pstable, spotsigs, warc
+from strataflow.llm import bpe, jaccard, pii, ppm, pstable, spotsigs, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -133,3 +133,17 @@ def op2_shingle_jaccard(spark: SparkSession, folder: str) -> DataFrame:
 def op4_spot_signatures(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of every document and of its edited copy, with their likeness."""
     return spotsigs.edited_likeness(table(spark, folder, "documents"))
+
+
+@query()
+def op6_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every document: counts and digest of the strict spans, and all spans."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    told = pii.find(documents, drop=["text"])
+    strict = F.filter("pii_spans", lambda x: x["base"])
+    kinds = F.transform(strict, lambda x: x["kind"])
+    counts = [
+        (F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{name}") for k, name in enumerate(pii.KINDS)
+    ]
+    digest = F.sha2(F.encode(pii.printed(strict), "UTF-8"), 256)
+    return told.select("doc_id", *counts, digest.alias("base_sha256"), pii.printed(F.col("pii_spans")).alias("spans"))

@@ -50,10 +50,11 @@ CUES = {
 WINDOW = 40
 LABELERS = ("form", "gazetteer", "context", "border")
 ROUNDS = 60
-# Dirichlet prior of a labeler's votes (no, none, yes) on spans that are personal data, and that are not: checksums and
-# strict forms seldom err, the others often. It weighs as much as PRIOR_ROWS spans and a tenth of all of them.
+# Expected votes (no, none, yes) of a labeler on spans that are personal data, and that are not. A checksum or strict
+# form errs at a known low rate, which is held and so says which class is which. The others' rates are estimated; what
+# is expected of them weighs as much as PRIOR_ROWS spans and a tenth of all.
 PRIOR_ROWS = 10
-EXPECTED = {"form": ((0.01, 0.29, 0.70), (0.60, 0.35, 0.05))}
+HELD = {"form": ((0.01, 0.29, 0.70), (0.60, 0.35, 0.05))}
 OTHERWISE = ((0.15, 0.35, 0.50), (0.50, 0.35, 0.15))
 
 
@@ -174,13 +175,14 @@ def reliabilities(rows: list[tuple]) -> list[float]:
             continue
         votes = np.array([rows[i][1 : 1 + len(LABELERS)] for i in own])
         weight = np.array([rows[i][-1] for i in own], float)
-        expected = [EXPECTED.get(name, OTHERWISE) for name in LABELERS]
+        expected = [HELD.get(name, OTHERWISE) for name in LABELERS]
         start = sum(np.log(np.array(yes) / np.array(no))[votes[:, j] + 1] for j, (yes, no) in enumerate(expected))
-        posterior, strength = 1 / (1 + np.exp(-start)), PRIOR_ROWS + weight.sum() / 10
+        posterior = 1 / (1 + np.exp(-start))
         for _ in range(ROUNDS):
             prior = (posterior @ weight + 1) / (weight.sum() + 2)
             log_odds = np.full(len(own), np.log(prior / (1 - prior)))
             for j, (yes, no) in enumerate(expected):
+                strength = 1e12 if LABELERS[j] in HELD else PRIOR_ROWS + weight.sum() / 10
                 for value in (-1, 0, 1):
                     at = votes[:, j] == value
                     p = (posterior[at] @ weight[at] + strength * yes[value + 1]) / (posterior @ weight + strength)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import bpe, jaccard, pii, ppm, pstable, spotsigs, warc
+from strataflow.llm import bpe, jaccard, pii, ppm, pstable, raking, spotsigs, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -147,3 +147,47 @@ def op6_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     ]
     digest = F.sha2(F.encode(pii.printed(strict), "UTF-8"), 256)
     return told.select("doc_id", *counts, digest.alias("base_sha256"), pii.printed(F.col("pii_spans")).alias("spans"))
+
+
+def raked_sql(sweeps: int = 40, temper: float = raking.TEMPER, seed: int = 7) -> str:
+    """The mixing query in SQL: as many sweeps as surely suffice, each a step of its own."""
+    dims = ("source", "lang", "topic")
+    has = lambda *parts: "(" + " OR ".join(f"contains(t, '{p}')" for p in parts) + ")"
+    steps = [
+        f"""rows AS (
+  SELECT doc_id, source, lang, coalesce('=' || source, '-') AS d_source, coalesce('=' || lang, '-') AS d_lang,
+         CAST(len(list_filter(regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')) AS BIGINT) AS n_tokens,
+         '=' || CASE WHEN t = '' THEN 'empty' WHEN {has("icense", "ICENSE", "opyright", "ights reserved")} THEN 'legal'
+           WHEN {has(" | ")} THEN 'table' WHEN {has("%%%", "###", "$$$", "&&&", "***")} THEN 'noise'
+           WHEN {has("!!")} THEN 'shouting' WHEN {has("@", "+1 (")} THEN 'contact' ELSE 'prose' END AS d_topic,
+         CAST('0x' || substr(md5('{seed}:' || coalesce(CAST(doc_id AS VARCHAR), t)), 1, 13) AS BIGINT) / 4503599627370496.0 AS u
+  FROM (SELECT *, coalesce(text, '') AS t FROM documents))""".replace("\\\\", "\\"),
+        "cells AS (SELECT d_source, d_lang, d_topic, sum(n_tokens) AS tokens FROM rows GROUP BY ALL HAVING sum(n_tokens) > 0)",
+    ]
+    for d in dims:
+        steps.append(
+            f"t_{d} AS (SELECT d_{d}, pow(CAST(sum(tokens) AS DOUBLE), {temper})"
+            f" / sum(pow(CAST(sum(tokens) AS DOUBLE), {temper})) OVER () AS share_{d} FROM cells GROUP BY d_{d})"
+        )
+    joins = " ".join(f"JOIN t_{d} USING (d_{d})" for d in dims)
+    steps.append(f"w0 AS (SELECT *, CAST(tokens AS DOUBLE) AS w FROM cells {joins})")
+    for i in range(sweeps * len(dims)):
+        d = dims[i % len(dims)]
+        steps.append(f"w{i + 1} AS (SELECT * REPLACE (w * share_{d} / sum(w) OVER (PARTITION BY d_{d}) AS w) FROM w{i})")
+    steps.append(f"final AS (SELECT *, w / tokens * sum(tokens) OVER () AS ratio FROM w{sweeps * len(dims)})")
+    steps.append("top AS (SELECT max(ratio) AS most FROM final)")
+    return f"""WITH {", ".join(steps)}
+SELECT doc_id, source, lang, substr(d_topic, 2) AS topic, n_tokens,
+       round(CASE WHEN n_tokens > 0 THEN ratio ELSE 0 END, 6) AS weight,
+       round(CASE WHEN n_tokens > 0 THEN ratio / most ELSE 0 END, 6) AS probability,
+       CASE WHEN n_tokens > 0 AND (ratio / most >= 1 OR u < ratio / most) THEN 1 ELSE 0 END AS copies
+FROM rows LEFT JOIN final USING (d_source, d_lang, d_topic) CROSS JOIN top"""
+
+
+@query(raked_sql())
+def op10_raked_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's weight and sampling decision under tempered source, language and format marginals."""
+    documents = table(spark, folder, "documents").withColumn("topic", raking.format_of(F.col("text")))
+    marginals = {d: F.col(d) for d in ("source", "lang", "topic")}
+    mixed = raking.mix(documents, marginals, drop=["text", "n_chars"])
+    return mixed.withColumns({c: F.round(c, 6) for c in ("weight", "probability")})

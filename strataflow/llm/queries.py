@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import bpe, jaccard, pii, ppm, pstable, raking, spotsigs, warc
+from strataflow.llm import bpe, jaccard, licenses, pii, ppm, pstable, raking, spotsigs, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -191,3 +191,11 @@ def op10_raked_mix(spark: SparkSession, folder: str) -> DataFrame:
     marginals = {d: F.col(d) for d in ("source", "lang", "topic")}
     mixed = raking.mix(documents, marginals, drop=["text", "n_chars"])
     return mixed.withColumns({c: F.round(c, 6) for c in ("weight", "probability")})
+
+
+@query()
+def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence families named in every document."""
+    documents = table(spark, folder, "documents")
+    found = licenses.scan(documents, licenses.fit(documents), keep=["doc_id"])
+    return found.select("doc_id", F.array_join("licenses", ",").alias("licenses"), "n_notices")

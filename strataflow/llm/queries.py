@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import bpe, jaccard, licenses, pii, ppm, pstable, raking, spotsigs, warc
+from strataflow.llm import bpe, hpylm, jaccard, licenses, pii, ppm, pstable, raking, spotsigs, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -199,3 +199,10 @@ def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     found = licenses.scan(documents, licenses.fit(documents), keep=["doc_id"])
     return found.select("doc_id", F.array_join("licenses", ",").alias("licenses"), "n_notices")
+
+
+@query()
+def op7_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's log-probability under a model learned from the documents outside the held-out fold."""
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    return hpylm.score(table(spark, folder, "documents"), held_out)

@@ -351,5 +351,5 @@ def similar_sets(
     return by_class.join(tops, "grp", "left").select(
         F.col("id").alias(key),
         F.coalesce("n", F.lit(0)).cast("long").alias("n_shingles"),
-        F.coalesce("top", "grp", "id").cast("long").alias("component_id"),
+        F.when(F.col("id").isNotNull(), F.coalesce("top", "grp", "id")).cast("long").alias("component_id"),
     )

@@ -24,12 +24,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from strataflow.llm.batches import pieces
+from strataflow.session import stage
 
 UNDETERMINED = "und"
 ORDER = 4
 # The bounded sample a language's tree is fitted on: whole documents, lowest hash first, while they start below
 # SAMPLE_CHARS and are at most SAMPLE_DOCS.
 SAMPLE_DOCS, SAMPLE_CHARS = 400, 300_000
+SHARES = 64
 # A context needs so many occurrences in the sample to get a node.
 LEAST_SEEN = 24
 # Bound of the broadcast table; the trees share the rows it has room for.
@@ -202,10 +204,16 @@ def fit(
     rows = rows.filter(F.col("lang").isNotNull() & F.col("key").isNotNull() & F.col("text").isNotNull())
     by_hash = Window.partitionBy("lang").orderBy(F.col("mixed"), F.col("key"))
     lengths = rows.select("lang", "key", F.length("text").alias("n"), F.xxhash64("key").alias("mixed"))
-    few = lengths.withColumn("rank", F.row_number().over(by_hash)).filter(F.col("rank") <= docs)
+    # First within shares of a label, so that a label with very many rows is no single task.
+    share = F.pmod(F.xxhash64("key", F.lit("share")), F.lit(SHARES))
+    within = Window.partitionBy("lang", "share").orderBy("mixed", "key")
+    fewer = lengths.withColumn("share", share).withColumn("rank", F.row_number().over(within)).filter(F.col("rank") <= docs)
+    few = fewer.withColumn("rank", F.row_number().over(by_hash)).filter(F.col("rank") <= docs)
     before = F.sum("n").over(by_hash.rowsBetween(Window.unboundedPreceding, -1))
     chosen = few.withColumn("before", F.coalesce(before, F.lit(0))).filter(F.col("before") < chars)
-    sample = rows.join(chosen.select("lang", "key").distinct(), ["lang", "key"], "left_semi")
+    # Written, so that Spark knows how small it is and need not shuffle the texts.
+    chosen = stage(chosen.select("lang", "key").distinct(), "language-sample")
+    sample = rows.join(chosen, ["lang", "key"], "left_semi")
 
     def train(part: pd.DataFrame) -> pd.DataFrame:
         tree = grow(part["lang"].iloc[0], sorted(part["text"]))

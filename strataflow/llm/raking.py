@@ -88,8 +88,9 @@ def mix(
     text: str = "text",
     seed: int = 7,
     drop: Sequence[str] = (),
+    names: Sequence[str] = ("n_tokens", "weight", "probability", "copies"),
 ) -> DataFrame:
-    """Add n_tokens, weight, probability and copies to every document.
+    """Add n_tokens, weight, probability and copies, under these or other `names`, to every document.
 
     `marginals` names the dims and gives their columns, `targets` their shares as (dim, share) with values written as in
     `name_of`; a dim without one is tempered. `weight` is the document's share of the raked tokens over its share of the
@@ -101,14 +102,14 @@ def mix(
     marginal are a value of their own. A null or wordless text has no tokens, weight nothing, and is not sampled. An
     empty table gives an empty one. Input columns that clash with the added ones, in any case, are replaced.
     """
-    added = ("n_tokens", "weight", "probability", "copies")
+    added = {n.lower() for n in names}
     others = [c for c in df.columns if c.lower() not in added and c not in drop]
-    dims = [f"__{d}" for d in marginals]
+    dims = [f"__dim_{d}" for d in marginals]
     named = [name_of(c).alias(d) for d, c in zip(dims, marginals.values(), strict=True)]
     draw = uniform(F.col(key), F.col(text), seed)
-    rows = df.select(*[F.col(f"`{c}`") for c in others], *named, count_words(F.col(text)).alias("n_tokens"), draw.alias("__u"))
-    cells = stage(rows.groupBy(*dims).agg(F.sum("n_tokens").alias("tokens")), "rake-cells")
-    told = {f"__{d}": t.withColumnRenamed(d, f"__{d}") for d, t in (targets or {}).items()}
+    rows = df.select(*[F.col(f"`{c}`") for c in others], *named, count_words(F.col(text)).alias("__n"), draw.alias("__u"))
+    cells = stage(rows.groupBy(*dims).agg(F.sum("__n").alias("tokens")), "rake-cells")
+    told = {f"__dim_{d}": t.withColumnRenamed(d, f"__dim_{d}") for d, t in (targets or {}).items()}
     told = {d: told[d] if d in told else tempered(cells, d, temper) for d in dims}
     fitted = rake(cells, dims, told)
     tokens, weights = fitted.agg(F.sum("tokens"), F.max(F.col("weight") / F.col("tokens"))).first()
@@ -117,15 +118,15 @@ def mix(
     per_cell = stage(fitted.select(*dims, ratio), "rake-ratio")
     scale = budget / tokens if budget is not None else 1 / ((weights or 1.0) * tokens)
     joined = rows.join(per_cell, dims, "left")
-    weight = F.when(F.col("n_tokens") > 0, F.coalesce("__ratio", F.lit(0.0))).otherwise(0.0)
+    weight = F.when(F.col("__n") > 0, F.coalesce("__ratio", F.lit(0.0))).otherwise(0.0)
     probability = weight * F.lit(scale)
     copies = F.floor(probability) + F.when(F.col("__u") < probability - F.floor(probability), 1).otherwise(0)
     return joined.select(
         *[F.col(f"`{c}`") for c in others],
-        "n_tokens",
-        weight.alias("weight"),
-        probability.alias("probability"),
-        copies.cast("int").alias("copies"),
+        F.col("__n").alias(names[0]),
+        weight.alias(names[1]),
+        probability.alias(names[2]),
+        copies.cast("int").alias(names[3]),
     )
 
 

@@ -277,9 +277,9 @@ def printed(spans: Column) -> Column:
 
 
 def redact(text: Column, spans: Column) -> Column:
-    """The text with every span replaced by its kind in brackets; overlapping spans go as one, under the first's kind."""
+    """The text with every span replaced by its kind in brackets; overlapping spans go as one, under the first's (longest) kind."""
     tags = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    by_start = F.array_sort(F.transform(spans, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["kind"].alias("kind"))))
+    by_start = F.array_sort(F.transform(spans, lambda x: F.struct(x["s"].alias("s"), (-x["e"]).alias("back"), x["e"].alias("e"), x["kind"].alias("kind"))))
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(acc, x):

@@ -174,7 +174,7 @@ def code_lengths(model: Model, texts: Sequence[str]) -> np.ndarray:
         path = at.copy()
         for back in range(1, model.order + 1):
             previous = np.full(hi - lo, model.boundary, np.int32)
-            previous[max(0, back - lo) :] = symbol[max(0, lo - back) : hi - back]
+            previous[max(0, back - lo) :] = symbol[max(0, lo - back) : max(0, hi - back)]
             path = flat[path * width + previous]
             at = np.where(path > 0, path, at)
         own = symbol[lo:hi]

@@ -59,12 +59,15 @@ def placeholder_ids(
     id_col: str,
     match: Sequence[str],
     position: str,
+    *,
+    used: DataFrame | None = None,
 ) -> DataFrame:
     """Negative ids for the wanted rows that no existing row matches, in order of `position`.
 
-    The first id is one below the smallest negative id in use; with none in use it is -2.
+    The first id is one below the smallest negative id in `used` (all rows that ever had
+    one; by default the existing ones); with none it is -2.
     """
     absent = wanted.join(existing.select(*match), list(match), "left_anti")
-    taken = existing.filter(F.col(id_col) < 0).agg(F.coalesce(-F.min(id_col), F.lit(1)).alias("n"))
+    taken = (existing if used is None else used).filter(F.col(id_col) < 0).agg(F.coalesce(-F.min(id_col), F.lit(1)).alias("n"))
     bucket = F.floor(F.col(position) / POSITIONS_PER_BUCKET)
     return dense_ids(absent, id_col, [position], taken=taken, bucket=bucket, step=-1)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataflow.functions.times import micros, seconds_between
-from strataflow.operators.ordered import fitting_slice, with_closest
+from strataflow.operators.ordered import with_closest
 
 
 def nearest_match(
@@ -44,10 +44,8 @@ def nearest_match(
         left.filter(F.col(t).isNotNull()).select(*entity, t).distinct().withColumn("__side", F.lit(1))
     )
     line = right_points.unionByName(left_points, allowMissingColumns=True)
-    if slice_by is None:
-        # Copies of an instant are one point, so counting rows can only overstate a slice.
-        instants = left.select(*entity, t).unionByName(right.select(*entity, t))
-        slice_by = fitting_slice(instants, entity, t)
+    for name in entity:  # rows without an entity match nothing
+        line = line.filter(F.col(name).isNotNull())
     # A right instant equal to a left one sorts first (side 0) and so counts as "before".
     seen = with_closest(
         line, entity, [t, "__side"], "__right", before="__before", after="__after", slice_by=slice_by

@@ -28,7 +28,7 @@ def merge_upsert(
     last_by: Sequence[str] = (),
     insert_values: dict[str, Column] | None = None,
     touch: dict[str, Column] | None = None,
-    guard: str | None = None,
+    guard: str | Sequence[str] = (),
 ) -> DataFrame:
     """Insert the source rows whose key is new, update `update_cols` of those whose key exists.
 
@@ -36,8 +36,8 @@ def merge_upsert(
     are not in `update_cols` keep the target value, so created_at and
     surrogates survive. `touch` sets columns of matched rows, `insert_values`
     those of inserted rows. `last_by` reduces the source to one row per key
-    first. With `guard`, a matched row is only updated if the source's guard
-    value is not older, which makes the order of the batches irrelevant.
+    first. With `guard`, a matched row is only updated if the source's values of these
+    columns, compared in their order, are not older, which makes the order of the batches irrelevant.
 
     One shuffle per side on the key: the source reduction uses the same
     partitioning as the join, and both sides have one row per key, so no key is hot.
@@ -52,8 +52,10 @@ def merge_upsert(
     old = target.withColumn("__in_target", F.lit(True))
     both = old.join(new, list(keys), "full_outer")
     matched = F.col("__in_target").isNotNull() & F.col("__in_source").isNotNull()
+    guard = (guard,) if isinstance(guard, str) else guard
     if guard:
-        matched = matched & F.coalesce(F.col(f"__s_{guard}") >= F.col(guard), F.lit(True))
+        ours, theirs = F.struct(*[F.col(g) for g in guard]), F.struct(*[F.col(f"__s_{g}") for g in guard])
+        matched = matched & F.coalesce(theirs >= ours, F.lit(True))
     inserted = F.col("__in_target").isNull()
 
     def value(field) -> Column:
@@ -92,11 +94,13 @@ def dim_upsert(
 ) -> DataFrame:
     """Type-1 upsert of a dimension: update in place, insert with a new surrogate.
 
-    The dimension is joined from the left, so a batch small enough for Spark's
+    The batch is reduced to one row per key, the last by `last_by` (without it, by the
+    updated columns), so that a key that is listed twice neither multiplies nor gets two
+    surrogates. The dimension is joined from the left, so a batch small enough for Spark's
     size check is broadcast and the dimension is not shuffled.
     """
-    if last_by:
-        batch = one_per_key(batch, keys, last_by)
+    order = list(last_by) or list(update_cols)
+    batch = one_per_key(batch, keys, order) if order else batch.dropDuplicates(list(keys))
     stamp = ntz(now)
     new_side = batch.select(*keys, *[F.col(c).alias(f"__s_{c}") for c in update_cols], F.lit(True).alias("__hit"))
     hit = F.col("__hit").isNotNull()
@@ -183,7 +187,15 @@ def split_atomic(df: DataFrame, entity: Sequence[str], is_bad: Column) -> tuple[
     """(good, voided): one bad row voids every row of its entity.
 
     The bad entities are reduced to one row each before the join, so Spark
-    broadcasts them where they are few; no entity is gathered in one task.
+    broadcasts them where they are few; no entity is gathered in one task. Rows
+    without an entity belong together as well.
     """
-    bad = df.filter(is_bad).select(*entity).distinct()
-    return df.join(bad, list(entity), "left_anti"), df.join(bad, list(entity), "left_semi")
+    bad = df.filter(is_bad).select(*[F.col(c).alias(f"__bad_{c}") for c in entity]).distinct()
+    same = [df[c].eqNullSafe(bad[f"__bad_{c}"]) for c in entity]
+    return df.join(bad, same, "left_anti"), df.join(bad, same, "left_semi")
+
+
+def not_in(batch: DataFrame, target: DataFrame, match: Sequence[str]) -> DataFrame:
+    """The batch rows whose match columns, NULLs included, no target row has; repeated batch rows stay."""
+    there = target.select(*[F.col(c).alias(f"__there_{c}") for c in match]).distinct()
+    return batch.join(there, [batch[c].eqNullSafe(there[f"__there_{c}"]) for c in match], "left_anti")

@@ -3,14 +3,15 @@
 A plain window over (key, time) sends every row of a key to one task. Here the
 key is cut into time slices. Windows run inside (key, slice); what crosses a
 slice border comes from a summary with one row per key and slice, which is
-joined back. Rows and summary share one shuffle by (key, slice). The slice is a
-day, or a shorter time where the fullest day of a key is too much for one task.
+joined back. Rows and summary share one shuffle by (key, slice).
 
-Keys and times must not be NULL; rows with a NULL there are dropped.
+Keys and times must not be NULL; a row with a NULL there fails the job when it is reached, so none is lost in silence.
 """
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,32 +20,18 @@ from pyspark.sql import functions as F
 from strataflow.functions.times import hour_of
 
 SLICE = "__slice"
-# Rows that one task can sort with ease; fuller slices are cut finer.
-ROWS_PER_SLICE = 5_000_000
 
 
-def fitting_slice(df: DataFrame, keys: Sequence[str], ts: str, max_rows: int = ROWS_PER_SLICE) -> Column:
-    """The longest of day, hour and minute in which no key has more than `max_rows` rows.
+class Slices:
+    """Windows over a frame that is cut into (key, slice) pieces: by hour unless told otherwise.
 
-    Each trial is one aggregation over the keys and the time alone, combined
-    before its shuffle, of which a single number comes back. Mostly the first
-    trial, by day, already fits.
+    The width changes the plan, not the rows. A caller who knows a key with very many
+    rows an hour passes a narrower one, such as `F.date_trunc("second", ts)`.
     """
-    time = F.col(ts)
-    hour = hour_of(time)
-    for slice_by in (F.to_date(time), hour):
-        fullest = df.groupBy(*keys, slice_by.alias(SLICE)).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n"))
-        if (fullest.first()[0] or 0) <= max_rows:
-            return slice_by
-    return F.timestamp_add("MINUTE", F.minute(time), hour)
-
-
-class Slices:
-    """Windows over a frame that is cut into (key, slice) pieces; `fitting_slice` chooses unless told."""
 
     def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_by: Column | None = None):
         self.keys = list(keys)
-        self.slice_by = fitting_slice(df, keys, order[0]) if slice_by is None else slice_by
+        self.slice_by = hour_of(F.col(order[0])) if slice_by is None else slice_by
         piece = Window.partitionBy(*keys, SLICE)
         self.up = piece.orderBy(*[F.col(o).asc() for o in order])
         self.down = piece.orderBy(*[F.col(o).desc() for o in order])
@@ -54,9 +41,9 @@ class Slices:
 
     def cut(self, df: DataFrame) -> DataFrame:
         cut = df.withColumn(SLICE, self.slice_by)
-        for name in (*self.keys, SLICE):
-            cut = cut.filter(F.col(name).isNotNull())
-        return cut
+        missing = functools.reduce(operator.or_, [F.col(name).isNull() for name in (*self.keys, SLICE)])
+        told = F.raise_error(F.lit(f"NULL in one of {[*self.keys, 'time']}")).cast("boolean")
+        return cut.filter(F.when(missing, told).otherwise(F.lit(True)))
 
     def join(self, rows: DataFrame, summary: DataFrame) -> DataFrame:
         return rows.join(summary, [*self.keys, SLICE], "left")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from strataflow.functions.times import ntz
 from strataflow.operators.keys import surrogate_ids
-from strataflow.operators.ordered import change_points, fitting_slice
+from strataflow.operators.ordered import change_points
 
 
 def scd2_apply(
@@ -80,10 +80,8 @@ def scd2_history(
 
     Consecutive equal values make one version; intervals are half-open and the
     last one is current. (keys, ts) must be unique, or `last_by` says which of
-    several changes at one instant counts.
+    several changes at one instant counts. A change without a key or a time fails the job.
     """
-    if slice_by is None:
-        slice_by = fitting_slice(changes, keys, ts)
     if last_by:
         newest = F.struct(*[F.col(c) for c in last_by])
         changes = changes.groupBy(*keys, ts).agg(F.max_by(tracked, newest).alias(tracked))

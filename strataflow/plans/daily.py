@@ -10,15 +10,18 @@ from pyspark.sql import functions as F
 
 from strataflow.functions.times import month_of, ntz
 from strataflow.operators.keys import placeholder_ids, surrogate_ids
-from strataflow.operators.merge import dim_upsert, insert_if_absent
+from strataflow.operators.merge import dim_upsert, insert_if_absent, not_in, one_per_key
+from strataflow.operators.pick import first_n_per_key
 from strataflow.operators.shape import conform
 from strataflow.plans import marts, pages, quality, weather
-from strataflow.schemas import DAILY_WEATHER, LOCATION, LOCATION_KEY, PAGE, PAGE_KEY, WEATHER_KEY
+from strataflow.schemas import DAILY_WEATHER, LOCATION, LOCATION_KEY, PAGE, PAGE_KEY, REJECT_KEY, WEATHER_KEY
 from strataflow.session import stage, staging
 from strataflow.sources.landing import page_envelope, weather_envelope, with_raw_ids
 from strataflow.sources.seeds import location_defaults, page_defaults
 from strataflow.sources.tables import Warehouse, months_in
 
+SEED_KEY = ("name", "latitude", "longitude")
+TITLE_KEY = ("page_title", "page_language")
 PAGE_STAMPS = ("first_seen_at", "last_updated_at", "valid_from")
 MARTS = ("mart.daily_weather_aggregates", "mart.daily_wikipedia_page_stats")
 
@@ -35,10 +38,13 @@ def land_pages(wh: Warehouse, landing: DataFrame, now: dt.datetime) -> None:
 
 
 def seeded_locations(dim: DataFrame, seeds: DataFrame, now: dt.datetime) -> DataFrame:
-    """Location dimension after the seeds: attributes updated, updated_at touched, new ones numbered."""
+    """Location dimension after the seeds: attributes updated, updated_at touched, new ones numbered.
+
+    Seeds are applied in their order, so of several with one key the last counts.
+    """
     return dim_upsert(
         dim,
-        location_defaults(seeds),
+        location_defaults(one_per_key(seeds, SEED_KEY, ["position"])),
         LOCATION_KEY,
         ("country", "region", "city"),
         id_col="location_id",
@@ -62,10 +68,13 @@ def upsert_location(dim: DataFrame, found: DataFrame, now: dt.datetime) -> DataF
 
 
 def seeded_pages(dim: DataFrame, seeds: DataFrame, now: dt.datetime) -> DataFrame:
-    """Page dimension with a placeholder row (negative id) for each seed without a current page."""
-    wanted = page_defaults(seeds)
+    """Page dimension with a placeholder row (negative id) for each seeded title without a current page.
+
+    A title that is listed twice gets one. Ids go on from the lowest ever given, also to versions closed since.
+    """
+    wanted = first_n_per_key(page_defaults(seeds), TITLE_KEY, [F.col("position").asc()])
     current = dim.filter("is_current")
-    fresh = placeholder_ids(wanted, current, "wikipedia_page_id", ["page_title", "page_language"], "position")
+    fresh = placeholder_ids(wanted, current, "wikipedia_page_id", TITLE_KEY, "position", used=dim)
     fresh = surrogate_ids(fresh, dim, "page_id", ["wikipedia_page_id", "page_language"])
     stamps = {c: ntz(now) for c in PAGE_STAMPS}
     return dim.unionByName(conform(fresh.withColumns({**stamps, "is_current": F.lit(True)}), PAGE))
@@ -86,7 +95,8 @@ def insert_seeds(
     Unlike `apply_seeds` nothing is updated, and a page's placeholder id is
     -(position + 1), so loading the same seeds twice changes nothing.
     """
-    places = insert_if_absent(location, location_defaults(seeds[0]), LOCATION_KEY)
+    listed = first_n_per_key(seeds[0], SEED_KEY, [F.col("position").asc()])
+    places = insert_if_absent(location, location_defaults(listed), LOCATION_KEY)
     places = surrogate_ids(places, location, "location_id", LOCATION_KEY)
     stamped = places.withColumns({c: ntz(now) for c in ("created_at", "updated_at")})
     wanted = page_defaults(seeds[1]).withColumn("wikipedia_page_id", -(F.col("position") + 1).cast("bigint"))
@@ -136,6 +146,11 @@ def refresh_marts(wh: Warehouse, months: Iterable[dt.date] | None = None) -> lis
     return [refresh_mart(wh, name, build) for name, build in builders.items()]
 
 
+def reject(wh: Warehouse, rows: DataFrame) -> None:
+    """Record rejects; those that an earlier run has recorded are left alone."""
+    wh.append("raw.rejects", not_in(rows, wh.read("raw.rejects"), REJECT_KEY))
+
+
 def transform_weather(
     wh: Warehouse, now: dt.datetime, on_error: str = "entity", raw_since: dt.datetime | None = None
 ) -> dict:
@@ -148,7 +163,7 @@ def transform_weather(
     if raw_since is not None:
         raw = raw.filter(F.col("ingested_at") >= ntz(raw_since))
     parsed = weather.parse_once(weather.latest_payloads(raw), location)
-    wh.append("raw.rejects", weather.rejected(parsed, on_error))
+    reject(wh, weather.rejected(parsed, on_error))
     hours = weather.good_hours(parsed, on_error)
     months = months_in(hours, "obs_month")
     if months:
@@ -161,7 +176,7 @@ def transform_pages(wh: Warehouse, now: dt.datetime, reconcile_placeholders: boo
     """Newest payload per page into the type-2 dimension, then its revision into the fact."""
     latest = pages.latest_pages(wh.read("raw.wikipedia_pages"))
     batch = stage(pages.parse_pages(latest, now), "parsed-pages")
-    wh.append("raw.rejects", pages.rejected_pages(latest))
+    reject(wh, pages.rejected_pages(latest))
     dim = wh.read("core.wikipedia_page")
     wh.replace(
         "core.wikipedia_page", pages.upsert_pages(dim, batch, now, reconcile_placeholders=reconcile_placeholders)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataflow.functions.text import filled, namespace_id
@@ -20,18 +20,28 @@ from strataflow.schemas import PAGE_KEY, PAGE_PAYLOAD, REVISION_KEY
 def latest_pages(raw: DataFrame, keys: Sequence[str] = ("page_id", "page_language")) -> DataFrame:
     """The newest payload per page.
 
-    By page id, so that a renamed page has one newest payload; pass
-    ("page_title", "page_language") for one per title.
+    By page id, so that a renamed page has one newest payload, and by title where there
+    is no id (0, the envelope's fallback); pass ("page_title", "page_language") for one per title.
     """
-    return latest_per_key(raw, keys, "ingested_at", ["id"])
+    title = F.when(F.coalesce("page_id", F.lit(0)) == 0, F.col("page_title")).alias("__title")
+    return latest_per_key(raw.select("*", title), [*keys, "__title"], "ingested_at", ["id"]).drop("__title")
+
+
+def _without_id(doc: Column) -> Column:
+    """Whether neither the payload nor the envelope names a page id."""
+    return doc["pageid"].try_cast("bigint").isNull() & (F.coalesce("page_id", F.lit(0)) == 0)
 
 
 def parse_pages(latest: DataFrame, now: dt.datetime) -> DataFrame:
-    """Page fields from the payload, each falling back to the envelope column, timestamps to `now` at last."""
+    """Page fields from the payload, each falling back to the envelope column, timestamps to `now` at last.
+
+    Pages without any id cannot be told apart in the dimension; they are rejected.
+    """
     doc = F.col("doc")
     return (
         latest.filter(filled(F.trim("payload")).isNotNull())
         .withColumn("doc", F.from_json("payload", PAGE_PAYLOAD))
+        .filter(~_without_id(doc))
         .select(
             F.col("id").alias("raw_id"),
             F.coalesce(doc["pageid"].try_cast("bigint"), F.col("page_id")).alias("wikipedia_page_id"),
@@ -48,12 +58,14 @@ def parse_pages(latest: DataFrame, now: dt.datetime) -> DataFrame:
 
 
 def rejected_pages(latest: DataFrame) -> DataFrame:
-    return latest.filter(filled(F.trim("payload")).isNull()).select(
+    no_id = _without_id(F.from_json("payload", PAGE_PAYLOAD))
+    reason = F.when(filled(F.trim("payload")).isNull(), "no_payload").when(F.coalesce(no_id, F.lit(True)), "no_page_id")
+    return latest.select(
         F.lit("wikipedia_pages").alias("source_table"),
         F.col("id").alias("raw_id"),
         F.col("page_title").alias("entity"),
-        F.lit("no_payload").alias("reason"),
-    )
+        reason.alias("reason"),
+    ).filter("reason IS NOT NULL")
 
 
 def upsert_pages(

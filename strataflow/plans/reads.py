@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from strataflow.functions.text import inner_or_self, preview, same_ignoring_case
 from strataflow.functions.times import days_before
-from strataflow.operators.pick import latest_n_per_key, latest_per_key, newest_first, top_rows
+from strataflow.operators.pick import first_n_per_key, latest_n_per_key, latest_per_key, newest_first, top_rows
 from strataflow.operators.shape import optional
 from strataflow.schemas import MEASURES, PAGE_SUMMARY
 
@@ -46,7 +46,7 @@ def location_info(location: DataFrame, location_id: int) -> DataFrame:
 def recent_observations(
     weather: DataFrame, as_of: dt.date, *, location_id: int | None = None, limit: int | None = OBSERVATION_LIMIT
 ) -> DataFrame:
-    """Hours from the day before `as_of` on, oldest first; measures the table lacks come as NULL."""
+    """Hours from the day before `as_of` on, oldest first, of each location at most `limit`; measures the table lacks come as NULL."""
     rows = weather.filter(F.col("observed_at") >= days_before(as_of, 1))
     if "obs_month" in weather.columns:
         first_month = (as_of - dt.timedelta(days=1)).replace(day=1)
@@ -54,8 +54,11 @@ def recent_observations(
     if location_id is not None:
         rows = rows.filter(F.col("location_id") == location_id)
     measures = [optional(rows, m, "decimal(5,2)") for m in MEASURES]
-    ordered = rows.select("location_id", "observed_at", *measures).orderBy("observed_at", "location_id")
-    return ordered if limit is None else ordered.limit(limit)
+    hours = rows.select("location_id", "observed_at", *measures)
+    if limit is not None:
+        order = [F.col(c).asc_nulls_last() for c in ("observed_at", *MEASURES)]
+        hours = first_n_per_key(hours, ["location_id"], order, limit)
+    return hours.orderBy("observed_at", "location_id")
 
 
 def weather_stats(weather: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -129,9 +132,12 @@ def page_details(page: DataFrame, raw: DataFrame, revision: DataFrame) -> DataFr
 
 
 def page_detail(page: DataFrame, raw: DataFrame, revision: DataFrame, page_id: int) -> DataFrame:
-    """One page: the filters reach the scans, so only its rows are read."""
+    """One page. The id reaches the scans of pages and revisions; raw payloads are read, but only those with
+    the page's title are dealt by it."""
     mine = page.filter((F.col("page_id") == page_id) & F.col("is_current"))
-    return page_details(mine, raw, revision.filter(F.col("page_id") == page_id))
+    titles = mine.select(F.lower("page_title").alias("__wanted")).distinct()
+    own = raw.join(titles, F.lower(raw["page_title"]) == titles["__wanted"], "left_semi")
+    return page_details(mine, own, revision.filter(F.col("page_id") == page_id))
 
 
 def summary_by_title(raw: DataFrame, title: str, *, ignore_case: bool = True) -> DataFrame:

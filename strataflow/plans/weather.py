@@ -171,6 +171,12 @@ def latest_payloads(raw: DataFrame) -> DataFrame:
     return latest_per_key(raw, LOCATION_KEY, "ingested_at", ["id"])
 
 
+def newest_of(batch: DataFrame, raw: DataFrame) -> DataFrame:
+    """The batch rows that are the newest payload of their location in all of `raw`, of which no payload is read."""
+    newest = latest_payloads(raw.select(*LOCATION_KEY, "ingested_at", "id")).select("id")
+    return latest_payloads(batch).join(newest, "id", "left_semi")
+
+
 def parse_weather(raw: DataFrame, location: DataFrame, on_error: str = "entity") -> tuple[DataFrame, DataFrame]:
     """(good hourly rows, rejects) from the newest payload of each location."""
     parsed = parse_once(latest_payloads(raw), location)
@@ -180,7 +186,8 @@ def parse_weather(raw: DataFrame, location: DataFrame, on_error: str = "entity")
 def upsert_weather(fact: DataFrame, hours: DataFrame, now: dt.datetime, *, guard: bool = False) -> DataFrame:
     """Fact after applying the hours: measures and lineage replaced, created_at kept.
 
-    With `guard`, hours from an older payload never replace those of a newer one.
+    With `guard`, hours from an older payload never replace those of a newer one; of
+    payloads loaded at one time that with the higher id is the newer.
     """
     return merge_upsert(
         fact,
@@ -189,7 +196,7 @@ def upsert_weather(fact: DataFrame, hours: DataFrame, now: dt.datetime, *, guard
         UPDATED,
         last_by=NEWEST,
         insert_values={"created_at": ntz(now)},
-        guard="raw_ref.ingested_at" if guard else None,
+        guard=("raw_ref.ingested_at", "raw_ref.raw_id") if guard else (),
     )
 
 

@@ -165,9 +165,7 @@ FROM faults""",
 )
 def run_metrics(t: Tables) -> DataFrame:
     """Counts of a transform run, from one pass over the parsed payloads."""
-    return weather.run_metrics(
-        weather.parse_once(raw_weather(t, broken_payload()), named_locations(t))
-    )
+    return weather.run_metrics(weather.parse_payloads(raw_weather(t, broken_payload()), named_locations(t)))
 
 
 @query(

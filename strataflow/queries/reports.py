@@ -23,13 +23,15 @@ OPTIONAL_COLUMNS = ("precipitation_mm", "cloud_cover_percent")
         bind.FACT,
         body=f"""
 SELECT location_id, observed_at, {MEASURE_SQL}, {OPTIONAL_SQL} FROM fact
-WHERE observed_at >= TIMESTAMP '2024-01-29 00:00:00' ORDER BY observed_at, location_id LIMIT 200""",
+WHERE observed_at >= TIMESTAMP '2024-01-29 00:00:00'
+QUALIFY row_number() OVER (PARTITION BY location_id ORDER BY observed_at, temperature_celsius, humidity_percent,
+                           pressure_hpa, wind_speed_mps) <= 2""",
     )
 )
 def recent_window(t: Tables) -> DataFrame:
-    """The oldest 200 observations from the day before on: the view's own limit."""
+    """The oldest observations of each location from the day before on, with a limit that cuts here."""
     return bind.doubles(
-        reads.recent_observations(bind.fact(t), bind.AS_OF), *MEASURE_COLUMNS, *OPTIONAL_COLUMNS
+        reads.recent_observations(bind.fact(t), bind.AS_OF, limit=2), *MEASURE_COLUMNS, *OPTIONAL_COLUMNS
     )
 
 

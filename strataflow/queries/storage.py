@@ -139,17 +139,17 @@ ONE_HOUR = """hour_rows AS (
 SELECT location_id, observed_at, k / 2 AS temperature_celsius, CAST(k AS DOUBLE) AS humidity_percent,
        CAST(CAST(k / 3.6 AS DECIMAL(5,2)) AS DOUBLE) AS wind_speed_mps, raw_id
 FROM hour_rows
-QUALIFY row_number() OVER (PARTITION BY location_id, observed_at ORDER BY ingested_at DESC, raw_id DESC) = 1""",
+QUALIFY row_number() OVER (PARTITION BY location_id ORDER BY ingested_at DESC, raw_id DESC) = 1""",
     )
 )
 def incremental_equals_batch(t: Tables) -> DataFrame:
-    """Raw payloads read as a stream in several micro-batches, each upserted into the fact.
+    """Raw payloads, several per location, read as a stream in shuffled micro-batches.
 
-    The result has to be that of one batch over all payloads.
+    The result has to be that of one batch over all payloads: the newest of each location.
     """
     wh = Warehouse(t.spark, run_dir(t.spark, "incremental"))
     wh.replace("core.location", named_locations(t))
-    raw = raw_weather(t, one_hour_payload()).repartitionByRange(6, "ingested_at")
+    raw = raw_weather(t, one_hour_payload()).repartition(6, "id")
     wh.append("raw.weather_observations", raw)
     run_incremental(wh, run_dir(t.spark, "stream-state"), bind.NOW, files_per_batch=3)
     fact = wh.read("core.weather").select(

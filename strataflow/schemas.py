@@ -27,6 +27,7 @@ LOCATION_KEY = ("location_name", "latitude", "longitude")
 PAGE_KEY = ("wikipedia_page_id", "page_language")
 WEATHER_KEY = ("location_id", "observed_at")
 REVISION_KEY = ("page_id", "revision_id")
+REJECT_KEY = ("source_table", "raw_id", "reason")
 
 MEASURES = (
     "temperature_celsius",

@@ -1,4 +1,8 @@
-"""New raw rows into the hourly fact, each processed once, with the same result as one full batch."""
+"""New raw rows into the hourly fact, each processed once, with the same result as one full batch.
+
+Both apply the newest payload of each location. A payload of a micro-batch that is not the newest one landed is
+passed over, as the batch would, so the result is the same whatever the order and the number of micro-batches.
+"""
 
 from __future__ import annotations
 
@@ -7,8 +11,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strataflow.operators.merge import not_in
 from strataflow.plans import weather
-from strataflow.schemas import RAW_WEATHER, WEATHER_KEY
+from strataflow.schemas import RAW_WEATHER, REJECT_KEY, WEATHER_KEY
 from strataflow.session import staging
 from strataflow.sources.tables import Warehouse, months_in
 
@@ -57,8 +62,9 @@ def run_incremental(
 
     def handle(batch: DataFrame, _: int) -> None:
         with staging(wh.spark):
-            parsed = weather.parse_once(batch, wh.read("core.location"))
-            wh.append("raw.rejects", weather.rejected(parsed, on_error))
+            newest = weather.newest_of(batch, wh.read("raw.weather_observations"))
+            parsed = weather.parse_once(newest, wh.read("core.location"))
+            wh.append("raw.rejects", not_in(weather.rejected(parsed, on_error), wh.read("raw.rejects"), REJECT_KEY))
             apply_hours(wh, weather.good_hours(parsed, on_error), now)
 
     process_new(

@@ -167,6 +167,18 @@ def test_one_bad_row_voids_its_entity(spark):
     df = spark.createDataFrame([("a", 1), ("a", 99), ("b", 2)], "k string, v int")
     good, voided = merge.split_atomic(df, ["k"], F.col("v") > 50)
     assert rows(good, "k") == [("b",)] and voided.count() == 2
+    none = spark.createDataFrame([(None, 1), (None, 99), ("b", 2)], "k string, v int")
+    good, voided = merge.split_atomic(none, ["k"], F.col("v") > 50)
+    assert rows(good, "k") == [("b",)] and rows(voided, "v") == [(1,), (99,)]
+
+
+def test_a_key_listed_twice_is_one_row_of_the_dimension(spark):
+    dim = spark.createDataFrame([(1, "a", "old")], "id bigint, k string, v string")
+    batch = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "x"), ("b", "y")], "k string, v string")
+    now = dt.datetime(2024, 1, 1)
+    once = merge.dim_upsert(dim, batch, ["k"], ["v"], id_col="id", now=now)
+    twice = merge.dim_upsert(once, batch, ["k"], ["v"], id_col="id", now=now)
+    assert rows(once, "id", "k", "v") == rows(twice, "id", "k", "v") == [(1, "a", "y"), (2, "b", "y")]
 
 
 # Keys

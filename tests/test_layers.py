@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from strataflow import schemas
 from strataflow.operators.shape import conform, contract_report, evolve
 from strataflow.plans import daily, marts, pages, quality, reads, reports, weather
-from strataflow.schemas import LOCATION, RAW_PAGES, RAW_WEATHER, REVISION, WEATHER
+from strataflow.schemas import LOCATION, PAGE, RAW_PAGES, RAW_WEATHER, REVISION, WEATHER
 from strataflow.sources import landing, seeds, tables
 from strataflow.sources.tables import Warehouse
 from strataflow.streaming.incremental import run_incremental
@@ -24,11 +24,11 @@ def payload(times=HOURS, offset=0, **arrays):
     n = len(times)
     hourly = {
         "time": times,
-        "temperature_2m": [15.2, 14.8, 14.5, 14.1][:n],
-        "relativehumidity_2m": [65.0, 67.0, 68.0, 70.0][:n],
-        "precipitation": [0.0, 0.0, 0.2, 0.0][:n],
-        "cloudcover": [45.0, 50.0, 55.0, 60.0][:n],
-        "windspeed_10m": [12.5, 13.2, 12.8, 11.9][:n],
+        "temperature_2m": [3.5, 4.25, 5.0, 6.75][:n],
+        "relativehumidity_2m": [41.0, 43.5, 90.0, 12.0][:n],
+        "precipitation": [1.1, 0.0, 0.0, 7.3][:n],
+        "cloudcover": [5.0, 100.0, 80.0, 33.0][:n],
+        "windspeed_10m": [12.5, 7.2, 3.6, 18.0][:n],
     }
     hourly.update(arrays)
     return json.dumps({"utc_offset_seconds": offset, "hourly": {k: v for k, v in hourly.items() if v != "absent"}})
@@ -59,7 +59,7 @@ def hours_of(spark, *rows, on_error="entity"):
 def test_aligned_hours_are_converted(spark):
     good, rejects = hours_of(spark, (1, "Boston", payload(), NOW))
     assert [g.observed_at.hour for g in good] == [0, 1, 2, 3] and not rejects
-    assert good[0].wind_speed_mps == Decimal("3.47") and good[0].temperature_celsius == Decimal("15.20")
+    assert good[0].wind_speed_mps == Decimal("3.47") and good[0].temperature_celsius == Decimal("3.50")
     assert good[0].obs_month == dt.date(2024, 11, 1) and good[0].raw_ref.raw_id == 1
 
 
@@ -377,8 +377,8 @@ def test_daily_run_end_to_end(spark, root):
 
     mart = wh.read("mart.daily_weather_aggregates").orderBy("location_name").collect()
     assert [(m.location_name, m.observation_count, m.avg_temperature_celsius) for m in mart] == [
-        ("Boston", 4, 14.65),
-        ("Chicago", 4, 14.65),
+        ("Boston", 4, 4.875),
+        ("Chicago", 4, 4.875),
     ]
 
     # Refreshing only the days of one month gives the same mart.
@@ -441,22 +441,85 @@ def test_incremental_equals_one_batch_in_any_order(spark, root):
         (3, payload(times=HOURS[1:3], temperature_2m=[3, 3]), NOW + dt.timedelta(hours=2)),
     ]
 
-    def run(folder, batches):
+    tied = [(4, payload(temperature_2m=[4, 4, 4, 4]), NOW), (5, payload(times=["?"]), NOW), (6, payload(times=HOURS[2:]), NOW)]
+
+    def run(folder, arrivals, apply, files=1):
         wh = Warehouse(spark, folder)
         wh.replace("core.location", locations(spark))
-        for batch in batches:
-            wh.append(
-                "raw.weather_observations",
-                raw_rows(spark, *[(i, "Boston", d, at) for i, d, at in batch]).coalesce(1),
-            )
-            run_incremental(wh, f"{folder}/state", NOW)
+        for batch in arrivals:
+            rows = raw_rows(spark, *[(i, "Boston", d, at) for i, d, at in batch])
+            wh.append("raw.weather_observations", rows.repartition(files))
+            apply(wh, folder)
         fact = wh.read("core.weather").orderBy("observed_at").collect()
-        return [(r.observed_at.hour, int(r.temperature_celsius), r.raw_ref.raw_id) for r in fact]
+        rejects = sorted((r.raw_id, r.reason) for r in wh.read("raw.rejects").collect())
+        return [(r.observed_at.hour, int(r.temperature_celsius), r.raw_ref.raw_id) for r in fact], rejects
+
+    def stream(wh, folder):
+        run_incremental(wh, f"{folder}/state", NOW, files_per_batch=1)
 
-    want = [(0, 2, 2), (1, 3, 3), (2, 3, 3), (3, 1, 1)]
-    assert run(f"{root}-a", [docs]) == want
-    assert run(f"{root}-b", [[d] for d in docs]) == want
-    assert run(f"{root}-c", [[docs[2]], [docs[0]], [docs[1]]]) == want
+    def batch(wh, _):
+        daily.transform_weather(wh, NOW)
+
+    orders = {
+        "together": ([docs], ([(1, 3, 3), (2, 3, 3)], [])),
+        "one by one": ([[d] for d in docs], ([(0, 2, 2), (1, 3, 3), (2, 3, 3), (3, 1, 1)], [])),
+        "newest first": ([[docs[2]], [docs[0]], [docs[1]]], ([(1, 3, 3), (2, 3, 3)], [])),
+        "ties": ([tied], ([(2, 3, 6), (3, 4, 6)], [])),
+        "ties, the bad one newest": ([tied[:2]], ([], [(5, "bad_time")])),
+    }
+    for k, (arrivals, want) in enumerate(orders.values()):
+        assert run(f"{root}-{k}-batch", arrivals, batch) == want
+        assert run(f"{root}-{k}-stream", arrivals, stream, files=3) == want
+
+
+def test_rejects_are_recorded_once(spark, root):
+    wh = Warehouse(spark, root)
+    wh.replace("core.location", locations(spark))
+    wh.append("raw.weather_observations", raw_rows(spark, (1, "Boston", payload(times=["?"]), NOW), (2, "Nowhere", "x", NOW)))
+    seen = []
+    for _ in range(3):
+        daily.transform_weather(wh, NOW)
+        seen.append(sorted((r.raw_id, r.reason) for r in wh.read("raw.rejects").collect()))
+    assert seen == [[(1, "bad_time"), (2, "no_hourly")]] * 3
+
+
+def test_seeds_listed_twice(spark):
+    one = {"name": "A", "latitude": 1.5, "longitude": 2.5}
+    places, titles = seeds.seed_frames(
+        spark, [{**one, "country": "X"}, {**one, "country": "Y"}], [{"title": "T"}, {"title": "T"}, {"title": "U"}]
+    )
+    dim = spark.createDataFrame([], LOCATION)
+    for turn in range(2):
+        dim = daily.seeded_locations(dim, places, NOW + dt.timedelta(hours=turn))
+        assert [(r.location_id, r.country) for r in dim.collect()] == [(1, "Y")]
+    page = daily.seeded_pages(spark.createDataFrame([], PAGE), titles, NOW)
+    assert sorted((r.page_title, r.wikipedia_page_id) for r in page.collect()) == [("T", -2), ("U", -3)]
+    first, _ = daily.insert_seeds(spark.createDataFrame([], LOCATION), page, (places, titles), NOW)
+    assert [r.country for r in first.collect()] == ["X"]
+
+
+def test_ids_of_closed_placeholders_are_not_given_again(spark):
+    page = daily.seeded_pages(spark.createDataFrame([], PAGE), seeds.seed_frames(spark, [], [{"title": "X"}])[1], NOW)
+    closed = page.withColumn("is_current", F.lit(False)).withColumn("valid_to", F.col("valid_from"))
+    again = daily.seeded_pages(closed, seeds.seed_frames(spark, [], [{"title": "Z"}])[1], NOW)
+    assert sorted((r.page_title, r.wikipedia_page_id) for r in again.collect()) == [("X", -2), ("Z", -3)]
+
+
+def test_pages_without_an_id_are_rejected_and_not_mixed_up(spark, root):
+    docs = [json.dumps({"title": t, "revision": "1"}) for t in ("A", "B", "C")]
+    wh = Warehouse(spark, root)
+    daily.land_pages(wh, landed_pages(spark, *docs, page_doc(7, "D", "1")), NOW)
+    for _ in range(2):
+        run = daily.transform_pages(wh, NOW)
+        assert run["pages_processed"] == 1
+        rejects = wh.read("raw.rejects").collect()
+        assert sorted((r.entity, r.reason) for r in rejects) == [(t, "no_page_id") for t in "ABC"]
+
+
+def test_limit_of_recent_hours_is_per_location(spark):
+    fact = fact_rows(spark, *[(k, h, 1, 50, 1) for k in (1, 2) for h in range(5)])
+    got = reads.recent_observations(fact, NOW.date(), limit=3).collect()
+    assert sorted((r.location_id, r.observed_at.hour) for r in got) == [(k, NOW.hour + h) for k in (1, 2) for h in range(3)]
 
 
 def test_mart_merges_locations_that_share_a_name(spark):

@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from strataflow.functions.times import hour_of
 from strataflow.operators import match
-from strataflow.operators.ordered import change_points, fitting_slice, with_closest
+from strataflow.operators.ordered import change_points, with_closest
 from strataflow.operators.scd import scd2_history
 
 START = dt.datetime(2024, 1, 1)
@@ -93,16 +94,19 @@ def test_nearest_match_tolerance_and_reconcile(spark):
     assert got == {1: (10.5, True, 3600.0), 2: (None, None, None), 3: (None, None, None)}
 
 
-def test_full_slices_are_cut_finer(spark):
+def test_slice_width_changes_no_row(spark):
     df = spark.createDataFrame(sample(0, n=200, values=2), SCHEMA)
-    by_day = change_points(df, ["k"], "v", "ts", until="until").collect()
-    pieces = []
-    for rows_per_slice in (1000, 1, 0):
-        slice_by = fitting_slice(df, ["k"], "ts", rows_per_slice)
-        pieces.append(df.select("k", slice_by.alias("s")).distinct().count())
+    default = change_points(df, ["k"], "v", "ts", until="until").collect()
+    for slice_by in (F.to_date("ts"), hour_of(F.col("ts")), F.date_trunc("second", "ts"), F.lit(1)):
         cut = change_points(df, ["k"], "v", "ts", until="until", slice_by=slice_by).collect()
-        assert sorted(map(repr, cut)) == sorted(map(repr, by_day))
-    assert pieces[0] < pieces[1] <= pieces[2]
+        assert sorted(map(repr, cut)) == sorted(map(repr, default))
+
+
+@pytest.mark.parametrize("row", [(None, START, "a", 9), (1, None, "a", 9)])
+def test_changes_without_key_or_time_are_not_lost_in_silence(spark, row):
+    rows = [(1, START, "a", 1), row]
+    with pytest.raises(Exception, match="NULL in one of"):
+        scd2_history(spark.createDataFrame(rows, SCHEMA), ["k"], "v", "ts").collect()
 
 
 def test_history_keeps_the_last_of_simultaneous_changes(spark):

@@ -33,8 +33,11 @@ SIZE, PERCENT = 5, 75
 SLOTS = 1 << 22
 SLOT_BLOCK = 1 << 16
 # Documents of a block, and members by which two groups are compared before they are compared whole.
-BLOCK, FEW = 256, 8
-ROUNDS = 3
+BLOCK, FEW = 256, 4
+# In further rounds, groups of at least so many documents draw in others by the HUBS largest groups of each place.
+ROUNDS, LARGE, HUBS = 3, 8, 8
+# Rows of ids, some 40 bytes each, up to which a table may be broadcast.
+BROADCAST_ROWS = 500_000
 
 
 class Matrix:
@@ -169,25 +172,27 @@ def prefixes(df: DataFrame, text: str, size: int, percent: int, slots: int, bitm
     return df.select(text).mapInArrow(scan, "cls long, tokens array<long>")
 
 
-def sets_table(df: DataFrame, text: str, size: int) -> DataFrame:
-    """(rep, tokens) of rows (rep, text)."""
+def sets_table(df: DataFrame, size: int) -> DataFrame:
+    """(rep, place, part, tokens) of rows (rep, place, part, text)."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
+            texts = batch.column(3).to_pylist()
             for lo, hi in pieces(texts):
                 sets = shingle_sets(texts[lo:hi], size)
                 offsets = np.cumsum([0, *map(len, sets)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), lists], names=["rep", "tokens"])
+                ids = [batch.column(i).slice(lo, hi - lo) for i in range(3)]
+                yield pa.RecordBatch.from_arrays([*ids, lists], names=["rep", "place", "part", "tokens"])
 
-    return df.select("rep", text).mapInArrow(scan, "rep long, tokens array<long>")
+    return df.select("rep", "place", "part", "text").mapInArrow(scan, "rep long, place long, part int, tokens array<long>")
 
 
 def merge_blocks(dealt: DataFrame, key: list[str], percent: int) -> DataFrame:
-    """(head, into): which documents of each run of `key` are connected by links within it, each to the least one.
+    """(head, into): which documents of each run of `key` are connected by links within it.
 
-    Rows are (key, rep, tokens), each `rep` in one run. Connected documents all point to the same one, which points to none.
+    Rows are (key, rep, tokens), each `rep` in one run. Connected documents all point to the one of them that has most
+    links, the least such, which itself points to none.
     """
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,19 +200,67 @@ def merge_blocks(dealt: DataFrame, key: list[str], percent: int) -> DataFrame:
             if part.num_rows < 2:
                 continue
             rep, sets = part.column("rep").to_numpy(), sets_of(part)
-            matrix, group = Matrix(sets), np.arange(len(rep))
+            matrix, group, degree = Matrix(sets), np.arange(len(rep)), np.zeros(len(rep), np.int64)
             for i, query in enumerate(sets):
-                names = np.unique(np.append(group[matrix.linked(query, percent)], group[i]))
+                near = matrix.linked(query, percent)
+                degree[i] = len(near)
+                names = np.unique(np.append(group[near], group[i]))
                 if len(names) > 1:
                     group[np.isin(group, names)] = names[0]
-            joined = np.flatnonzero(group != np.arange(len(rep)))
+            order = np.lexsort((rep, -degree))
+            hub = np.empty(len(rep), np.int64)
+            names, best = np.unique(group[order], return_index=True)
+            hub[names] = order[best]
+            joined = np.flatnonzero(hub[group] != np.arange(len(rep)))
             if len(joined):
-                yield pa.RecordBatch.from_arrays([pa.array(rep[joined]), pa.array(rep[group[joined]])], names=["head", "into"])
+                yield pa.RecordBatch.from_arrays([pa.array(rep[joined]), pa.array(rep[hub[group[joined]]])], names=["head", "into"])
 
     ordered = dealt.select(*key, "rep", "tokens").repartition(*key).sortWithinPartitions(*key, "rep")
     return ordered.mapInArrow(merge, "head long, into long")
 
 
+def follow_hubs(dealt: DataFrame, percent: int) -> DataFrame:
+    """(head, into): documents (side 1) that link with a hub (side 0) of their (place, part); the first one in order counts."""
+
+    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in runs(batches, ["place", "part"]):
+            rep, side, sets = part.column("rep").to_numpy(), part.column("side").to_numpy(), sets_of(part)
+            members = np.flatnonzero(side == 1)
+            if not len(members) or len(members) == len(rep):
+                continue
+            matrix, into = Matrix([sets[i] for i in members]), np.full(len(members), -1)
+            for i in np.flatnonzero(side == 0):
+                near = matrix.linked(sets[i], percent)
+                into[near[into[near] < 0]] = i
+            moved = into >= 0
+            if moved.any():
+                yield pa.RecordBatch.from_arrays([pa.array(rep[members[moved]]), pa.array(rep[into[moved]])], names=["head", "into"])
+
+    ordered = dealt.select("place", "part", "side", "rep", "tokens").repartition("place", "part")
+    return ordered.sortWithinPartitions("place", "part", "side", "rep").mapInArrow(follow, "head long, into long")
+
+
+def hubs_and_heads(placed: DataFrame, groups: DataFrame, block: int) -> DataFrame:
+    """(place, part, side, rep): the large groups' hubs of each place, in all its blocks, and the heads of small ones in one each."""
+    counts = groups.groupBy("grp").agg(F.count(F.lit(1)).alias("docs"))
+    heads = counts.join(placed, F.col("grp") == F.col("rep")).select("rep", "docs", "place")
+    by_size = Window.partitionBy("place").orderBy(F.col("docs").desc(), "rep")
+    hubs = heads.filter(F.col("docs") >= LARGE).withColumn("rank", F.row_number().over(by_size)).filter(F.col("rank") <= HUBS)
+    others = heads.filter(F.col("docs") < LARGE)
+    at = hubs.select("place").distinct()
+    near = others.join(at, "place")
+    parts = near.groupBy("place").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))
+    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    own = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int").alias("part")
+    left = hubs.join(parts, "place").select("place", every, F.lit(0).alias("side"), "rep")
+    return left.union(near.join(parts, "place").select("place", own, F.lit(1).alias("side"), "rep"))
+
+
+def by_few(large: DataFrame, small: DataFrame, on: str) -> DataFrame:
+    """Join rows of sets with a staged table of ids that is broadcast if it is counted to be small, and dealt if not."""
+    return large.join(F.broadcast(small) if small.count() <= BROADCAST_ROWS else small, on)
+
+
 def linked_groups(dealt: DataFrame, percent: int) -> DataFrame:
     """(a, b): the pairs of groups (lo, hi) of which a document of one links with one of the other.
 
@@ -271,6 +324,16 @@ def dealt_few(pairs: DataFrame, groups: DataFrame, few: int) -> DataFrame:
     return left.union(right).join(parts, "grp").select("lo", "hi", "x", "y", "side", "rep")
 
 
+def placed(tokens: DataFrame, turn: int) -> DataFrame:
+    """(rep, place): each document's least shared shingle in the order of this turn."""
+    return tokens.groupBy("rep").agg(F.min(F.xxhash64("token", F.lit(turn))).alias("place"))
+
+
+def moved(groups: DataFrame, merged: DataFrame) -> DataFrame:
+    joined = groups.join(merged, F.col("grp") == F.col("head"), "left")
+    return joined.select("rep", F.coalesce("into", "grp").alias("grp"))
+
+
 def similar_sets(
     df: DataFrame,
     key: str = "doc_id",
@@ -314,36 +377,44 @@ def similar_sets(
     likely = stage(likely.select("cls", "rep", "n"), "jaccard-likely")
     tokens = several.join(likely.select("cls", "rep"), "cls").select("rep", "token")
     tokens = stage(tokens, "jaccard-shared")
+    # Similar documents tend to have their least shingle, by an order of each round, in common. A block that holds all
+    # documents of such a place, or a share of them, is a group to begin with.
+    first = placed(tokens, 0)
+    counts = first.groupBy("place").agg(F.count(F.lit(1)).alias("n"))
+    part = F.when(F.col("n") > 1, F.pmod(F.xxhash64("rep"), F.ceil(F.col("n") / block))).otherwise(-1).cast("int")
+    dealt = stage(first.join(counts, "place").select("rep", "place", part.alias("part")), "jaccard-places")
     wanted = with_key.select(F.col(key).cast("long").alias("rep"), F.col(text).alias("text"))
-    wanted = wanted.join(likely.select("rep").distinct(), "rep", "left_semi")
-    sets = stage(sets_table(wanted, "text", size), "jaccard-sets")
-
+    sets = stage(sets_table(by_few(wanted, dealt, "rep"), size), "jaccard-sets")
+    merged = merge_blocks(sets.filter("part >= 0"), ["place", "part"], percent)
     groups = likely.select("rep", F.col("rep").alias("grp")).distinct()
+    groups = stage(moved(groups, merged), "jaccard-groups")
+    sets = sets.select("rep", "tokens")
     for turn in range(ROUNDS):
-        # Similar documents tend to have their least shingle, by an order of each round, in common.
-        heads = groups.select(F.col("grp").alias("rep")).distinct()
-        place = F.min(F.xxhash64("token", F.lit(turn))).alias("place")
-        placed = tokens.join(heads, "rep", "left_semi").groupBy("rep").agg(place)
-        counts = placed.groupBy("place").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        part = F.pmod(F.xxhash64("rep"), F.ceil(F.col("n") / block).cast("int")).alias("part")
-        dealt = placed.join(counts, "place").select("rep", "place", part).join(sets, "rep")
-        merged = merge_blocks(dealt, ["place", "part"], percent)
-        moved = groups.join(merged, F.col("grp") == F.col("head"), "left")
-        groups = stage(moved.select("rep", F.coalesce("into", "grp").alias("grp")), "jaccard-groups")
+        again = stage(hubs_and_heads(placed(tokens, turn), groups, block), "jaccard-hubs")
+        if again.isEmpty():
+            break
+        groups = stage(moved(groups, follow_hubs(by_few(sets, again, "rep"), percent)), "jaccard-groups")
 
     pairs = stage(group_pairs(tokens, groups, likely.select("rep", "n"), percent), "jaccard-pairs")
     # Most groups that belong together are told by a few members of each. The rest is compared whole.
-    told = stage(linked_groups(dealt_few(pairs, groups, FEW).join(sets, "rep"), percent), "jaccard-links")
-    first = stage(components(told, "jaccard-components"), "jaccard-first")
-    lo, hi = first.toDF("lo", "top_lo"), first.toDF("hi", "top_hi")
+    few = stage(dealt_few(pairs, groups, FEW), "jaccard-few")
+    told = stage(linked_groups(by_few(sets, few, "rep"), percent), "jaccard-links")
+    tops = stage(components(told, "jaccard-components"), "jaccard-tops")
+    lo, hi = tops.toDF("lo", "top_lo"), tops.toDF("hi", "top_hi")
     rest = pairs.filter((F.col("docs_lo") > FEW) | (F.col("docs_hi") > FEW)).join(lo, "lo", "left").join(hi, "hi", "left")
     rest = rest.filter("coalesce(top_lo, lo) <> coalesce(top_hi, hi)").select("lo", "hi", "docs_lo", "docs_hi")
-    more = linked_groups(dealt_whole(stage(rest, "jaccard-rest"), groups, block).join(sets, "rep"), percent)
-    links = told.union(more)
-
-    # A class is named by its group or its representative; ids that repeat with several texts connect theirs.
+    whole = stage(dealt_whole(stage(rest, "jaccard-rest"), groups, block), "jaccard-whole")
+    links = told.union(linked_groups(by_few(sets, whole, "rep"), percent))
+
+    # A class is named by the least id of its group, or its own; ids that repeat with several texts connect theirs.
+    least = groups.groupBy("grp").agg(F.min("rep").alias("name"))
+    names = stage(groups.join(least, "grp").select("rep", "name", "grp"), "jaccard-names")
+    heads = names.select("grp", "name").distinct()
+    ends = {c: heads.select(F.col("grp").alias(c), F.col("name").alias(f"of_{c}")) for c in ("a", "b")}
+    links = links.join(ends["a"], "a").join(ends["b"], "b").select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
     by_class = documents.join(classes, ["fp1", "fp2", "n"], "left").select("id", "n", "rep")
-    by_class = stage(by_class.join(groups, "rep", "left").select("id", "n", F.coalesce("grp", "rep").alias("grp")), "jaccard-class")
+    by_class = by_class.join(names.select("rep", "name"), "rep", "left").select("id", "n", F.coalesce("name", "rep").alias("grp"))
+    by_class = stage(by_class, "jaccard-class")
     tied = by_class.filter("id IS NOT NULL AND grp IS NOT NULL").groupBy("id")
     tied = tied.agg(F.min("grp").alias("least"), F.max("grp").alias("most")).filter("least <> most")
     across = by_class.join(tied, "id").filter("grp <> least").select(F.col("grp").alias("a"), F.col("least").alias("b"))

@@ -8,6 +8,9 @@ their sizes allow it.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable, Iterable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,24 +30,39 @@ THRESHOLD = 0.75
 GAP = r"[\x20\x09-\x0D]+"
 
 
-def pattern(anchors: tuple[str, ...] | list[str] = tuple(ANCHORS), chain: int = CHAIN) -> str:
+def any_of(words: Iterable[str]) -> str:
+    """A pattern of these words that branches letter by letter, so that a text's word is read once."""
+    tails: dict[str, set[str]] = {}
+    for word in words:
+        tails.setdefault(word[:1], set()).add(word[1:])
+    ends = "" in tails
+    branches = [re.escape(first) + any_of(rest) for first, rest in sorted(tails.items()) if first]
+    if not branches:
+        return ""
+    return f"(?:{'|'.join(branches)}){'?' if ends else ''}" if ends or len(branches) > 1 else branches[0]
+
+
+def pattern(anchors: Iterable[str] = ANCHORS, chain: int = CHAIN) -> str:
     """A zero-width match at each anchor that captures it with its chain, the anchors between included."""
-    words = "|".join(sorted(set(anchors)))
-    skip = f"(?: (?:{words})(?= ))*+"
-    return f"(?<![^ ])(?=((?:{words})(?:{skip} [^ ]++){{{chain}}}))"
+    word = any_of(anchors)
+    skip = f"(?: {word}(?= ))*+"
+    return f"(?<![^ ])(?=({word}(?:{skip} [^ ]++){{{chain}}}))"
 
 
-def signatures(text: Column, anchors: tuple[str, ...] | list[str] = tuple(ANCHORS), chain: int = CHAIN) -> Column:
-    """The sorted distinct signatures of a whole text (null: empty) as 64-bit hashes.
+def with_signatures(df: DataFrame, text: str, column: str, anchors: Iterable[str] = ANCHORS, chain: int = CHAIN) -> DataFrame:
+    """Add the sorted distinct signatures of a whole text (null: empty) as 64-bit hashes.
 
     A text without a complete chain, which is short or has no anchors, has the hash of all its words as its only
     signature, so that equal texts have equal fingerprints and different short texts different ones.
     """
-    plain = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), GAP, " "))
-    spots = F.regexp_extract_all(plain, F.lit(pattern(anchors, chain)), F.lit(1))
-    words = "|".join(sorted(set(anchors)))
-    content = F.transform(spots, lambda s: F.xxhash64(F.regexp_replace(s, f" (?:{words})(?= )", "")))
-    return F.when(F.size(spots) > 0, F.array_sort(F.array_distinct(content))).otherwise(F.array(F.xxhash64(plain, F.lit("all"))))
+    # A column for each step, as Spark would compute a step again wherever its expression stands.
+    plain = F.trim(F.regexp_replace(F.lower(F.coalesce(F.col(text), F.lit(""))), GAP, " "))
+    spots = F.regexp_extract_all(F.col("__plain"), F.lit(pattern(anchors, chain)), F.lit(1))
+    between = f" {any_of(anchors)}(?= )"
+    hashes = F.transform("__spots", lambda s: F.xxhash64(F.regexp_replace(s, between, "")))
+    whole = F.array(F.xxhash64("__plain", F.lit("all")))
+    sigs = F.when(F.size("__spots") > 0, F.array_sort(F.array_distinct(hashes))).otherwise(whole)
+    return df.withColumn("__plain", plain).withColumn("__spots", spots).withColumn(column, sigs).drop("__plain", "__spots")
 
 
 def printed(sigs: Column) -> Column:
@@ -58,8 +76,10 @@ def likeness(a: Column, b: Column) -> Column:
     return both.cast("double") / (F.size(a) + F.size(b) - both)
 
 
-def successor(df: DataFrame, key: str, text: str, derived: dict[str, Column], spread: int = 2048) -> DataFrame:
-    """Add the `derived` columns, and next_<column> of the text and of these from the row that follows.
+def successor(
+    df: DataFrame, key: str, text: str, derive: Callable[[DataFrame], DataFrame], added: list[str], spread: int = 2048
+) -> DataFrame:
+    """Add the columns that `derive` adds, and next_<column> of the text and of these from the row that follows.
 
     Rows follow in descending order of `key`; after the last comes the first. They are cut into ranges of the key with
     `spread` rows each on average, and a window runs inside each. Only the last row of a range needs the first of the
@@ -71,16 +91,16 @@ def successor(df: DataFrame, key: str, text: str, derived: dict[str, Column], sp
     top = -1 if low is None else (high - low) // width
     span = F.coalesce(F.floor((F.col(key) - F.lit(low)) / F.lit(width)).cast("long"), F.lit(-1).cast("long"))
     inside = Window.partitionBy("__range").orderBy(F.col(key).desc_nulls_last(), F.col(text))
-    carried = [text, *derived]
+    carried = [text, *added]
     following = F.struct(*[F.col(c).alias(f"next_{c}") for c in carried])
     ranged = df.select(F.col(key), F.col(text), span.alias("__range"))
-    placed = ranged.withColumns(derived).withColumn("__next", F.lead(following).over(inside))
+    placed = derive(ranged).withColumn("__next", F.lead(following).over(inside))
     # Which range follows is found on the numbers alone; of the texts only the heads are read for it.
     down = Window.orderBy(F.col("__range").desc())
     chain = ranged.select("__range").distinct()
     chain = chain.select("__range", F.coalesce(F.lead("__range").over(down), F.lit(top)).alias("__below"))
     heads = ranged.withColumn("__rank", F.row_number().over(inside)).filter("__rank = 1")
-    heads = heads.withColumns(derived).select(F.col("__range").alias("__below"), following.alias("__head"))
+    heads = derive(heads).select(F.col("__range").alias("__below"), following.alias("__head"))
     borders = chain.join(heads, "__below").select("__range", "__head")
     after = F.coalesce("__next", "__head")
     joined = placed.join(borders, "__range", "left")
@@ -88,7 +108,7 @@ def successor(df: DataFrame, key: str, text: str, derived: dict[str, Column], sp
 
 
 def matches(
-    df: DataFrame, key: str = "doc_id", text: str = "text", *, threshold: float = THRESHOLD, anchors=tuple(ANCHORS), chain: int = CHAIN
+    df: DataFrame, key: str = "doc_id", text: str = "text", *, threshold: float = THRESHOLD, anchors: Iterable[str] = ANCHORS, chain: int = CHAIN
 ) -> DataFrame:
     """One row per key: key, n_signatures, class_id (least key whose fingerprint is reachable by links of `threshold`).
 
@@ -96,7 +116,8 @@ def matches(
     inside them, sets that share one of their rarest signatures are compared, unless their lengths already rule it
     out. Equal fingerprints are one candidate. Rows with a null key are left out; a null text is empty.
     """
-    sets = df.filter(F.col(key).isNotNull()).select(F.col(key).alias("id"), signatures(F.col(text), anchors, chain).alias("sigs"))
+    sets = df.filter(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.col(text).alias("t"))
+    sets = with_signatures(sets, "t", "sigs", anchors, chain).drop("t")
     sets = stage(sets.withColumn("print", F.sha2(printed(F.col("sigs")), 256)), "spots")
     classes = sets.groupBy("print").agg(F.min("id").alias("rep"), F.first("sigs").alias("sigs"))
     classes = stage(classes.withColumn("n", F.size("sigs")), "spot-classes")
@@ -129,12 +150,12 @@ def edited_likeness(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     repeated keys follow each other by text; a table of one row is its own successor; an empty one gives an empty one.
     """
     rows = df.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    rows = successor(rows, "id", "t", {"sigs": signatures(F.col("t"))})
+    rows = successor(rows, "id", "t", lambda d: with_signatures(d, "t", "sigs"), ["sigs"])
     n = F.char_length("t").cast("long")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("t"), F.lit(1), (n - half).cast("int")), F.substring(F.col("next_t"), F.lit(1), half))
     rows = rows.select("id", n.alias("n_chars"), "sigs", "next_sigs", edited.alias("edited"))
-    rows = rows.withColumn("edited_sigs", signatures(F.col("edited")))
+    rows = with_signatures(rows, "edited", "edited_sigs")
     return rows.select(
         F.col("id").alias(key),
         "n_chars",

@@ -195,11 +195,16 @@ def quality_results(
     """Both suites, one row per expectation.
 
     `months` restricts the weather suite to the partitions a run has changed;
-    keys cannot repeat across months, so uniqueness stays complete.
+    keys cannot repeat across months, so uniqueness stays complete. The minimum of rows
+    per location is a rule on the whole fact: a location whose fetch fails as a month
+    begins still has its earlier rows.
     """
     dim = wh.read("core.location") if all_locations else None
     weather_lines = quality.checkpoint(
-        wh.read("core.weather", months), quality.weather_suite(dim), "weather_fact_checkpoint"
+        wh.read("core.weather", months),
+        quality.weather_suite(dim),
+        "weather_fact_checkpoint",
+        all_rows=wh.read("core.weather"),
     )
     revision_lines = quality.checkpoint(
         wh.read("core.revision"),
@@ -226,7 +231,7 @@ def run_daily(
 
     Raises DataQualityError when the gate fails; the marts then keep their
     previous version. With `all_locations` the gate also wants rows for every
-    location in the months of this batch. `touched_days_only` refreshes the
+    location. `touched_days_only` refreshes the
     weather mart for those months alone. Running the same batch again changes no fact row.
     """
     wh = Warehouse(spark, root)
@@ -265,6 +270,7 @@ def _run_layers(
     page_run = transform_pages(wh, now)
     quality.enforce(quality_results(wh, weather_run["months"], all_locations=all_locations))
     refreshed = refresh_marts(wh, weather_run["months"] if touched_days_only else None)
+    wh.expire()
     return {
         "locations": wh.read("core.location").count(),
         "weather_payloads": weather_run["payloads"],

@@ -203,10 +203,11 @@ def required_lines(df: DataFrame, required: Sequence[str]) -> DataFrame:
     )
 
 
-def checkpoint(df: DataFrame, suite: Suite, name: str) -> DataFrame:
+def checkpoint(df: DataFrame, suite: Suite, name: str, *, all_rows: DataFrame | None = None) -> DataFrame:
     """One row per expectation, labelled with checkpoint and suite names.
 
-    All column rules come from one aggregation; uniqueness, minimum rows and
+    Where `df` is only the part that a run has changed, `all_rows` is the table on which
+    the minimum of rows is counted; of it only the key is read. All column rules come from one aggregation; uniqueness, minimum rows and
     references take one more each.
     """
     parts: list[DataFrame] = []
@@ -215,7 +216,7 @@ def checkpoint(df: DataFrame, suite: Suite, name: str) -> DataFrame:
     if suite.unique:
         parts.append(unique_line(df, suite.unique))
     if suite.min_rows:
-        parts.append(min_rows_line(df, *suite.min_rows))
+        parts.append(min_rows_line(df if all_rows is None else all_rows, *suite.min_rows))
     if suite.references:
         parts.append(reference_line(df, *suite.references))
     if suite.required:

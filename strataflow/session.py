@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
 import contextlib
+import contextvars
 import functools
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. The shuffle width is left to the cluster: AQE
@@ -53,18 +56,33 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def run_dir(spark: SparkSession, label: str) -> str:
-    """A new, unused folder below the shared one."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new, unused folder below the shared one, for an intermediate table.
 
+    It belongs to the surrounding `staging` block and is removed when that ends well;
+    outside of any it is removed when the program ends, as its rows are read until then.
+    """
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    owner = _owner.get()
+    (_until_exit if owner is None else owner).append(path)
+    return path
 
-_staged: list[str] = []
 
+_owner: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("staging", default=None)
+_until_exit: list[str] = []
+stage_dir = run_dir
 
-def stage_dir(spark: SparkSession, label: str) -> str:
-    """A folder for an intermediate table, removed when the surrounding `staging` block ends well."""
-    path = run_dir(spark, label)
-    _staged.append(path)
-    return path
+
+def _remove(paths: Iterable[str]) -> None:
+    jvm = SparkContext._jvm
+    for path in paths if jvm else ():
+        hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
+        hadoop_path.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(hadoop_path, True)
+
+
+@atexit.register
+def _remove_at_exit() -> None:
+    with contextlib.suppress(Exception):  # the JVM may be gone already
+        _remove(_until_exit)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -81,11 +99,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 @contextlib.contextmanager
 def staging(spark: SparkSession) -> Iterator[None]:
     """Remove what was staged inside the block once it succeeds; after a failure it stays for a look or a replay."""
-    mark = len(_staged)
-    yield
-    done = _staged[mark:]
-    del _staged[mark:]
-    for path in done:
+    mine: list[str] = []
+    token = _owner.set(mine)
+    try:
+        yield
+    finally:
+        _owner.reset(token)
+    for path in mine:
         fs, hadoop_path = file_system(spark, path)
         fs.delete(hadoop_path, True)
 

@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from strataflow.functions.times import month_of
+from strataflow.functions.times import month_of, months_touched, ntz
+from strataflow.operators import merge
 from strataflow.operators.shape import conform
 from strataflow.schemas import TABLES
 from strataflow.session import file_system, stage_dir
@@ -155,6 +156,64 @@ class Warehouse:
         drop_months(self.spark, self.path(name), month_col, [m for m in months if m not in left])
         return staged
 
+    def stored_months(self, name: str) -> list[dt.date]:
+        """The months that a partitioned table has, from its folders."""
+        marks = [c.partition("=") for c in child_names(self.spark, self.path(name))]
+        return sorted(dt.date.fromisoformat(value) for column, _, value in marks if column == TABLES[name][1])
+
+    def _met(self, name: str, start: dt.datetime, end: dt.datetime) -> list[dt.date]:
+        touched = set(months_touched(start, end))
+        return [m for m in self.stored_months(name) if m in touched]
+
+    def delete_range(
+        self, name: str, ts_col: str, start: dt.datetime, end: dt.datetime, sort_by: Iterable[str] = ()
+    ) -> list[dt.date]:
+        """Delete the rows of [start, end); returns the months rewritten. Other months keep their files."""
+        months = self._met(name, start, end)
+        if months:
+            kept = merge.delete_range(self.read(name, months), ts_col, start, end)
+            self.replace_months(name, kept, months, sort_by)
+        return months
+
+    def replace_range(
+        self,
+        name: str,
+        batch: DataFrame,
+        ts_col: str,
+        start: dt.datetime,
+        end: dt.datetime,
+        sort_by: Iterable[str] = (),
+    ) -> list[dt.date]:
+        """Backfill: put the rows of the batch in the place of those of [start, end); returns the months rewritten."""
+        schema, month_col = TABLES[name]
+        months = months_touched(start, end)
+        fresh = conform(with_month(batch, ts_col, month_col), schema)
+        self.replace_months(name, merge.replace_range(self.read(name, months), fresh, ts_col, start, end), months, sort_by)
+        return months
+
+    def archive_before(self, name: str, cutoff: dt.date, folder: str) -> list[dt.date]:
+        """Move whole months before the cutoff to another folder of the same layout; returns them.
+
+        A month is detached only after its copy is complete, so a run that dies in between can be repeated.
+        """
+        month_col = TABLES[name][1]
+        old = [m for m in self.stored_months(name) if m < cutoff.replace(day=1)]
+        if old:
+            write_months(by_month(self.read(name, old), month_col), folder, month_col)
+            drop_months(self.spark, self.path(name), month_col, old)
+        return old
+
+    def delete_loaded_before(self, name: str, cutoff: dt.datetime) -> None:
+        """Retention of an append-only table: drop the rows ingested before the cutoff; those without a time stay."""
+        path, folder = self.path(name), stage_dir(self.spark, "kept")
+        old = F.coalesce(F.col("ingested_at") < ntz(cutoff), F.lit(False))
+        self.read(name).filter(~old).write.parquet(folder)
+        self.spark.read.schema(TABLES[name][0]).parquet(folder).write.mode("overwrite").parquet(path)
+
+    def expire(self, keep: int = 2) -> dict[str, list[int]]:
+        """Delete all but the newest versions of every versioned table."""
+        return {n: expire_versions(self.spark, self.path(n), keep) for n in TABLES if self._versioned(n)}
+
     def register(self, database_prefix: str = "") -> list[str]:
         """Make the tables queryable as `raw.x`, `core.x`, `mart.x` in Spark SQL, at their current versions."""
         names = []

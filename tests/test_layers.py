@@ -7,7 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from strataflow import schemas
+from strataflow import schemas, session
 from strataflow.operators.shape import conform, contract_report, evolve
 from strataflow.plans import daily, marts, pages, quality, reads, reports, weather
 from strataflow.schemas import LOCATION, PAGE, RAW_PAGES, RAW_WEATHER, REVISION, WEATHER
@@ -561,3 +561,68 @@ def test_landing_files_with_nested_payloads(spark, tmp_path):
 def test_request_window_has_nine_dates():
     start, end = landing.request_window(NOW)
     assert (start, (end - start).days) == (dt.datetime(2024, 11, 7), 9)
+
+
+# Stored tables
+
+
+def months_of(spark, *days):
+    rows = [{"location_id": i, "observed_at": d, "temperature_celsius": Decimal(i)} for i, d in enumerate(days)]
+    return tables.with_month(conform(spark.createDataFrame(rows, "location_id bigint, observed_at timestamp_ntz, temperature_celsius decimal(5,2)"), WEATHER), "observed_at")
+
+
+def files_of(wh, month):
+    fs, path = tables.file_system(wh.spark, f"{wh.path('core.weather')}/obs_month={month}")
+    return sorted(s.getPath().getName() for s in fs.listStatus(path)) if fs.exists(path) else []
+
+
+def test_stored_ranges_are_deleted_replaced_and_archived(spark, root):
+    days = [dt.datetime(2024, m, d) for m in (9, 10, 11, 12) for d in (1, 15)]
+    wh = Warehouse(spark, root)
+    wh.replace_months("core.weather", months_of(spark, *days), [d.date().replace(day=1) for d in days])
+    before = {m: files_of(wh, f"2024-{m:02}-01") for m in (9, 10, 11, 12)}
+    stored = lambda: sorted(r.observed_at for r in wh.read("core.weather").collect())
+
+    assert wh.delete_range("core.weather", "observed_at", days[3], days[4]) == [dt.date(2024, 10, 1)]
+    assert stored() == [*days[:3], *days[4:]]
+    batch = conform(months_of(spark, dt.datetime(2024, 11, 2), dt.datetime(2024, 11, 3)), WEATHER)
+    wh.replace_range("core.weather", batch, "observed_at", days[4], days[6])
+    assert stored() == [*days[:3], dt.datetime(2024, 11, 2), dt.datetime(2024, 11, 3), *days[6:]]
+    assert files_of(wh, "2024-09-01") == before[9] and files_of(wh, "2024-12-01") == before[12]
+    assert files_of(wh, "2024-10-01") != before[10]
+
+    assert wh.archive_before("core.weather", dt.date(2024, 10, 20), f"{root}/old") == [dt.date(2024, 9, 1)]
+    assert stored()[0] == days[2] and files_of(wh, "2024-12-01") == before[12]
+    assert sorted(r.observed_at for r in spark.read.parquet(f"{root}/old").collect()) == days[:2]
+    assert wh.archive_before("core.weather", dt.date(2024, 10, 20), f"{root}/old") == []
+
+
+def test_old_raw_rows_are_dropped(spark, root):
+    wh = Warehouse(spark, root)
+    wh.append("raw.weather_observations", raw_rows(spark, (1, "Boston", "x", NOW), (2, "Boston", "y", NOW + dt.timedelta(days=2))))
+    wh.delete_loaded_before("raw.weather_observations", NOW + dt.timedelta(days=1))
+    assert [r.id for r in wh.read("raw.weather_observations").collect()] == [2]
+
+
+def test_a_location_without_new_rows_does_not_stop_the_run(spark, root):
+    """Boston alone is fetched as a month begins; Chicago has its rows of the month before."""
+    first = weather_landing(spark, Boston=payload(), Chicago=payload())
+    daily.run_daily(spark, root, NOW, weather_landing=first, seeds=seed_pair(spark))
+    december = [t.replace("-11-08", "-12-01") for t in HOURS]
+    later = weather_landing(spark, Boston=payload(times=december))
+    status = daily.run_daily(spark, root, NOW + dt.timedelta(days=23), weather_landing=later).first()
+    assert status.run_status == "success" and status.quality_passed
+    wh = Warehouse(spark, root)
+    assert all(len(tables.versions(spark, wh.path(n))) <= 2 for n in ("core.location", "core.wikipedia_page", *daily.MARTS))
+
+
+def test_staged_folders_have_an_owner(spark):
+    df = spark.range(3)
+    with session.staging(spark):
+        inner = session.stage(df, "inner")
+        path = inner.inputFiles()[0].rsplit("/", 1)[0]
+        assert inner.count() == 3 and tables.path_exists(spark, path)
+    assert not tables.path_exists(spark, path)
+    loose = session.stage(df, "loose").inputFiles()[0].rsplit("/", 1)[0]
+    session._remove([loose])
+    assert not tables.path_exists(spark, loose)

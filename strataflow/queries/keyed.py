@@ -280,6 +280,59 @@ def fact_upsert(t: Tables) -> DataFrame:
     )
 
 
+def upserted_locations(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """(dimension, the same after the batch); every batch row is there twice, as a feed may list it."""
+    location = bind.location(t)
+    dim = location.filter(F.col("longitude") < 20).drop("balance")
+    batch = location.filter(F.col("longitude") >= 5).withColumn("city", F.lower("city"))
+    batch = batch.select(*LOCATION_KEY, "country", "region", "city")
+    merged = merge.dim_upsert(
+        dim,
+        batch.unionByName(batch),
+        LOCATION_KEY,
+        ("country", "region", "city"),
+        id_col="location_id",
+        now=bind.NOW,
+        created_cols=("created_at",),
+        touch_cols=("updated_at",),
+    )
+    return dim, merged
+
+
+UPSERTED = (
+    bind.LOCATION,
+    "dim AS (SELECT * FROM location WHERE longitude < 20)",
+    """fresh AS (
+  SELECT b.* FROM location b ANTI JOIN dim d
+    ON b.location_name = d.location_name AND b.latitude = d.latitude AND b.longitude = d.longitude
+  WHERE b.longitude >= 5)""",
+)
+
+
+@query(
+    bind.sql(
+        *UPSERTED,
+        body="""
+SELECT (SELECT COUNT(*) FROM dim) + COUNT(*) AS row_count, (SELECT COUNT(*) FROM dim) + COUNT(*) AS distinct_ids,
+       (SELECT COUNT(*) FROM dim) AS kept_ids, (SELECT MAX(location_id) FROM dim) + 1 AS lowest_new,
+       (SELECT MAX(location_id) FROM dim) + COUNT(*) AS highest_new
+FROM fresh""",
+    )
+)
+def dim_upsert_ids(t: Tables) -> DataFrame:
+    """The surrogates of an upsert: kept ones stay, new ones go on above them without gaps."""
+    dim, merged = upserted_locations(t)
+    known = dim.select(*LOCATION_KEY, F.col("location_id").alias("old_id"))
+    new = F.when(F.col("old_id").isNull(), F.col("location_id"))
+    return merged.join(known, list(LOCATION_KEY), "left").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_distinct("location_id").alias("distinct_ids"),
+        count_if(F.col("old_id") == F.col("location_id")).alias("kept_ids"),
+        F.min(new).alias("lowest_new"),
+        F.max(new).alias("highest_new"),
+    )
+
+
 @query(
     bind.sql(
         bind.LOCATION,
@@ -298,19 +351,7 @@ FROM dim d FULL OUTER JOIN batch b
 )
 def dim_upsert(t: Tables) -> DataFrame:
     """Type-1 upsert on the natural key; new rows get new surrogates, which only this engine numbers."""
-    location = bind.location(t)
-    dim = location.filter(F.col("longitude") < 20).drop("balance")
-    batch = location.filter(F.col("longitude") >= 5).withColumn("city", F.lower("city"))
-    merged = merge.dim_upsert(
-        dim,
-        batch.select(*LOCATION_KEY, "country", "region", "city"),
-        LOCATION_KEY,
-        ("country", "region", "city"),
-        id_col="location_id",
-        now=bind.NOW,
-        created_cols=("created_at",),
-        touch_cols=("updated_at",),
-    )
+    dim, merged = upserted_locations(t)
     known = dim.select(*LOCATION_KEY, F.col("location_id").alias("old_id"))
     return merged.join(known, list(LOCATION_KEY), "left").select(
         "location_name",

@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from strataflow.functions.times import ntz
 from strataflow.operators import aggregate
+from strataflow.operators.keys import surrogate_ids
+from strataflow.operators.ordered import with_closest
 from strataflow.operators.scd import scd2_history
 from strataflow.plans import marts, reads, reports
 from strataflow.queries import bind
 from strataflow.registry import Tables, query
+from strataflow.session import stage
 
 WEATHER = (bind.FACT, bind.LOCATION, bind.WEATHER_MART)
 PAGES = (bind.REVISION, bind.PAGE, bind.PAGE_MART)
@@ -205,6 +208,34 @@ def fact_scd2_join(t: Tables) -> DataFrame:
     return versions.select("user_id", "event_type", "valid_from").join(totals, "user_id")
 
 
+@query("""
+WITH marked AS (
+  SELECT user_id, event_type, ts, lag(event_type) OVER w AS before, row_number() OVER w AS rn
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+starts AS (
+  SELECT user_id, event_type, ts AS valid_from, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS valid_to
+  FROM marked WHERE rn = 1 OR event_type IS DISTINCT FROM before)
+SELECT s.user_id, s.event_type, s.valid_from, s.valid_to IS NULL AS is_current,
+       COUNT(*) AS row_count, MIN(e.ts) AS first_ts, MAX(e.ts) AS last_ts
+FROM starts s JOIN events e
+  ON s.user_id = e.user_id AND e.ts >= s.valid_from AND (s.valid_to IS NULL OR e.ts < s.valid_to)
+GROUP BY ALL
+""")
+def fact_version_join(t: Tables) -> DataFrame:
+    """Facts that were loaded with the surrogate of their time's version, joined to all versions on it."""
+    history = scd2_history(t.events, ["user_id"], "event_type", "ts")
+    numbered = surrogate_ids(history, history.select(F.lit(0).alias("version_id")).limit(0), "version_id", ["user_id", "valid_from"])
+    dim = stage(numbered, "versions")
+    starts = dim.select("user_id", F.col("valid_from").alias("ts"), F.lit(-1).cast("bigint").alias("event_id"), "version_id")
+    line = starts.unionByName(t.events.select("user_id", "ts", "event_id"), allowMissingColumns=True)
+    loaded = with_closest(line, ["user_id"], ["ts", "event_id"], "version_id", before="page_version", after="__later")
+    fact = loaded.filter(F.col("event_id") >= 0).select("ts", F.col("page_version").alias("version_id"))
+    totals = aggregate.span(fact, ["version_id"], "ts", n="row_count", first="first_ts", last="last_ts")
+    return dim.join(totals, "version_id").select(
+        "user_id", "event_type", "valid_from", "is_current", "row_count", "first_ts", "last_ts"
+    )
+
+
 @query(
     bind.sql(
         *PAGES,

@@ -5,12 +5,12 @@ over the whole corpus finds in few texts come first. If two sets are similar eno
 order, about a third of them, must have a certain number in common; candidates that have too few of these in common
 with anything cannot link at all.
 
-The rest is partitioned into groups of similar documents, in rounds over blocks of bounded size. The shingles of a
-block's documents are kept as a matrix of tokens and documents whose rows are the block's token union. A query is
-first held against the union: only where enough of its shingles are there is the block opened, and the overlap with
-each document counted. Afterwards only pairs of different groups are left to check, those whose token unions meet
-often enough, again block by block. No group is ever expanded into all its pairs, and no check is left out: blocks
-bound the memory, not the number of partners.
+The rest is partitioned into blocks of similar documents, of bounded size. The shingles of a block's documents are kept
+as a matrix of tokens and documents whose rows are the block's token union. A query is first held against the union:
+only where enough of its shingles are there is the block opened, and the overlap with each document counted. That finds
+the links within each block, and groups; the hubs of large groups then draw in what is like them elsewhere. Last, blocks
+whose token unions meet often enough are held against each other, unless all their documents are in one group already.
+No block is expanded into pairs, and no check is left out: blocks bound the memory, not the number of partners.
 """
 
 from __future__ import annotations
@@ -32,8 +32,8 @@ SIZE, PERCENT = 5, 75
 # Slots of the counting sketch; the broadcast bitmap of frequent slots has a bit for each, whatever the corpus.
 SLOTS = 1 << 22
 SLOT_BLOCK = 1 << 16
-# Documents of a block, and members by which two groups are compared before they are compared whole.
-BLOCK, FEW = 256, 4
+# Documents of a block.
+BLOCK = 256
 # In further rounds, groups of at least so many documents draw in others by the HUBS largest groups of each place.
 ROUNDS, LARGE, HUBS = 3, 8, 8
 # Rows of ids, some 40 bytes each, up to which a table may be broadcast.
@@ -262,66 +262,50 @@ def by_few(large: DataFrame, small: DataFrame, on: str) -> DataFrame:
 
 
 def linked_groups(dealt: DataFrame, percent: int) -> DataFrame:
-    """(a, b): the pairs of groups (lo, hi) of which a document of one links with one of the other.
+    """(a, b): pairs of groups that a link between two blocks connects, as many as it takes to connect them.
 
-    Rows are (lo, hi, x, y, side, rep, tokens): block x of group lo on side 0 against block y of group hi on side 1.
+    Rows are (lo, hi, side, rep, grp, tokens): the documents of block lo on side 0 against those of block hi on side 1.
     """
-    key = ["lo", "hi", "x", "y"]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in runs(batches, key):
-            side, sets = part.column("side").to_numpy(), sets_of(part)
-            members = [s for s, at in zip(sets, side, strict=True) if at == 1]
-            queries = [s for s, at in zip(sets, side, strict=True) if at == 0]
-            if members and queries:
-                matrix = Matrix(members)
-                if any(len(matrix.linked(q, percent)) for q in queries):
-                    ends = [part.column(c).combine_chunks()[:1] for c in ("lo", "hi")]
-                    yield pa.RecordBatch.from_arrays(ends, names=["a", "b"])
-
-    ordered = dealt.select(*key, "side", "rep", "tokens").repartition(*key).sortWithinPartitions(*key, "side", "rep")
-    return ordered.mapInArrow(compare, "a long, b long")
-
-
-def group_pairs(tokens: DataFrame, groups: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of groups (lo, hi, docs_lo, docs_hi) whose token unions meet so often, and sizes are so close, that a link can be."""
-    named = tokens.join(groups, "rep").select("token", "grp").distinct()
-    one, two = named.select("token", F.col("grp").alias("lo")), named.select("token", F.col("grp").alias("hi"))
+        for part in runs(batches, ["lo", "hi"]):
+            side, grp, sets = part.column("side").to_numpy(), part.column("grp").to_numpy(), sets_of(part)
+            names, own = np.unique(grp, return_inverse=True)
+            members, queries = np.flatnonzero(side == 1), np.flatnonzero(side == 0)
+            if len(names) < 2 or not len(members) or not len(queries):
+                continue
+            matrix, top, edges = Matrix([sets[i] for i in members]), np.arange(len(names)), []
+            for i in queries:
+                for j in members[matrix.linked(sets[i], percent)]:
+                    x, y = top[own[i]], top[own[j]]
+                    if x != y:
+                        top[top == max(x, y)] = min(x, y)
+                        edges.append((names[own[i]], names[own[j]]))
+            if edges:
+                a, b = zip(*edges, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    ordered = dealt.select("lo", "hi", "side", "rep", "grp", "tokens").repartition("lo", "hi")
+    return ordered.sortWithinPartitions("lo", "hi", "side", "rep").mapInArrow(compare, "a long, b long")
+
+
+def block_pairs(tokens: DataFrame, blocks: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of blocks (lo, hi) that may hold a link: token unions that meet often enough, sizes close enough.
+
+    Blocks all of whose documents are in one group already are not paired with each other. `blocks` has (rep, block, grp).
+    """
+    named = tokens.join(blocks.select("rep", "block"), "rep").select("token", "block").distinct()
+    one, two = named.select("token", F.col("block").alias("lo")), named.select("token", F.col("block").alias("hi"))
     meets = one.join(two, "token").filter("lo < hi").groupBy("lo", "hi").agg(F.count(F.lit(1)).alias("meets"))
-    extent = groups.join(sizes, "rep").groupBy("grp")
-    extent = extent.agg(F.min("n").alias("small"), F.max("n").alias("large"), F.count(F.lit(1)).alias("docs"))
+    only = F.when(F.min("grp") == F.max("grp"), F.min("grp")).alias("only")
+    extent = blocks.join(sizes, "rep").groupBy("block").agg(F.min("n").alias("small"), F.max("n").alias("large"), only)
     extent = stage(extent, "jaccard-extent")
-    a, b = extent.toDF("lo", "small_lo", "large_lo", "docs_lo"), extent.toDF("hi", "small_hi", "large_hi", "docs_hi")
+    a, b = extent.toDF("lo", "small_lo", "large_lo", "only_lo"), extent.toDF("hi", "small_hi", "large_hi", "only_hi")
     near_lo = F.col("large_lo") * 100 >= F.col("small_hi") * percent
     near_hi = F.col("large_hi") * 100 >= F.col("small_lo") * percent
     enough = F.col("meets") >= 1 + F.floor(F.least("small_lo", "small_hi") / 16)
-    found = meets.join(a, "lo").join(b, "hi").filter(near_lo & near_hi & enough)
-    return found.select("lo", "hi", "docs_lo", "docs_hi")
-
-
-def dealt_whole(pairs: DataFrame, groups: DataFrame, block: int) -> DataFrame:
-    """Every block of a pair's one group against every block of the other, as (lo, hi, x, y, side, rep)."""
-    blocks = {side: F.ceil(F.col(f"docs_{side}") / block).cast("int") for side in ("lo", "hi")}
-    sizes = pairs.select(F.col("lo").alias("grp"), F.col("docs_lo").alias("docs"))
-    sizes = sizes.union(pairs.select(F.col("hi").alias("grp"), F.col("docs_hi").alias("docs"))).distinct()
-    own = F.pmod(F.xxhash64("rep"), F.ceil(F.col("docs") / block).cast("int")).cast("int").alias("part")
-    parts = groups.join(sizes, "grp").select("rep", "grp", own)
-    span = F.explode(F.sequence(F.lit(0), blocks["lo"] - 1))
-    each = pairs.select("lo", "hi", blocks["hi"].alias("of_hi"), span.alias("x"))
-    each = each.select("lo", "hi", "x", F.explode(F.sequence(F.lit(0), F.col("of_hi") - 1)).alias("y"))
-    left = each.select("lo", "hi", "x", "y", F.lit(0).alias("side"), F.col("lo").alias("grp"), F.col("x").alias("part"))
-    right = each.select("lo", "hi", "x", "y", F.lit(1).alias("side"), F.col("hi").alias("grp"), F.col("y").alias("part"))
-    return left.union(right).join(parts, ["grp", "part"]).select("lo", "hi", "x", "y", "side", "rep")
-
-
-def dealt_few(pairs: DataFrame, groups: DataFrame, few: int) -> DataFrame:
-    """A pair's groups by `few` members of each, in the form of `dealt_whole`."""
-    by_hash = Window.partitionBy("grp").orderBy(F.xxhash64("rep"), F.col("rep"))
-    parts = groups.withColumn("rank", F.row_number().over(by_hash)).filter(F.col("rank") <= few).select("rep", "grp")
-    zero = [F.lit(0).alias("x"), F.lit(0).alias("y")]
-    left = pairs.select("lo", "hi", *zero, F.lit(0).alias("side"), F.col("lo").alias("grp"))
-    right = pairs.select("lo", "hi", *zero, F.lit(1).alias("side"), F.col("hi").alias("grp"))
-    return left.union(right).join(parts, "grp").select("lo", "hi", "x", "y", "side", "rep")
+    apart = F.coalesce(F.col("only_lo") != F.col("only_hi"), F.lit(True))
+    return meets.join(a, "lo").join(b, "hi").filter(near_lo & near_hi & enough & apart).select("lo", "hi")
 
 
 def placed(tokens: DataFrame, turn: int) -> DataFrame:
@@ -395,16 +379,13 @@ def similar_sets(
             break
         groups = stage(moved(groups, follow_hubs(by_few(sets, again, "rep"), percent)), "jaccard-groups")
 
-    pairs = stage(group_pairs(tokens, groups, likely.select("rep", "n"), percent), "jaccard-pairs")
-    # Most groups that belong together are told by a few members of each. The rest is compared whole.
-    few = stage(dealt_few(pairs, groups, FEW), "jaccard-few")
-    told = stage(linked_groups(by_few(sets, few, "rep"), percent), "jaccard-links")
-    tops = stage(components(told, "jaccard-components"), "jaccard-tops")
-    lo, hi = tops.toDF("lo", "top_lo"), tops.toDF("hi", "top_hi")
-    rest = pairs.filter((F.col("docs_lo") > FEW) | (F.col("docs_hi") > FEW)).join(lo, "lo", "left").join(hi, "hi", "left")
-    rest = rest.filter("coalesce(top_lo, lo) <> coalesce(top_hi, hi)").select("lo", "hi", "docs_lo", "docs_hi")
-    whole = stage(dealt_whole(stage(rest, "jaccard-rest"), groups, block), "jaccard-whole")
-    links = told.union(linked_groups(by_few(sets, whole, "rep"), percent))
+    block_id = F.xxhash64("place", "part").alias("block")
+    blocks = stage(dealt.select("rep", block_id).join(groups, "rep"), "jaccard-blocks")
+    pairs = stage(block_pairs(tokens, blocks, likely.select("rep", "n"), percent), "jaccard-pairs")
+    left = pairs.select("lo", "hi", F.lit(0).alias("side"), F.col("lo").alias("block"))
+    right = pairs.select("lo", "hi", F.lit(1).alias("side"), F.col("hi").alias("block"))
+    across = stage(left.union(right).join(blocks, "block").select("lo", "hi", "side", "rep", "grp"), "jaccard-across")
+    links = linked_groups(by_few(sets, across, "rep"), percent)
 
     # A class is named by the least id of its group, or its own; ids that repeat with several texts connect theirs.
     least = groups.groupBy("grp").agg(F.min("rep").alias("name"))
@@ -417,8 +398,8 @@ def similar_sets(
     by_class = stage(by_class, "jaccard-class")
     tied = by_class.filter("id IS NOT NULL AND grp IS NOT NULL").groupBy("id")
     tied = tied.agg(F.min("grp").alias("least"), F.max("grp").alias("most")).filter("least <> most")
-    across = by_class.join(tied, "id").filter("grp <> least").select(F.col("grp").alias("a"), F.col("least").alias("b"))
-    tops = components(links.union(across), "jaccard-components").toDF("grp", "top")
+    tied = by_class.join(tied, "id").filter("grp <> least").select(F.col("grp").alias("a"), F.col("least").alias("b"))
+    tops = components(links.union(tied), "jaccard-components").toDF("grp", "top")
     return by_class.join(tops, "grp", "left").select(
         F.col("id").alias(key),
         F.coalesce("n", F.lit(0)).cast("long").alias("n_shingles"),

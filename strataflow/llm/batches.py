@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 
 PIECE_CHARS = 1 << 20
+SLICE_ROWS = 512
+
+
+def sliced(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, without a copy: what Python makes of a batch stays small."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
 
 
 def pieces(texts: Sequence[str | None], limit: int = PIECE_CHARS) -> Iterator[tuple[int, int]]:

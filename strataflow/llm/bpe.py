@@ -29,6 +29,8 @@ from pyspark.sql.types import (
     StructType,
 )
 
+from strataflow.llm.batches import sliced
+
 # A pair that cannot merge. Ranks stay below 2^31, positions below 2^31.
 NONE = np.int64(1) << 62
 # Pieces that one worker remembers; beyond that the memory starts anew, which changes no result.
@@ -104,6 +106,7 @@ class Codec:
         self.of_byte = np.array([self.ranks.get(bytes([b]), -1) for b in range(256)], np.int64)
         if (self.of_byte < 0).any():
             raise ValueError("the vocabulary must hold all 256 single bytes")
+        self.number = list(range(max(self.tokens, default=0) + 1))  # one object for each id, however often it is kept
         self.known: dict[str, tuple[tuple[int, ...], str, bytes]] = {}
 
     def merge_together(self, pieces: Sequence[bytes], size: int) -> list[tuple[int, ...]]:
@@ -220,7 +223,7 @@ class Codec:
             new = list(set(pieces))
         encoded = self.merge([p.encode("utf-8", "surrogatepass") for p in new])
         for piece, ids in zip(new, encoded, strict=True):
-            self.known[piece] = (ids, ",".join(map(str, ids)), self.decode(ids))
+            self.known[piece] = (tuple([self.number[i] for i in ids]), ",".join(map(str, ids)), self.decode(ids))
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join([self.tokens[i] for i in ids])
@@ -289,7 +292,7 @@ def tokenize(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(shared.value, pattern)
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch.column(len(kept)).to_pylist()
             made: dict[str, list] = {o: [] for o in outputs}
             for entries in coder.encode(texts):

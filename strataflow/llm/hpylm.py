@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.llm.batches import pieces, runs
+from strataflow.llm.batches import pieces, runs, sliced
 from strataflow.llm.words import word_hashes
 from strataflow.session import stage
 
@@ -90,7 +90,7 @@ def chunked(df: DataFrame, key: str, text: str, held_out: Column) -> DataFrame:
                 names=names,
             )
 
-        for batch in batches:
+        for batch in sliced(batches):
             keys, outside, texts = (c.to_pylist() for c in batch.columns)
             for lo, hi in pieces(texts):
                 words, bounds = word_hashes(texts[lo:hi])

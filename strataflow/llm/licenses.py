@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.llm.batches import pieces
+from strataflow.llm.batches import pieces, sliced
 from strataflow.llm.words import _STEP, mix, word_hashes
 
 # Notices by which public licences are named, by family.
@@ -91,6 +91,8 @@ CUE = r"(?i)licen[cs]|copyright|rights reserved|creative commons|public domain|s
 DIMS = 1 << 16
 #: The bounded sample of paragraphs without a cue that the classifier is fitted on, and the variants of each template.
 NEGATIVES, VARIANTS = 3000, 40
+# So many times the sample's documents are looked at, as some have a cue.
+OVERSAMPLE = 8
 WINDOW, STRIDE = 24, 12
 CONFIDENT, AGREEMENT = 0.6, 0.6
 NONE, UNKNOWN = "none", "unknown"
@@ -228,6 +230,9 @@ def scan_lines(model: Classifier, lines: Sequence[str]) -> dict[int, set[str]]:
 def fit(df: DataFrame, key: str = "doc_id", text: str = "text", negatives: int = NEGATIVES) -> Classifier:
     """Train on the templates and on `negatives` paragraphs without a licence cue, the first of the lowest-hashed documents."""
     clean = df.select(F.xxhash64(F.col(key)).alias("h"), F.col(text).alias("t")).filter(F.col(key).isNotNull() & F.col("t").isNotNull())
+    # So few rows are looked at that each task brings a handful, however many tasks there are.
+    share = min(1.0, OVERSAMPLE * negatives / max(1, df.count()))
+    clean = clean.filter(F.pmod("h", F.lit(1 << 30)) < int(share * (1 << 30)))
     line = F.regexp_extract("t", r"([^\r\n]*\S[^\r\n]*)", 1)
     # `negatives` rows of one line come back, the first 400 characters of each, which are more than a window.
     first = clean.select("h", F.substring(line, 1, 400).alias("line")).filter(~F.col("line").rlike(CUE) & (F.col("line") != ""))
@@ -247,7 +252,7 @@ def scan(df: DataFrame, model: Classifier, text: str = "text", keep: Sequence[st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch.column(len(kept)).to_pylist()
             families: list[set[str]] = [set() for _ in texts]
             notices = [0] * len(texts)

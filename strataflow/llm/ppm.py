@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from strataflow.llm.batches import pieces
+from strataflow.llm.batches import pieces, sliced
 from strataflow.session import stage
 
 UNDETERMINED = "und"
@@ -250,7 +250,7 @@ def predict(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch.column(len(kept_names)).to_pylist()
             language, score = [UNDETERMINED] * len(texts), [0.0] * len(texts)
             known = [i for i, t in enumerate(texts) if t] if own.languages else []

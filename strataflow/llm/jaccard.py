@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataflow.llm.batches import pieces, runs
+from strataflow.llm.batches import pieces, runs, sliced
 from strataflow.llm.components import components
 from strataflow.llm.words import mix, shingle_sets
 from strataflow.session import stage
@@ -32,8 +32,8 @@ SIZE, PERCENT = 5, 75
 # Slots of the counting sketch; the broadcast bitmap of frequent slots has a bit for each, whatever the corpus.
 SLOTS = 1 << 22
 SLOT_BLOCK = 1 << 16
-# Documents of a block.
-BLOCK = 256
+# Documents of a block, and of those held against one at a time.
+BLOCK, SHARE = 256, 2048
 # In further rounds, groups of at least so many documents draw in others by the HUBS largest groups of each place.
 ROUNDS, LARGE, HUBS = 3, 8, 8
 # Rows of ids, some 40 bytes each, up to which a table may be broadcast.
@@ -86,7 +86,7 @@ def survey(df: DataFrame, key: str, text: str, size: int, slots: int) -> DataFra
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(slots, np.uint32)
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch.column(1).to_pylist()
             n, one, two = [], [], []
             for lo, hi in pieces(texts):
@@ -151,7 +151,7 @@ def prefixes(df: DataFrame, text: str, size: int, percent: int, slots: int, bitm
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, told = np.unpackbits(shared.value).astype(bool), set()
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch.column(0).to_pylist()
             for lo, hi in pieces(texts):
                 names, leading = [], []
@@ -176,7 +176,7 @@ def sets_table(df: DataFrame, size: int) -> DataFrame:
     """(rep, place, part, tokens) of rows (rep, place, part, text)."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch.column(3).to_pylist()
             for lo, hi in pieces(texts):
                 sets = shingle_sets(texts[lo:hi], size)
@@ -264,11 +264,12 @@ def by_few(large: DataFrame, small: DataFrame, on: str) -> DataFrame:
 def linked_groups(dealt: DataFrame, percent: int) -> DataFrame:
     """(a, b): pairs of groups that a link between two blocks connects, as many as it takes to connect them.
 
-    Rows are (lo, hi, side, rep, grp, tokens): the documents of block lo on side 0 against those of block hi on side 1.
+    Rows are (block, share, side, rep, grp, tokens): the documents of a block on side 1, and on side 0 a share of those that
+    are held against it.
     """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in runs(batches, ["lo", "hi"]):
+        for part in runs(batches, ["block", "share"]):
             side, grp, sets = part.column("side").to_numpy(), part.column("grp").to_numpy(), sets_of(part)
             names, own = np.unique(grp, return_inverse=True)
             members, queries = np.flatnonzero(side == 1), np.flatnonzero(side == 0)
@@ -285,12 +286,27 @@ def linked_groups(dealt: DataFrame, percent: int) -> DataFrame:
                 a, b = zip(*edges, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    ordered = dealt.select("lo", "hi", "side", "rep", "grp", "tokens").repartition("lo", "hi")
-    return ordered.sortWithinPartitions("lo", "hi", "side", "rep").mapInArrow(compare, "a long, b long")
+    ordered = dealt.select("block", "share", "side", "rep", "grp", "tokens").repartition("block", "share")
+    return ordered.sortWithinPartitions("block", "share", "side", "rep").mapInArrow(compare, "a long, b long")
+
+
+def held_against(pairs: DataFrame, blocks: DataFrame) -> DataFrame:
+    """(block, share, side, rep, grp): each block of a pair that has more documents, against those of all its smaller ones.
+
+    So a block is dealt once for all that is held against it, and again only for every further SHARE of that.
+    """
+    members = blocks.select("block", "rep", "grp")
+    queries = stage(pairs.join(members.withColumnRenamed("block", "small"), "small").drop("small"), "jaccard-queries")
+    shares = queries.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / SHARE).cast("int").alias("shares"))
+    own = F.pmod(F.xxhash64("rep"), F.col("shares")).cast("int").alias("share")
+    every = F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share")
+    left = queries.join(shares, "block").select("block", own, F.lit(0).alias("side"), "rep", "grp")
+    return left.union(shares.join(members, "block").select("block", every, F.lit(1).alias("side"), "rep", "grp"))
 
 
 def block_pairs(tokens: DataFrame, blocks: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of blocks (lo, hi) that may hold a link: token unions that meet often enough, sizes close enough.
+    """Pairs (block, small) that may hold a link, `small` having no more documents: token unions that meet often enough,
+    sizes close enough.
 
     Blocks all of whose documents are in one group already are not paired with each other. `blocks` has (rep, block, grp).
     """
@@ -298,14 +314,19 @@ def block_pairs(tokens: DataFrame, blocks: DataFrame, sizes: DataFrame, percent:
     one, two = named.select("token", F.col("block").alias("lo")), named.select("token", F.col("block").alias("hi"))
     meets = one.join(two, "token").filter("lo < hi").groupBy("lo", "hi").agg(F.count(F.lit(1)).alias("meets"))
     only = F.when(F.min("grp") == F.max("grp"), F.min("grp")).alias("only")
-    extent = blocks.join(sizes, "rep").groupBy("block").agg(F.min("n").alias("small"), F.max("n").alias("large"), only)
+    docs = F.count(F.lit(1)).alias("docs")
+    extent = blocks.join(sizes, "rep").groupBy("block").agg(F.min("n").alias("small"), F.max("n").alias("large"), only, docs)
     extent = stage(extent, "jaccard-extent")
-    a, b = extent.toDF("lo", "small_lo", "large_lo", "only_lo"), extent.toDF("hi", "small_hi", "large_hi", "only_hi")
+    names = ("small", "large", "only", "docs")
+    a, b = (extent.toDF(side, *[f"{n}_{side}" for n in names]) for side in ("lo", "hi"))
     near_lo = F.col("large_lo") * 100 >= F.col("small_hi") * percent
     near_hi = F.col("large_hi") * 100 >= F.col("small_lo") * percent
     enough = F.col("meets") >= 1 + F.floor(F.least("small_lo", "small_hi") / 16)
     apart = F.coalesce(F.col("only_lo") != F.col("only_hi"), F.lit(True))
-    return meets.join(a, "lo").join(b, "hi").filter(near_lo & near_hi & enough & apart).select("lo", "hi")
+    more = F.col("docs_lo") >= F.col("docs_hi")
+    ends = [F.when(more, F.col("lo")).otherwise(F.col("hi")), F.when(more, F.col("hi")).otherwise(F.col("lo"))]
+    found = meets.join(a, "lo").join(b, "hi").filter(near_lo & near_hi & enough & apart)
+    return found.select(ends[0].alias("block"), ends[1].alias("small"))
 
 
 def placed(tokens: DataFrame, turn: int) -> DataFrame:
@@ -382,9 +403,7 @@ def similar_sets(
     block_id = F.xxhash64("place", "part").alias("block")
     blocks = stage(dealt.select("rep", block_id).join(groups, "rep"), "jaccard-blocks")
     pairs = stage(block_pairs(tokens, blocks, likely.select("rep", "n"), percent), "jaccard-pairs")
-    left = pairs.select("lo", "hi", F.lit(0).alias("side"), F.col("lo").alias("block"))
-    right = pairs.select("lo", "hi", F.lit(1).alias("side"), F.col("hi").alias("block"))
-    across = stage(left.union(right).join(blocks, "block").select("lo", "hi", "side", "rep", "grp"), "jaccard-across")
+    across = stage(held_against(pairs, blocks), "jaccard-across")
     links = linked_groups(by_few(sets, across, "rep"), percent)
 
     # A class is named by the least id of its group, or its own; ids that repeat with several texts connect theirs.

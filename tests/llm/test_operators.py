@@ -166,8 +166,9 @@ def test_jaccard_of_nothing(spark):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == [(1, 0, 1), (2, 0, 2)]
 
 
-def test_large_groups_are_compared_whole(spark):
-    """Two families that differ from each other, with more members than FEW, linked by one pair alone."""
+def test_large_groups_are_compared_whole(spark, monkeypatch):
+    """Two families that differ from each other, in several blocks each, held against each other in shares."""
+    monkeypatch.setattr(jaccard, "SHARE", 3)
     draw = random.Random(3)
     base = [f"w{i}" for i in range(200)]
     rows = []

@@ -310,5 +310,6 @@ def tokenize(
                         made["decoded_sha256"].append(hashlib.sha256(back).hexdigest())
             arrays = [batch.column(i) for i in range(len(kept))] + [pa.array(made[o], arrow[o]) for o in outputs]
             yield pa.RecordBatch.from_arrays(arrays, names=[*kept, *outputs])
+        coder.known = {}  # the worker stays, and its memory with it, for whatever runs next
 
     return source.mapInArrow(run, schema)

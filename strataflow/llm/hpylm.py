@@ -1,15 +1,17 @@
 """A hierarchical Pitman-Yor language model over words, trained and applied on Spark.
 
-Every frequent word, and the start of a text, is a context with a restaurant of its own: customers are the words
-that follow it. All of them share one parent, the restaurant of words without context, to which each of their tables
-sends a customer, as do the words after rare contexts; below it all known words and one unknown are alike. The number
-of tables at which each dish is served is sampled by Gibbs: given how many tables there are elsewhere, its conditional
-over 1, 2, ... tables is known in closed form through generalised Stirling numbers. Words of many customers are
-seated in growing batches instead. Probabilities are averaged over the samples after the first.
+Every learned word, and the start of a text, is a context with a restaurant of its own: customers are the words that
+follow it. All of them share one parent, the restaurant of words without context, to which each of their tables sends
+a customer; below it all known words and one unknown are alike. The number of tables at which each dish is served is
+sampled by Gibbs: given how many tables there are elsewhere, its conditional over 1, 2, ... tables is known in closed
+form through generalised Stirling numbers. Words of many customers are seated in growing batches instead.
+Probabilities are averaged over the samples after the first.
 
 Dishes are dealt by the hash of the word, so that all restaurants' seats for one word, and the parent's, are in one
-bucket, and a sweep exchanges nothing but the sums per context, of which there is a fixed number. Texts are kept in
-chunks, numbered once; what a chunk needs to know of the model is asked for and answered per distinct pair of words.
+bucket. The tables of a context are spread over the buckets of its dishes: after each sweep these send their part to
+the bucket of the context's own word, which answers with the sum. A pair seen once has one table whatever is drawn, so
+only pairs seen more often take part in this. Texts are kept in chunks, numbered once; what a chunk needs to know of
+the model is asked for and answered per distinct word and distinct pair of words.
 """
 
 from __future__ import annotations
@@ -28,8 +30,6 @@ from strataflow.llm.batches import pieces, runs, sliced
 from strataflow.llm.words import word_hashes
 from strataflow.session import stage
 
-#: Frequent words with a restaurant of their own; the start of a text has one more.
-CONTEXTS = 1023
 CHUNK_CHARS = 12_000_000
 BUCKET_WORDS = 1 << 18
 DISCOUNT = {"root": 0.65, "context": 0.75}
@@ -37,14 +37,15 @@ STRENGTH = {"root": 1.0, "context": 1.0}
 SWEEPS = 3
 # Dishes of up to so many customers have their tables drawn from the exact conditional.
 EXACT = 32
+# The end of a text as a word; as a context, the start of one.
 END = np.uint64(0xE0D0E0D0E0D0E0D1)
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays as one compressed value."""
+    """Arrays as one compressed value, first bytes first, which leaves runs where numbers are small or sorted."""
     parts = []
     for a in arrays:
-        data = zlib.compress(a.tobytes(), 1)
+        data = zlib.compress(np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.itemsize).T.tobytes(), 1)
         parts += [struct.pack("<2sQ", np.dtype(a.dtype).str[1:].encode(), len(data)), data]
     return b"".join(parts)
 
@@ -54,13 +55,20 @@ def unpack(data: bytes) -> list[np.ndarray]:
     while at < len(data):
         kind, n = struct.unpack_from("<2sQ", data, at)
         at += struct.calcsize("<2sQ")
-        arrays.append(np.frombuffer(zlib.decompress(data[at : at + n]), np.dtype("<" + kind.decode())))
+        dtype = np.dtype(kind.decode())
+        planes = np.frombuffer(zlib.decompress(data[at : at + n]), np.uint8).reshape(dtype.itemsize, -1)
+        arrays.append(np.ascontiguousarray(planes.T).reshape(-1).view(dtype))
         at += n
     return arrays
 
 
+def rising(a: np.ndarray) -> np.ndarray:
+    """The steps between sorted numbers, to be packed; np.cumsum turns them back."""
+    return np.diff(a, prepend=a.dtype.type(0))
+
+
 def chunked(df: DataFrame, key: str, text: str, held_out: Column) -> DataFrame:
-    """The texts as chunks of word numbers: (chunk, ids, held, lengths, words, tokens, top, top_n)."""
+    """The texts as chunks of word numbers: (chunk, ids, held, lengths, words, tokens)."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number = TaskContext.get().partitionId(), 0
@@ -71,11 +79,7 @@ def chunked(df: DataFrame, key: str, text: str, held_out: Column) -> DataFrame:
         def flush() -> pa.RecordBatch:
             n = np.concatenate(lengths)
             words, tokens = np.unique(np.concatenate(hashes), return_inverse=True)
-            learned = np.repeat(~np.array(held, bool), n)
-            seen = np.bincount(tokens[learned], minlength=len(words))
-            top = np.lexsort((words, -seen))[: 2 * CONTEXTS]
-            top = top[seen[top] > 0]
-            names = ["chunk", "ids", "held", "lengths", "words", "tokens", "top", "top_n"]
+            names = ["chunk", "ids", "held", "lengths", "words", "tokens"]
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([(part << 24) + number]),
@@ -84,8 +88,6 @@ def chunked(df: DataFrame, key: str, text: str, held_out: Column) -> DataFrame:
                     pa.array([pack(n.astype(np.uint32))]),
                     pa.array([pack(words)]),
                     pa.array([pack(tokens.astype(np.uint32))]),
-                    pa.array([words[top].view(np.int64)], pa.list_(pa.int64())),
-                    pa.array([seen[top]], pa.list_(pa.int64())),
                 ],
                 names=names,
             )
@@ -107,42 +109,43 @@ def chunked(df: DataFrame, key: str, text: str, held_out: Column) -> DataFrame:
             yield flush()
 
     source = df.select(F.col(key).cast("long"), F.coalesce(held_out, F.lit(True)), F.col(text))
-    ddl = (
-        "chunk long, ids array<long>, held array<boolean>, lengths binary, words binary, tokens binary,"
-        " top array<long>, top_n array<long>"
-    )
-    return source.mapInArrow(encode, ddl)
-
-
-def context_words(chunks: DataFrame, contexts: int) -> np.ndarray:
-    """Hashes, sorted, of the words that are most frequent among the chunks' most frequent ones; at most `contexts`."""
-    pairs = chunks.select(F.explode(F.arrays_zip("top", "top_n")).alias("p"))
-    sums = pairs.groupBy(F.col("p.top").alias("word")).agg(F.sum("p.top_n").alias("n"))
-    best = sums.orderBy(F.col("n").desc(), "word").limit(contexts).collect()
-    return np.sort(np.array([r[0] for r in best], np.int64).view(np.uint64))
+    return source.mapInArrow(encode, "chunk long, ids array<long>, held array<boolean>, lengths binary, words binary, tokens binary")
 
 
 class Chunk:
     """A chunk's tokens and the distinct (word, context) pairs among them, in the order in which they are asked for."""
 
-    def __init__(self, lengths: bytes, words: bytes, tokens: bytes, held: list[bool], contexts: np.ndarray):
+    def __init__(self, lengths: bytes, words: bytes, tokens: bytes, held: list[bool], contexts: np.ndarray | None):
         self.lengths = unpack(lengths)[0].astype(np.int64)
         self.words = unpack(words)[0]
         self.tokens = unpack(tokens)[0].astype(np.int64)
         self.first = np.cumsum(self.lengths) - self.lengths
         self.learned = np.repeat(~np.array(held, bool), self.lengths)
-        number = np.full(len(self.words), -1)
-        if len(contexts):
-            at = np.searchsorted(contexts, self.words)
-            at[at == len(contexts)] = 0
-            number = np.where(contexts[at] == self.words, at, -1)
-        context = np.empty(len(self.tokens), np.int64)
-        context[1:] = number[self.tokens[:-1]]
-        context[self.first] = len(contexts)  # the start of a text
-        self.width = len(contexts) + 1
-        self.own = context >= 0
-        pairs = self.tokens[self.own] * self.width + context[self.own]
-        self.pairs, self.pair_of = np.unique(pairs, return_inverse=True)
+        self.seen = np.bincount(self.tokens[self.learned], minlength=len(self.words)).astype(np.uint32)
+        # Before a text's first word stands the end of the text before it, or what is the same, the start of its own.
+        context = np.concatenate([[np.searchsorted(self.words, END)], self.tokens[:-1]])
+        self.own = np.ones(len(context), bool) if contexts is None else np.isin(self.words, contexts)[context]
+        self.context = context[self.own]
+        self.width = len(self.words)
+        self.pairs, self.pair_of = np.unique(self.tokens[self.own] * self.width + self.context, return_inverse=True)
+
+
+def context_words(chunks: DataFrame, contexts: int) -> np.ndarray:
+    """Hashes of the `contexts` most frequent words of all learned texts, and of the start of a text."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                held, lengths, words, tokens = (batch.column(c)[row].as_py() for c in range(4))
+                chunk = Chunk(lengths, words, tokens, held, None)
+                there = chunk.seen > 0
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(chunk.words[there].view(np.int64)), pa.array(chunk.seen[there].astype(np.int64))], names=["word", "n"]
+                )
+
+    each = chunks.select("held", "lengths", "words", "tokens").mapInArrow(count, "word long, n long")
+    best = each.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "word").limit(contexts).collect()
+    return np.append(np.array([r[0] for r in best], np.int64).view(np.uint64), END)
 
 
 def bucket_edges(words: np.ndarray, bits: int) -> np.ndarray:
@@ -151,7 +154,7 @@ def bucket_edges(words: np.ndarray, bits: int) -> np.ndarray:
     return np.append(np.searchsorted(words, marks), len(words))
 
 
-def asked(chunks: DataFrame, contexts: np.ndarray, bits: int) -> DataFrame:
+def asked(chunks: DataFrame, contexts: np.ndarray | None, bits: int) -> DataFrame:
     """(bucket, chunk, request): per bucket of words what a chunk counts there in learned texts, and asks about."""
     shared = chunks.sparkSession.sparkContext.broadcast(contexts)
 
@@ -160,57 +163,93 @@ def asked(chunks: DataFrame, contexts: np.ndarray, bits: int) -> DataFrame:
             for row in range(batch.num_rows):
                 number, held, lengths, words, tokens = (batch.column(c)[row].as_py() for c in range(5))
                 chunk = Chunk(lengths, words, tokens, held, shared.value)
-                seen = np.bincount(chunk.tokens[chunk.learned], minlength=len(chunk.words)).astype(np.uint32)
                 of_pair = np.bincount(chunk.pair_of, chunk.learned[chunk.own], len(chunk.pairs)).astype(np.uint32)
                 edges = bucket_edges(chunk.words, bits)
                 cuts = np.searchsorted(chunk.pairs, edges * chunk.width)
-                buckets, blobs = [], []
                 for b in range(1 << bits):
                     lo, hi, start, end = edges[b], edges[b + 1], cuts[b], cuts[b + 1]
                     if lo == hi:
                         continue
                     own = chunk.pairs[start:end]
-                    per_word = np.bincount(own // chunk.width - lo, minlength=hi - lo).astype(np.uint16)
-                    context = (own % chunk.width).astype(np.uint16)
-                    buckets.append(b)
-                    blobs.append(pack(chunk.words[lo:hi], seen[lo:hi], per_word, context, of_pair[start:end]))
-                arrays = [pa.array(buckets, pa.int32()), pa.array([number] * len(buckets), pa.int64()), pa.array(blobs, pa.binary())]
-                yield pa.RecordBatch.from_arrays(arrays, names=["bucket", "chunk", "request"])
+                    per_word = np.bincount(own // chunk.width - lo, minlength=hi - lo).astype(np.uint32)
+                    used, context = np.unique(own % chunk.width, return_inverse=True)
+                    blob = pack(
+                        rising(chunk.words[lo:hi]), chunk.seen[lo:hi], per_word,
+                        rising(chunk.words[used]), context.astype(np.uint32), of_pair[start:end],
+                    )
+                    arrays = [pa.array([b], pa.int32()), pa.array([number], pa.int64()), pa.array([blob], pa.binary())]
+                    yield pa.RecordBatch.from_arrays(arrays, names=["bucket", "chunk", "request"])
 
     rows = chunks.select("chunk", "held", "lengths", "words", "tokens")
     return rows.mapInArrow(ask, "bucket int, chunk long, request binary")
 
 
-def gathered(requests: DataFrame, width: int, bits: int) -> DataFrame:
-    """(bucket, state, chunks, requests): a row per bucket with the merged counts and everything asked of it."""
+def gathered(requests: DataFrame, bits: int) -> DataFrame:
+    """A row per bucket: its `words` and their counts, the `contexts` of its pairs, what is drawn anew in a sweep, and
+    per chunk what never changes, `fixed`, and the places of what does, `wanted`.
+
+    Drawn anew are the tables of `live`, the pairs seen more than once, with contexts numbered as in `near`.
+    """
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in runs(batches, ["bucket"]):
-            told = part.column("request").to_pylist()
-            parts = [unpack(r) for r in told]
+            parts = []
+            for steps, seen, per_word, about, *rest in (unpack(r) for r in part.column("request").to_pylist()):
+                parts.append((np.cumsum(steps), seen, per_word, np.cumsum(about), *rest))
             words = np.unique(np.concatenate([p[0][p[1] > 0] for p in parts]))
+            contexts = np.unique(np.concatenate([p[3] for p in parts]))
+            width = max(1, len(contexts))
             count = np.zeros(len(words), np.int64)
-            keys, counts = [], []
-            for own, seen, per_word, context, of_pair in parts:
-                known = seen > 0
-                at = np.zeros(len(own), np.int64)
-                at[known] = np.searchsorted(words, own[known])
-                count += np.bincount(at[known], seen[known], len(words)).astype(np.int64)
-                there = of_pair > 0  # a pair that was learned has a word that was
-                keys.append((np.repeat(at, per_word) * width + context)[there])
-                counts.append(of_pair[there].astype(np.int64))
+            keys, counts, asks = [], [], []
+            for own, seen, per_word, about, context, of_pair in parts:
+                at = np.full(len(own), -1)
+                if len(words):
+                    at = np.searchsorted(words, own)
+                    at[at == len(words)] = 0
+                    at[words[at] != own] = -1
+                count += np.bincount(at[seen > 0], seen[seen > 0], len(words)).astype(np.int64)
+                word_of = np.repeat(at, per_word)
+                key = np.where(word_of >= 0, word_of * width + np.searchsorted(contexts, about)[context], -1)
+                keys.append(key[of_pair > 0])  # a pair that was learned has a word that was
+                counts.append(of_pair[of_pair > 0].astype(np.int64))
+                asks.append((at, key))
             pairs, place = np.unique(np.concatenate(keys), return_inverse=True)
             together = np.bincount(place, np.concatenate(counts), len(pairs)).astype(np.int64)
-            arrays = [
-                part.column("bucket").combine_chunks()[:1],
-                pa.array([pack(words, count, pairs, together)]),
-                pa.array([part.column("chunk").to_pylist()], pa.list_(pa.int64())),
-                pa.array([told], pa.list_(pa.binary())),
-            ]
-            yield pa.RecordBatch.from_arrays(arrays, names=["bucket", "state", "chunks", "requests"])
+            again = together > 1
+            number_of = np.cumsum(again) - 1
+            fixed, wanted = [], []
+            for at, key in asks:
+                of_pair, place = np.zeros(len(key), np.uint32), np.zeros(len(key), np.int64)
+                if len(pairs):
+                    place = np.searchsorted(pairs, key)
+                    place[place == len(pairs)] = 0
+                    met = pairs[place] == key
+                    of_pair[met] = together[place[met]]
+                fixed.append(pack(np.append(count, 0)[at].astype(np.uint32), of_pair))
+                wanted.append(pack(at >= 0, rising(at[at >= 0]).astype(np.uint32), rising(number_of[place[of_pair > 1]]).astype(np.uint32)))
+            near, number = np.unique(pairs[again] % width, return_inverse=True)
+            live = pack(np.zeros(len(words), np.uint8), count, pairs[again] // width * max(1, len(near)) + number, together[again])
+            used, n = np.unique(pairs % width, return_counts=True)
+            at_root = count.sum() - together.sum() + len(pairs)
+            values = {
+                "bucket": part.column("bucket").combine_chunks()[:1],
+                "words": pa.array([pack(rising(words), count)], pa.binary()),
+                "contexts": pa.array([pack(rising(contexts[used]), n.astype(np.uint32), np.isin(used, near))], pa.binary()),
+                "sums": pa.array([[count.sum(), len(words), at_root, len(words)]], pa.list_(pa.float64())),
+                "live": pa.array([live], pa.binary()),
+                "near": pa.array([pack(rising(contexts[near]))], pa.binary()),
+                "chunks": pa.array([part.column("chunk").to_pylist()], pa.list_(pa.int64())),
+                "fixed": pa.array([fixed], pa.list_(pa.binary())),
+                "wanted": pa.array([wanted], pa.list_(pa.binary())),
+            }
+            yield pa.RecordBatch.from_arrays(list(values.values()), names=list(values))
 
     dealt = requests.repartition(1 << bits, "bucket").sortWithinPartitions("bucket", "chunk")
-    return dealt.mapInArrow(merge, "bucket int, state binary, chunks array<long>, requests array<binary>")
+    ddl = (
+        "bucket int, words binary, contexts binary, sums array<double>, live binary, near binary,"
+        " chunks array<long>, fixed array<binary>, wanted array<binary>"
+    )
+    return dealt.mapInArrow(merge, ddl)
 
 
 def stirling(discount: float, most: int) -> np.ndarray:
@@ -256,7 +295,7 @@ def seat(draw: np.random.Generator, customers: np.ndarray, new: np.ndarray, disc
 
 
 class Totals:
-    """Sums over all buckets: customers and tables of each context, then words, customers and tables of the root."""
+    """Sums over all buckets: customers and tables of a bucket's contexts, then words, customers and tables of the root."""
 
     def __init__(self, sums: np.ndarray, width: int):
         self.customers, self.tables = sums[:width], sums[width : 2 * width]
@@ -265,7 +304,7 @@ class Totals:
 
 def state_of(data: bytes, width: int) -> tuple[np.ndarray, ...]:
     words, count, pairs, together = unpack(data)
-    return words, count, pairs // width, pairs % width, together
+    return words, count, pairs // max(1, width), pairs % max(1, width), together
 
 
 def sweeps(bucket: int, data: bytes, width: int, history: list[np.ndarray], seed: int) -> Iterator[tuple[np.ndarray, ...]]:
@@ -297,75 +336,138 @@ def root_probability(customers: np.ndarray, tables: np.ndarray, totals: Totals)
     return (customers - DISCOUNT["root"] * tables + unseen) / (STRENGTH["root"] + totals.root_customers)
 
 
-def summed(buckets: DataFrame, width: int, history: list[np.ndarray], seed: int) -> np.ndarray:
-    """The totals after one more sweep, or before the first one if there is no history."""
+MESSAGE = "to int, sender int, message binary, sums array<double>"
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(2 * width + 4)
+
+def sent(bucket: int, contexts: np.ndarray, values: np.ndarray, asks: np.ndarray, sums: list[float], bits: int) -> Iterator[pa.RecordBatch]:
+    """What a bucket adds to contexts (sorted), to the buckets of their words; `asks` marks those whose sum it needs."""
+    edges = bucket_edges(contexts, bits)
+    for to in range(1 << bits):
+        lo, hi = edges[to], edges[to + 1]
+        if lo < hi or to == bucket:
+            blob = pack(rising(contexts[lo:hi]), values[lo:hi].astype(np.uint32), asks[lo:hi])
+            arrays = [
+                pa.array([to], pa.int32()),
+                pa.array([bucket], pa.int32()),
+                pa.array([blob], pa.binary()),
+                pa.array([sums if to == bucket else [0.0] * 4], pa.list_(pa.float64())),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, names=["to", "sender", "message", "sums"])
+
+
+def exchanged(messages: DataFrame, bits: int, step: int) -> tuple[DataFrame, np.ndarray]:
+    """(bucket, step, place, told): every sender's sums by the bucket that made them, as `place`, and with place -1 the
+    contexts of a bucket's own words and their sums; and the four sums over all."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in runs(batches, ["to"]):
+            to = part.column("to")[0].as_py()
+            parts = [(np.cumsum(m[0]), *m[1:]) for m in (unpack(m) for m in part.column("message").to_pylist())]
+            contexts, place = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+            total = np.bincount(place, np.concatenate([p[1] for p in parts]), len(contexts)).astype(np.int64)
+            cuts = np.cumsum([0, *[len(p[0]) for p in parts]])
+            told = [pack(total[place[cuts[i] : cuts[i + 1]]][p[2]]) for i, p in enumerate(parts)]
+            n = len(parts)
+            sums = np.sum(part.column("sums").to_pylist(), axis=0).tolist()
+            arrays = [
+                pa.array([to, *part.column("sender").to_pylist()], pa.int32()),
+                pa.array([step] * (n + 1), pa.int32()),
+                pa.array([-1] + [to] * n, pa.int32()),
+                pa.array([pack(rising(contexts), total), *told], pa.binary()),
+                pa.array([sums] + [[0.0] * 4] * n, pa.list_(pa.float64())),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, names=["bucket", "step", "place", "told", "sums"])
+
+    dealt = messages.repartition(1 << bits, "to").sortWithinPartitions("to", "sender")
+    told = stage(dealt.mapInArrow(add, "bucket int, step int, place int, told binary, sums array<double>"), "lm-told")
+    sums = told.agg(*[F.sum(F.col("sums")[i]) for i in range(4)]).first()
+    return told.drop("sums"), np.array([x or 0.0 for x in sums])
+
+
+def started(buckets: DataFrame, bits: int) -> DataFrame:
+    """The messages before the first sweep, when every pair has one table."""
+
+    def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for bucket, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                words, counts, of, context, together = state_of(data, width)
-                tables, at_root, root = np.ones(len(of)), None, np.ones(len(words))
-                for tables, at_root, root in sweeps(bucket, data, width, history, seed):  # noqa: B007
-                    pass
-                if at_root is None:
-                    at_root = counts - np.bincount(of, together, len(words)) + np.bincount(of, minlength=len(words))
-                total[:width] += np.bincount(context, together, width)
-                total[width : 2 * width] += np.bincount(context, tables, width)
-                total[2 * width :] += counts.sum(), len(words), at_root.sum(), root.sum()
-        yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], names=["sums"])
-
-    each = buckets.select("bucket", "state").mapInArrow(count, "sums array<double>").select(F.posexplode("sums"))
-    found = np.zeros(2 * width + 4)
-    for place, value in each.groupBy("pos").agg(F.sum("col")).collect():  # a fixed number of sums
-        found[place] = value
-    return found
-
-
-def answers(buckets: DataFrame, width: int, history: list[np.ndarray], seed: int) -> DataFrame:
-    """(chunk, bucket, answer): for every word asked about its count and root log-probability, for every pair its own.
-
-    Probabilities are averaged over the samples after each sweep but the first.
-    """
+            for bucket, blob, sums in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                steps, n, asks = unpack(blob)
+                yield from sent(bucket, np.cumsum(steps), n, asks, sums, bits)
+
+    return buckets.select("bucket", "contexts", "sums").mapInArrow(start, MESSAGE)
+
+
+def with_told(buckets: DataFrame, told: list[DataFrame], bits: int) -> DataFrame:
+    """The rows of buckets, each followed by what its bucket was told, by step and place."""
+    rows = buckets.withColumns({"step": F.lit(-1), "place": F.lit(-1), "told": F.lit(None).cast("binary")})
+    for step in told:
+        rows = rows.unionByName(step, allowMissingColumns=True)
+    return rows.repartition(1 << bits, "bucket").sortWithinPartitions("bucket", "step", "place")
+
+
+def tables_told(part: pa.Table, n_steps: int) -> list[np.ndarray]:
+    """Tables of the bucket's live contexts after each step; later steps tell how many are added to the first one's."""
+    steps, places, told = (part.column(c).to_pylist()[1:] for c in ("step", "place", "told"))
+    found: list[list[np.ndarray]] = [[np.zeros(0)] for _ in range(n_steps)]
+    for step, place, data in zip(steps, places, told, strict=True):
+        if place >= 0:
+            found[step].append(unpack(data)[0])
+    each = [np.concatenate(f) for f in found]
+    return [each[0], *[each[0] + extra for extra in each[1:]]]
+
+
+def swept(buckets: DataFrame, told: list[DataFrame], sums: list[np.ndarray], seed: int, bits: int) -> DataFrame:
+    """The messages after one more sweep: tables beyond the first of each pair."""
+
+    def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in runs(batches, ["bucket"]):
+            bucket, live, near = (part.column(c)[0].as_py() for c in ("bucket", "live", "near"))
+            contexts = np.cumsum(unpack(near)[0])
+            width = len(contexts)
+            history = [np.concatenate([np.zeros(width), t, s]) for t, s in zip(tables_told(part, len(sums)), sums, strict=True)]
+            for tables, at_root, root in sweeps(bucket, live, width, history, seed):  # noqa: B007
+                pass
+            words, count, _, context, _ = state_of(live, width)
+            more = np.bincount(context, tables - 1, width)
+            totals = [float(x) for x in (count.sum(), len(words), at_root.sum(), root.sum())]
+            yield from sent(bucket, contexts, more, np.ones(width, bool), totals, bits)
+
+    near_only = [t.filter("place >= 0") for t in told]
+    return with_told(buckets.select("bucket", "live", "near"), near_only, bits).mapInArrow(sweep, MESSAGE)
+
+
+def answers(buckets: DataFrame, told: list[DataFrame], sums: list[np.ndarray], seed: int, bits: int) -> DataFrame:
+    """(chunk, bucket, answer): for each sample (that after every sweep but the first) the root probabilities of the words
+    asked about and their tables as contexts, and the tables of the pairs seen more than once."""
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                bucket, data, chunks = (batch.column(c)[row].as_py() for c in range(3))
-                words, count, of, context, together = state_of(data, width)
-                keys = of * width + context
-                seatings = list(sweeps(bucket, data, width, history[:-1], seed))
-                kept = list(zip(seatings, history[1:], strict=True))[1:] or list(zip(seatings, history[1:], strict=True))
-                replies = []
-                for request in batch.column("requests")[row]:
-                    own, _, per_word, about, _ = unpack(request.as_py())
-                    at = np.searchsorted(words, own)
-                    at[at == len(words)] = 0
-                    known = words[at] == own if len(words) else np.zeros(len(own), bool)
-                    word_of = np.repeat(np.arange(len(own)), per_word)
-                    key = np.where(known[word_of], at[word_of] * width + about, -1)
-                    place = np.searchsorted(keys, key)
-                    place[place == len(keys)] = 0
-                    met = keys[place] == key if len(keys) else np.zeros(len(key), bool)
-                    p_word, p_pair = np.zeros(len(own)), np.zeros(len(key))
-                    for (tables, at_root, root), sums in kept:
-                        totals = Totals(sums, width)
-                        p = np.zeros(len(own))
-                        p[known] = root_probability(at_root[at[known]], root[at[known]], totals)
-                        p[~known] = root_probability(np.zeros(1), np.zeros(1), totals)
-                        lone = STRENGTH["context"] + DISCOUNT["context"] * totals.tables[about]
-                        seats = np.zeros(len(key))
-                        seats[met] = together[place[met]] - DISCOUNT["context"] * tables[place[met]]
-                        p_pair += (seats + lone * p[word_of]) / (STRENGTH["context"] + totals.customers[about])
-                        p_word += p
-                    seen = np.zeros(len(own), np.uint32)
-                    seen[known] = count[at[known]]
-                    logs = [np.log10(p / len(kept)).astype(np.float32) for p in (p_word, p_pair)]
-                    replies.append(pack(seen, *logs))
-                arrays = [pa.array(chunks, pa.int64()), pa.array([bucket] * len(chunks), pa.int32()), pa.array(replies, pa.binary())]
+        for part in runs(batches, ["bucket"]):
+            bucket, blob, live, chunks, wanted = (part.column(c)[0].as_py() for c in ("bucket", "words", "live", "chunks", "wanted"))
+            words = np.cumsum(unpack(blob)[0])
+            after = tables_told(part, len(sums))
+            width = len(after[0])
+            history = [np.concatenate([np.zeros(width), t, s]) for t, s in zip(after, sums, strict=True)]
+            own = [np.zeros(len(words), np.int64) for _ in sums]
+            for step, place, data in zip(*(part.column(c).to_pylist()[1:] for c in ("step", "place", "told")), strict=True):
+                if place < 0:
+                    steps, n = unpack(data)
+                    own[step][np.searchsorted(words, np.cumsum(steps))] = n
+            seatings = list(zip(sweeps(bucket, live, width, history[:-1], seed), history[1:], own[1:], strict=True))
+            samples = []
+            for (tables, at_root, root), row, extra in seatings[1:] or seatings:
+                totals = Totals(row, width)
+                # The last is for words that were not learned.
+                p = np.append(root_probability(at_root, root, totals), root_probability(np.zeros(1), np.zeros(1), totals))
+                samples.append((p.astype(np.float32), np.append(own[0] + extra, 0).astype(np.uint32), tables.astype(np.uint32)))
+            for number, request in zip(chunks, wanted, strict=True):
+                known, steps, pair_steps = unpack(request)
+                at = np.full(len(known), -1)
+                at[known] = np.cumsum(steps.astype(np.int64))
+                place = np.cumsum(pair_steps.astype(np.int64))
+                reply = pack(*[a for p, t, e in samples for a in (p[at], t[at], e[place])])
+                arrays = [pa.array([number], pa.int64()), pa.array([bucket], pa.int32()), pa.array([reply], pa.binary())]
                 yield pa.RecordBatch.from_arrays(arrays, names=["chunk", "bucket", "answer"])
 
-    rows = buckets.select("bucket", "state", "chunks", "requests")
+    rows = with_told(buckets.select("bucket", "words", "live", "chunks", "wanted"), told, bits)
     return rows.mapInArrow(answer, "chunk long, bucket int, answer binary")
 
 
@@ -389,7 +491,7 @@ def score(
     key: str = "doc_id",
     text: str = "text",
     *,
-    contexts: int = CONTEXTS,
+    contexts: int | None = None,
     gibbs: int = SWEEPS,
     seed: int = 11,
 ) -> DataFrame:
@@ -399,36 +501,49 @@ def score(
     base_score (log10 under add-one unigrams), score (log10 of the text under the model) and perplexity per token. Null and
     empty texts are an end alone. Where `held_out` is null, as for a row without a key, nothing is learned. Repeated
     rows are learned and scored each. If nothing is learned all words are alike. An empty table gives an empty one.
+    With `contexts`, only so many of the most frequent words, and the start of a text, have a restaurant.
     """
     chunks = stage(chunked(df, key, text, held_out), "lm-chunks")
-    known = context_words(chunks, contexts)
-    width = len(known) + 1
+    known = None if contexts is None else context_words(chunks, contexts)
     asks = chunks.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("words")), F.lit(0))).first()
     # Buckets that hold about BUCKET_WORDS of the words asked about, which take some seven bytes each.
     bits = max(6, int(asks[1] // (7 * BUCKET_WORDS)).bit_length())
-    buckets = stage(gathered(asked(chunks, known, bits), width, bits), "lm-buckets")
-    history = [summed(buckets, width, [], seed)]
-    for _ in range(gibbs):
-        history.append(summed(buckets, width, history, seed))
-    first = Totals(history[0], width)
-    tokens, words = int(first.tokens), int(first.words)
-    told = answers(buckets, width, history, seed)
+    buckets = stage(gathered(asked(chunks, known, bits), bits), "lm-buckets")
+    told, sums = ([x] for x in exchanged(started(buckets, bits), bits, 0))
+    for step in range(1, gibbs + 1):
+        more, totals = exchanged(swept(buckets, told, sums, seed, bits), bits, step)
+        told.append(more)
+        sums.append(totals)
+    tokens, words = int(sums[0][0]), int(sums[0][1])
+    replied = answers(buckets, told, sums, seed, bits)
     shared = df.sparkSession.sparkContext.broadcast(known)
 
-    own = chunks.select("chunk", F.lit(-1).alias("bucket"), "ids", "held", "lengths", "words", "tokens", F.lit(None).cast("binary").alias("answer"))
-    null = {"ids": "array<long>", "held": "array<boolean>", "lengths": "binary", "words": "binary", "tokens": "binary"}
-    other = told.select("chunk", "bucket", *[F.lit(None).cast(t).alias(c) for c, t in null.items()], "answer")
-    both = own.union(other).repartition(max(1, asks[0]), "chunk").sortWithinPartitions("chunk", "bucket")
+    answered = buckets.select("bucket", F.explode(F.arrays_zip("chunks", "fixed")).alias("f"))
+    fixed = answered.select(F.col("f.chunks").alias("chunk"), "bucket", F.lit(0).alias("drawn"), F.col("f.fixed").alias("answer"))
+    own = chunks.withColumns({"bucket": F.lit(-1), "drawn": F.lit(0)})
+    both = own.unionByName(fixed, allowMissingColumns=True).unionByName(replied.withColumn("drawn", F.lit(1)), allowMissingColumns=True)
+    both = both.repartition(max(1, asks[0]), "chunk").sortWithinPartitions("chunk", "drawn", "bucket")
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in runs(batches, ["chunk"]):
             ids, held, lengths, data, numbers = (part.column(c)[0].as_py() for c in ("ids", "held", "lengths", "words", "tokens"))
             chunk = Chunk(lengths, data, numbers, held, shared.value)
             replies = [unpack(a) for a in part.column("answer").to_pylist()[1:]]
-            seen, p_word, p_pair = (np.concatenate([r[i] for r in replies]) for i in range(3))
-            each = p_word[chunk.tokens].astype(np.float64)
-            each[chunk.own] = p_pair[chunk.pair_of]
-            base = np.log10((seen.astype(np.float64) + 1) / (tokens + words + 1))[chunk.tokens]
+            half = len(replies) // 2  # from every bucket what is fixed, then what is drawn
+            seen, of_pair = (np.concatenate(x).astype(np.float64) for x in zip(*replies[:half], strict=True))
+            samples = [np.concatenate(x).astype(np.float64) for x in zip(*replies[half:], strict=True)]
+            each = np.zeros(len(chunk.tokens))
+            customers = STRENGTH["context"] + seen[chunk.context]  # every learned word is followed by one, or by the end
+            for p, of_context, tables in zip(samples[::3], samples[1::3], samples[2::3], strict=True):
+                sample = p[chunk.tokens]
+                lone = STRENGTH["context"] + DISCOUNT["context"] * of_context[chunk.context]
+                at_tables = np.minimum(of_pair, 1)
+                at_tables[of_pair > 1] = tables
+                seats = (of_pair - DISCOUNT["context"] * at_tables)[chunk.pair_of]
+                sample[chunk.own] = (seats + lone * sample[chunk.own]) / customers
+                each += sample
+            each = np.log10(each / (len(samples) // 3))
+            base = np.log10((seen + 1) / (tokens + words + 1))[chunk.tokens]
             sums = [np.add.reduceat(x, chunk.first) for x in ((seen > 0)[chunk.tokens].astype(np.int64), base, each)]
             per_token = 10 ** np.minimum(-sums[2] / chunk.lengths, 300)
             arrays = [ids, held, chunk.lengths, sums[0], np.full(len(ids), tokens), sums[1], sums[2], per_token]

@@ -447,6 +447,16 @@ def test_context_helps_on_held_out_texts(spark):
     assert sum(r.score for r in got) > 0.3 * sum(r.base_score for r in got)
 
 
+def test_rare_words_are_contexts(spark):
+    """A word is told by the rare word before it, however many words are more frequent."""
+    rows = [(i, f"rare{i % 1500} tail{i % 1500}") for i in range(4500)]
+    held = F.col("doc_id") < 1500
+    got = hpylm.score(documents(spark, rows), held).filter("held_out").collect()
+    assert len(got) == 1500
+    # the start (one of 1500), the tail (told by its context) and the end (told by the tail)
+    assert all(r.score > -6 and r.score > 0.7 * r.base_score for r in got)
+
+
 def test_predictive_probabilities_sum_to_one():
     draw = np.random.default_rng(2)
     width, words = 3, np.sort(draw.integers(0, 1 << 63, 40, dtype=np.uint64))

@@ -6,9 +6,9 @@ goes to the symbols not seen there, in proportion to the next shorter context's
 the longer context are excluded); below the empty context all bytes are alike. The code length of a text under a
 language is the exact sum of -log2 of these probabilities, each at the longest context that the tree holds.
 
-All predictions of all trees are laid out once in one table: a row per context of the union of the trees, a column
-per byte class, and the languages side by side. Scoring a byte is then a walk back over at most ORDER bytes and one
-lookup that serves all languages.
+The predictions of every tree are laid out once in a table of its own: a row per context of this tree, a column per
+byte class of its language. Scoring a byte is then, for each language, a walk back over at most ORDER bytes and one
+lookup. The tables grow with the number of languages, not with its square.
 """
 
 from __future__ import annotations
@@ -34,8 +34,8 @@ SAMPLE_DOCS, SAMPLE_CHARS = 400, 300_000
 SHARES = 64
 # A context needs so many occurrences in the sample to get a node.
 LEAST_SEEN = 24
-# Bound of the broadcast table; the trees share the rows it has room for.
-MODEL_BYTES = 32 << 20
+# Bound of the code lengths of one language in the broadcast model.
+LANGUAGE_BYTES = 16 << 20
 
 
 @dataclass
@@ -85,13 +85,17 @@ def grow(language: str, texts: Sequence[str], order: int = ORDER, least: int = L
 
 @dataclass
 class Model:
-    """The trees of all languages as one table; `walk` leads from a context to the one a byte longer."""
+    """The trees of all languages, each a part of the flat `walk` and `bits`, (node, class) each.
+
+    `walk` leads from a context to the one a byte longer, or to DEAD, which is node 0; node 1 is the empty context.
+    """
 
     languages: list[str]
-    classes: np.ndarray  # byte -> class; bytes that no sample holds share class 0
-    boundary: int  # class of a text's start; no context reaches over it
-    walk: np.ndarray  # (node, class) -> node or DEAD
-    bits: np.ndarray  # (node * classes + class, language) -> code length
+    classes: np.ndarray  # (language, byte) -> class; bytes that its sample does not hold share class 0
+    widths: list[int]  # classes of each language; the last is a text's start, over which no context reaches
+    starts: list[int]  # of each language's part, and the end
+    walk: np.ndarray  # node
+    bits: np.ndarray  # code length
     order: int
 
 
@@ -126,64 +130,61 @@ def probabilities(tree: Tree, limit: int) -> tuple[dict[tuple[int, int], int], n
     return rows, p
 
 
-def build(trees: Sequence[Tree], order: int = ORDER, model_bytes: int = MODEL_BYTES) -> Model:
-    """Lay out the trees; the table stays below `model_bytes` whatever the number of languages."""
+def build(trees: Sequence[Tree], order: int = ORDER, model_bytes: int | None = None) -> Model:
+    """Lay out the trees; each may take LANGUAGE_BYTES, or an equal part of `model_bytes` where that is given."""
     trees = sorted(trees, key=lambda t: t.language)
-    classes = np.zeros(256, np.int64)
-    seen = np.unique(np.concatenate([t.symbol for t in trees])) if trees else np.zeros(0, np.int64)
-    classes[seen] = np.arange(1, len(seen) + 1)
-    width = len(seen) + 2
-    stands_for = np.zeros(width, np.int64)  # a byte of each class
-    stands_for[1 : len(seen) + 1] = seen
-    unseen = np.setdiff1d(np.arange(256), seen)
-    stands_for[0] = unseen[0] if len(unseen) else 0
-    limit = max(1, model_bytes // (4 * width * max(1, len(trees)) * (1 + len(trees))))
-    tables = [probabilities(t, limit) for t in trees]
-    union = sorted(set().union(*[rows for rows, _ in tables])) or [(0, 0)]
-    node_of = {node: i + 1 for i, node in enumerate(union)}  # 0 is DEAD
-    walk = np.zeros((len(union) + 1, width), np.int32)
-    for (k, context), node in node_of.items():
-        if k:
-            oldest = context >> (8 * (k - 1))
-            walk[node_of[(k - 1, context & ((1 << (8 * (k - 1))) - 1))], classes[oldest]] = node
-    bits = np.zeros((len(union) + 1, width, max(1, len(trees))), np.float32)
-    for place, (rows, p) in enumerate(tables):
-        cost = (-np.log2(p[:, stands_for])).astype(np.float32)
-        for (k, context), node in node_of.items():
-            while (k, context) not in rows:
-                k -= 1
-                context &= (1 << (8 * k)) - 1
-            bits[node, :, place] = cost[rows[(k, context)]]
-    return Model([t.language for t in trees], classes, width - 1, walk, bits.reshape(-1, bits.shape[2]), order)
+    each = LANGUAGE_BYTES if model_bytes is None else model_bytes // max(1, len(trees))
+    classes, widths, starts, walks, costs = np.zeros((len(trees), 256), np.int32), [], [0], [], []
+    for place, tree in enumerate(trees):
+        seen = np.unique(tree.symbol)
+        classes[place, seen] = np.arange(1, len(seen) + 1)
+        width = len(seen) + 2
+        stands_for = np.zeros(width, np.int64)  # a byte of each class
+        stands_for[1 : len(seen) + 1] = seen
+        unseen = np.setdiff1d(np.arange(256), seen)
+        stands_for[0] = unseen[0] if len(unseen) else 0
+        rows, p = probabilities(tree, each // (4 * width) - 1)
+        walk = np.zeros((len(rows) + 1, width), np.int32)
+        for (k, context), row in rows.items():
+            if k:
+                oldest = context >> (8 * (k - 1))
+                walk[rows[(k - 1, context & ((1 << (8 * (k - 1))) - 1))] + 1, classes[place, oldest]] = row + 1
+        cost = np.zeros(walk.shape, np.float32)
+        cost[1:, :-1] = -np.log2(p[:, stands_for[:-1]])
+        widths.append(width)
+        starts.append(starts[-1] + walk.size)
+        walks.append(walk.ravel())
+        costs.append(cost.ravel())
+    flat = [np.concatenate([*x, np.zeros(0, t)]) for x, t in ((walks, np.int32), (costs, np.float32))]
+    return Model([t.language for t in trees], classes, widths, starts, *flat, order)
 
 
 def code_lengths(model: Model, texts: Sequence[str]) -> np.ndarray:
     """Bits of every text (rows) under every language (columns)."""
-    width, n_languages = model.boundary + 1, len(model.languages)
-    total = np.zeros((len(texts), n_languages))
+    total = np.zeros((len(texts), len(model.languages)))
     encoded = [fold(t) for t in texts]
     lengths = np.array([len(e) for e in encoded], np.int64)
     data = np.frombuffer(b"\0" + b"\0".join(encoded), np.uint8)
     starts = np.concatenate([[0], np.cumsum(lengths + 1)[:-1]])
-    symbol = model.classes[data].astype(np.int32)
-    symbol[starts] = model.boundary
-    flat = model.walk.ravel()
-    for lo in range(0, len(data), 1 << 20):  # a very long text is scored in runs; its contexts reach back over them
-        hi = min(len(data), lo + (1 << 20))
-        at = np.ones(hi - lo, np.int32)  # the empty context
-        path = at.copy()
-        for back in range(1, model.order + 1):
-            previous = np.full(hi - lo, model.boundary, np.int32)
-            previous[max(0, back - lo) :] = symbol[max(0, lo - back) : max(0, hi - back)]
-            path = flat[path * width + previous]
-            at = np.where(path > 0, path, at)
-        own = symbol[lo:hi]
-        cost = model.bits[at * width + own].astype(np.float64)
-        cost[own == model.boundary] = 0
-        inside = starts[(starts > lo) & (starts < hi)] - lo
-        first = np.searchsorted(starts, lo, side="right") - 1
-        sums = np.add.reduceat(cost, np.concatenate([[0], inside]), axis=0)
-        total[first : first + len(sums)] += sums
+    for place, width in enumerate(model.widths):
+        boundary = width - 1
+        walk, bits = (x[model.starts[place] : model.starts[place + 1]] for x in (model.walk, model.bits))
+        symbol = model.classes[place][data]
+        symbol[starts] = boundary
+        for lo in range(0, len(data), 1 << 20):  # a very long text is scored in runs; its contexts reach back over them
+            hi = min(len(data), lo + (1 << 20))
+            at = np.ones(hi - lo, np.int32)  # the empty context
+            path = at.copy()
+            for back in range(1, model.order + 1):
+                previous = np.full(hi - lo, boundary, np.int32)
+                previous[max(0, back - lo) :] = symbol[max(0, lo - back) : max(0, hi - back)]
+                path = walk[path * width + previous]
+                at = np.where(path > 0, path, at)
+            cost = bits[at * width + symbol[lo:hi]].astype(np.float64)  # nothing for a text's start
+            inside = starts[(starts > lo) & (starts < hi)] - lo
+            first = np.searchsorted(starts, lo, side="right") - 1
+            sums = np.add.reduceat(cost, np.concatenate([[0], inside]))
+            total[first : first + len(sums), place] += sums
     return total
 
 

@@ -595,6 +595,21 @@ def test_small_tables_bound_the_model():
     assert model.languages[ppm.code_lengths(model, ["the dog and the cat"])[0].argmin()] == "en"
 
 
+def test_many_languages_keep_their_contexts():
+    """Sixty languages that share their letters, told by short texts; none loses a counted context."""
+    draw, words = random.Random(17), {}
+    for i in range(60):
+        words[f"l{i:02}"] = ["".join(draw.choice("abcdefghijklmnopqrst") for _ in range(draw.randrange(3, 7))) for _ in range(40)]
+    trees = [ppm.grow(lang, [" ".join(draw.choices(own, k=3000))]) for lang, own in words.items()]
+    model = ppm.build(trees)
+    texts = [(lang, " ".join(draw.choices(own, k=2))) for lang, own in words.items() for _ in range(5)]
+    got = ppm.code_lengths(model, [t for _, t in texts])
+    assert np.mean([model.languages[b] == lang for b, (lang, _) in zip(got.argmin(axis=1), texts, strict=True)]) >= 0.98
+    tables = ppm.probabilities(trees[7], 10**6)
+    assert got[:20, 7] == pytest.approx([plain_bits(*tables, t) for _, t in texts[:20]], rel=1e-4)
+    assert ppm.build(trees).bits.nbytes < 2.5 * ppm.build(trees[:30]).bits.nbytes
+
+
 def test_languages_of_held_out_texts(spark):
     draw, rows = random.Random(11), []
     for i in range(240):

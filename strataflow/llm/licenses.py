@@ -1,7 +1,7 @@
 """Licence families named in documents: a trained paragraph classifier, confirmed by comparison with templates.
 
-Paragraphs (lines; long ones in overlapping windows, so that a notice inside a long line is not diluted) are scored by
-a sparse logistic regression over hashed word one- and two-grams, with a class for each licence family, one for
+Lines (long ones in overlapping windows, so that a notice inside a long line is not diluted), and then the lines of a
+paragraph that name no family by themselves, joined, so that a wrapped notice is seen whole, are scored by a sparse logistic regression over hashed word one- and two-grams, with a class for each licence family, one for
 licence talk of no known family, and one for everything else. Its probabilities are calibrated by temperature on examples
 that it was not trained on; what is no family with enough confidence is `unknown`. A family counts only if the words
 of the window and of one of the family's templates agree.
@@ -10,6 +10,7 @@ of the window and of one of the family's templates agree.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -202,31 +203,102 @@ def train(negatives: Sequence[str], variants: int = VARIANTS, rounds: int = 300,
 
 
 def agreement(words: Sequence[str], templates: Sequence[frozenset[str]]) -> float:
-    """The best share of a template's words that the window holds, or of the window's words that a template holds."""
+    """The best share of a template's words (of as many as a window has, if it has more) that the window holds."""
     own = set(words)
     return max((len(own & t) / max(1, min(len(t), WINDOW)) for t in templates), default=0.0)
 
 
-def scan_lines(model: Classifier, lines: Sequence[str]) -> dict[int, set[str]]:
-    """Families (or `unknown`) of the lines that have any."""
-    cleaned = [plain(x) for x in lines]
-    line, start, scores = window_scores(model, cleaned)
-    found: dict[int, set[str]] = {}
+def held_by(line: str, templates: Sequence[frozenset[str]]) -> bool:
+    """Whether a template holds most of the words of a line."""
+    own = set(line.split())
+    return any(len(own & t) >= AGREEMENT * len(own) for t in templates)
+
+
+def hits(model: Classifier, lines: Sequence[str]) -> Iterator[tuple[int, int, str]]:
+    """Line, first word and family (or `unknown`) of every window of the cleaned lines that has one."""
+    line, start, scores = window_scores(model, lines)
     for i in np.flatnonzero(scores.argmax(axis=1) != model.classes.index(NONE)):
         p = softmax(scores[i : i + 1] / model.temperature)[0]
         best = int(p.argmax())
-        words = cleaned[line[i]].split()[start[i] : start[i] + WINDOW]
+        words = lines[line[i]].split()[start[i] : start[i] + WINDOW]
         family = model.classes[best]
         if family != UNKNOWN and p[best] >= CONFIDENT and agreement(words, model.templates[family]) >= AGREEMENT:
-            found.setdefault(int(line[i]), set()).add(family)
+            yield int(line[i]), int(start[i]), family
         elif 1 - p[model.classes.index(NONE)] >= CONFIDENT and re.search(CUE, " ".join(words)):
-            found.setdefault(int(line[i]), set()).add(UNKNOWN)
+            yield int(line[i]), int(start[i]), UNKNOWN
+
+
+def scan_lines(model: Classifier, lines: Sequence[str]) -> dict[int, set[str]]:
+    """Families (or `unknown`) of the lines that have any."""
+    found: dict[int, set[str]] = {}
+    for line, _, family in hits(model, [plain(x) for x in lines]):
+        found.setdefault(line, set()).add(family)
     for own in found.values():  # a neighbouring window that sees half a notice adds nothing
         if len(own) > 1:
             own.discard(UNKNOWN)
     return found
 
 
+def paragraphs_of(text: str) -> list[list[str]]:
+    """The lines of each paragraph; a line without a word ends one."""
+    found: list[list[str]] = [[]]
+    for line in re.split(r"\r\n|\r|\n", text):
+        if re.search(r"\w", line):
+            found[-1].append(line)
+        elif found[-1]:
+            found.append([])
+    return [p for p in found if p]
+
+
+def scan_paragraphs(model: Classifier, paragraphs: Sequence[Sequence[str]]) -> list[tuple[set[str], int]]:
+    """Families (or `unknown`) of each paragraph, and the number of its notices.
+
+    A line that names a family is a notice. Neighbouring lines that name none are joined: what windows over several of
+    them name is a notice too. The `unknown` of a line that is part of a notice goes.
+    """
+    lines = [line for p in paragraphs for line in p]
+    of = np.repeat(np.arange(len(paragraphs)), [len(p) for p in paragraphs])
+    found = scan_lines(model, lines)
+    runs: list[list[int]] = []
+    for i in range(len(lines)):
+        if not found.get(i, set()) - {UNKNOWN}:
+            if runs and runs[-1][-1] == i - 1 and of[i] == of[i - 1]:
+                runs[-1].append(i)
+            else:
+                runs.append([i])
+    runs = [r for r in runs if len(r) > 1]
+    cleaned = {i: plain(lines[i]) for r in runs for i in r}
+    ends = [np.cumsum([len(cleaned[i].split()) for i in r]) for r in runs]
+    families: list[set[str]] = [set() for _ in paragraphs]
+    notices: Counter[int] = Counter()
+    taken: set[int] = set()
+    last: dict[tuple[int, str], int] = {}
+    joined = [" ".join(cleaned[i] for i in r if cleaned[i]) for r in runs]
+    for run, start, family in sorted(hits(model, joined), key=lambda h: h[2] == UNKNOWN):
+        past = min(start + WINDOW, ends[run][-1])
+        first, end = (int(np.searchsorted(ends[run], x, side="right")) for x in (start, past - 1))
+        covered = runs[run][first : end + 1]
+        if first == end or (family == UNKNOWN and any(i in taken or i in found for i in covered)):
+            continue
+        if start - last.get((run, family), -WINDOW) >= WINDOW:  # else it is the same notice
+            notices[of[covered[0]]] += 1
+        last[(run, family)] = start
+        families[of[covered[0]]].add(family)
+        if family != UNKNOWN:
+            taken.update(covered)
+            for i in covered:
+                if i in found and held_by(cleaned[i], model.templates[family]):
+                    del found[i]
+    for i in [i for i, names in found.items() if names == {UNKNOWN}]:  # the rest of a notice that a line beside it names
+        beside = [j for j in (i - 1, i + 1) if 0 <= j < len(lines) and of[j] == of[i]]
+        if any(held_by(plain(lines[i]), model.templates[f]) for j in beside for f in found.get(j, set()) - {UNKNOWN}):
+            del found[i]
+    for i, names in found.items():
+        families[of[i]] |= names
+        notices[of[i]] += 1
+    return [(f, notices[i]) for i, f in enumerate(families)]
+
+
 def fit(df: DataFrame, key: str = "doc_id", text: str = "text", negatives: int = NEGATIVES) -> Classifier:
     """Train on the templates and on `negatives` paragraphs without a licence cue, the first of the lowest-hashed documents."""
     clean = df.select(F.xxhash64(F.col(key)).alias("h"), F.col(text).alias("t")).filter(F.col(key).isNotNull() & F.col("t").isNotNull())
@@ -240,7 +312,8 @@ def fit(df: DataFrame, key: str = "doc_id", text: str = "text", negatives: int =
 
 
 def scan(df: DataFrame, model: Classifier, text: str = "text", keep: Sequence[str] | None = None) -> DataFrame:
-    """Add `licenses` (families found in the whole text, in order, `unknown` among them) and `n_notices` (lines with one).
+    """Add `licenses` (families found in the whole text, in order, `unknown` among them) and `n_notices` (lines with one,
+    and notices over several lines).
 
     There is no shuffle. Null, empty and wordless texts have none; repeated rows have the same; an empty table gives an
     empty one. Input columns that clash with the added ones, in any case, are replaced.
@@ -257,14 +330,14 @@ def scan(df: DataFrame, model: Classifier, text: str = "text", keep: Sequence[st
             families: list[set[str]] = [set() for _ in texts]
             notices = [0] * len(texts)
             for lo, hi in pieces(texts):
-                lines, of = [], []
+                paragraphs, of = [], []
                 for i in range(lo, hi):
-                    split = [x for x in re.split(r"[\r\n]+", texts[i] or "") if x]
-                    lines += split
-                    of += [i] * len(split)
-                for line, names in scan_lines(own, lines).items() if lines else ():
-                    families[of[line]] |= names
-                    notices[of[line]] += 1
+                    own_paragraphs = paragraphs_of(texts[i] or "")
+                    paragraphs += own_paragraphs
+                    of += [i] * len(own_paragraphs)
+                for i, (names, n) in zip(of, scan_paragraphs(own, paragraphs) if paragraphs else (), strict=True):
+                    families[i] |= names
+                    notices[i] += n
             arrays = [batch.column(i) for i in range(len(kept))]
             arrays += [pa.array([sorted(f) for f in families], pa.list_(pa.string())), pa.array(notices, pa.int64())]
             yield pa.RecordBatch.from_arrays(arrays, names=[*kept, "licenses", "n_notices"])

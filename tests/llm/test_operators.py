@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -225,6 +226,27 @@ def test_licences_on_held_out_variants(classifier):
     assert licenses.scan_lines(classifier, clean) == {}
 
 
+def test_wrapped_licences(classifier):
+    """Every template that 72 columns break, as a comment, between paragraphs and below prose, names its family."""
+    draw = random.Random(12)
+    wrapped = 0
+    for family, templates in licenses.TEMPLATES.items():
+        for t in templates:
+            lines = textwrap.wrap(t, 72)
+            if len(lines) == 1:
+                continue
+            wrapped += 1
+            for mark in ("", "# ", " * "):
+                text = f"{sentence(draw, 30)}\n\n" + "\r\n".join(mark + x for x in lines) + f"\n{mark}\n{sentence(draw, 30)}"
+                got = licenses.scan_paragraphs(classifier, licenses.paragraphs_of(text))
+                assert [f for f, _ in got] == [set(), {family}, set()] and got[1][1] >= 1, (lines, got)
+    assert wrapped >= 8
+    prose = [sentence(draw, 11) for _ in range(300)]
+    assert licenses.scan_paragraphs(classifier, [prose]) == [(set(), 0)]
+    separate = ["All rights reserved.", *textwrap.wrap(licenses.TEMPLATES["BSD"][1], 72), "Released under the MIT License."]
+    assert licenses.scan_paragraphs(classifier, [separate]) == [({"unknown", "BSD", "MIT"}, 3)]
+
+
 def test_licence_fit_without_rows(spark):
     assert licenses.fit(documents(spark, [])).classes[0] == licenses.NONE
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import bpe, hpylm, jaccard, licenses, pii, ppm, pstable, raking, spotsigs, warc
+from strataflow.llm import bpe, collocations, hpylm, jaccard, licenses, pii, ppm, pstable, raking, sharding, spotsigs, variants, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -206,3 +206,62 @@ def op7_language_model(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's log-probability under a model learned from the documents outside the held-out fold."""
     held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
     return hpylm.score(table(spark, folder, "documents"), held_out)
+
+
+@query()
+def op11_external_shuffle(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in random order, written as eight shards of equal numbers of records and read back."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    written = sharding.write_shards(documents, 8, sharding.text_bytes("text"))
+    return written.select(
+        "doc_id",
+        (sharding.text_bytes("text") + 1).alias("size"),
+        F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def collocations_sql(longest: int = 5, threshold: int = 100, top: int = 2000) -> str:
+    """The phrase query in SQL: all n-grams of all pieces, counted."""
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS words
+  FROM (SELECT lang, unnest(regexp_split_to_array({lower}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+totals AS (SELECT lang, CAST(sum(len(words)) AS HUGEINT) AS n FROM pieces GROUP BY lang),
+grams AS (
+  SELECT lang, size, unnest(list_transform(range(1, len(words) - size + 2), lambda i: array_to_string(words[i:i + size - 1], ' '))) AS phrase
+  FROM pieces, range(1, {longest + 1}) AS sizes(size) WHERE len(words) >= size),
+known AS (SELECT lang, size, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= {threshold}),
+cuts AS (
+  SELECT lang, size, phrase, f, unnest(range(1, size)) AS k, string_split(phrase, ' ') AS words FROM known WHERE size >= 2),
+scored AS (
+  SELECT c.lang, c.size, c.phrase, c.f AS a, h.f AS l, t.f AS r, n, k,
+         (1000 * CAST(c.f AS HUGEINT) * n) // (CAST(h.f AS HUGEINT) * t.f) AS score
+  FROM cuts c JOIN totals USING (lang)
+  JOIN known h ON h.lang = c.lang AND h.phrase = array_to_string(words[1:k], ' ')
+  JOIN known t ON t.lang = c.lang AND t.phrase = array_to_string(words[k + 1:], ' ')),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+  SELECT DISTINCT lang, unnest([array_to_string(string_split(phrase, ' ')[1:size - 1], ' '),
+                                array_to_string(string_split(phrase, ' ')[2:], ' ')]) AS phrase, f AS a
+  FROM known WHERE size >= 3)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r,
+       CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM best ANTI JOIN inside USING (lang, phrase, a)
+QUALIFY rank <= {top}"""
+
+
+@query(collocations_sql())
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The phrases of every language that hold together most."""
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
+@query()
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of all documents with the form that each may be a misspelling of."""
+    return variants.spelling_variants(table(spark, folder, "documents"))

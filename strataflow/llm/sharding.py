@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import IntegerType, LongType, StructType
 
 from strataflow.session import run_dir
 
@@ -112,7 +112,7 @@ def external_shuffle(df: DataFrame, size: Column, *, seed: int, bucket_bytes: in
         shuffled = pa.table([places, totals, table.column("row")], names=["position", "total", "row"])
         yield from shuffled.to_batches(max_chunksize=1024)
 
-    kind = StructType().add("position", "long").add("total", "long").add(rows.schema["row"])
+    kind = StructType().add("position", LongType()).add("total", LongType()).add(rows.schema["row"])
     return dealt.mapInArrow(shuffle, kind)
 
 
@@ -147,6 +147,6 @@ def write_shards(
     # A bucket lies in one shard, or in a few that follow each other; each of its files is in slot order.
     ordered = placed.select("shard", "slot", "row").sortWithinPartitions("shard", "slot")
     ordered.write.partitionBy("shard").parquet(folder)
-    kind = StructType().add("slot", "long").add(shuffled.schema["row"]).add("shard", "int")
+    kind = StructType().add("slot", LongType()).add(shuffled.schema["row"]).add("shard", IntegerType())
     told = df.sparkSession.read.schema(kind).parquet(folder)
     return told.select("row.*", F.col("shard").alias(names[0]), F.col("slot").alias(names[1]))

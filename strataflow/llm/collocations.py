@@ -1,16 +1,16 @@
 """Phrases that occur more often than their parts would by chance, found by Misra-Gries summaries.
 
-An n-gram is known by a 64-bit hash, and belongs to the hash partition that this hash names. Tasks count what they read
-and send their counts to the partitions; each partition merges them into one Misra-Gries summary with more counters than
-its mass divided by the threshold, so that whatever is frequent keeps a counter. First come words, then pairs of words
-that are both left, then longer n-grams whose pairs are all left. What survives is kept as a bitmap of fixed size, which
-may let others pass but stops nothing frequent. The last pass counts all n-grams that pass it by their words, exactly.
+An n-gram has a 64-bit hash. One half names its hash partition, the other its counter there; n-grams that share both are
+counted as one, which can only keep more. Tasks count what they read and send their counts to the partitions; each
+partition merges them into one Misra-Gries summary with more counters than its mass divided by the threshold, so that
+whatever is frequent keeps a counter. First come words, then pairs of words that are both left, then longer n-grams whose
+pairs are all left. What survives is kept as a bitmap of fixed size, which may let others pass but stops nothing
+frequent. The last pass counts all n-grams that pass it by their words, exactly.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -28,8 +28,8 @@ UNKNOWN = "und"
 BITS = 1 << 25
 # Counts that a task gathers before it sends them, rows that a partition gathers before it merges them.
 GATHERED = 1 << 20
-# Different phrases that a task of the last pass holds.
-PHRASES = 200_000
+# Bytes of phrases in a batch of the last pass.
+PHRASE_BYTES = 1 << 24
 
 _DRAW = np.random.default_rng(12)
 _BYTE = _DRAW.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
@@ -42,17 +42,25 @@ _KIND[[*b".,;:!?", *range(0x0A, 0x0E)]] = 2
 
 
 class Words:
-    """The words of some texts in order: where they lie in `data`, their piece, and their hash within their language."""
+    """The words of some texts in order: where they lie in `data`, their piece, and their hash within their language.
+
+    In `data` the words of a piece are one space apart, so a phrase is a slice.
+    """
 
     def __init__(self, texts: list[bytes | None], langs: list[str], seeds: dict[str, int]):
         encoded = [(t or b"").lower() for t in texts]  # of bytes: A-Z only
-        self.data = b"\n" + b"\n".join(encoded) + b"\n"
-        raw = np.frombuffer(self.data, np.uint8)
+        raw = np.frombuffer(b"\n" + b"\n".join(encoded) + b"\n", np.uint8)
+        begins = np.cumsum([1, *[len(e) + 1 for e in encoded]])
         kind = _KIND[raw]
+        gap = kind == 1
+        stays = ~gap
+        stays[1:] |= ~gap[:-1]
+        begins = np.concatenate([[0], np.cumsum(stays)])[begins]
+        kind = kind[stays]
+        self.data = np.where(kind == 1, np.uint8(0x20), raw[stays])
         inside = kind == 0
         self.starts = np.flatnonzero(~inside[:-1] & inside[1:]) + 1
         self.ends = np.flatnonzero(inside[:-1] & ~inside[1:]) + 1
-        begins = np.cumsum([1, *[len(e) + 1 for e in encoded]])
         self.bounds = np.searchsorted(self.starts, begins)
         n = len(self.starts)
         self.text = np.repeat(np.arange(len(texts)), np.diff(self.bounds))
@@ -64,7 +72,7 @@ class Words:
         if n:
             lengths = self.ends - self.starts
             first = np.cumsum(lengths) - lengths
-            letters = raw[inside]
+            letters = self.data[inside]
             power = np.full(int(lengths.max()), _BASE)
             power[0] = 1
             power = np.cumprod(power, dtype=np.uint64)
@@ -88,11 +96,24 @@ class Words:
         n = max(len(self.hash) - size + 1, 0)
         return self.piece[size - 1 :] == self.piece[:n] if n else np.zeros(0, bool)
 
-    def phrase(self, at: int, size: int) -> bytes:
-        return b" ".join(self.data[s:e] for s, e in zip(self.starts[at : at + size].tolist(), self.ends[at : at + size].tolist(), strict=True))
+    def phrases(self, places: np.ndarray, size: int) -> Iterator[tuple[slice, pa.Array]]:
+        """The phrases of `size` words at these places, in batches of bounded bytes."""
+        starts = self.starts[places]
+        lengths = self.ends[places + size - 1] - starts
+        total = np.cumsum(lengths)
+        lo = 0
+        while lo < len(places):
+            hi = max(lo + 1, int(np.searchsorted(total, total[lo] - lengths[lo] + PHRASE_BYTES, side="right")))
+            own = lengths[lo:hi]
+            offsets = np.concatenate([[0], np.cumsum(own)])
+            body = self.data[np.repeat(starts[lo:hi] - offsets[:-1], own) + np.arange(offsets[-1])]
+            buffers = [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(body)]
+            yield slice(lo, hi), pa.Array.from_buffers(pa.string(), hi - lo, buffers)
+            lo = hi
 
 
 def passes(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether the slots of these hashes, given by their low bits, are set."""
     slot = hashes & np.uint64(len(bitmap) * 64 - 1)
     return (bitmap[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
 
@@ -127,10 +148,12 @@ def candidates(words: Words, bitmaps: list[np.ndarray], longest: int) -> Iterato
 
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys with the sums of their counts."""
-    found, inverse = np.unique(keys, return_inverse=True)
-    totals = np.zeros(len(found), np.int64)
-    np.add.at(totals, inverse, counts)
-    return found, totals
+    if not len(keys):
+        return keys, counts
+    order = np.argsort(keys)
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(counts, first)
 
 
 class Summary:
@@ -142,7 +165,8 @@ class Summary:
 
     def __init__(self, capacity: int, gathered: int = GATHERED):
         self.capacity, self.gathered, self.taken, self.held = capacity, max(gathered, capacity), 0, 0
-        self.keys, self.counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        self.keys: list[np.ndarray] = [np.zeros(0, np.int32)]
+        self.counts: list[np.ndarray] = [np.zeros(0, np.int64)]
 
     def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
         self.keys.append(keys)
@@ -166,7 +190,7 @@ class Summary:
 
 
 def survivors(texts: DataFrame, bitmaps: list[np.ndarray], longest: int, threshold: int, partitions: int) -> DataFrame:
-    """(key): hashes of the n-grams of the next sizes that may reach the threshold."""
+    """(key): low halves of the hashes of the n-grams of the next sizes that may reach the threshold."""
     sent = texts.sparkSession.sparkContext.broadcast(bitmaps)
 
     def batch(part: np.ndarray, keys: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
@@ -180,18 +204,19 @@ def survivors(texts: DataFrame, bitmaps: list[np.ndarray], longest: int, thresho
 
         def flush() -> Iterator[pa.RecordBatch]:
             found, totals = summed(np.concatenate(keys), np.concatenate(counts))
-            part = (found.view(np.uint64) >> np.uint64(32)) % np.uint64(partitions)
-            np.add.at(mass, part.astype(np.int64), totals)
+            part = ((found >> np.uint64(32)) % np.uint64(partitions)).astype(np.int64)
+            mass[:] += np.bincount(part, totals, partitions).astype(np.int64)
+            low = found.astype(np.uint32).view(np.int32)
             for lo in range(0, len(found), 1 << 16):
                 cut = slice(lo, lo + (1 << 16))
-                yield batch(part[cut], pa.array(found[cut]), totals[cut])
+                yield batch(part[cut], pa.array(low[cut]), totals[cut])
 
         for b in sliced(batches):
             bodies, langs = b.column(0).to_pylist(), b.column(1).to_pylist()
             for lo, hi in pieces(bodies):
                 words = Words(bodies[lo:hi], langs[lo:hi], seeds)
                 for _, hashes, good in candidates(words, sent.value, longest):
-                    found, n = np.unique(hashes[good].view(np.int64), return_counts=True)
+                    found, n = np.unique(hashes[good], return_counts=True)
                     keys.append(found)
                     counts.append(n)
                     held += len(found)
@@ -204,7 +229,7 @@ def survivors(texts: DataFrame, bitmaps: list[np.ndarray], longest: int, thresho
         if keys:
             yield from flush()
         there = np.flatnonzero(mass)
-        yield batch(there, pa.nulls(len(there), pa.int64()), mass[there])
+        yield batch(there, pa.nulls(len(there), pa.int32()), mass[there])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mass, summary = 0, None
@@ -222,16 +247,16 @@ def survivors(texts: DataFrame, bitmaps: list[np.ndarray], longest: int, thresho
             for lo in range(0, len(left), 1 << 16):
                 yield pa.RecordBatch.from_arrays([pa.array(left[lo : lo + (1 << 16)])], names=["key"])
 
-    counted = texts.mapInArrow(count, "part int, key long, n long")
+    counted = texts.mapInArrow(count, "part int, key int, n long")
     dealt = counted.repartitionById(partitions, "part").sortWithinPartitions(F.col("key").isNotNull())
-    return dealt.mapInArrow(merge, "key long")
+    return dealt.mapInArrow(merge, "key int")
 
 
 def bitmap_of(keys: DataFrame, bits: int) -> np.ndarray:
     """The keys as a bitmap of `bits` bits, a power of two; so many bits at most come to the driver."""
-    slot = F.col("key").bitwiseAND(F.lit(bits - 1))
+    slot = F.expr(f"cast(key as long) & {bits - 1}L")
     word = F.shiftright(slot, 6).cast("int").alias("word")
-    bit = F.expr(f"shiftleft(1L, cast((key & {bits - 1}L) & 63L as int))").alias("bit")
+    bit = F.expr("shiftleft(1L, cast(cast(key as long) & 63L as int))").alias("bit")
     found = keys.select(word, bit).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
     out = np.zeros(bits // 64, np.uint64)
     out[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
@@ -239,42 +264,29 @@ def bitmap_of(keys: DataFrame, bits: int) -> np.ndarray:
 
 
 def counted(texts: DataFrame, bitmaps: list[np.ndarray], longest: int) -> DataFrame:
-    """(lang, size, phrase, n): exact counts of all that pass the bitmaps; size 0 counts all words of the language."""
+    """(lang, size, phrase, n): exact counts of all that pass the bitmaps; size 0 counts all words of the language.
+
+    A piece of text is counted by hashes, pieces are added up by their phrases, in each task before anything is sent.
+    """
     sent = texts.sparkSession.sparkContext.broadcast(bitmaps)
 
-    def batch(held: Counter) -> Iterator[pa.RecordBatch]:
-        rows = list(held.items())
-        for lo in range(0, len(rows), 1 << 14):
-            part = rows[lo : lo + (1 << 14)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([k[0] for k, _ in part], pa.string()),
-                    pa.array([k[1] for k, _ in part], pa.int32()),
-                    pa.array([k[2].decode("utf-8", "replace") for k, _ in part], pa.string()),
-                    pa.array([n for _, n in part], pa.int64()),
-                ],
-                names=["lang", "size", "phrase", "n"],
-            )
+    def batch(lang: pa.Array, size: int, phrase: pa.Array, n: np.ndarray) -> pa.RecordBatch:
+        sizes = pa.array(np.full(len(n), size), pa.int32())
+        return pa.RecordBatch.from_arrays([lang, sizes, phrase, pa.array(n, pa.int64())], names=["lang", "size", "phrase", "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seeds: dict[str, int] = {}
-        held: Counter = Counter()
         for b in sliced(batches):
             bodies, langs = b.column(0).to_pylist(), b.column(1).to_pylist()
             for lo, hi in pieces(bodies):
-                words = Words(bodies[lo:hi], langs[lo:hi], seeds)
-                own = langs[lo:hi]
-                for lang, n in zip(own, np.diff(words.bounds).tolist(), strict=True):
-                    held[lang, 0, b""] += n
+                words, own = Words(bodies[lo:hi], langs[lo:hi], seeds), pa.array(langs[lo:hi], pa.string())
+                yield batch(own, 0, pa.array([""] * (hi - lo), pa.string()), np.diff(words.bounds))
                 for size, hashes, good in candidates(words, sent.value, longest):
                     places = np.flatnonzero(good)
                     _, first, n = np.unique(hashes[places], return_index=True, return_counts=True)
-                    for at, times in zip(places[first].tolist(), n.tolist(), strict=True):
-                        held[own[words.text[at]], size, words.phrase(at, size)] += times
-                if len(held) > PHRASES:
-                    yield from batch(held)
-                    held.clear()
-        yield from batch(held)
+                    places = places[first]
+                    for cut, phrase in words.phrases(places, size):
+                        yield batch(own.take(pa.array(words.text[places[cut]])), size, phrase, n[cut])
 
     found = texts.mapInArrow(count, "lang string, size int, phrase string, n long")
     return found.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))

@@ -8,33 +8,36 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.functions.times import month_of, ntz
+from strataflow.functions.times import ntz
 from strataflow.operators.keys import placeholder_ids, surrogate_ids
 from strataflow.operators.merge import dim_upsert, insert_if_absent, not_in, one_per_key
 from strataflow.operators.pick import first_n_per_key
 from strataflow.operators.shape import conform
-from strataflow.plans import marts, pages, quality, weather
-from strataflow.schemas import DAILY_WEATHER, LOCATION, LOCATION_KEY, PAGE, PAGE_KEY, REJECT_KEY, WEATHER_KEY
+from strataflow.plans import marts, pages, quality, refresh, weather
+from strataflow.schemas import LOCATION, LOCATION_KEY, PAGE, PAGE_KEY, REJECT_KEY, REVISION, TABLES, WEATHER_KEY
 from strataflow.session import stage, staging
-from strataflow.sources.landing import page_envelope, weather_envelope, with_raw_ids
+from strataflow.sources.landing import numbered_from, page_envelope, weather_envelope
 from strataflow.sources.seeds import location_defaults, page_defaults
-from strataflow.sources.tables import Warehouse, months_in
+from strataflow.sources.tables import Warehouse, months_in, read_version, versions
 
 SEED_KEY = ("name", "latitude", "longitude")
 TITLE_KEY = ("page_title", "page_language")
 PAGE_STAMPS = ("first_seen_at", "last_updated_at", "valid_from")
 MARTS = ("mart.daily_weather_aggregates", "mart.daily_wikipedia_page_stats")
+RAW = ("raw.weather_observations", "raw.wikipedia_pages")
+# Under this name runs note how far they have come in the raw tables.
+READER = "daily"
+REVISION_CHECKPOINT = "wikipedia_revision_checkpoint"
 
 
 def land_weather(wh: Warehouse, landing: DataFrame, now: dt.datetime) -> None:
-    wh.append(
-        "raw.weather_observations",
-        with_raw_ids(weather_envelope(landing, now), wh.read("raw.weather_observations")),
-    )
+    name = "raw.weather_observations"
+    wh.append(name, numbered_from(weather_envelope(landing, now), wh.batches(name).highest_id()))
 
 
 def land_pages(wh: Warehouse, landing: DataFrame, now: dt.datetime) -> None:
-    wh.append("raw.wikipedia_pages", with_raw_ids(page_envelope(landing, now), wh.read("raw.wikipedia_pages")))
+    name = "raw.wikipedia_pages"
+    wh.append(name, numbered_from(page_envelope(landing, now), wh.batches(name).highest_id()))
 
 
 def seeded_locations(dim: DataFrame, seeds: DataFrame, now: dt.datetime) -> DataFrame:
@@ -107,7 +110,7 @@ def insert_seeds(
 
 
 def refresh_mart(wh: Warehouse, name: str, build) -> dict:
-    """Recompute a mart into a new version. A failure is reported and leaves the old version readable."""
+    """Recompute a whole mart. A failure is reported and leaves the old one readable."""
     try:
         version = wh.replace(name, build())
         rows = wh.read(name).count()
@@ -123,43 +126,79 @@ def core_models(wh: Warehouse) -> dict[str, DataFrame]:
     return {**models, "wikipedia_page": models["wikipedia_page"].filter("is_current")}
 
 
-def weather_mart(wh: Warehouse, months: Iterable[dt.date] | None = None) -> DataFrame:
-    """The weather mart from the whole fact, or the stored mart with only the days of `months` recomputed."""
-    fresh = marts.daily_weather_aggregates(wh.read("core.weather", months), wh.read("core.location"))
-    if months is None:
-        return fresh
-    stored = wh.read(MARTS[0])
-    stays = stored.filter(~month_of(F.col("observation_date")).isin(list(months))) if months else stored
-    return stays.unionByName(conform(fresh, DAILY_WEATHER))
-
-
-def refresh_marts(wh: Warehouse, months: Iterable[dt.date] | None = None) -> list[dict]:
-    """Refresh both marts; with `months` only those days of the weather mart are recomputed.
-
-    A partial refresh reads a few partitions instead of the whole fact. Rows of
-    other days then keep the location names they were built with.
-    """
+def rebuild_marts(wh: Warehouse) -> list[dict]:
+    """Both marts from the whole facts, without the stored days."""
     builders = {
-        MARTS[0]: lambda: weather_mart(wh, months),
+        MARTS[0]: lambda: marts.daily_weather_aggregates(wh.read("core.weather"), wh.read("core.location")),
         MARTS[1]: lambda: marts.daily_page_stats(wh.read("core.revision"), wh.read("core.wikipedia_page")),
     }
     return [refresh_mart(wh, name, build) for name, build in builders.items()]
 
 
+def refresh_marts(wh: Warehouse, months: Iterable[dt.date] | None = None, *, renames: bool = True) -> list[dict]:
+    """Refresh both marts by what has changed since their last refresh; `months` are rebuilt in any case.
+
+    The result is that of `rebuild_marts`; other months keep their files. Without `renames`, rows of other months
+    keep the names they were built with.
+    """
+    refresh.refresh_weather_days(wh, months or ())
+    refresh.refresh_page_days(wh)
+    forced = {MARTS[0]: months or (), MARTS[1]: ()}
+    return [refresh.refresh_mart(wh, name, forced[name], renames=renames) for name in MARTS]
+
+
 def reject(wh: Warehouse, rows: DataFrame) -> None:
     """Record rejects; those that an earlier run has recorded are left alone."""
     wh.append("raw.rejects", not_in(rows, wh.read("raw.rejects"), REJECT_KEY))
 
 
+def unapplied(wh: Warehouse, name: str, retry: DataFrame | None = None) -> DataFrame:
+    """Raw rows of the batches that no run has got through with, if they are the newest of their key.
+
+    What has been landed since is in folders of its own, so the scan reads nothing else. `retry` (id, b) are older rows
+    to be tried again; only their batches are read besides.
+    """
+    raw = wh.batches(name)
+    since = raw.applied(READER)
+    newest = raw.newest()
+    wanted, also = newest.filter(F.col("b") > since), []
+    if retry is not None:
+        again = newest.filter(F.col("b") <= since).join(retry.select("id", "b").distinct(), ["id", "b"], "left_semi")
+        also = [r.b for r in again.select("b").distinct().collect()]
+        wanted = wanted.unionByName(again) if also else wanted
+    return raw.read(since, also).join(wanted.select("id", "b"), ["id", "b"], "left_semi").select(*TABLES[name][0].names)
+
+
+def known_by_now(wh: Warehouse) -> DataFrame:
+    """(id, b) of newest weather payloads that were rejected for a location which the dimension has got since then."""
+    path, there = wh.path("core.location"), versions(wh.spark, wh.path("core.location"))
+    place = wh.read("core.location").select(*LOCATION_KEY)
+    seen = wh.noted("finished").get("location")
+    if seen in there:
+        place = place.join(read_version(wh.spark, path, LOCATION, seen), list(LOCATION_KEY), "left_anti")
+    rejected = wh.read("raw.rejects").filter(
+        (F.col("source_table") == "weather_observations") & (F.col("reason") == "unknown_location")
+    )
+    newest = wh.batches("raw.weather_observations").newest().join(place, list(LOCATION_KEY), "left_semi")
+    return newest.join(rejected.select(F.col("raw_id").alias("id")).distinct(), "id", "left_semi").select("id", "b")
+
+
 def transform_weather(
-    wh: Warehouse, now: dt.datetime, on_error: str = "entity", raw_since: dt.datetime | None = None
+    wh: Warehouse,
+    now: dt.datetime,
+    on_error: str = "entity",
+    raw_since: dt.datetime | None = None,
+    *,
+    full: bool = False,
 ) -> dict:
     """Newest payload per location into the hourly fact; only the months it touches are read and written.
 
-    `raw_since` leaves out raw rows that were loaded earlier: their payloads have
-    been applied by earlier runs, and the filter is pushed down to the scan.
+    Only batches that were landed since the last finished run are read, and payloads that waited for their location.
+    The others have been applied, so the fact is that of a `full` transform, which reads all of raw. `raw_since`
+    leaves out raw rows that were loaded earlier.
     """
-    raw, location = wh.read("raw.weather_observations"), wh.read("core.location")
+    name = "raw.weather_observations"
+    raw, location = wh.read(name) if full else unapplied(wh, name, known_by_now(wh)), wh.read("core.location")
     if raw_since is not None:
         raw = raw.filter(F.col("ingested_at") >= ntz(raw_since))
     parsed = weather.parse_once(weather.latest_payloads(raw), location)
@@ -172,11 +211,17 @@ def transform_weather(
     return {"months": months, **weather.run_metrics(parsed).first().asDict()}
 
 
-def transform_pages(wh: Warehouse, now: dt.datetime, reconcile_placeholders: bool = True) -> dict:
-    """Newest payload per page into the type-2 dimension, then its revision into the fact."""
-    latest = pages.latest_pages(wh.read("raw.wikipedia_pages"))
+def transform_pages(wh: Warehouse, now: dt.datetime, reconcile_placeholders: bool = True, *, full: bool = False) -> dict:
+    """Newest payload per page into the type-2 dimension, then its revision into the fact.
+
+    As with the weather only batches landed since the last finished run are read, unless `full`.
+    """
+    name = "raw.wikipedia_pages"
+    latest = stage(pages.latest_pages(wh.read(name) if full else unapplied(wh, name)), "latest-pages")
     batch = stage(pages.parse_pages(latest, now), "parsed-pages")
     reject(wh, pages.rejected_pages(latest))
+    if batch.isEmpty():
+        return {"pages_processed": 0, "revisions_inserted": 0}
     dim = wh.read("core.wikipedia_page")
     wh.replace(
         "core.wikipedia_page", pages.upsert_pages(dim, batch, now, reconcile_placeholders=reconcile_placeholders)
@@ -185,33 +230,62 @@ def transform_pages(wh: Warehouse, now: dt.datetime, reconcile_placeholders: boo
     added = stage(
         pages.new_revisions(wh.read("core.revision"), batch, wh.read("core.wikipedia_page"), now), "new-revisions"
     )
-    wh.append("core.revision", added)
-    return {"pages_processed": batch.count(), "revisions_inserted": added.count()}
+    inserted = added.count()
+    if inserted:
+        wh.append("core.revision", added)
+    return {"pages_processed": batch.count(), "revisions_inserted": inserted}
+
+
+def revision_lines(wh: Warehouse) -> DataFrame:
+    """The revision suite over the whole fact, of which only the batches are read that came since the last look.
+
+    What earlier batches gave is noted as counts. A key of a new row is looked up among the keys of older rows, and
+    its page in the dimension; nothing else of older rows is read.
+    """
+    table = wh.batches("core.revision")
+    seen, last = wh.noted("revision_checks"), table.last_batch()
+    totals = {name: list(n) for name, n in seen.get("counts", {}).items()}
+    if last > seen.get("batch", 0) or not totals:
+        rows = table.read()
+        old, new = rows.filter(F.col("b") <= seen.get("batch", 0)), table.read(seen.get("batch", 0))
+        suite = quality.revision_suite(wh.read("core.wikipedia_page"))
+        counted = quality.rule_counts(new, suite.rules).select("name", "evaluated", "unexpected")
+        counted = counted.unionByName(
+            quality.reference_line(new, *suite.references).select("name", "evaluated", "unexpected")
+        ).unionByName(quality.added_unique_line(old, new, suite.unique).select("name", "evaluated", "unexpected"))
+        for line in counted.collect():  # one line per expectation
+            was = totals.get(line.name, [0, 0])
+            totals[line.name] = [was[0] + line.evaluated, was[1] + line.unexpected]
+        wh.note("revision_checks", {"batch": last, "counts": totals})
+    return quality.checkpoint_of(
+        wh.spark, quality.revision_suite(wh.read("core.wikipedia_page")), totals, REVISION.names, REVISION_CHECKPOINT
+    )
 
 
 def quality_results(
-    wh: Warehouse, months: Iterable[dt.date] | None = None, *, all_locations: bool = True
+    wh: Warehouse, months: Iterable[dt.date] | None = None, *, all_locations: bool = True, full: bool = False
 ) -> DataFrame:
     """Both suites, one row per expectation.
 
     `months` restricts the weather suite to the partitions a run has changed;
     keys cannot repeat across months, so uniqueness stays complete. The minimum of rows
-    per location is a rule on the whole fact: a location whose fetch fails as a month
-    begins still has its earlier rows.
+    per location is a rule on the whole fact, counted from its stored days: a location whose fetch fails as a month
+    begins still has its earlier rows. The revision suite is on the whole fact as well, added up batch by batch;
+    with `full` it reads all of it.
     """
     dim = wh.read("core.location") if all_locations else None
     weather_lines = quality.checkpoint(
         wh.read("core.weather", months),
         quality.weather_suite(dim),
         "weather_fact_checkpoint",
-        all_rows=wh.read("core.weather"),
+        counted=wh.read("state.weather_days").groupBy("location_id").agg(F.sum("n").alias("n")),
     )
-    revision_lines = quality.checkpoint(
-        wh.read("core.revision"),
-        quality.revision_suite(wh.read("core.wikipedia_page")),
-        "wikipedia_revision_checkpoint",
+    if not full:
+        return weather_lines.unionByName(revision_lines(wh))
+    whole = quality.checkpoint(
+        wh.read("core.revision"), quality.revision_suite(wh.read("core.wikipedia_page")), REVISION_CHECKPOINT
     )
-    return weather_lines.unionByName(revision_lines)
+    return weather_lines.unionByName(whole)
 
 
 def run_daily(
@@ -226,18 +300,22 @@ def run_daily(
     raw_since: dt.datetime | None = None,
     all_locations: bool = True,
     touched_days_only: bool = False,
+    full: bool = False,
 ) -> DataFrame:
     """Run all layers for one batch and return a one-row summary.
 
-    Raises DataQualityError when the gate fails; the marts then keep their
-    previous version. With `all_locations` the gate also wants rows for every
-    location. `touched_days_only` refreshes the
-    weather mart for those months alone. Running the same batch again changes no fact row.
+    A run first completes what one that died has left unfinished. It reads the raw batches landed since the last run
+    that came through, rebuilds the months of the marts that have changed, and checks what is new; with `full` it reads
+    all of raw and all facts, to the same result. Raises DataQualityError when the gate fails; the marts then keep their
+    previous state, and the next run takes the same batches again and checks the same months. With `all_locations` the
+    gate also wants rows for every location. With `touched_days_only` rows of other months keep the names they were
+    built with when a dimension row is renamed. Running the same batch again changes no fact row.
     """
     wh = Warehouse(spark, root)
+    wh.recover()
     with staging(spark):
         row = _run_layers(
-            wh, now, weather_landing, page_landing, seeds, on_error, raw_since, all_locations, touched_days_only
+            wh, now, weather_landing, page_landing, seeds, on_error, raw_since, all_locations, touched_days_only, full
         )
     return spark.createDataFrame(
         [tuple(row.values())],
@@ -257,6 +335,7 @@ def _run_layers(
     raw_since: dt.datetime | None,
     all_locations: bool,
     touched_days_only: bool,
+    full: bool,
 ) -> dict:
     if seeds is not None:
         location, page = apply_seeds(wh.read("core.location"), wh.read("core.wikipedia_page"), seeds, now)
@@ -266,10 +345,22 @@ def _run_layers(
         land_weather(wh, weather_landing, now)
     if page_landing is not None:
         land_pages(wh, page_landing, now)
-    weather_run = transform_weather(wh, now, on_error, raw_since)
-    page_run = transform_pages(wh, now)
-    quality.enforce(quality_results(wh, weather_run["months"], all_locations=all_locations))
-    refreshed = refresh_marts(wh, weather_run["months"] if touched_days_only else None)
+    landed = {name: wh.batches(name).last_batch() for name in RAW}
+    places = max(versions(wh.spark, wh.path("core.location")), default=0)
+    weather_run = transform_weather(wh, now, on_error, raw_since, full=full)
+    page_run = transform_pages(wh, now, full=full)
+    wh.index_titles()
+    refresh.refresh_weather_days(wh)
+    fact = wh.months("core.weather").state()
+    unchecked = refresh.changed_months(fact, wh.noted("weather_gate").get("months", {}))
+    months = None if full else [m for m in unchecked if m in fact.months]
+    quality.enforce(quality_results(wh, months, all_locations=all_locations, full=full))
+    wh.note("weather_gate", {"months": refresh.as_note(fact)})
+    refreshed = rebuild_marts(wh) if full else refresh_marts(wh, renames=not touched_days_only)
+    if all(r["status"] == "success" for r in refreshed):
+        for name, batch in landed.items():
+            wh.batches(name).set_applied(READER, batch)
+        wh.note("finished", {"location": places})
     wh.expire()
     return {
         "locations": wh.read("core.location").count(),

@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataflow.functions.numbers import mean, mps_to_kmh
@@ -21,26 +21,25 @@ WEATHER_GRAIN = ("location_name", "city", "country", "observation_date")
 PAGE_GRAIN = ("page_title", "page_language", "revision_date")
 
 
-def daily_weather_aggregates(weather: DataFrame, location: DataFrame) -> DataFrame:
-    """Per location and day: row count, temperature avg/min/max, other averages, most common conditions."""
-    averaged: dict[str, Column] = {
-        "temperature_celsius": F.col("temperature_celsius"),
-        "humidity_percent": F.col("humidity_percent"),
-        "pressure_hpa": F.col("pressure_hpa"),
-        "wind_speed_mps": F.col("wind_speed_mps"),
-    }
+AVERAGED = ("temperature_celsius", "humidity_percent", "pressure_hpa", "wind_speed_mps")
+
+
+def weather_days(weather: DataFrame) -> DataFrame:
+    """The fact summed up per location, day and conditions. Rows of one key can be added up, so parts can be merged."""
     partial = [F.count(F.lit(1)).alias("n")]
+    for name in AVERAGED:
+        partial += [F.sum(name).alias(f"sum_{name}"), F.count(name).alias(f"n_{name}")]
+    partial += [F.min("temperature_celsius").alias("lo"), F.max("temperature_celsius").alias("hi")]
+    return weather.groupBy("location_id", F.to_date("observed_at").alias("observation_date"), "conditions").agg(*partial)
+
+
+def weather_mart_of(days: DataFrame, location: DataFrame) -> DataFrame:
+    """The weather mart from stored days: names joined, days of locations that share a name merged."""
     merged = [F.sum("n").alias("n")]
-    for name, value in averaged.items():
-        partial += [F.sum(value).alias(f"sum_{name}"), F.count(value).alias(f"n_{name}")]
+    for name in AVERAGED:
         merged += [F.sum(f"sum_{name}").alias(f"sum_{name}"), F.sum(f"n_{name}").alias(f"n_{name}")]
-    partial += [F.min("temperature_celsius").alias("lo"), F.max("temperature_celsius").alias("hi")]
     merged += [F.min("lo").alias("lo"), F.max("hi").alias("hi")]
-
-    by_id = weather.groupBy("location_id", F.to_date("observed_at").alias("observation_date"), "conditions").agg(
-        *partial
-    )
-    named = by_id.join(location.select("location_id", "location_name", "city", "country"), "location_id")
+    named = days.join(location.select("location_id", "location_name", "city", "country"), "location_id")
     # One shuffle by the grain serves both the merge per condition and the mode over conditions.
     by_condition = named.repartition(*WEATHER_GRAIN).groupBy(*WEATHER_GRAIN, "conditions").agg(*merged)
     daily = mode_of(by_condition, WEATHER_GRAIN, "conditions", "n", merged)
@@ -58,18 +57,36 @@ def daily_weather_aggregates(weather: DataFrame, location: DataFrame) -> DataFra
     )
 
 
-def daily_page_stats(revision: DataFrame, page: DataFrame, current_only: bool = False) -> DataFrame:
-    """Per page title, language and day: revisions, distinct editors, and sum/avg/min/max of the size."""
-    if current_only:
-        page = page.filter("is_current")
-    by_id = revision.groupBy("page_id", F.to_date("revision_timestamp").alias("revision_date"), "revision_user").agg(
+def daily_weather_aggregates(weather: DataFrame, location: DataFrame) -> DataFrame:
+    """Per location and day: row count, temperature avg/min/max, other averages, most common conditions."""
+    return weather_mart_of(weather_days(weather), location)
+
+
+def page_days(revision: DataFrame) -> DataFrame:
+    """The revisions summed up per page, day and editor. Rows of one key can be added up, so parts can be merged."""
+    return revision.groupBy("page_id", F.to_date("revision_timestamp").alias("revision_date"), "revision_user").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("content_len").alias("total"),
         F.count("content_len").alias("sized"),
         F.min("content_len").alias("lo"),
         F.max("content_len").alias("hi"),
     )
-    named = by_id.join(page.select("page_id", "page_title", "page_language"), "page_id")
+
+
+def merged_page_days(days: DataFrame) -> DataFrame:
+    """Stored days and those of new revisions as one row per page, day and editor."""
+    return days.groupBy("page_id", "revision_date", "revision_user").agg(
+        F.sum("n").alias("n"),
+        F.sum("total").alias("total"),
+        F.sum("sized").alias("sized"),
+        F.min("lo").alias("lo"),
+        F.max("hi").alias("hi"),
+    )
+
+
+def page_mart_of(days: DataFrame, page: DataFrame) -> DataFrame:
+    """The page mart from stored days."""
+    named = days.join(page.select("page_id", "page_title", "page_language"), "page_id")
     return (
         named.groupBy(*PAGE_GRAIN)
         .agg(
@@ -92,6 +109,13 @@ def daily_page_stats(revision: DataFrame, page: DataFrame, current_only: bool =
     )
 
 
+def daily_page_stats(revision: DataFrame, page: DataFrame, current_only: bool = False) -> DataFrame:
+    """Per page title, language and day: revisions, distinct editors, and sum/avg/min/max of the size."""
+    if current_only:
+        page = page.filter("is_current")
+    return page_mart_of(page_days(revision), page)
+
+
 def refresh_dates(mart: DataFrame, recomputed: DataFrame, date_col: str, first: dt.date) -> DataFrame:
     """Mart after a refresh of all days from `first` on: older days stay, later ones are the recomputed rows."""
     return mart.filter(F.col(date_col) < F.lit(first)).unionByName(recomputed.select(*mart.columns))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataflow import schemas
@@ -166,8 +166,25 @@ def unique_line(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return _line(counted, "unique_" + "_".join(keys), "unique", ",".join(keys))
 
 
-def min_rows_line(df: DataFrame, dim: DataFrame, key: str, least: int) -> DataFrame:
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+def added_unique_line(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """What `new` rows add to `unique_line` of a table of `old` rows; of these only the keys of new rows are looked at.
+
+    A key that gets its second row makes the first unexpected as well.
+    """
+    keys = list(keys)
+    fresh = new.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    there = old.select(*keys).join(fresh.select(*keys), keys, "left_semi")
+    both = fresh.join(there.groupBy(*keys).agg(F.count(F.lit(1)).alias("m")), keys, "left")
+    more = F.when(F.col("m").isNull(), F.when(F.col("n") > 1, F.col("n"))).otherwise(F.col("n") + (F.col("m") == 1).cast("int"))
+    counted = both.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("evaluated"), F.coalesce(F.sum(more), F.lit(0)).alias("unexpected")
+    )
+    return _line(counted, "unique_" + "_".join(keys), "unique", ",".join(keys))
+
+
+def min_rows_line(df: DataFrame, dim: DataFrame, key: str, least: int, counts: DataFrame | None = None) -> DataFrame:
+    """`counts` (key, n) where the rows per key are known already."""
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")) if counts is None else counts
     counted = (
         dim.select(key)
         .join(counts, key, "left")
@@ -203,11 +220,11 @@ def required_lines(df: DataFrame, required: Sequence[str]) -> DataFrame:
     )
 
 
-def checkpoint(df: DataFrame, suite: Suite, name: str, *, all_rows: DataFrame | None = None) -> DataFrame:
+def checkpoint(df: DataFrame, suite: Suite, name: str, *, counted: DataFrame | None = None) -> DataFrame:
     """One row per expectation, labelled with checkpoint and suite names.
 
-    Where `df` is only the part that a run has changed, `all_rows` is the table on which
-    the minimum of rows is counted; of it only the key is read. All column rules come from one aggregation; uniqueness, minimum rows and
+    Where `df` is only the part that a run has changed, `counted` (key, n) has the rows of the whole table per key,
+    for the rule on their minimum. All column rules come from one aggregation; uniqueness, minimum rows and
     references take one more each.
     """
     parts: list[DataFrame] = []
@@ -216,7 +233,7 @@ def checkpoint(df: DataFrame, suite: Suite, name: str, *, all_rows: DataFrame |
     if suite.unique:
         parts.append(unique_line(df, suite.unique))
     if suite.min_rows:
-        parts.append(min_rows_line(df if all_rows is None else all_rows, *suite.min_rows))
+        parts.append(min_rows_line(df, *suite.min_rows, counts=counted))
     if suite.references:
         parts.append(reference_line(df, *suite.references))
     if suite.required:
@@ -227,6 +244,22 @@ def checkpoint(df: DataFrame, suite: Suite, name: str, *, all_rows: DataFrame |
     return lines.select(F.lit(name).alias("checkpoint_name"), F.lit(suite.name).alias("suite_name"), "*")
 
 
+def checkpoint_of(
+    spark: SparkSession, suite: Suite, counts: dict[str, Sequence[int]], columns: Sequence[str], name: str
+) -> DataFrame:
+    """The lines of `checkpoint` from counts that are known: expectation -> (evaluated, unexpected)."""
+    kinds = [(r.name, r.kind, r.column, r.mostly) for r in suite.rules]
+    kinds.append(("unique_" + "_".join(suite.unique), "unique", ",".join(suite.unique), 1.0))
+    if suite.references:
+        kinds.append((f"{suite.references[1]}_in_dimension", "referential", suite.references[1], 1.0))
+    rows = [(n, kind, column, *map(int, counts[n]), float(mostly)) for n, kind, column, mostly in kinds]
+    shape = "name string, kind string, column string, evaluated bigint, unexpected bigint, threshold double"
+    lines = _judged(spark.createDataFrame(rows, shape))
+    if suite.required:
+        lines = lines.unionByName(required_lines(spark.createDataFrame([], ", ".join(f"`{c}` string" for c in columns)), suite.required))
+    return lines.select(F.lit(name).alias("checkpoint_name"), F.lit(suite.name).alias("suite_name"), "*")
+
+
 def summary(results: DataFrame) -> DataFrame:
     """One row per checkpoint: success and statistics."""
     return results.groupBy("checkpoint_name", "suite_name").agg(

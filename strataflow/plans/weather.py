@@ -171,10 +171,9 @@ def latest_payloads(raw: DataFrame) -> DataFrame:
     return latest_per_key(raw, LOCATION_KEY, "ingested_at", ["id"])
 
 
-def newest_of(batch: DataFrame, raw: DataFrame) -> DataFrame:
-    """The batch rows that are the newest payload of their location in all of `raw`, of which no payload is read."""
-    newest = latest_payloads(raw.select(*LOCATION_KEY, "ingested_at", "id")).select("id")
-    return latest_payloads(batch).join(newest, "id", "left_semi")
+def newest_of(batch: DataFrame, newest: DataFrame) -> DataFrame:
+    """The batch rows that are the newest payload of their location, by the table of newest rows (id, b) of all that landed."""
+    return latest_payloads(batch).join(newest.select("id", "b"), ["id", "b"], "left_semi")
 
 
 def parse_weather(raw: DataFrame, location: DataFrame, on_error: str = "entity") -> tuple[DataFrame, DataFrame]:

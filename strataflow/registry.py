@@ -39,6 +39,6 @@ def query(sql: str | None = None, name: str | None = None):
 
 def load_all() -> tuple[dict[str, Query], dict[str, str]]:
     """Import every query module and return both registries."""
-    from strataflow.queries import keyed, marts, payloads, quality, reports, scalars, storage  # noqa: F401
+    from strataflow.queries import keyed, marts, payloads, quality, reports, runs, scalars, storage  # noqa: F401
 
     return dict(QUERIES), dict(ORACLES)

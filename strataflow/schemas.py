@@ -152,6 +152,36 @@ DAILY_PAGES = schema(
     max_revision_size=INT,
 )
 
+# Partial aggregates per key and day that the marts are made of; sums and counts of many can be added up.
+SUM = DecimalType(15, 2)
+WEATHER_DAYS = schema(
+    location_id=BIGINT,
+    observation_date=DATE,
+    conditions=STRING,
+    n=BIGINT,
+    sum_temperature_celsius=SUM,
+    n_temperature_celsius=BIGINT,
+    sum_humidity_percent=SUM,
+    n_humidity_percent=BIGINT,
+    sum_pressure_hpa=DecimalType(17, 2),
+    n_pressure_hpa=BIGINT,
+    sum_wind_speed_mps=SUM,
+    n_wind_speed_mps=BIGINT,
+    lo=MEASURE,
+    hi=MEASURE,
+)
+
+PAGE_DAYS = schema(
+    page_id=BIGINT,
+    revision_date=DATE,
+    revision_user=STRING,
+    n=BIGINT,
+    total=BIGINT,
+    sized=BIGINT,
+    lo=INT,
+    hi=INT,
+)
+
 # Table name -> (schema, partition column).
 TABLES: dict[str, tuple[StructType, str | None]] = {
     "raw.weather_observations": (RAW_WEATHER, None),
@@ -161,10 +191,40 @@ TABLES: dict[str, tuple[StructType, str | None]] = {
     "core.wikipedia_page": (PAGE, None),
     "core.weather": (WEATHER, "obs_month"),
     "core.revision": (REVISION, None),
+    "state.weather_days": (WEATHER_DAYS, None),
+    "state.page_days": (PAGE_DAYS, None),
     "mart.daily_weather_aggregates": (DAILY_WEATHER, None),
     "mart.daily_wikipedia_page_stats": (DAILY_PAGES, None),
 }
 
+# Tables of logged batches -> the column that says when a row was loaded.
+BATCHED = {
+    "raw.weather_observations": "ingested_at",
+    "raw.wikipedia_pages": "ingested_at",
+    "core.revision": "fetched_at",
+}
+
+# Tables in month folders -> the column that a row's month comes from.
+DAY_OF = {
+    "core.weather": "observed_at",
+    "state.weather_days": "observation_date",
+    "state.page_days": "revision_date",
+    "mart.daily_weather_aggregates": "observation_date",
+    "mart.daily_wikipedia_page_stats": "revision_date",
+}
+
+# Keys: of a table in month folders its columns, of a raw table the SQL of those whose newest row counts.
+# A page is known by its id, and by its title where there is none.
+KEYS = {
+    "core.weather": WEATHER_KEY,
+    "raw.weather_observations": {c: c for c in LOCATION_KEY},
+    "raw.wikipedia_pages": {
+        "page_id": "page_id",
+        "page_language": "page_language",
+        "untold_title": "CASE WHEN coalesce(page_id, 0) = 0 THEN page_title END",
+    },
+}
+
 # Payload contracts. Value arrays are read as text: with ARRAY<DOUBLE> one
 # element that is not a number would turn the whole array into NULL.
 WEATHER_ARRAYS = ("temperature_2m", "relativehumidity_2m", "precipitation", "cloudcover", "windspeed_10m")

@@ -61,7 +61,11 @@ def page_envelope(landing: DataFrame, now: dt.datetime) -> DataFrame:
     return conform(lifted, RAW_PAGES).drop("id")
 
 
-def with_raw_ids(envelope: DataFrame, existing: DataFrame) -> DataFrame:
-    """Unique ids above all existing ones, without a shuffle; gaps are allowed as in a sequence."""
-    highest = existing.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
+def numbered_from(envelope: DataFrame, highest: int) -> DataFrame:
+    """Unique ids above the highest one given so far, without a shuffle; gaps are allowed as in a sequence."""
     return envelope.select((F.lit(highest + 1) + F.monotonically_increasing_id()).alias("id"), "*")
+
+
+def with_raw_ids(envelope: DataFrame, existing: DataFrame) -> DataFrame:
+    """`numbered_from` for rows that are at hand only as a table; a warehouse has its highest id in the log."""
+    return numbered_from(envelope, existing.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0])

@@ -1,43 +1,40 @@
 """The warehouse on a shared file system: `<root>/<layer>/<table>`, Parquet throughout.
 
-Three layouts, by how a table changes:
-
-* append: raw tables, revisions and rejects. Batches are only added.
-* versions: dimensions and marts. A refresh writes `v=<n>` next to the old
-  version. Readers take the newest version that has its `_SUCCESS` file, which
-  Spark writes last, so they never see a half-written table and a failed
-  refresh leaves the old one in place.
-* months: the hourly fact, partitioned by `obs_month`. A change is staged in the
-  shared folder, then only the months it touches are overwritten.
+Four layouts, by how a table changes:
+
+* batches: raw tables and revisions (`ingest`). Each batch is a folder of its own and has an entry in a log.
+* versions: dimensions. A refresh writes `v=<n>` next to the old version. Readers take the newest version that has
+  its `_SUCCESS` file, which Spark writes last, so they never see a half-written table and a failed refresh leaves
+  the old one in place.
+* months: the hourly fact, the daily partial aggregates and the marts (`months`). A change writes new versions of the
+  month folders it touches, and switches to all of them by one marker.
+* append: rejects.
 """
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
+import json
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StructType
 
-from strataflow.functions.times import month_of, months_touched, ntz
+from strataflow.functions.times import month_of, months_touched
 from strataflow.operators import merge
 from strataflow.operators.shape import conform
-from strataflow.schemas import TABLES
-from strataflow.session import file_system, stage_dir
+from strataflow.schemas import BATCHED, DAY_OF, KEYS, TABLES
+from strataflow.session import file_system
+from strataflow.sources.files import child_names, lease, leased, path_exists, read_text, write_text
+from strataflow.sources.ingest import RawTable
+from strataflow.sources.lookup import TitleLookup
+from strataflow.sources.months import MonthTable, archive_months, by_month, with_month
 
 VERSION = re.compile(r"^v=(\d+)$")
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, hadoop_path = file_system(spark, path)
-    return fs.exists(hadoop_path)
-
-
-def child_names(spark: SparkSession, path: str) -> list[str]:
-    fs, hadoop_path = file_system(spark, path)
-    return [s.getPath().getName() for s in fs.listStatus(hadoop_path)] if fs.exists(hadoop_path) else []
+MONTH = "obs_month"
 
 
 def versions(spark: SparkSession, path: str, *, complete: bool = True) -> list[int]:
@@ -64,38 +61,26 @@ def write_version(df: DataFrame, path: str) -> int:
 
 
 def expire_versions(spark: SparkSession, path: str, keep: int = 2) -> list[int]:
-    """Delete all but the newest `keep` complete versions; returns the numbers deleted."""
-    old = versions(spark, path)[: -max(keep, 1)]
+    """Delete all but the newest `keep` complete versions and those on lease; returns the numbers deleted."""
+    held = leased(spark, path)
+    old = [v for v in versions(spark, path)[: -max(keep, 1)] if v not in held]
     for number in old:
         fs, hadoop_path = file_system(spark, f"{path}/v={number}")
         fs.delete(hadoop_path, True)
     return old
 
 
-def with_month(df: DataFrame, ts: str, month_col: str = "obs_month") -> DataFrame:
-    return df.withColumn(month_col, month_of(F.col(ts)))
-
 
 def write_months(df: DataFrame, path: str, month_col: str, sort_by: Iterable[str] = ()) -> None:
-    """Overwrite the months that occur in `df`, and no other month; each file is sorted for row-group skipping."""
+    """Overwrite the months that occur in `df`, and no other month; each file is sorted for row-group skipping.
+
+    For plain folders without markers, `<path>/<month_col>=<month>`; the warehouse's own tables use `MonthTable`.
+    """
     df.sortWithinPartitions(month_col, *sort_by).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy(month_col).parquet(path)
 
 
-def by_month(df: DataFrame, month_col: str) -> DataFrame:
-    """Shuffle for a partitioned write: AQE merges small months and splits a huge one over many tasks."""
-    return df.hint("rebalance", F.col(month_col))
-
-
-def drop_months(spark: SparkSession, path: str, month_col: str, months: Iterable[dt.date]) -> None:
-    """Detach whole months without reading them."""
-    for month in months:
-        fs, hadoop_path = file_system(spark, f"{path}/{month_col}={month.isoformat()}")
-        if fs.exists(hadoop_path):
-            fs.delete(hadoop_path, True)
-
-
 def months_in(df: DataFrame, month_col: str) -> list[dt.date]:
     """The distinct months of a batch: one value per calendar month, whatever the batch size."""
     return sorted(r[0] for r in df.select(month_col).distinct().collect() if r[0] is not None)
@@ -112,54 +97,114 @@ class Warehouse:
         return f"{self.root}/{layer}/{table}"
 
     def _versioned(self, name: str) -> bool:
-        return name.startswith("mart.") or name in ("core.location", "core.wikipedia_page")
+        return name in ("core.location", "core.wikipedia_page")
+
+    def _monthly(self, name: str) -> bool:
+        return name in DAY_OF
+
+    def months(self, name: str) -> MonthTable:
+        """A table in month folders. Its stored rows have the month as last column."""
+        schema = TABLES[name][0]
+        stored = schema if MONTH in schema.names else StructType([*schema.fields]).add(MONTH, DateType())
+        return MonthTable(self.spark, self.path(name), stored, MONTH)
+
+    def batches(self, name: str) -> RawTable:
+        """A table of logged batches."""
+        return RawTable(self.spark, self.path(name), TABLES[name][0], KEYS.get(name), BATCHED[name])
+
+    def titles(self) -> TitleLookup:
+        """Raw pages by their title, ignoring case."""
+        return TitleLookup(self.spark, f"{self.root}/state/page_titles", TABLES["raw.wikipedia_pages"][0])
+
+    def index_titles(self) -> int:
+        """Bring the landed batches of pages that it lacks into the title lookup; returns how many."""
+        raw, lookup = self.batches("raw.wikipedia_pages"), self.titles()
+        lacking = sorted(set(raw.batches()) - set(lookup.batches()))
+        if lacking:
+            rows = raw.read(max(raw.batches()), lacking)
+            lookup.add(rows, lacking)
+        return len(lacking)
 
     def read(self, name: str, months: Iterable[dt.date] | None = None) -> DataFrame:
-        """A table under its declared schema; `months` restricts a partitioned one to those partitions."""
-        schema, month_col = TABLES[name]
+        """A table under its declared schema; `months` restricts a table in month folders to those."""
+        schema = TABLES[name][0]
         path = self.path(name)
         if self._versioned(name):
             return read_version(self.spark, path, schema)
+        if self._monthly(name):
+            return self.months(name).read(months).select(*schema.names)
+        if name in BATCHED:
+            return self.batches(name).read().select(*schema.names)
         if not any(c != "_temporary" for c in child_names(self.spark, path)):
             return self.spark.createDataFrame([], schema)
-        df = self.spark.read.schema(schema).parquet(path)
-        if month_col and months is not None:
-            df = df.filter(F.col(month_col).isin(list(months)))
-        return df.select(*schema.names)
+        return self.spark.read.schema(schema).parquet(path).select(*schema.names)
+
+    @contextlib.contextmanager
+    def snapshot(self, *names: str, hours: float = 24) -> Iterator[dict[str, DataFrame]]:
+        """Dimensions and tables in month folders as they are now, for as long as the block runs, `hours` at most.
+
+        Refreshes go on meanwhile; what the block reads is not expired.
+        """
+        with contextlib.ExitStack() as held:
+            frames = {}
+            for name in names:
+                schema, path = TABLES[name][0], self.path(name)
+                if self._monthly(name):
+                    state = self.months(name).state()
+                    number, df = state.number, self.months(name).read(state=state).select(*schema.names)
+                else:
+                    number = max(versions(self.spark, path), default=0)
+                    df = read_version(self.spark, path, schema, number or None)
+                if number:
+                    held.enter_context(lease(self.spark, path, number, hours))
+                frames[name] = df
+            yield frames
 
     def append(self, name: str, df: DataFrame) -> None:
-        conform(df, TABLES[name][0]).write.mode("append").parquet(self.path(name))
+        """Add rows; to a table of batches as a batch, with all that is kept about it."""
+        rows = conform(df, TABLES[name][0])
+        if name in BATCHED:
+            self.batches(name).land(rows)
+        else:
+            rows.write.mode("append").parquet(self.path(name))
 
     def replace(self, name: str, df: DataFrame) -> int:
-        """Publish a new version of a dimension or mart."""
-        return write_version(conform(df, TABLES[name][0]), self.path(name))
+        """Make the rows the whole content of a dimension or a table in month folders; returns its new number."""
+        rows = conform(df, TABLES[name][0])
+        if not self._monthly(name):
+            return write_version(rows, self.path(name))
+        table, dated = self.months(name), self._dated(name, rows)
+        return table.replace(dated, {*table.months(), *months_in(dated, MONTH)}, notes={}).number
+
+    def _dated(self, name: str, df: DataFrame) -> DataFrame:
+        return df if MONTH in df.columns else with_month(df, DAY_OF[name], MONTH)
 
     def replace_months(
-        self, name: str, df: DataFrame, months: Iterable[dt.date], sort_by: Iterable[str] = ()
+        self,
+        name: str,
+        df: DataFrame,
+        months: Iterable[dt.date],
+        sort_by: Iterable[str] = (),
+        *,
+        notes: dict | None = None,
     ) -> DataFrame:
-        """Make `df` the whole content of the given months; returns the staged rows.
+        """Make `df` the whole content of the given months, by one switch; returns the rows as stored.
 
-        The rows are staged first, so nothing that is being read is overwritten,
-        and the staged copy can be applied again if the job dies in between. A
-        month that ends up empty is detached.
+        A month that ends up empty is detached, a row of another month fails the job. Until the switch readers have
+        the old months, and `recover` completes a switch whose rows are all there.
         """
-        schema, month_col = TABLES[name]
-        staging, sort_by = stage_dir(self.spark, "months"), list(sort_by)
-        shaped = by_month(conform(df, schema), month_col)
-        write_months(shaped, staging, month_col, sort_by)
-        if not any(c.startswith(month_col) for c in child_names(self.spark, staging)):
-            drop_months(self.spark, self.path(name), month_col, months)
-            return self.spark.createDataFrame([], schema)
-        staged = self.spark.read.schema(schema).parquet(staging).select(*schema.names)
-        left = months_in(staged, month_col)
-        write_months(staged, self.path(name), month_col, sort_by)
-        drop_months(self.spark, self.path(name), month_col, [m for m in months if m not in left])
-        return staged
+        months = list(months)
+        state = self.months(name).replace(self._dated(name, df), months, sort_by, notes=notes)
+        return self.months(name).read(months, state)
+
+    def recover(self) -> dict[str, list[int]]:
+        """Complete what a job that died has left unfinished, in all tables; returns the numbers completed."""
+        tables = {n: self.months(n) for n in DAY_OF} | {n: self.batches(n) for n in BATCHED}
+        return {n: done for n, table in tables.items() if (done := table.recover())}
 
     def stored_months(self, name: str) -> list[dt.date]:
-        """The months that a partitioned table has, from its folders."""
-        marks = [c.partition("=") for c in child_names(self.spark, self.path(name))]
-        return sorted(dt.date.fromisoformat(value) for column, _, value in marks if column == TABLES[name][1])
+        """The months that a table in month folders has, from its marker."""
+        return self.months(name).months()
 
     def _met(self, name: str, start: dt.datetime, end: dt.datetime) -> list[dt.date]:
         touched = set(months_touched(start, end))
@@ -191,44 +236,62 @@ class Warehouse:
         self.replace_months(name, merge.replace_range(self.read(name, months), fresh, ts_col, start, end), months, sort_by)
         return months
 
-    def archive_before(self, name: str, cutoff: dt.date, folder: str) -> list[dt.date]:
+    def archive_before(self, name: str, cutoff: dt.date, folder: str, keys: Sequence[str] | None = None) -> list[dt.date]:
         """Move whole months before the cutoff to another folder of the same layout; returns them.
 
-        A month is detached only after its copy is complete, so a run that dies in between can be repeated.
+        `keys` are by default the table's own; see `archive_months`.
         """
-        month_col = TABLES[name][1]
-        old = [m for m in self.stored_months(name) if m < cutoff.replace(day=1)]
-        if old:
-            write_months(by_month(self.read(name, old), month_col), folder, month_col)
-            drop_months(self.spark, self.path(name), month_col, old)
-        return old
+        table = self.months(name)
+        archive = MonthTable(self.spark, folder, table.schema, table.month_col)
+        return archive_months(table, archive, cutoff, keys or KEYS[name])
 
     def delete_loaded_before(self, name: str, cutoff: dt.datetime) -> None:
-        """Retention of an append-only table: drop the rows ingested before the cutoff; those without a time stay."""
-        path, folder = self.path(name), stage_dir(self.spark, "kept")
-        old = F.coalesce(F.col("ingested_at") < ntz(cutoff), F.lit(False))
-        self.read(name).filter(~old).write.parquet(folder)
-        self.spark.read.schema(TABLES[name][0]).parquet(folder).write.mode("overwrite").parquet(path)
+        """Retention of a table of batches: drop the rows loaded before the cutoff; those without a time stay."""
+        self.batches(name).drop_before(cutoff)
 
     def expire(self, keep: int = 2) -> dict[str, list[int]]:
-        """Delete all but the newest versions of every versioned table."""
-        return {n: expire_versions(self.spark, self.path(n), keep) for n in TABLES if self._versioned(n)}
+        """Delete all but the newest versions and states of every table that has such; those on lease stay."""
+        dims = {n: expire_versions(self.spark, self.path(n), keep) for n in TABLES if self._versioned(n)}
+        return dims | {n: self.months(n).expire(keep) for n in DAY_OF}
+
+    def note(self, name: str, value: dict) -> None:
+        """Keep a small fact about the warehouse, such as what the gate has seen."""
+        folder = f"{self.root}/state/_notes/{name}"
+        last = max((int(c) for c in child_names(self.spark, folder)), default=0)
+        write_text(self.spark, f"{folder}/{last + 1:08d}", json.dumps(value))
+
+    def noted(self, name: str) -> dict:
+        """The last note of this name, or an empty one."""
+        folder = f"{self.root}/state/_notes/{name}"
+        last = max(child_names(self.spark, folder), default=None)
+        return json.loads(read_text(self.spark, f"{folder}/{last}")) if last else {}
 
     def register(self, database_prefix: str = "") -> list[str]:
-        """Make the tables queryable as `raw.x`, `core.x`, `mart.x` in Spark SQL, at their current versions."""
+        """Make the tables queryable as `raw.x`, `core.x`, `mart.x` in Spark SQL, as they are now."""
         names = []
-        for name in TABLES:
+        for name, (schema, _) in TABLES.items():
             layer, table = name.split(".")
+            if layer == "state":
+                continue
             database = f"{database_prefix}{layer}"
-            path = self.path(name)
+            path, columns = self.path(name), ", ".join(f"`{c}`" for c in schema.names)
             if self._versioned(name):
                 done = versions(self.spark, path)
-                if not done:
-                    continue
-                path = f"{path}/v={done[-1]}"
-            elif not path_exists(self.spark, path):
+                sources = [f"{path}/v={done[-1]}"] if done else []
+            elif self._monthly(name):
+                state = self.months(name).state()
+                sources = [f"{path}/{MONTH}={m.isoformat()}/v={v}" for m, v in sorted(state.months.items())]
+                columns = columns.replace(f"`{MONTH}`", "DATE'{month}' AS `" + MONTH + "`")
+            else:
+                sources = [path] if path_exists(self.spark, path) else []
+            if not sources:
                 continue
+            # A month is a constant of its folder's rows, so a filter on it drops the other folders.
+            selects = [
+                f"SELECT {columns.replace('{month}', s.rpartition('/')[0].rpartition('=')[2])} FROM parquet.`{s}`"
+                for s in sources
+            ]
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-            self.spark.sql(f"CREATE OR REPLACE VIEW {database}.{table} AS SELECT * FROM parquet.`{path}`")
+            self.spark.sql(f"CREATE OR REPLACE VIEW {database}.{table} AS {' UNION ALL '.join(selects)}")
             names.append(f"{database}.{table}")
         return names

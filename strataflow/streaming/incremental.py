@@ -1,7 +1,8 @@
 """New raw rows into the hourly fact, each processed once, with the same result as one full batch.
 
 Both apply the newest payload of each location. A payload of a micro-batch that is not the newest one landed is
-passed over, as the batch would, so the result is the same whatever the order and the number of micro-batches.
+passed over, as the batch would, so the result is the same whatever the order and the number of micro-batches. Which
+one is the newest is kept with the raw table since the payloads were landed, so no other raw row is read.
 """
 
 from __future__ import annotations
@@ -60,17 +61,13 @@ def run_incremental(
 ) -> None:
     """Process the raw weather rows that arrived since the last call."""
 
+    raw = wh.batches("raw.weather_observations")
+    raw.recover()
+
     def handle(batch: DataFrame, _: int) -> None:
         with staging(wh.spark):
-            newest = weather.newest_of(batch, wh.read("raw.weather_observations"))
-            parsed = weather.parse_once(newest, wh.read("core.location"))
+            parsed = weather.parse_once(weather.newest_of(batch, raw.newest()), wh.read("core.location"))
             wh.append("raw.rejects", not_in(weather.rejected(parsed, on_error), wh.read("raw.rejects"), REJECT_KEY))
             apply_hours(wh, weather.good_hours(parsed, on_error), now)
 
-    process_new(
-        wh.spark,
-        wh.path("raw.weather_observations"),
-        checkpoint,
-        handle,
-        files_per_batch=files_per_batch,
-    )
+    process_new(wh.spark, raw.path, checkpoint, handle, schema=raw.stored_schema(), files_per_batch=files_per_batch)

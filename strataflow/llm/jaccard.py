@@ -36,6 +36,8 @@ SLOT_BLOCK = 1 << 16
 BLOCK, SHARE = 256, 2048
 # In further rounds, groups of at least so many documents draw in others by the HUBS largest groups of each place.
 ROUNDS, LARGE, HUBS = 3, 8, 8
+# Blocks of a token that are paired in one place, and pairs of blocks made at a time.
+POSTINGS, PAIRS = 4096, 1 << 21
 # Rows of ids, some 40 bytes each, up to which a table may be broadcast.
 BROADCAST_ROWS = 500_000
 
@@ -304,6 +306,68 @@ def held_against(pairs: DataFrame, blocks: DataFrame) -> DataFrame:
     return left.union(shares.join(members, "block").select("block", every, F.lit(1).alias("side"), "rep", "grp"))
 
 
+def meeting_pairs(blocks: np.ndarray, tokens: np.ndarray, shares: np.ndarray, own: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(lo, hi, meets) from rows sorted by token (and share) and block: two blocks for each token that both have.
+
+    Pairs are made PAIRS at a time and each is told once for all tokens among them. Where a token has several shares,
+    a share makes the pairs of its own blocks with the higher ones.
+    """
+    last = np.append((tokens[1:] != tokens[:-1]) | (own[1:] != own[:-1]), True)
+    ends = np.flatnonzero(last)[np.cumsum(np.append(0, last[:-1]))]
+    higher = ends - np.arange(len(blocks))
+    higher[mix(blocks.view(np.uint64)) % shares.astype(np.uint64) != own.astype(np.uint64)] = 0
+    total = np.cumsum(higher)
+    start = 0
+    while start < len(blocks):
+        end = max(start + 1, int(np.searchsorted(total, total[start] - higher[start] + PAIRS, side="right")))
+        n = higher[start:end]
+        first = np.repeat(np.arange(start, end), n)
+        other = first + 1 + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        start = end
+        if not len(first):
+            continue
+        lo, hi = blocks[first], blocks[other]
+        order = np.lexsort((hi, lo))
+        lo, hi = lo[order], hi[order]
+        new = np.flatnonzero(np.append(True, (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])))
+        meets = np.diff(np.append(new, len(lo)))
+        yield pa.RecordBatch.from_arrays([pa.array(lo[new]), pa.array(hi[new]), pa.array(meets)], names=["lo", "hi", "meets"])
+
+
+def meeting_blocks(named: DataFrame) -> DataFrame:
+    """(lo, hi, meets): in how many tokens two blocks meet, of the rows (token, block).
+
+    Tokens of a passage that many blocks share have much the same blocks. They come together by the least of their
+    blocks, in an order that is as good as random, and a pair is told once for them, not once for each. A token of very
+    many blocks is dealt in shares, each with all blocks of it.
+    """
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        rows = 0
+        for part in runs(batches, ["run", "share"]):
+            held.append(part)
+            rows += part.num_rows
+            if rows >= POSTINGS:
+                yield from meeting_pairs(*columns(held))
+                held, rows = [], 0
+        if held:
+            yield from meeting_pairs(*columns(held))
+
+    def columns(held: list[pa.Table]) -> list[np.ndarray]:
+        whole = pa.concat_tables(held)
+        return [whole.column(c).to_numpy() for c in ("block", "token", "shares", "share")]
+
+    by_token = Window.partitionBy("token")
+    counted = named.withColumn("k", F.count(F.lit(1)).over(by_token)).withColumn("least", F.min(F.xxhash64("block")).over(by_token))
+    shares = F.ceil(F.col("k") / POSTINGS).cast("int")
+    run = F.when(F.col("k") > POSTINGS, F.xxhash64("token")).otherwise(F.col("least")).alias("run")
+    share = F.explode(F.sequence(F.lit(0), shares - 1)).alias("share")
+    dealt = counted.filter("k > 1").select(run, "token", "block", shares.alias("shares"), share).repartition("run", "share")
+    found = dealt.sortWithinPartitions("run", "share", "token", "block").mapInArrow(meet, "lo long, hi long, meets long")
+    return found.groupBy("lo", "hi").agg(F.sum("meets").alias("meets"))
+
+
 def block_pairs(tokens: DataFrame, blocks: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """Pairs (block, small) that may hold a link, `small` having no more documents: token unions that meet often enough,
     sizes close enough.
@@ -311,8 +375,7 @@ def block_pairs(tokens: DataFrame, blocks: DataFrame, sizes: DataFrame, percent:
     Blocks all of whose documents are in one group already are not paired with each other. `blocks` has (rep, block, grp).
     """
     named = tokens.join(blocks.select("rep", "block"), "rep").select("token", "block").distinct()
-    one, two = named.select("token", F.col("block").alias("lo")), named.select("token", F.col("block").alias("hi"))
-    meets = one.join(two, "token").filter("lo < hi").groupBy("lo", "hi").agg(F.count(F.lit(1)).alias("meets"))
+    meets = meeting_blocks(named)
     only = F.when(F.min("grp") == F.max("grp"), F.min("grp")).alias("only")
     docs = F.count(F.lit(1)).alias("docs")
     extent = blocks.join(sizes, "rep").groupBy("block").agg(F.min("n").alias("small"), F.max("n").alias("large"), only, docs)

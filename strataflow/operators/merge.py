@@ -126,6 +126,42 @@ def dim_upsert(
     return updated.unionByName(numbered.select(*[fresh(c) for c in dim.columns]))
 
 
+def dim_merge_rows(
+    dim: DataFrame,
+    batch: DataFrame,
+    keys: Sequence[str],
+    update_cols: Sequence[str],
+    *,
+    id_col: str,
+    now: dt.datetime,
+    created_cols: Sequence[str] = (),
+    touch_cols: Sequence[str] = (),
+    last_by: Sequence[str] = (),
+) -> DataFrame:
+    """`dim_upsert` in one pass over the dimension: its rows after the batch, and `is_new`; new rows have no surrogate yet.
+
+    For a table that is written as a whole, which numbers the new rows as they are there: `Warehouse.merge_dimension`.
+    """
+    order = list(last_by) or list(update_cols)
+    batch = one_per_key(batch, keys, order) if order else batch.dropDuplicates(list(keys))
+    stamp = ntz(now)
+    given = [c for c in batch.columns if c in dim.columns and c not in keys]
+    new_side = batch.select(*keys, *[F.col(c).alias(f"__s_{c}") for c in given], F.lit(True).alias("__hit"))
+    both = dim.withColumn("__known", F.lit(True)).join(new_side, list(keys), "full_outer")
+    hit, new = F.col("__hit").isNotNull(), F.col("__known").isNull()
+
+    def value(name: str) -> Column:
+        if name in keys:
+            return F.col(name)
+        fresh = stamp if name in (*created_cols, *touch_cols) else F.col(f"__s_{name}") if name in given else F.lit(None)
+        if name == id_col:
+            fresh = F.lit(None)
+        changed = stamp if name in touch_cols else F.col(f"__s_{name}") if name in update_cols else F.col(name)
+        return F.when(new, fresh).when(hit, changed).otherwise(F.col(name))
+
+    return both.select(*[value(f.name).cast(f.dataType).alias(f.name) for f in dim.schema.fields], new.alias("is_new"))
+
+
 def rows_to_insert(
     target: DataFrame, source: DataFrame, keys: Sequence[str], *, first_by: Sequence[str] = ()
 ) -> DataFrame:

@@ -67,6 +67,54 @@ def scd2_apply(
     return history.unionByName(kept).unionByName(numbered.select(*[opened(f) for f in dim.schema.fields]))
 
 
+def scd2_merge_rows(
+    dim: DataFrame,
+    batch: DataFrame,
+    keys: Sequence[str],
+    tracked: str,
+    now: dt.datetime,
+    *,
+    id_col: str,
+    created_cols: Sequence[str] = (),
+) -> DataFrame:
+    """`scd2_apply` in one pass over the dimension: its rows after the batch, and `is_new`; new versions have no surrogate yet.
+
+    A changed key gives two rows, the closed version and the new one. History rows meet nothing in the join, as only
+    the current version of a key is looked for. `Warehouse.merge_dimension` numbers the new versions.
+    """
+    stamp = ntz(now)
+    given = [c for c in batch.columns if c in dim.columns and c not in keys]
+    incoming = batch.select(
+        *keys, F.lit(True).alias("is_current"), *[F.col(c).alias(f"__s_{c}") for c in given if c != "is_current"], F.lit(True).alias("__hit")
+    )
+    known = dim.withColumnRenamed("is_current", "__was").withColumns(
+        {"is_current": F.coalesce("__was", F.lit(False)), "__known": F.lit(True)}
+    )
+    both = known.join(incoming, [*keys, "is_current"], "full_outer")
+    hit, there = F.col("__hit").isNotNull(), F.col("__known").isNotNull()
+    changed = hit & there & ~F.col(f"__s_{tracked}").eqNullSafe(F.col(tracked))
+    opened = {"valid_from": stamp, "valid_to": F.lit(None), "is_current": F.lit(True), id_col: F.lit(None)}
+    opened |= {c: stamp for c in created_cols}
+
+    def old(field) -> Column:
+        name, value = field.name, F.col(field.name)
+        if name == "valid_to":
+            value = F.when(changed, stamp).otherwise(value)
+        elif name == "is_current":
+            value = F.when(changed, F.lit(False)).otherwise(F.col("__was"))
+        return value.cast(field.dataType).alias(name)
+
+    def new(field) -> Column:
+        name = field.name
+        value = F.col(name) if name in keys else opened.get(name, F.col(f"__s_{name}") if name in given else F.lit(None))
+        return value.cast(field.dataType).alias(name)
+
+    kept = F.struct(*[old(f) for f in dim.schema.fields], F.lit(False).alias("is_new"))
+    fresh = F.struct(*[new(f) for f in dim.schema.fields], F.lit(True).alias("is_new"))
+    rows = F.when(changed, F.array(kept, fresh)).when(there, F.array(kept)).otherwise(F.array(fresh))
+    return both.select(F.inline(rows))
+
+
 def scd2_history(
     changes: DataFrame,
     keys: Sequence[str],

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from strataflow.functions.times import ntz
 from strataflow.operators.keys import placeholder_ids, surrogate_ids
-from strataflow.operators.merge import dim_upsert, insert_if_absent, not_in, one_per_key
+from strataflow.operators.merge import dim_merge_rows, dim_upsert, insert_if_absent, not_in, one_per_key
 from strataflow.operators.pick import first_n_per_key
 from strataflow.operators.shape import conform
 from strataflow.plans import marts, pages, quality, refresh, weather
@@ -21,6 +21,12 @@ from strataflow.sources.seeds import location_defaults, page_defaults
 from strataflow.sources.tables import Warehouse, months_in, read_version, versions
 
 SEED_KEY = ("name", "latitude", "longitude")
+SEEDED = {
+    "update_cols": ("country", "region", "city"),
+    "id_col": "location_id",
+    "created_cols": ("created_at",),
+    "touch_cols": ("updated_at",),
+}
 TITLE_KEY = ("page_title", "page_language")
 PAGE_STAMPS = ("first_seen_at", "last_updated_at", "valid_from")
 MARTS = ("mart.daily_weather_aggregates", "mart.daily_wikipedia_page_stats")
@@ -45,16 +51,11 @@ def seeded_locations(dim: DataFrame, seeds: DataFrame, now: dt.datetime) -> Data
 
     Seeds are applied in their order, so of several with one key the last counts.
     """
-    return dim_upsert(
-        dim,
-        location_defaults(one_per_key(seeds, SEED_KEY, ["position"])),
-        LOCATION_KEY,
-        ("country", "region", "city"),
-        id_col="location_id",
-        now=now,
-        created_cols=("created_at",),
-        touch_cols=("updated_at",),
-    )
+    return dim_upsert(dim, _listed(seeds), LOCATION_KEY, **SEEDED, now=now)
+
+
+def _listed(seeds: DataFrame) -> DataFrame:
+    return location_defaults(one_per_key(seeds, SEED_KEY, ["position"]))
 
 
 def upsert_location(dim: DataFrame, found: DataFrame, now: dt.datetime) -> DataFrame:
@@ -222,10 +223,8 @@ def transform_pages(wh: Warehouse, now: dt.datetime, reconcile_placeholders: boo
     reject(wh, pages.rejected_pages(latest))
     if batch.isEmpty():
         return {"pages_processed": 0, "revisions_inserted": 0}
-    dim = wh.read("core.wikipedia_page")
-    wh.replace(
-        "core.wikipedia_page", pages.upsert_pages(dim, batch, now, reconcile_placeholders=reconcile_placeholders)
-    )
+    merged = pages.merged_pages(wh.read("core.wikipedia_page"), batch, now, reconcile_placeholders=reconcile_placeholders)
+    wh.merge_dimension("core.wikipedia_page", merged, "page_id", PAGE_KEY)
     # The surrogates are settled by the write above; facts use what was written.
     added = stage(
         pages.new_revisions(wh.read("core.revision"), batch, wh.read("core.wikipedia_page"), now), "new-revisions"
@@ -338,9 +337,9 @@ def _run_layers(
     full: bool,
 ) -> dict:
     if seeds is not None:
-        location, page = apply_seeds(wh.read("core.location"), wh.read("core.wikipedia_page"), seeds, now)
-        wh.replace("core.location", location)
-        wh.replace("core.wikipedia_page", page)
+        places = dim_merge_rows(wh.read("core.location"), _listed(seeds[0]), LOCATION_KEY, **SEEDED, now=now)
+        wh.merge_dimension("core.location", places, "location_id", LOCATION_KEY)
+        wh.replace("core.wikipedia_page", seeded_pages(wh.read("core.wikipedia_page"), seeds[1], now))
     if weather_landing is not None:
         land_weather(wh, weather_landing, now)
     if page_landing is not None:

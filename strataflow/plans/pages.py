@@ -12,10 +12,12 @@ from strataflow.functions.text import filled, namespace_id
 from strataflow.functions.times import iso_or, ntz
 from strataflow.operators.merge import rows_to_insert
 from strataflow.operators.pick import latest_per_key
-from strataflow.operators.scd import scd2_apply
+from strataflow.operators.scd import scd2_apply, scd2_merge_rows
 from strataflow.plans.weather import raw_ref
 from strataflow.schemas import PAGE_KEY, PAGE_PAYLOAD, REVISION_KEY
 
+PAGE_CREATED = ("first_seen_at", "last_updated_at")
+
 
 def latest_pages(raw: DataFrame, keys: Sequence[str] = ("page_id", "page_language")) -> DataFrame:
     """The newest payload per page.
@@ -76,27 +78,43 @@ def upsert_pages(
     With `reconcile_placeholders`, a seeded placeholder (negative id) is closed
     once a real page with its title and language is in the batch.
     """
-    if reconcile_placeholders:
-        real = pages.select("page_title", "page_language", F.lit(True).alias("__real")).distinct()
-        closing = F.col("__real").isNotNull() & (F.col("wikipedia_page_id") < 0) & F.col("is_current")
-        dim = dim.join(real, ["page_title", "page_language"], "left").select(
-            *[
-                F.when(closing, ntz(now)).otherwise(F.col(c)).alias(c)
-                if c == "valid_to"
-                else (F.col(c) & ~closing).alias(c)
-                if c == "is_current"
-                else F.col(c)
-                for c in dim.columns
-            ]
-        )
     return scd2_apply(
-        dim,
+        _reconciled(dim, pages, now) if reconcile_placeholders else dim,
         pages,
         PAGE_KEY,
         "page_title",
         now,
         id_col="page_id",
-        created_cols=("first_seen_at", "last_updated_at"),
+        created_cols=PAGE_CREATED,
+    )
+
+
+def merged_pages(dim: DataFrame, pages: DataFrame, now: dt.datetime, *, reconcile_placeholders: bool = False) -> DataFrame:
+    """`upsert_pages` in one pass over the dimension; new versions are marked and not numbered yet."""
+    return scd2_merge_rows(
+        _reconciled(dim, pages, now) if reconcile_placeholders else dim,
+        pages,
+        PAGE_KEY,
+        "page_title",
+        now,
+        id_col="page_id",
+        created_cols=PAGE_CREATED,
+    )
+
+
+def _reconciled(dim: DataFrame, pages: DataFrame, now: dt.datetime) -> DataFrame:
+    """The dimension without current placeholders for titles of the batch."""
+    real = pages.select("page_title", "page_language", F.lit(True).alias("__real")).distinct()
+    closing = F.col("__real").isNotNull() & (F.col("wikipedia_page_id") < 0) & F.col("is_current")
+    return dim.join(real, ["page_title", "page_language"], "left").select(
+        *[
+            F.when(closing, ntz(now)).otherwise(F.col(c)).alias(c)
+            if c == "valid_to"
+            else (F.col(c) & ~closing).alias(c)
+            if c == "is_current"
+            else F.col(c)
+            for c in dim.columns
+        ]
     )
 
 

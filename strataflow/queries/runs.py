@@ -202,6 +202,83 @@ def stored_schema_versions(t: Tables) -> DataFrame:
     return bind.doubles(table.read(), "total").drop("obs_month")
 
 
+# Dimensions merged in one pass
+
+
+def stored_pages(t: Tables) -> tuple[Warehouse, DataFrame, DataFrame]:
+    """(warehouse, page dimension before, the same after a batch): customers, of whom every urgent orderer is renamed."""
+    wh = Warehouse(t.spark, run_dir(t.spark, "merged-pages"))
+    dim = t.customer.filter(F.col("c_nationkey") < 20).select(
+        (F.col("c_custkey") + 1).alias("page_id"),
+        F.col("c_custkey").alias("wikipedia_page_id"),
+        F.col("c_mktsegment").alias("page_title"),
+        F.lit("en").alias("page_language"),
+        (F.col("c_acctbal") >= 0).alias("is_current"),
+    )
+    wh.replace("core.wikipedia_page", dim)
+    renamed = t.orders.filter("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey")).distinct()
+    batch = t.customer.join(renamed.withColumn("new", F.lit(" (new)")), "c_custkey", "left").select(
+        F.col("c_custkey").alias("wikipedia_page_id"),
+        F.lit("en").alias("page_language"),
+        F.concat("c_mktsegment", F.coalesce("new", F.lit(""))).alias("page_title"),
+    )
+    before = wh.read("core.wikipedia_page")
+    wh.merge_dimension("core.wikipedia_page", pages.merged_pages(before, batch, bind.NOW), "page_id", ("wikipedia_page_id", "page_language"))
+    return wh, before, wh.read("core.wikipedia_page")
+
+
+STORED_PAGES = """dim AS (
+  SELECT c_custkey + 1 AS page_id, c_custkey, c_mktsegment AS page_title, c_acctbal >= 0 AS is_current FROM customer WHERE c_nationkey < 20),
+batch AS (
+  SELECT c_custkey, c_mktsegment || CASE WHEN c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')
+                                         THEN ' (new)' ELSE '' END AS page_title FROM customer),
+opened AS (
+  SELECT b.* FROM batch b LEFT JOIN dim d ON b.c_custkey = d.c_custkey AND d.is_current
+  WHERE d.c_custkey IS NULL OR d.page_title <> b.page_title)"""
+
+
+@query(
+    bind.sql(
+        STORED_PAGES,
+        body="""
+SELECT d.c_custkey AS wikipedia_page_id, d.page_title, d.page_id AS old_id, d.is_current AND o.c_custkey IS NULL AS is_current,
+       CASE WHEN d.is_current AND o.c_custkey IS NOT NULL THEN TIMESTAMP '2024-02-01 00:00:00' END AS valid_to
+FROM dim d LEFT JOIN opened o ON d.c_custkey = o.c_custkey
+UNION ALL SELECT c_custkey, page_title, NULL, true, NULL FROM opened""",
+    )
+)
+def merged_pages_stored(t: Tables) -> DataFrame:
+    """A stored type-2 dimension after a merge in one pass: kept, closed and new versions; ids of the old ones stay."""
+    _, before, after = stored_pages(t)
+    known = before.select("page_id", F.col("page_id").alias("old_id"))
+    columns = ("wikipedia_page_id", "page_title", "old_id", "is_current", "valid_to")
+    return after.join(known, "page_id", "left").select(*columns)
+
+
+@query(
+    bind.sql(
+        STORED_PAGES,
+        body="""
+SELECT (SELECT COUNT(*) FROM dim) + COUNT(*) AS row_count, (SELECT COUNT(*) FROM dim) + COUNT(*) AS distinct_ids,
+       (SELECT MAX(page_id) FROM dim) + 1 AS lowest_new, (SELECT MAX(page_id) FROM dim) + COUNT(*) AS highest_new,
+       (SELECT MAX(page_id) FROM dim) + COUNT(*) AS noted
+FROM opened""",
+    )
+)
+def merged_page_ids(t: Tables) -> DataFrame:
+    """The surrogates of a merge: new versions go on above the old ones without gaps, and the highest is noted."""
+    wh, before, after = stored_pages(t)
+    known = before.select("page_id", F.lit(True).alias("old"))
+    new = F.when(F.col("old").isNull(), F.col("page_id"))
+    return after.join(known, "page_id", "left").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_distinct("page_id").alias("distinct_ids"),
+        F.min(new).alias("lowest_new"),
+        F.max(new).alias("highest_new"),
+        F.lit(wh.highest_id("core.wikipedia_page", "page_id")).alias("noted"),
+    )
+
+
 # One entity
 
 

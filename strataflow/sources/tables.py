@@ -17,18 +17,20 @@ import contextlib
 import datetime as dt
 import json
 import re
+import uuid
 from collections.abc import Iterable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StructType
+from pyspark.sql.types import BooleanType, DateType, StructType
 
 from strataflow.functions.times import month_of, months_touched
 from strataflow.operators import merge
+from strataflow.operators.keys import dense_ids
 from strataflow.operators.shape import conform
 from strataflow.schemas import BATCHED, DAY_OF, KEYS, TABLES
 from strataflow.session import file_system
-from strataflow.sources.files import child_names, lease, leased, path_exists, read_text, write_text
+from strataflow.sources.files import child_names, lease, leased, move, path_exists, read_text, remove, write_text
 from strataflow.sources.ingest import RawTable
 from strataflow.sources.lookup import TitleLookup
 from strataflow.sources.months import MonthTable, archive_months, by_month, with_month
@@ -50,7 +52,8 @@ def read_version(spark: SparkSession, path: str, schema: StructType, version: in
         if not done:
             return spark.createDataFrame([], schema)
         version = done[-1]
-    return spark.read.schema(schema).parquet(f"{path}/v={version}")
+    # A version that was merged is in two folders, whose name is no column of the table.
+    return spark.read.schema(schema).parquet(f"{path}/v={version}").select(*schema.names)
 
 
 def write_version(df: DataFrame, path: str) -> int:
@@ -176,6 +179,36 @@ class Warehouse:
         table, dated = self.months(name), self._dated(name, rows)
         return table.replace(dated, {*table.months(), *months_in(dated, MONTH)}, notes={}).number
 
+    def highest_id(self, name: str, id_col: str) -> int:
+        """The highest surrogate of a dimension: as noted with its version, or else from the column."""
+        noted, there = self.noted(f"highest-{name}"), versions(self.spark, self.path(name))
+        if there and noted.get("version") == there[-1]:
+            return noted["id"]
+        return self.read(name).agg(F.coalesce(F.max(id_col), F.lit(0))).first()[0]
+
+    def merge_dimension(self, name: str, rows: DataFrame, id_col: str, order: Sequence[str]) -> int:
+        """Publish a dimension from its rows after a merge, of which those that are `is_new` get the next surrogates.
+
+        All rows are written in one pass, the new ones into a folder of their own. These are read again, few as they
+        are, numbered without gaps, and take that folder's place before the version appears.
+        """
+        schema, path = TABLES[name][0], self.path(name)
+        highest = self.highest_id(name, id_col)
+        number = max(versions(self.spark, path, complete=False), default=0) + 1
+        aside = f"{path}/_merge-{number}-{uuid.uuid4().hex[:8]}"
+        conform(rows, StructType([*schema.fields]).add("is_new", BooleanType())).write.partitionBy("is_new").parquet(aside)
+        fresh, added = f"{aside}/is_new=true", 0
+        if path_exists(self.spark, fresh):
+            new = self.spark.read.schema(schema).parquet(fresh)
+            added = new.count()
+            taken = self.spark.createDataFrame([(highest,)], "n long")
+            conform(dense_ids(new.drop(id_col), id_col, order, taken=taken), schema).write.parquet(f"{aside}/_numbered")
+            remove(self.spark, fresh)
+            move(self.spark, f"{aside}/_numbered", fresh)
+        move(self.spark, aside, f"{path}/v={number}")
+        self.note(f"highest-{name}", {"version": number, "id": highest + added})
+        return number
+
     def _dated(self, name: str, df: DataFrame) -> DataFrame:
         return df if MONTH in df.columns else with_month(df, DAY_OF[name], MONTH)
 

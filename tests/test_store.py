@@ -7,10 +7,12 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from strataflow.operators import merge, scd
 from strataflow.operators.shape import evolve
 from strataflow.plans import daily, marts, quality, refresh
 from strataflow.schemas import LOCATION, RAW_PAGES, RAW_WEATHER, REVISION, WEATHER, WEATHER_DAYS
 from strataflow.sources import files, ingest, months, tables
+from strataflow.sources import lookup as lookup_module
 from strataflow.sources.tables import Warehouse
 from strataflow.streaming.incremental import run_incremental
 
@@ -70,8 +72,7 @@ def test_archive_that_dies_can_be_repeated(spark, root, monkeypatch, step):
     rows = [(1, at(1, d), d) for d in range(1, 6)]
     wh.replace_months(FACT, hours(spark, *rows), [dt.date(2024, 1, 1)])
     with monkeypatch.context() as m:
-        if step == "detach":
-            m.setattr(spark.__class__, "__repr__", object.__repr__)  # nothing: the switch below is the second one
+        if step == "detach":  # the archive has switched, the table is about to
             switch, calls = months.MonthTable._switch, []
             m.setattr(months.MonthTable, "_switch", lambda self, s: dies() if calls else calls.append(1) or switch(self, s))
         else:
@@ -394,6 +395,59 @@ def test_gate_counts_rows_per_location_without_the_fact(spark, root):
         quality.enforce(daily.quality_results(wh, []))
 
 
+@pytest.mark.parametrize("kind", ["one", "two"])
+def test_one_pass_merge_equals_the_function_and_scans_the_dimension_once(spark, root, kind):
+    wh, name = Warehouse(spark, root), "core.wikipedia_page"
+    rows = [(1, 7, "en", "T", True), (2, 8, "en", "U", True), (3, 8, "en", "old", False), (4, 9, None, "V", True), (5, 9, "de", None, True), (6, 3, "en", "W", None)]
+    wh.replace(name, spark.createDataFrame(rows, "page_id long, wikipedia_page_id long, page_language string, page_title string, is_current boolean"))
+    batch = spark.createDataFrame(
+        [(7, "en", "T2"), (8, "en", "U"), (9, "de", "X"), (10, "en", "new"), (11, "en", None), (3, "en", "again")],
+        "wikipedia_page_id long, page_language string, page_title string",
+    )
+    dim, keys = wh.read(name), ["wikipedia_page_id", "page_language"]
+    if kind == "two":
+        want = scd.scd2_apply(dim, batch, keys, "page_title", NOW, id_col="page_id", created_cols=["first_seen_at"])
+        merged = scd.scd2_merge_rows(dim, batch, keys, "page_title", NOW, id_col="page_id", created_cols=["first_seen_at"])
+    else:
+        how = dict(id_col="page_id", now=NOW, created_cols=["first_seen_at"], touch_cols=["last_updated_at"])
+        want = merge.dim_upsert(dim, batch, keys, ["page_title"], **how)
+        merged = merge.dim_merge_rows(dim, batch, keys, ["page_title"], **how)
+    scans = [line for line in plan_of(merged).partition("== Physical Plan ==")[2].splitlines() if "FileScan parquet" in line]
+    assert len(scans) == 1
+    want = want.collect()
+    assert wh.merge_dimension(name, merged, "page_id", keys) == 2
+    assert sorted(map(repr, wh.read(name).collect())) == sorted(map(repr, want))
+    # The highest surrogate is noted with the version; a version that came otherwise is asked for it.
+    assert wh.highest_id(name, "page_id") == max(r.page_id for r in want) == wh.noted(f"highest-{name}")["id"]
+    wh.replace(name, wh.read(name).filter("page_id < 6"))
+    assert wh.highest_id(name, "page_id") == 5
+    assert "t2_core.wikipedia_page" in wh.register("t2_") and spark.table("t2_core.wikipedia_page").columns == dim.columns
+
+
+def test_a_title_reads_few_files(spark, root):
+    wh = Warehouse(spark, root)
+    def landed(*titles, day=1):
+        rows = [{"id": i, "page_title": t, "payload": f"{t}-{day}", "ingested_at": dt.datetime(2024, 3, day)} for i, t in enumerate(titles)]
+        wh.append(PAGES, spark.createDataFrame(rows, RAW_PAGES).repartition(3))
+    titles = [f"Title {i}" for i in range(300)]
+    landed(*titles, "Ünïcode", None)
+    assert wh.index_titles() == 1 and wh.index_titles() == 0
+    landed("TITLE 7", "title 7", "other", day=2)
+    assert wh.index_titles() == 1
+    lookup = wh.titles()
+    assert sorted(r.payload for r in lookup.find("tItLe 7").collect()) == ["TITLE 7-2", "Title 7-1", "title 7-2"]
+    assert lookup.find("ÜNÏCODE").count() == 1 and lookup.find("nowhere").count() == 0
+    everything = spark.read.parquet(lookup.path).inputFiles()
+    plan = plan_of(lookup.find("Title 7"))
+    assert "PartitionFilters: [isnotnull(bucket" in plan
+    bucket = spark.range(1).select(lookup_module.bucket_of(F.lit("title 7"))).first()[0]
+    mine = [f for f in everything if f"/bucket={bucket}/" in f]
+    assert 0 < len(mine) < len(everything) / 10
+    # A batch that died while it was added is added again, once.
+    files.remove(spark, f"{lookup.path}/_log/00000002")
+    assert wh.index_titles() == 1 and lookup.find("title 7").count() == 3
+
+
 def test_stored_days_have_their_declared_types(spark):
     made = marts.weather_days(spark.createDataFrame([], WEATHER)).schema
     assert [(f.name, f.dataType) for f in made] == [(f.name, f.dataType) for f in WEATHER_DAYS]

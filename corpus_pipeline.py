@@ -15,12 +15,20 @@ from strataflow.session import stage
 
 # The mix stays close to the corpus: shares go with the tokens to this power.
 TEMPER = 0.9
+# Probability from which a predicted language overrules a label.
+CERTAIN = 0.999
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language (null, empty or letterless text) go; a missing label is filled in."""
+    """Documents without a language (null, empty or letterless text) go; a missing label is filled in.
+
+    A label gives way to another language that is CERTAIN, so a mislabelled text goes on under its own. Long texts are
+    read whole; rows that repeat stay, each; other columns are carried, whatever their names.
+    """
     told = ppm.predict(docs, ppm.fit(docs), names=("__lang", "__score")).filter(F.col("__lang") != ppm.UNDETERMINED)
-    return told.withColumn("lang", F.coalesce("lang", "__lang")).select(*docs.columns)
+    sure = F.col("lang").isNull() | (F.col("__score") >= CERTAIN)
+    kind = docs.schema["lang"].dataType
+    return told.withColumn("lang", F.when(sure, F.col("__lang").cast(kind)).otherwise(F.col("lang"))).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,14 +44,21 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every span of personal data gives way to its kind in brackets; n_chars follows the new text."""
+    """Every span of personal data gives way to its kind in brackets; n_chars follows the new text.
+
+    Null and empty texts stay as they are; long ones are searched whole; repeated rows come out alike.
+    """
     told = pii.find(docs, column="__spans").withColumn("text", pii.redact(F.col("text"), F.col("__spans")))
     length = F.when(F.size("__spans") > 0, F.char_length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
     return told.withColumn("n_chars", length).select(*docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample whose tokens meet the tempered shares of sources, languages and formats."""
+    """A sample whose tokens meet the tempered shares of sources, languages and formats.
+
+    Null is a source or language of its own. A text without a word has no weight and is not drawn; repeated rows that
+    have an id are drawn or left together; an empty table gives an empty one.
+    """
     named = docs.withColumn("__topic", raking.format_of(F.col("text")))
     marginals = {"source": F.col("source"), "lang": F.col("lang"), "topic": F.col("__topic")}
     mixed = raking.mix(named, marginals, temper=TEMPER, drop=["__topic"], names=("__n", "__weight", "__probability", "__copies"))
@@ -51,7 +66,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, and whether they decode to its text."""
+    """Token ids of every document, and whether they decode to its text. A null or empty text has none; repeated rows
+    come out alike."""
     coded = bpe.tokenize(
         docs,
         public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import shutil
 from decimal import Decimal
 
 import pytest
@@ -307,8 +308,20 @@ def run_days(spark, root, **how):
     return wh
 
 
-def test_bounded_runs_equal_full_ones(spark, root):
-    bounded, full = run_days(spark, root), run_days(spark, f"{root}-full", full=True)
+@pytest.fixture(scope="module")
+def three_days(spark, tmp_path_factory):
+    """A warehouse after the three days, to be copied: all names in it are relative to its root."""
+    return run_days(spark, str(tmp_path_factory.mktemp("days") / "warehouse")).root
+
+
+@pytest.fixture
+def worked(spark, three_days, root):
+    shutil.copytree(three_days, root)
+    return Warehouse(spark, root)
+
+
+def test_bounded_runs_equal_full_ones(spark, worked, root):
+    bounded, full = worked, run_days(spark, f"{root}-full", full=True)
     assert contents(bounded) == contents(full)
     rebuilt = [sorted(map(repr, df.collect())) for df in (
         marts.daily_weather_aggregates(bounded.read(FACT), bounded.read("core.location")),
@@ -328,8 +341,8 @@ def test_bounded_runs_equal_full_ones(spark, root):
         assert read <= {f"{b:08d}" for b in bounded.batches(name).batches()}
 
 
-def test_untouched_months_keep_their_files(spark, root):
-    wh = run_days(spark, root)
+def test_untouched_months_keep_their_files(spark, worked, root):
+    wh = worked
     march, april = dt.date(2024, 3, 1), dt.date(2024, 4, 1)
     before = {n: wh.months(n).state().months for n in (FACT, "state.weather_days", "mart.daily_weather_aggregates")}
     daily.run_daily(spark, root, NOW + dt.timedelta(days=6), weather_landing=landing(spark, B=doc((2, 8.0), month=4)))
@@ -343,8 +356,8 @@ def test_untouched_months_keep_their_files(spark, root):
     assert wh.stored_months("state.weather_days") == [april]
 
 
-def test_a_renamed_location_is_renamed_in_all_months(spark, root):
-    wh = run_days(spark, root)
+def test_a_renamed_location_is_renamed_in_all_months(spark, worked, root):
+    wh = worked
     new = wh.read("core.location").withColumn("city", F.when(F.col("location_name") == "B", "Bee").otherwise(F.col("city")))
     wh.replace("core.location", new)
     kept = wh.months("mart.daily_weather_aggregates").state().months
@@ -384,8 +397,8 @@ def test_revision_counts_are_added_up_batch_by_batch(spark, root):
         assert new.count() == 0
 
 
-def test_gate_counts_rows_per_location_without_the_fact(spark, root):
-    wh = run_days(spark, root)
+def test_gate_counts_rows_per_location_without_the_fact(spark, worked, root):
+    wh = worked
     lines = daily.quality_results(wh, [], all_locations=True)
     assert not [f for f in lines.inputFiles() if "/core/weather/" in f]
     least = {r.name: (r.evaluated, r.unexpected) for r in lines.collect()}["min_rows_per_location_id"]

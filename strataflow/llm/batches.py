@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+import ctypes
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from typing import TYPE_CHECKING
 
 import numpy as np
 import pyarrow as pa
 
+if TYPE_CHECKING:  # tasks do without it
+    from pyspark.sql import DataFrame
+
 PIECE_CHARS = 1 << 20
 SLICE_ROWS = 512
+# Rows in a batch of whole texts: both sides of the pipe to Python hold some batches at a time.
+LEAN_ROWS = 1000
 
 
 def sliced(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
@@ -55,3 +62,27 @@ def runs(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[pa.
             held.append(batch.slice(start, end - start))
     if held:
         yield pa.Table.from_batches(held)
+
+
+def lean(df: DataFrame) -> DataFrame:
+    """The rows, for a scan of whole texts: Spark then hands Python LEAN_ROWS of them at a time.
+
+    That is a setting of the session; it is left alone where it is not Spark's own default.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if conf.get(name) == "10000":
+        conf.set(name, str(LEAN_ROWS))
+    return df
+
+
+def tidy(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The task, giving freed memory back to the machine at its end: its process stays, for whatever runs next."""
+
+    def run(batches: Iterator) -> Iterator:
+        yield from task(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library; others do without
+        if trim is not None:
+            trim(0)
+
+    return run

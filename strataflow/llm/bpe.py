@@ -11,6 +11,7 @@ trees of the same size are merged in lockstep; a long piece has a tree of its ow
 from __future__ import annotations
 
 import base64
+import bisect
 import hashlib
 from collections.abc import Iterable, Iterator, Sequence
 
@@ -29,7 +30,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from strataflow.llm.batches import sliced
+from strataflow.llm.batches import lean, sliced, tidy
 
 # A pair that cannot merge. Ranks stay below 2^31, positions below 2^31.
 NONE = np.int64(1) << 62
@@ -37,6 +38,8 @@ NONE = np.int64(1) << 62
 REMEMBERED = 300_000
 # Longest tree that is merged in lockstep with others.
 LOCKSTEP = 64
+# Bytes of pieces that are merged in lockstep at a time; numpy holds some eighty bytes for each.
+LOCKSTEP_BYTES = 1 << 17
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -72,12 +75,17 @@ class PairTable:
             self.keys[slots[put]], self.values[slots[put]] = keys[put], values[put]
             left_over = np.setdiff1d(left_over, put, assume_unique=True)
             slots[left_over] = (slots[left_over] + 1) & ((1 << self.bits) - 1)
-        self.one = dict(zip(keys.tolist(), values.tolist(), strict=True))
+        self.sorted_keys, self.sorted_values = memoryview(keys), memoryview(values)
 
     def slot(self, keys: np.ndarray) -> np.ndarray:
         mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
 
+    def rank(self, key: int) -> int | None:
+        """Rank of one pair, (left << 31) | right, or None."""
+        at = bisect.bisect_left(self.sorted_keys, key)
+        return self.sorted_values[at] if at < len(self.sorted_keys) and self.sorted_keys[at] == key else None
+
     def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Rank of each pair (a, b), NONE where it does not merge; a or b may be -1."""
         keys = (a << 31) | b
@@ -95,6 +103,10 @@ class PairTable:
         return found
 
 
+# Of a piece: its ids, or only how many; their decimal digits, and the bytes they decode to, where these are wanted.
+Entry = tuple[tuple[int, ...] | int, str | None, bytes | None]
+
+
 class Codec:
     """Encoder and decoder of one vocabulary; lives once in each worker process."""
 
@@ -107,7 +119,8 @@ class Codec:
         if (self.of_byte < 0).any():
             raise ValueError("the vocabulary must hold all 256 single bytes")
         self.number = list(range(max(self.tokens, default=0) + 1))  # one object for each id, however often it is kept
-        self.known: dict[str, tuple[tuple[int, ...], str, bytes]] = {}
+        self.known: dict[str, Entry] = {}
+        self.wanted = (True, True, True)
 
     def merge_together(self, pieces: Sequence[bytes], size: int) -> list[tuple[int, ...]]:
         """Token ids of pieces of at most `size` bytes, a power of two: one tree per piece, merged in lockstep."""
@@ -162,7 +175,7 @@ class Codec:
         size = 1 << max(1, (n - 1).bit_length())
         token = [int(self.of_byte[b]) for b in piece]
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        rank_of, none = self.pairs.one.get, (int(NONE), 0)
+        rank_of, none = self.pairs.rank, (int(NONE), 0)
         tree = [none] * (2 * size)
         for i in range(n - 1):
             rank = rank_of((token[i] << 31) | token[i + 1])
@@ -208,7 +221,7 @@ class Codec:
             else:
                 by_size.setdefault(1 << max(1, (len(piece) - 1).bit_length()), []).append(i)
         for size, rows in by_size.items():
-            step = max(1, (1 << 19) // size)
+            step = max(1, LOCKSTEP_BYTES // size)
             for start in range(0, len(rows), step):
                 part = rows[start : start + step]
                 for i, ids in zip(part, self.merge_together([pieces[i] for i in part], size), strict=True):
@@ -216,19 +229,29 @@ class Codec:
         return found
 
     def remember(self, pieces: Iterable[str]) -> None:
-        """Make sure that `known` holds these pieces: ids, their decimal digits, and the bytes they decode to."""
+        """Make sure that `known` holds what is wanted of these pieces."""
         new = [p for p in set(pieces) if p not in self.known]
         if len(self.known) + len(new) > REMEMBERED:
             self.known = {}
             new = list(set(pieces))
         encoded = self.merge([p.encode("utf-8", "surrogatepass") for p in new])
+        with_ids, with_digits, with_bytes = self.wanted
         for piece, ids in zip(new, encoded, strict=True):
-            self.known[piece] = (tuple([self.number[i] for i in ids]), ",".join(map(str, ids)), self.decode(ids))
+            self.known[piece] = (
+                tuple([self.number[i] for i in ids]) if with_ids else len(ids),
+                ",".join(map(str, ids)) if with_digits else None,
+                self.decode(ids) if with_bytes else None,
+            )
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join([self.tokens[i] for i in ids])
 
-    def encode(self, texts: Sequence[str | None]) -> Iterator[list[tuple[tuple[int, ...], str, bytes]]]:
+    def want(self, ids: bool, digits: bool, decoded: bool) -> None:
+        """Say what `encode` is to give of each piece; the rest is not kept."""
+        if self.wanted != (ids, digits, decoded):
+            self.wanted, self.known = (ids, digits, decoded), {}
+
+    def encode(self, texts: Sequence[str | None]) -> Iterator[list[Entry]]:
         """For each text (null: empty) the entries of its pieces in order."""
         start = 0
         while start < len(texts):  # a group of texts whose pieces fit into the memory together
@@ -292,6 +315,7 @@ def tokenize(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(shared.value, pattern)
+        coder.want("ids" in outputs, "ids_sha256" in outputs, "decoded" in outputs or "decoded_sha256" in outputs)
         for batch in sliced(batches):
             texts = batch.column(len(kept)).to_pylist()
             made: dict[str, list] = {o: [] for o in outputs}
@@ -299,7 +323,7 @@ def tokenize(
                 if "ids" in made:
                     made["ids"].append([i for ids, _, _ in entries for i in ids])
                 if "n_tokens" in made:
-                    made["n_tokens"].append(sum([len(ids) for ids, _, _ in entries]))
+                    made["n_tokens"].append(sum([len(n) if "ids" in made else n for n, _, _ in entries]))
                 if "ids_sha256" in made:
                     made["ids_sha256"].append(hashlib.sha256(",".join([d for _, d, _ in entries]).encode()).hexdigest())
                 if "decoded" in made or "decoded_sha256" in made:
@@ -310,6 +334,6 @@ def tokenize(
                         made["decoded_sha256"].append(hashlib.sha256(back).hexdigest())
             arrays = [batch.column(i) for i in range(len(kept))] + [pa.array(made[o], arrow[o]) for o in outputs]
             yield pa.RecordBatch.from_arrays(arrays, names=[*kept, *outputs])
-        coder.known = {}  # the worker stays, and its memory with it, for whatever runs next
+        coder.known = {}
 
-    return source.mapInArrow(run, schema)
+    return lean(source).mapInArrow(tidy(run), schema)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataflow.llm.batches import pieces, runs, sliced
+from strataflow.llm.batches import lean, pieces, runs, sliced, tidy
 from strataflow.llm.components import components
 from strataflow.llm.words import mix, shingle_sets
 from strataflow.session import stage
@@ -111,7 +111,7 @@ def survey(df: DataFrame, key: str, text: str, size: int, slots: int) -> DataFra
                 yield pa.RecordBatch.from_arrays([*blank, *row], names=["id", "n", "fp1", "fp2", "slots", "counts"])
 
     source = df.select(F.col(key).cast("long"), F.col(text))
-    return source.mapInArrow(scan, "id long, n long, fp1 long, fp2 long, slots int, counts binary")
+    return lean(source).mapInArrow(tidy(scan), "id long, n long, fp1 long, fp2 long, slots int, counts binary")
 
 
 def frequent(sketches: DataFrame, total: int, slots: int) -> np.ndarray:
@@ -128,7 +128,7 @@ def frequent(sketches: DataFrame, total: int, slots: int) -> np.ndarray:
 
     dealt = sketches.repartition("slots").sortWithinPartitions("slots")
     bitmap = np.zeros((slots + SLOT_BLOCK - 1) // SLOT_BLOCK * SLOT_BLOCK, np.uint8)
-    for block, bits in dealt.mapInArrow(add, "slots int, bits binary").collect():  # slots / 8 bytes in all
+    for block, bits in dealt.mapInArrow(tidy(add), "slots int, bits binary").collect():  # slots / 8 bytes in all
         own = np.unpackbits(np.frombuffer(bits, np.uint8))
         bitmap[block * SLOT_BLOCK : block * SLOT_BLOCK + len(own)] = own
     return np.packbits(bitmap[:slots])
@@ -171,7 +171,7 @@ def prefixes(df: DataFrame, text: str, size: int, percent: int, slots: int, bitm
                     lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(leading)))
                     yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), lists], names=["cls", "tokens"])
 
-    return df.select(text).mapInArrow(scan, "cls long, tokens array<long>")
+    return lean(df.select(text)).mapInArrow(tidy(scan), "cls long, tokens array<long>")
 
 
 def sets_table(df: DataFrame, size: int) -> DataFrame:
@@ -187,7 +187,7 @@ def sets_table(df: DataFrame, size: int) -> DataFrame:
                 ids = [batch.column(i).slice(lo, hi - lo) for i in range(3)]
                 yield pa.RecordBatch.from_arrays([*ids, lists], names=["rep", "place", "part", "tokens"])
 
-    return df.select("rep", "place", "part", "text").mapInArrow(scan, "rep long, place long, part int, tokens array<long>")
+    return lean(df.select("rep", "place", "part", "text")).mapInArrow(tidy(scan), "rep long, place long, part int, tokens array<long>")
 
 
 def merge_blocks(dealt: DataFrame, key: list[str], percent: int) -> DataFrame:
@@ -218,7 +218,7 @@ def merge_blocks(dealt: DataFrame, key: list[str], percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(rep[joined]), pa.array(rep[hub[group[joined]]])], names=["head", "into"])
 
     ordered = dealt.select(*key, "rep", "tokens").repartition(*key).sortWithinPartitions(*key, "rep")
-    return ordered.mapInArrow(merge, "head long, into long")
+    return ordered.mapInArrow(tidy(merge), "head long, into long")
 
 
 def follow_hubs(dealt: DataFrame, percent: int) -> DataFrame:
@@ -239,7 +239,7 @@ def follow_hubs(dealt: DataFrame, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(rep[members[moved]]), pa.array(rep[into[moved]])], names=["head", "into"])
 
     ordered = dealt.select("place", "part", "side", "rep", "tokens").repartition("place", "part")
-    return ordered.sortWithinPartitions("place", "part", "side", "rep").mapInArrow(follow, "head long, into long")
+    return ordered.sortWithinPartitions("place", "part", "side", "rep").mapInArrow(tidy(follow), "head long, into long")
 
 
 def hubs_and_heads(placed: DataFrame, groups: DataFrame, block: int) -> DataFrame:
@@ -289,7 +289,7 @@ def linked_groups(dealt: DataFrame, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     ordered = dealt.select("block", "share", "side", "rep", "grp", "tokens").repartition("block", "share")
-    return ordered.sortWithinPartitions("block", "share", "side", "rep").mapInArrow(compare, "a long, b long")
+    return ordered.sortWithinPartitions("block", "share", "side", "rep").mapInArrow(tidy(compare), "a long, b long")
 
 
 def held_against(pairs: DataFrame, blocks: DataFrame) -> DataFrame:
@@ -364,7 +364,7 @@ def meeting_blocks(named: DataFrame) -> DataFrame:
     run = F.when(F.col("k") > POSTINGS, F.xxhash64("token")).otherwise(F.col("least")).alias("run")
     share = F.explode(F.sequence(F.lit(0), shares - 1)).alias("share")
     dealt = counted.filter("k > 1").select(run, "token", "block", shares.alias("shares"), share).repartition("run", "share")
-    found = dealt.sortWithinPartitions("run", "share", "token", "block").mapInArrow(meet, "lo long, hi long, meets long")
+    found = dealt.sortWithinPartitions("run", "share", "token", "block").mapInArrow(tidy(meet), "lo long, hi long, meets long")
     return found.groupBy("lo", "hi").agg(F.sum("meets").alias("meets"))
 
 

@@ -17,13 +17,12 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from strataflow.llm.batches import pieces, sliced
+from strataflow.llm.batches import lean, pieces, sliced, tidy
 from strataflow.session import stage
 
 UNDETERMINED = "und"
@@ -216,13 +215,27 @@ def fit(
     chosen = stage(chosen.select("lang", "key").distinct(), "language-sample")
     sample = rows.join(chosen, ["lang", "key"], "left_semi")
 
-    def train(part: pd.DataFrame) -> pd.DataFrame:
-        tree = grow(part["lang"].iloc[0], sorted(part["text"]))
-        arrays = [a.tobytes() for a in (tree.length, tree.context, tree.symbol, tree.count)]
-        return pd.DataFrame([[tree.language, *arrays]], columns=["lang", "length", "context", "symbol", "count"])
+    def counted(language: str, texts: list[str]) -> pa.RecordBatch:
+        tree = grow(language, sorted(texts))
+        arrays = [pa.array([a.tobytes()]) for a in (tree.length, tree.context, tree.symbol, tree.count)]
+        return pa.RecordBatch.from_arrays([pa.array([language]), *arrays], names=["lang", "length", "context", "symbol", "count"])
+
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        language, texts = None, []
+        for batch in batches:
+            for lang, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if lang != language and texts:
+                    yield counted(language, texts)
+                    texts = []
+                language = lang
+                texts.append(body)
+        if texts:
+            yield counted(language, texts)
 
     schema = "lang string, length binary, context binary, symbol binary, count binary"
-    grown = sample.select("lang", "text").groupBy("lang").applyInPandas(train, schema).collect()
+    # As text: a label of another type is compared and returned by its text.
+    dealt = sample.select(F.col("lang").cast("string").alias("lang"), F.col("text")).repartition("lang")
+    grown = dealt.sortWithinPartitions("lang").mapInArrow(tidy(train), schema).collect()
     return build([Tree(r[0], *(np.frombuffer(b, np.int64) for b in r[1:])) for r in grown])
 
 
@@ -267,4 +280,4 @@ def predict(
             arrays += [pa.array(language, pa.string()), pa.array(score, pa.float64())]
             yield pa.RecordBatch.from_arrays(arrays, names=[*kept_names, *names])
 
-    return source.mapInArrow(run, schema)
+    return lean(source).mapInArrow(tidy(run), schema)

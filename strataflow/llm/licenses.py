@@ -2,9 +2,10 @@
 
 Lines (long ones in overlapping windows, so that a notice inside a long line is not diluted), and then the lines of a
 paragraph that name no family by themselves, joined, so that a wrapped notice is seen whole, are scored by a sparse logistic regression over hashed word one- and two-grams, with a class for each licence family, one for
-licence talk of no known family, and one for everything else. Its probabilities are calibrated by temperature on examples
-that it was not trained on; what is no family with enough confidence is `unknown`. A family counts only if the words
-of the window and of one of the family's templates agree.
+licence talk of no known family, and one for everything else. Its probabilities are calibrated by temperature on templates
+that it was not trained on; what is no family with enough confidence is `unknown`. A family counts only if the window
+holds enough of the words of one of its templates, and of those words that no other licence has, and nothing that
+makes it another licence: a clause, a version, another SPDX identifier, a "not" before it.
 """
 
 from __future__ import annotations
@@ -60,6 +61,7 @@ TEMPLATES = {
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
         "You should have received a copy of the GNU General Public License along with this program.",
         "SPDX-License-Identifier: GPL-3.0-or-later",
+        "SPDX-License-Identifier: GPL-2.0-only",
         "Released under the GPL version 2.",
     ],
     "MIT": [
@@ -86,6 +88,38 @@ UNKNOWN_TALK = [
     "Use of this material is subject to the license of its publisher.",
     "Copyright by the authors, reprinted with permission.",
 ]
+# Notices of licences that are no family here. They teach the class of unknown licences, and tell which words
+# several licences share.
+OTHERS = [
+    "Licensed under the GNU Lesser General Public License, version 2.1.",
+    "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License",
+    "SPDX-License-Identifier: LGPL-2.1-or-later",
+    "Licensed under the GNU Affero General Public License version 3.",
+    "SPDX-License-Identifier: AGPL-3.0-only",
+    "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+    "Licensed under the Eclipse Public License.",
+    "Licensed under CC BY-ND 4.0.",
+    "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    "To the extent possible under law, the author has dedicated this work to the public domain under CC0 1.0 Universal.",
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "Released under the ISC License.",
+    "SPDX-License-Identifier: ISC",
+    "This is free and unencumbered software released into the public domain.",
+    "Released under the Unlicense.",
+    "Distributed under the Boost Software License, Version 1.0.",
+    "Licensed under the EUPL, Version 1.2 or later.",
+    "Licensed under the Common Development and Distribution License, Version 1.0.",
+    "This software is provided 'as-is', without any express or implied warranty; see the zlib license.",
+]
+# What makes a notice of a family one of another licence.
+CLAUSES = {"nc": "nc", "noncommercial": "nc", "sa": "sa", "sharealike": "sa", "nd": "nd", "noderivatives": "nd", "noderivs": "nd"}
+CLAUSES_OF = {"CC-BY": set(), "CC-BY-NC": {"nc"}, "CC-BY-SA": {"sa"}}
+KIN = {"GPL": {"lesser", "library", "affero", "lgpl", "agpl"}}
+VERSIONS = {"Apache-2.0": r"\bapache(?: software)?(?: license)?(?: version| v)? (\d+)", "MPL-2.0": r"\b(?:mozilla public license|mpl)(?: version| v)? (\d+)"}
+NEGATED = re.compile(r"\b(?:not|never|nor|neither|no longer)(?: \w+)? (?:licensed|released|available|distributed|covered|published)\b")
+SPDX = re.compile(r"(?i)(spdx-license-identifier:?\s*[a-z0-9.+-]+)")
+# Stands behind an SPDX identifier, whose parts are words like others.
+END = "endofid"
 # Words that keep a paragraph out of the negative sample.
 CUE = r"(?i)licen[cs]|copyright|rights reserved|creative commons|public domain|spdx|permission|redistribut|free software"
 
@@ -95,7 +129,8 @@ NEGATIVES, VARIANTS = 3000, 40
 # So many times the sample's documents are looked at, as some have a cue.
 OVERSAMPLE = 8
 WINDOW, STRIDE = 24, 12
-CONFIDENT, AGREEMENT = 0.6, 0.6
+# Least probability of a family, and shares of a template's words and of its own words that a window has to hold.
+CONFIDENT, AGREEMENT, KEYED = 0.6, 0.55, 0.5
 NONE, UNKNOWN = "none", "unknown"
 
 
@@ -105,7 +140,7 @@ class Classifier:
     weights: np.ndarray  # (DIMS, classes)
     bias: np.ndarray
     temperature: float
-    templates: dict[str, list[frozenset[str]]]
+    templates: dict[str, list[Template]]
 
 
 def grams(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -121,10 +156,59 @@ def grams(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def plain(text: str) -> str:
-    """Letters, digits and single spaces, so that signs around words don't matter."""
+    """Letters, digits and single spaces, so that signs around words don't matter; the end of an SPDX identifier is marked."""
+    if "spdx" in text or "SPDX" in text:
+        text = SPDX.sub(rf"\1 {END} ", text)
     return re.sub(r"[^0-9a-z]+", " ", text.lower()).strip()
 
 
+def group(family: str) -> str:
+    return family.partition("-")[0]
+
+
+def words_of_groups() -> dict[str, set[str]]:
+    """The words of the notices of each group of families, and of the other licences."""
+    found: dict[str, set[str]] = {"": {w for t in (*OTHERS, *UNKNOWN_TALK) for w in plain(t).split()}}
+    for family, templates in TEMPLATES.items():
+        found.setdefault(group(family), set()).update(w for t in templates for w in plain(t).split())
+    return found
+
+
+@dataclass(frozen=True)
+class Template:
+    """A notice: its words, those that no other group of licences has, and its SPDX identifier if it is one."""
+
+    words: frozenset[str]
+    keys: frozenset[str]
+    spdx: tuple[str, ...] | None
+
+    @staticmethod
+    def of(family: str, text: str, groups: dict[str, set[str]]) -> Template:
+        words = plain(text).split()
+        elsewhere = set().union(*(own for g, own in groups.items() if g != group(family)))
+        keys = frozenset(w for w in words if w not in elsewhere and not w.isdigit())
+        return Template(frozenset(words), keys, identifier(words))
+
+
+def identifier(words: Sequence[str]) -> tuple[str, ...] | None:
+    """The parts of the first SPDX identifier among the words, without `or later` and `only`."""
+    if END not in words or "identifier" not in words[: words.index(END)]:
+        return None
+    end = words.index(END)
+    start = end - 1 - list(words[:end])[::-1].index("identifier") + 1
+    parts = list(words[start:end])
+    for tail in (["or", "later"], ["only"], ["plus"]):
+        if parts[-len(tail) :] == tail:
+            parts = parts[: -len(tail)]
+    return tuple(parts)
+
+
+def same_identifier(own: tuple[str, ...], known: tuple[str, ...], family: str) -> bool:
+    """Alike but for numbers, and with these too where the family is one version."""
+    alike = lambda a, b: a == b or (a.isdigit() and b.isdigit() and family not in VERSIONS)
+    return len(own) == len(known) and all(map(alike, own, known))
+
+
 def window_scores(model: Classifier, lines: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Line, first word and class scores (mean weight of the features, plus bias) of every window of the lines' words."""
     hashes, bounds = word_hashes(lines)
@@ -145,29 +229,32 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def examples(negatives: Sequence[str], classes: Sequence[str], variants: int, seed: int) -> tuple[list[str], np.ndarray]:
-    """Templates and their variants (cut, or with words of the negatives around), licence talk, and negatives."""
+def examples(negatives: Sequence[str], classes: Sequence[str], variants: int, seed: int) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Templates and their variants (cut, or with words of the negatives around), other licences, licence talk, and
+    negatives; their classes; and which are held out for the temperature."""
     draw = np.random.default_rng(seed)
     filler = " ".join(negatives[:500]).split() or ["the"]
     texts, labels = [], []
-    sources = [(c, t) for c in classes for t in TEMPLATES.get(c, UNKNOWN_TALK if c == UNKNOWN else [])]
-    for label, template in sources:
+    sources = [(c, i, t) for c in classes for i, t in enumerate(TEMPLATES.get(c, [*UNKNOWN_TALK, *OTHERS] if c == UNKNOWN else []))]
+    held: list[bool] = []  # every third notice of a class, with all its variants, and every third negative
+    for label, i, template in sources:
         words = plain(template).split()
+        held += [i % 3 == 2] * variants
         for v in range(variants):
             before, after = (draw.choice(filler, draw.integers(0, 7)).tolist() if v else [] for _ in range(2))
             texts.append(" ".join([*before, *words[:WINDOW], *after]))
             labels.append(classes.index(label))
     texts += [plain(" ".join(t.split()[:WINDOW])) for t in negatives]
     labels += [classes.index(NONE)] * len(negatives)
-    return texts, np.array(labels)
+    held += [i % 3 == 2 for i in range(len(negatives))]
+    return texts, np.array(labels), np.array(held)
 
 
 def train(negatives: Sequence[str], variants: int = VARIANTS, rounds: int = 300, seed: int = 3) -> Classifier:
-    """Fit the regression on two thirds of the examples, and its temperature on the rest."""
-    classes = [NONE, UNKNOWN, *sorted(TEMPLATES)]
-    templates = {c: [frozenset(plain(t).split()) for t in own] for c, own in TEMPLATES.items()}
-    texts, labels = examples(list(negatives), classes, variants, seed)
-    held = np.arange(len(texts)) % 3 == 0
+    """Fit the regression without the held-out notices to find its temperature, and then on all of them."""
+    classes, groups = [NONE, UNKNOWN, *sorted(TEMPLATES)], words_of_groups()
+    templates = {c: [Template.of(c, t, groups) for t in own] for c, own in TEMPLATES.items()}
+    texts, labels, held = examples(list(negatives), classes, variants, seed)
     hashes, bounds = word_hashes(texts)
     one, two = grams(hashes, bounds)
     lengths = np.diff(bounds)
@@ -177,41 +264,62 @@ def train(negatives: Sequence[str], variants: int = VARIANTS, rounds: int = 300,
     value = 1 / np.sqrt(np.maximum(lengths, 1))[of]
     used, place = np.unique(at, return_inverse=True)
     target = np.eye(len(classes))[labels]
-    per_class = np.bincount(labels, minlength=len(classes)).clip(1)
-    importance = (len(texts) / len(classes) / per_class[labels])[:, None] * ~held[:, None]
-    w, b = np.zeros((len(used), len(classes))), np.zeros(len(classes))
-    step_w, step_b = np.full(w.shape, 1e-8), np.full(b.shape, 1e-8)
-
-    def scores() -> np.ndarray:
-        out = np.tile(b, (len(texts), 1))
-        for c in range(len(classes)):
-            out[:, c] += np.bincount(of, w[place, c] * value, len(texts))
-        return out
-
-    for _ in range(rounds):  # gradient steps, scaled by the gradients so far
-        error = (softmax(scores()) - target) * importance / len(texts)
-        gradient = np.stack([np.bincount(place, error[of, c] * value, len(used)) for c in range(len(classes))], axis=1) + 1e-5 * w
-        step_w += gradient**2
-        step_b += error.sum(axis=0) ** 2
-        w -= 0.3 * gradient / np.sqrt(step_w)
-        b -= 0.3 * error.sum(axis=0) / np.sqrt(step_b)
-    final, tries = scores()[held], np.geomspace(0.25, 8, 41)
+
+    def fitted(learned: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        per_class = np.bincount(labels[learned], minlength=len(classes)).clip(1)
+        importance = (learned.sum() / len(classes) / per_class[labels])[:, None] * learned[:, None]
+        w, b = np.zeros((len(used), len(classes))), np.zeros(len(classes))
+        step_w, step_b = np.full(w.shape, 1e-8), np.full(b.shape, 1e-8)
+
+        def scores() -> np.ndarray:
+            out = np.tile(b, (len(texts), 1))
+            for c in range(len(classes)):
+                out[:, c] += np.bincount(of, w[place, c] * value, len(texts))
+            return out
+
+        for _ in range(rounds):  # gradient steps, scaled by the gradients so far
+            error = (softmax(scores()) - target) * importance / max(1, learned.sum())
+            gradient = np.stack([np.bincount(place, error[of, c] * value, len(used)) for c in range(len(classes))], axis=1) + 1e-5 * w
+            step_w += gradient**2
+            step_b += error.sum(axis=0) ** 2
+            w -= 0.3 * gradient / np.sqrt(step_w)
+            b -= 0.3 * error.sum(axis=0) / np.sqrt(step_b)
+        return w, b, scores()
+
+    final, tries = fitted(~held)[2][held], np.geomspace(0.25, 8, 41)
     losses = [-np.log(softmax(final / t)[np.arange(len(final)), labels[held]].clip(1e-12)).mean() for t in tries]
+    w, b, _ = fitted(np.ones(len(texts), bool))
     weights = np.zeros((DIMS, len(classes)), np.float32)
     weights[used] = w
     return Classifier(classes, weights, b, float(tries[int(np.argmin(losses))]), templates)
 
 
-def agreement(words: Sequence[str], templates: Sequence[frozenset[str]]) -> float:
-    """The best share of a template's words (of as many as a window has, if it has more) that the window holds."""
-    own = set(words)
-    return max((len(own & t) / max(1, min(len(t), WINDOW)) for t in templates), default=0.0)
+def confirmed(words: Sequence[str], family: str, templates: Sequence[Template]) -> bool:
+    """Whether a window of words is a notice of the family, as one of its templates says, and of no other licence."""
+    own, text = set(words), " ".join(words)
+    spdx = identifier(words)
+    if spdx is not None:
+        return any(t.spdx and same_identifier(spdx, t.spdx, family) for t in templates)
+    number = re.search(VERSIONS[family], text) if family in VERSIONS else None
+    if NEGATED.search(text) or (number and number[1] != "2"):
+        return False
+    if family in CLAUSES_OF and {CLAUSES[w] for w in own if w in CLAUSES} != CLAUSES_OF[family]:
+        return False
+    for t in templates:
+        share = min(1.0, WINDOW / len(t.words))  # of a longer template a window has a part
+        enough = len(own & t.words) >= AGREEMENT * share * len(t.words)
+        if not enough or len(own & t.keys) < max(bool(t.keys), KEYED * share * len(t.keys)):
+            continue
+        places = [i for i, w in enumerate(words) if w in t.words]
+        if not KIN.get(family, set()) & set(words[places[0] : places[-1] + 1]):
+            return True
+    return False
 
 
-def held_by(line: str, templates: Sequence[frozenset[str]]) -> bool:
+def held_by(line: str, templates: Sequence[Template]) -> bool:
     """Whether a template holds most of the words of a line."""
     own = set(line.split())
-    return any(len(own & t) >= AGREEMENT * len(own) for t in templates)
+    return any(len(own & t.words) >= AGREEMENT * len(own) for t in templates)
 
 
 def hits(model: Classifier, lines: Sequence[str]) -> Iterator[tuple[int, int, str]]:
@@ -222,7 +330,7 @@ def hits(model: Classifier, lines: Sequence[str]) -> Iterator[tuple[int, int, st
         best = int(p.argmax())
         words = lines[line[i]].split()[start[i] : start[i] + WINDOW]
         family = model.classes[best]
-        if family != UNKNOWN and p[best] >= CONFIDENT and agreement(words, model.templates[family]) >= AGREEMENT:
+        if family != UNKNOWN and p[best] >= CONFIDENT and confirmed(words, family, model.templates[family]):
             yield int(line[i]), int(start[i]), family
         elif 1 - p[model.classes.index(NONE)] >= CONFIDENT and re.search(CUE, " ".join(words)):
             yield int(line[i]), int(start[i]), UNKNOWN

@@ -63,7 +63,7 @@ FROM named
 """)
 def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
     """Every page written to WARC archives and read back by byte ranges."""
-    records = warc.read_archives(warc.write_archives(table(spark, folder, "pages")), range_bytes=4 << 20)
+    records = warc.read_archives(warc.write_archives(table(spark, folder, "pages")), range_bytes=4 << 20, whole=True)
 
     def page(column: str):  # null where the record is of a row without an id
         return F.regexp_extract(column, "^urn:page:(-?[0-9]+)$", 1).try_cast("long")

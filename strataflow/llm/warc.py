@@ -159,6 +159,8 @@ def member(file, size: int, at: int) -> tuple[bytes, int] | None:
             return None
         file.seek(position)
         data = file.read(BUFFER if parts else 4096)
+        if not data:
+            return None  # the file is shorter than it was
         position += len(data)
         try:
             part = unpack.decompress(data)
@@ -173,9 +175,25 @@ def member(file, size: int, at: int) -> tuple[bytes, int] | None:
     return (text, position - len(unpack.unused_data)) if b"\r\n\r\n" in text else None
 
 
-def owned(file, size: int, start: int, end: int) -> Iterator[tuple[int, bytes]]:
-    """Offset and content of every record that starts in [start, end)."""
-    at = start
+def owned(file, size: int, start: int, end: int, whole: bool = False) -> Iterator[tuple[int, bytes]]:
+    """Offset and content of every record that starts in [start, end).
+
+    With `whole` the file must be records from its first byte to its last: the range's records must follow each other,
+    and where the last of them ends the file must end too, or another record start. So every byte is vouched for by
+    the range in which the record before it starts.
+    """
+    expected = 0 if start == 0 else None
+    for offset, content, after in _found(file, size, start, end):
+        if whole and expected is not None and offset != expected:
+            raise ValueError(f"bytes {expected} to {offset} of the archive are no record")
+        yield offset, content
+        expected = after
+    if whole and expected is not None and expected < size and (expected < end or member(file, size, expected) is None):
+        raise ValueError(f"no record starts at byte {expected} of {size} of the archive")
+
+
+def _found(file, size: int, at: int, end: int) -> Iterator[tuple[int, bytes, int]]:
+    """Offset, content and end of every record that starts in [at, end)."""
     while at < end:
         file.seek(at)
         window = file.read(min(BUFFER, end - at) + len(MAGIC) - 1)  # a magic may start at the range's last byte
@@ -190,7 +208,7 @@ def owned(file, size: int, start: int, end: int) -> Iterator[tuple[int, bytes]]:
         if found is None:
             at += 1
         else:
-            yield at, found[0]
+            yield at, *found
             at = found[1]
 
 
@@ -217,11 +235,12 @@ def parse(content: bytes) -> dict[str, object]:
     }
 
 
-def read_archives(files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
+def read_archives(files: DataFrame, range_bytes: int = RANGE_BYTES, *, whole: bool = False) -> DataFrame:
     """All records of the archives `files` (path, size), a task per byte range of `range_bytes`.
 
-    Bytes that belong to no record are passed over; an empty archive or list gives no rows. A revisit has no payload:
-    its length and digest are those its headers state.
+    Bytes that belong to no record are passed over, or with `whole` fail the job, as does an archive that is cut off or
+    shorter than its size says; an empty archive or list gives no rows. A revisit has no payload: its length and digest
+    are those its headers state. Other columns of `files` are not looked at.
     """
     starts = F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(range_bytes).cast("long"))
     ranges = files.filter("size > 0").select("path", "size", F.explode(starts).alias("start"))
@@ -233,7 +252,7 @@ def read_archives(files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame
             for path, size, start in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 store, name = fs.FileSystem.from_uri(path)
                 with store.open_input_file(name) as file:
-                    for offset, content in owned(file, size, start, min(size, start + range_bytes)):
+                    for offset, content in owned(file, size, start, min(size, start + range_bytes), whole):
                         rows.append({"path": path, "offset": offset, **parse(content)})
                         held += len(content)
                         if held >= BATCH_BYTES:

@@ -8,6 +8,7 @@ documents is sampled, so that the tokens sampled meet every target in expectatio
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -45,6 +46,7 @@ def rake(
     A target (dim, share) holds one row per value; shares need not sum to one. Values without a target, or with a null
     or no positive share, get no weight; a target that meets no tokens is left out and the others share its part. Every
     sweep adds up the cells by value, pre-aggregated, and is written, so that the plan does not grow with the sweeps.
+    Targets that contradict each other are not met, however many sweeps are made; a warning says so.
     """
     fitted = cells.filter("tokens > 0").withColumn("weight", F.col("tokens").cast("double"))
     for dim in dims:
@@ -68,6 +70,8 @@ def rake(
         fitted = fitted.drop("__off")
         if worst is None or worst < tolerance:
             break
+    else:
+        warnings.warn(f"the targets are not met after {sweeps} sweeps; the last moved a weight by a share of {worst:.1e}", stacklevel=2)
     return fitted.drop(*[f"share_{d}" for d in dims])
 
 

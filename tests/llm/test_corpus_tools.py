@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strataflow.llm import collocations, sharding, variants
+from strataflow.llm import collocations, jaccard, licenses, raking, sharding, variants, warc
 from strataflow.llm.collocations import Summary, summed
 from strataflow.llm.queries import QUERIES
 
@@ -21,6 +21,64 @@ def frame(spark, rows, more=""):
     return spark.createDataFrame(rows, "doc_id long, text string, lang string" + more)
 
 
+# --- blocks that meet
+
+
+@pytest.mark.parametrize("postings", [4, 4096])
+def test_meeting_blocks_equal_a_self_join(spark, monkeypatch, postings):
+    monkeypatch.setattr(jaccard, "POSTINGS", postings)
+    monkeypatch.setattr(jaccard, "PAIRS", postings * 2)
+    draw = random.Random(6)
+    rows = {(t, draw.randrange(-40, 40)) for t in range(30) for _ in range(draw.choice([1, 2, 3, 30]))}
+    named = spark.createDataFrame(sorted(rows), "token long, block long")
+    got = {(r.lo, r.hi): r.meets for r in jaccard.meeting_blocks(named).collect()}
+    want = Counter((a, b) for t, a in rows for u, b in rows if t == u and a < b)
+    assert got == want
+
+
+# --- 5 archives that are damaged
+
+
+@pytest.mark.parametrize("step", [7, 100, 1 << 20])
+@pytest.mark.parametrize("harm", ["none", "byte", "gap", "cut", "short", "front"])
+def test_damaged_archives_fail_where_they_must_be_whole(spark, tmp_path, harm, step):
+    records = [warc.record(f"urn:page:{i}", "u", "1970-01-01T00:00:00Z", "x", bytes([i]) * 60, 60, None) for i in range(4)]
+    data = b"".join(records)
+    size = len(data)
+    if harm == "byte":
+        at = len(records[0]) + len(records[1]) // 2
+        data = data[:at] + bytes([data[at] ^ 255]) + data[at + 1 :]
+    elif harm == "gap":
+        data = records[0] + records[1] + b"?" + records[2] + records[3]
+        size += 1
+    elif harm == "cut":
+        data, size = data[:-9], size - 9
+    elif harm == "short":  # cut between two records; the list still has the old size
+        data = data[: -len(records[3])]
+    elif harm == "front":
+        data, size = b"-" + data, size + 1
+    path = tmp_path / "x.warc.gz"
+    path.write_bytes(data)
+    files = spark.createDataFrame([(f"file://{path}", size)], "path string, size long")
+    if harm == "none":
+        assert warc.read_archives(files, step, whole=True).count() == 4
+        return
+    with pytest.raises(Exception, match="no record"):
+        warc.read_archives(files, step, whole=True).collect()
+    assert warc.read_archives(files, step).count() == {"byte": 3, "gap": 4, "cut": 3, "short": 3, "front": 4}[harm]
+
+
+# --- 10 targets that cannot be met
+
+
+def test_targets_that_contradict_each_other_are_told(spark):
+    cells = spark.createDataFrame([("a", "x", 10), ("b", "y", 10)], "p string, q string, tokens long")
+    one = spark.createDataFrame([("a", 0.5), ("b", 0.5)], "p string, share double")
+    two = spark.createDataFrame([("x", 0.9), ("y", 0.1)], "q string, share double")
+    with pytest.warns(UserWarning, match="not met after 3 sweeps"):
+        raking.rake(cells, ["p", "q"], {"p": one, "q": two}, sweeps=3)
+
+
 # --- 11 external shuffle
 
 
@@ -272,6 +330,92 @@ def test_tree_reaches_every_vector_within_reach():
             assert (a, home[b]) in reached
 
 
+# --- 3 licences that are no family here
+
+STRANGE = [
+    "Licensed under the GNU Lesser General Public License, version 2.1.",
+    "This file is part of a program licensed under the GNU Affero General Public License version 3.",
+    "You should have received a copy of the GNU Lesser General Public License along with this library.",
+    "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    "Licensed under CC BY-ND 4.0.",
+    "Licensed under CC BY-NC-SA 4.0.",
+    "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 3.0 License.",
+    "Made available under the terms of the Eclipse Public License 2.0.",
+    "Licensed under the Eclipse Public License, Version 2.0.",
+    "SPDX-License-Identifier: ISC",
+    "SPDX-License-Identifier: Unlicense",
+    "SPDX-License-Identifier: LGPL-2.1-or-later",
+    "SPDX-License-Identifier: MIT-0",
+    "SPDX-License-Identifier: CDDL-1.0",
+    "SPDX-License-Identifier: CC-BY-ND-4.0",
+    "SPDX-License-Identifier: Apache-1.1",
+    "This code is not licensed under the MIT license.",
+    "Licensed under the Apache License, Version 1.1.",
+    "Released under the Open Software License 3.0.",
+    "Licensed under the Academic Free License version 3.0.",
+    "Licensed under the European Union Public Licence, Version 1.2.",
+    "Released under the SIL Open Font License.",
+]
+KNOWN = {
+    "GPL": ["Distributed under the GNU General Public License version 2 or later.", "SPDX-License-Identifier: GPL-2.0-only", "Licensed under the GPL version 3."],
+    "MIT": ["This project is licensed under the MIT License.", "Distributed under the MIT license.", "// SPDX-License-Identifier: MIT"],
+    "Apache-2.0": ["This project is licensed under the Apache License, Version 2.0.", "Distributed under the Apache License 2.0."],
+    "BSD": ["SPDX-License-Identifier: BSD-2-Clause", "Released under the 3-clause BSD license."],
+    "CC-BY": ["This article is licensed under a Creative Commons Attribution 3.0 License.", "SPDX-License-Identifier: CC-BY-3.0"],
+    "CC-BY-SA": ["Licensed under CC BY-SA 3.0.", "Available under the Creative Commons Attribution-ShareAlike 3.0 License."],
+    "CC-BY-NC": ["This article is licensed under a Creative Commons Attribution-NonCommercial 3.0 License."],
+    "MPL-2.0": ["Distributed under the Mozilla Public License, Version 2.0.", "This file is subject to the terms of the Mozilla Public License, v. 2.0."],
+}
+
+
+@pytest.fixture(scope="module")
+def classifier():
+    draw = random.Random(2)
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa the of and under version is in a file to".split()
+    return licenses.train([" ".join(draw.choice(words) for _ in range(14)) for _ in range(600)], variants=20, rounds=200)
+
+
+def test_other_licences_are_never_taken_for_a_family(classifier):
+    found = [licenses.scan_lines(classifier, [t]).get(0, set()) for t in STRANGE]
+    assert [(t, f) for t, f in zip(STRANGE, found, strict=True) if f - {"unknown"}] == []
+    assert sum(f == {"unknown"} for f in found) >= 0.9 * len(STRANGE)
+
+
+def test_notices_in_other_words_are_known(classifier):
+    missed = [(t, f) for f, own in KNOWN.items() for t in own if licenses.scan_lines(classifier, [t]).get(0) != {f}]
+    assert len(missed) <= 2 and all(licenses.scan_lines(classifier, [t]).get(0, {"unknown"}) == {"unknown"} for t, _ in missed), missed
+
+
+def test_confirmation_equals_a_plain_version(classifier):
+    """The comparison by sets against a plain one that goes over all words, on random mixtures of notices."""
+    draw, groups = random.Random(5), licenses.words_of_groups()
+    notices = [*STRANGE, *(t for own in (*licenses.TEMPLATES.values(), *KNOWN.values()) for t in own)]
+    for _ in range(400):
+        words = licenses.plain(" ".join(draw.sample(notices, 2))).split()
+        cut = draw.randrange(len(words))
+        words = words[cut : cut + licenses.WINDOW]
+        for family, own in licenses.TEMPLATES.items():
+            if licenses.identifier(words) is not None or licenses.NEGATED.search(" ".join(words)):
+                continue
+            want = False
+            for text in own:
+                t = list(dict.fromkeys(licenses.plain(text).split()))
+                shared = [w for w in t if w in words]
+                share = min(1.0, licenses.WINDOW / len(t))
+                keys = [w for w in t if not w.isdigit() and not any(w in g for n, g in groups.items() if n != licenses.group(family))]
+                held = [w for w in keys if w in words]
+                if len(shared) < 0.55 * share * len(t) or len(held) < 0.5 * share * len(keys) or (keys and not held):
+                    continue
+                at = [i for i, w in enumerate(words) if w in t]
+                want |= not any(w in licenses.KIN.get(family, ()) for w in words[at[0] : at[-1] + 1])
+            if family in licenses.CLAUSES_OF:
+                want &= {licenses.CLAUSES[w] for w in words if w in licenses.CLAUSES} == licenses.CLAUSES_OF[family]
+            if family in licenses.VERSIONS:
+                number = re.search(licenses.VERSIONS[family], " ".join(words))
+                want &= not number or number[1] == "2"
+            assert licenses.confirmed(words, family, classifier.templates[family]) == want
+
+
 # --- the queries
 
 

@@ -37,6 +37,8 @@ from strataflow.sources.months import MonthTable, archive_months, by_month, with
 
 VERSION = re.compile(r"^v=(\d+)$")
 MONTH = "obs_month"
+# Folders of merges that are not published yet begin with this; readers do not see them.
+MERGING = "_merge-"
 
 
 def versions(spark: SparkSession, path: str, *, complete: bool = True) -> list[int]:
@@ -195,7 +197,7 @@ class Warehouse:
         schema, path = TABLES[name][0], self.path(name)
         highest = self.highest_id(name, id_col)
         number = max(versions(self.spark, path, complete=False), default=0) + 1
-        aside = f"{path}/_merge-{number}-{uuid.uuid4().hex[:8]}"
+        aside = f"{path}/{MERGING}{number}-{uuid.uuid4().hex[:8]}"
         conform(rows, StructType([*schema.fields]).add("is_new", BooleanType())).write.partitionBy("is_new").parquet(aside)
         fresh, added = f"{aside}/is_new=true", 0
         if path_exists(self.spark, fresh):
@@ -231,7 +233,14 @@ class Warehouse:
         return self.months(name).read(months, state)
 
     def recover(self) -> dict[str, list[int]]:
-        """Complete what a job that died has left unfinished, in all tables; returns the numbers completed."""
+        """Complete what a job that died has left unfinished, in all tables; returns the numbers completed.
+
+        A dimension's merge that was not published is taken away; it will be made anew.
+        """
+        for name in filter(self._versioned, TABLES):
+            for folder in child_names(self.spark, self.path(name)):
+                if folder.startswith(MERGING):
+                    remove(self.spark, f"{self.path(name)}/{folder}")
         tables = {n: self.months(n) for n in DAY_OF} | {n: self.batches(n) for n in BATCHED}
         return {n: done for n, table in tables.items() if (done := table.recover())}
 
@@ -290,8 +299,10 @@ class Warehouse:
     def note(self, name: str, value: dict) -> None:
         """Keep a small fact about the warehouse, such as what the gate has seen."""
         folder = f"{self.root}/state/_notes/{name}"
-        last = max((int(c) for c in child_names(self.spark, folder)), default=0)
-        write_text(self.spark, f"{folder}/{last + 1:08d}", json.dumps(value))
+        there = sorted(child_names(self.spark, folder))
+        write_text(self.spark, f"{folder}/{int(there[-1] if there else 0) + 1:08d}", json.dumps(value))
+        for old in there[:-1]:  # the last one stays, for whoever is reading it
+            remove(self.spark, f"{folder}/{old}")
 
     def noted(self, name: str) -> dict:
         """The last note of this name, or an empty one."""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from strataflow.operators import merge, scd
 from strataflow.operators.shape import evolve
-from strataflow.plans import daily, marts, quality, refresh
+from strataflow.plans import daily, marts, pages, quality, refresh
 from strataflow.schemas import LOCATION, RAW_PAGES, RAW_WEATHER, REVISION, WEATHER, WEATHER_DAYS
 from strataflow.sources import files, ingest, months, tables
 from strataflow.sources import lookup as lookup_module
@@ -437,6 +437,24 @@ def test_one_pass_merge_equals_the_function_and_scans_the_dimension_once(spark,
     assert "t2_core.wikipedia_page" in wh.register("t2_") and spark.table("t2_core.wikipedia_page").columns == dim.columns
 
 
+def test_a_merge_that_dies_leaves_the_dimension_and_is_cleared(spark, root, monkeypatch):
+    wh, name = Warehouse(spark, root), "core.wikipedia_page"
+    wh.replace(name, spark.createDataFrame([(1, 7, "en", "T", True)], "page_id long, wikipedia_page_id long, page_language string, page_title string, is_current boolean"))
+    batch = spark.createDataFrame([(7, "en", "T2"), (8, "en", "U")], "wikipedia_page_id long, page_language string, page_title string")
+    merged = pages.merged_pages(wh.read(name), batch, NOW)
+    with monkeypatch.context() as m:
+        m.setattr(tables, "move", dies)
+        with pytest.raises(Died):
+            wh.merge_dimension(name, merged, "page_id", ("wikipedia_page_id", "page_language"))
+    assert wh.read(name).count() == 1 and [c for c in files.child_names(spark, wh.path(name)) if c.startswith("_merge")]
+    assert wh.recover() == {} and files.child_names(spark, wh.path(name)) == ["v=1"]
+    assert wh.merge_dimension(name, merged, "page_id", ("wikipedia_page_id", "page_language")) == 2
+    assert sorted((r.page_id, r.page_title, r.is_current) for r in wh.read(name).collect())[0] == (1, "T", False) and wh.read(name).count() == 3
+    for k in range(4):
+        wh.note("x", {"k": k})
+    assert wh.noted("x") == {"k": 3} and len(files.child_names(spark, f"{root}/state/_notes/x")) == 2
+
+
 def test_a_title_reads_few_files(spark, root):
     wh = Warehouse(spark, root)
     def landed(*titles, day=1):

@@ -21,6 +21,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strataflow.llm.batches import lean, tidy
 from strataflow.session import run_dir, stage
 
 MAGIC = b"\x1f\x8b\x08"
@@ -146,7 +147,7 @@ def write_archives(
         arrays = [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int64()), strict=True)]
         yield pa.RecordBatch.from_arrays(arrays, names=["name", "size", "records"])
 
-    written = rows.mapInArrow(write, "name string, size long, records long")
+    written = lean(rows).mapInArrow(tidy(write), "name string, size long, records long")
     path = F.concat(F.lit(f"{base.rstrip('/')}/"), F.element_at(F.split("name", "/"), -1)).alias("path")
     return stage(written, "warc-list").select(path, "size", "records")
 
@@ -260,4 +261,4 @@ def read_archives(files: DataFrame, range_bytes: int = RANGE_BYTES, *, whole: bo
                             rows, held = [], 0
         yield pa.RecordBatch.from_pylist(rows, RECORDS)
 
-    return spread.mapInArrow(read, RECORDS_DDL)
+    return spread.mapInArrow(tidy(read), RECORDS_DDL)

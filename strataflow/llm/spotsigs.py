@@ -26,6 +26,8 @@ ANCHORS = (
 ).split()
 CHAIN = 2
 THRESHOLD = 0.75
+# Segments of keys with as many rows each.
+SEGMENTS = 256
 #: Words of every text, as the whole library splits them.
 GAP = r"[\x20\x09-\x0D]+"
 
@@ -76,20 +78,46 @@ def likeness(a: Column, b: Column) -> Column:
     return both.cast("double") / (F.size(a) + F.size(b) - both)
 
 
+def ranges(df: DataFrame, key: str, spread: int) -> tuple[Column, int]:
+    """The number of a row's range of keys, and that of the highest key: about `spread` rows a range; null keys are -1.
+
+    Approximate quantiles part the keys into up to SEGMENTS segments of as many rows, whatever gaps the keys have, and
+    arithmetic parts each segment evenly.
+    """
+    quantiles = F.percentile_approx(key, [i / SEGMENTS for i in range(1, SEGMENTS)], 100 * SEGMENTS)
+    low, high, rows, marks = df.agg(F.min(key), F.max(key), F.count(F.lit(1)), quantiles).first()
+    if low is None:
+        return F.lit(-1).cast("long"), -1
+    segments = min(SEGMENTS, max(1, rows // spread))
+    borders = sorted({m for i in range(1, segments) if low < (m := marks[i * SEGMENTS // segments - 1]) <= high})
+    starts, ends = [low, *borders], [*[m - 1 for m in borders], high]
+    each = max(1, -(-rows // (spread * len(starts))))
+    widths = [-(-(end - start + 1) // each) for start, end in zip(starts, ends, strict=True)]
+
+    def segment(first: int, last: int) -> Column:  # by halves, so that a row is held against few borders
+        if first == last:
+            return F.lit(first)
+        half = (first + last) // 2
+        return F.when(F.col(key) < borders[half], segment(first, half)).otherwise(segment(half + 1, last))
+
+    own = segment(0, len(borders))
+    at = [F.element_at(F.array(*[F.lit(x).cast("long") for x in xs]), own + 1) for xs in (starts, widths)]
+    number = own.cast("long") * each + F.call_function("div", F.col(key) - at[0], at[1])
+    top = len(borders) * each + min(each - 1, (high - starts[-1]) // widths[-1])
+    return F.coalesce(number, F.lit(-1).cast("long")), top
+
+
 def successor(
     df: DataFrame, key: str, text: str, derive: Callable[[DataFrame], DataFrame], added: list[str], spread: int = 2048
 ) -> DataFrame:
     """Add the columns that `derive` adds, and next_<column> of the text and of these from the row that follows.
 
     Rows follow in descending order of `key`; after the last comes the first. They are cut into ranges of the key with
-    `spread` rows each on average, and a window runs inside each. Only the last row of a range needs the first of the
+    some `spread` rows each, and a window runs inside each. Only the last row of a range needs the first of the
     one below: those heads, one per range, are joined in by its number. Equal keys follow in the order of the text;
     rows without a key come last of all.
     """
-    low, high, rows = df.agg(F.min(key), F.max(key), F.count(F.lit(1))).first()
-    width = max(1, ((high or 0) - (low or 0) + 1) * spread // max(1, rows))
-    top = -1 if low is None else (high - low) // width
-    span = F.coalesce(F.floor((F.col(key) - F.lit(low)) / F.lit(width)).cast("long"), F.lit(-1).cast("long"))
+    span, top = ranges(df, key, spread)
     inside = Window.partitionBy("__range").orderBy(F.col(key).desc_nulls_last(), F.col(text))
     carried = [text, *added]
     following = F.struct(*[F.col(c).alias(f"next_{c}") for c in carried])

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strataflow.llm import collocations, jaccard, licenses, raking, sharding, variants, warc
+from strataflow.llm import collocations, jaccard, licenses, raking, sharding, spotsigs, variants, warc
 from strataflow.llm.collocations import Summary, summed
 from strataflow.llm.queries import QUERIES
 
@@ -36,6 +36,37 @@ def test_meeting_blocks_equal_a_self_join(spark, monkeypatch, postings):
     assert got == want
 
 
+# --- 4 ranges of ids
+
+
+@pytest.mark.parametrize("ids", [
+    [*range(5000), 1 << 60], [*range(-3000, 3000, 7)], [x**5 for x in range(900)], [5] * 700 + [9] * 300, [None, 4, None], [None], [],
+    [*range(1000), *range(10**9, 10**9 + 1000), *range(1 << 61, (1 << 61) + 1000)],
+])
+def test_ranges_are_even_and_in_order(spark, ids):
+    df = spark.createDataFrame([(i,) for i in ids], "id long")
+    span, top = spotsigs.ranges(df, "id", 100)
+    rows = [(r.id, r.span) for r in df.withColumn("span", span).collect()]
+    keyed = sorted(r for r in rows if r[0] is not None)
+    assert all(s == -1 for i, s in rows if i is None)
+    assert [s for _, s in keyed] == sorted(s for _, s in keyed) and all(s >= 0 for _, s in keyed)
+    if keyed:
+        assert keyed[-1][1] == top
+        most = Counter(s for _, s in keyed).most_common(1)[0][1]
+        same = Counter(i for i, _ in keyed).most_common(1)[0][1]
+        assert most <= 400 or most == same
+
+
+@pytest.mark.parametrize("spread", [3, 2048])
+def test_successors_of_skewed_ids(spark, spread):
+    ids = [*range(40), *(1 << k for k in range(8, 61, 4)), 1 << 60]
+    rows = [(i, f"text {k}") for k, i in enumerate(ids)] + [(None, "without")]
+    df = spark.createDataFrame(rows, "id long, t string")
+    got = {r.t: r.next_t for r in spotsigs.successor(df, "id", "t", lambda d: d, [], spread).collect()}
+    order = [t for _, t in sorted(rows[:-1], key=lambda r: (-r[0], r[1]))] + ["without"]
+    assert got == dict(zip(order, [*order[1:], order[0]], strict=True))
+
+
 # --- 5 archives that are damaged
 
 

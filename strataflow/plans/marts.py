@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataflow.functions.numbers import mean, mps_to_kmh
@@ -40,9 +40,10 @@ def weather_mart_of(days: DataFrame, location: DataFrame) -> DataFrame:
         merged += [F.sum(f"sum_{name}").alias(f"sum_{name}"), F.sum(f"n_{name}").alias(f"n_{name}")]
     merged += [F.min("lo").alias("lo"), F.max("hi").alias("hi")]
     named = days.join(location.select("location_id", "location_name", "city", "country"), "location_id")
-    # One shuffle by the grain serves both the merge per condition and the mode over conditions.
-    by_condition = named.repartition(*WEATHER_GRAIN).groupBy(*WEATHER_GRAIN, "conditions").agg(*merged)
-    daily = mode_of(by_condition, WEATHER_GRAIN, "conditions", "n", merged)
+    # One shuffle and one sort by the grain serve both the count per condition and the rest, which then pass as a stream.
+    dealt = named.repartition(*WEATHER_GRAIN)
+    of_condition = F.sum("n").over(Window.partitionBy(*WEATHER_GRAIN, "conditions"))
+    daily = mode_of(dealt.withColumn("n_conditions", of_condition), WEATHER_GRAIN, "conditions", "n_conditions", merged)
     return daily.select(
         *WEATHER_GRAIN,
         F.col("n").alias("observation_count"),

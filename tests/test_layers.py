@@ -531,6 +531,20 @@ def test_mart_merges_locations_that_share_a_name(spark):
     assert row.avg_wind_speed_kmh == pytest.approx(3.6) and row.avg_pressure_hpa is None
 
 
+def test_mart_streams_after_its_shuffle(spark):
+    """The merge by name keeps a task's rows once, in one sort: no hash table of them, no second sort."""
+    fact = fact_rows(spark, (1, 0, 10, 50, 1), (1, 1, 11, 50, 1), (2, 0, 20, 50, 1), (2, 1, 23, 50, 1), (2, 2, 26, 50, 1))
+    fact = fact.withColumn("conditions", F.when(F.col("location_id") == 1, "sun").when(F.hour("observed_at") == NOW.hour, "rain"))
+    same = {c: F.substring(c, 1, 0) for c in ("location_name", "city")}  # no literals: the plan would fold them
+    place = locations(spark).withColumns(same)
+    mart = marts.daily_weather_aggregates(fact, place)
+    row = mart.first()
+    assert (row.observation_count, row.avg_temperature_celsius, row.most_common_conditions) == (5, 18.0, "sun")
+    plan = mart._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("REPARTITION_BY_COL")]
+    assert "HashAggregate" not in above and above.count("- Sort [") == 1
+
+
 def test_lookup_upsert_leaves_updated_at(spark):
     later = NOW + dt.timedelta(days=1)
     found = locations(spark).select(*schemas.LOCATION_KEY, "country", "region", F.lit("New").alias("city"))

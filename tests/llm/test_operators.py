@@ -126,6 +126,40 @@ def test_vectors_equal_all_pairs(spark, block):
     assert (got[None].n_links, got[None].component_id, got[None].kept) == (0, None, False)
 
 
+@pytest.mark.parametrize("options", [{}, {"tables": 2, "block": 4}])
+def test_vectors_that_share_no_bucket_are_linked(spark, options):
+    """Pairs just above the threshold, of which hashing leaves out one in a thousand, or most of them with few tables."""
+    draw = np.random.default_rng(5)
+    n = 4000 if not options else 600
+    x, y = draw.standard_normal((2, n, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y -= (x * y).sum(axis=1, keepdims=True) * x
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    both = np.stack([x, 0.9301 * x + math.sqrt(1 - 0.9301**2) * y], axis=1).reshape(-1, 64)
+    rows = [(i, v, 1) for i, v in enumerate(both.tolist())]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in pstable.near_duplicates(frame, **options).collect()}
+    assert got == {i: (1, i - i % 2) for i in range(2 * n)}
+
+
+def test_vectors_at_the_threshold(spark):
+    """Cosines of 93/100 as it is, and of a little less; a pair counts for both of its vectors."""
+    at, below = [93.0, 36.0, 7.0, 2.0, 1.0, 1.0], [93.0, 36.0, 7.0, 2.0, 1.0, 1.00001]
+    first = [1.0] + [0.0] * 5
+    rows = [(0, first, 1), (1, at, 1), (2, first, 2), (3, below, 2)]
+    rows += [(4, [x * 2.0**900 for x in first], 3), (5, [x * 2.0**-900 for x in at], 3)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r.n_links for r in pstable.near_duplicates(frame).collect()}
+    assert got == {0: 1, 1: 1, 2: 0, 3: 0, 4: 1, 5: 1}
+
+
+def test_codes_do_not_depend_on_the_batch():
+    unit = pstable.normal(np.random.default_rng(3).standard_normal((300, 64)))
+    whole = pstable.codes(unit, 32, 10, 2.0, 1)
+    for rows in (1, 3, 17):
+        assert (np.concatenate([pstable.codes(unit[k : k + rows], 32, 10, 2.0, 1) for k in range(0, 300, rows)]) == whole).all()
+
+
 def test_no_vectors(spark):
     assert pstable.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 

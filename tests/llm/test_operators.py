@@ -142,6 +142,43 @@ def test_vectors_that_share_no_bucket_are_linked(spark, options):
     assert got == {i: (1, i - i % 2) for i in range(2 * n)}
 
 
+@pytest.mark.parametrize("options", [{}, {"tables": 1, "width": 1e4}, {"tables": 1, "width": 1e-3}, {"block": 8}])
+def test_chains_of_vectors_stay_whole(spark, options):
+    """Walks of steps at cosine 0.94, by default tables, in one bucket or in none: a link also counts for the components where
+    both of its vectors have neighbours with smaller ids. The last walk is the shortest of that kind."""
+    draw = np.random.default_rng(11)
+    walks = []
+    for _ in range(60):
+        walks.append(draw.standard_normal(64))
+        walks[-1] /= np.linalg.norm(walks[-1])
+        for _ in range(19):
+            aside = draw.standard_normal(64)
+            aside -= (aside @ walks[-1]) * walks[-1]
+            walks.append(0.94 * walks[-1] + math.sqrt(1 - 0.94**2) * aside / np.linalg.norm(aside))
+    ids, labels = draw.permutation(len(walks)).tolist(), [i // 20 % 3 for i in range(len(walks))]
+    rows = list(zip(ids, [v.tolist() for v in walks], labels, strict=True))
+    rows += [(2000 + i, [math.cos(turn), math.sin(turn)], 0) for i, turn in ((0, 0.0), (2, 0.35), (3, 0.7), (1, 1.05))]
+    unit, label = np.array(walks), np.array(labels)
+    links = [(ids[i], ids[j]) for i, j in np.argwhere(np.triu((unit @ unit.T >= 0.93) & (label[:, None] == label), 1))]
+    links += [(2000, 2002), (2002, 2003), (2003, 2001)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in pstable.near_duplicates(frame, **options).collect()}
+    degree, top = Counter(x for link in links for x in link), least_reachable([i for i, _, _ in rows], links)
+    assert got == {i: (degree[i], top[i]) for i in top}
+
+
+def test_groups_of_links():
+    """Rows point at the first row of their group, whatever the order in which links come."""
+    draw = np.random.default_rng(2)
+    for n, m in ((4, 3), (50, 20), (50, 60), (400, 390)):
+        a, b = draw.integers(0, n, (2, m))
+        root = np.arange(n)
+        for k in range(0, m, 7):
+            root = pstable.grouped(root, a[k : k + 7], b[k : k + 7])
+        top = least_reachable(range(n), list(zip(a.tolist(), b.tolist(), strict=True)))
+        assert root.tolist() == [top[i] for i in range(n)]
+
+
 def test_vectors_at_the_threshold(spark):
     """Cosines of 93/100 as it is, and of a little less; a pair counts for both of its vectors."""
     at, below = [93.0, 36.0, 7.0, 2.0, 1.0, 1.0], [93.0, 36.0, 7.0, 2.0, 1.0, 1.00001]
